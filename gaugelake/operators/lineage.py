@@ -44,17 +44,18 @@ def canonical(obs: DataFrame, keys: list[str], reconciled_ts) -> DataFrame:
 
 
 def interval_join(facts: DataFrame, intervals: DataFrame, key: str, ts: str, start: str, end: str,
-                  horizon, how: str = "inner", closed_end: bool = True) -> DataFrame:
+                  how: str = "inner", closed_end: bool = True) -> DataFrame:
     """Facts with every interval of the same key that holds their time.
 
-    Intervals (NULL start: since ever, NULL end: until ``horizon``) are laid out per calendar
-    month they touch, so the join is on key and month with the exact bounds checked after, and
+    Intervals are laid out per calendar month they touch (a NULL bound reaches to the facts' own
+    first or last time), so the join is on key and month with the exact bounds checked after, and
     adaptive skew handling can split a hot series' month.
     """
-    first, last = F.lit("1900-01-01").cast("timestamp_ntz"), C.instant(horizon)
-    months = F.sequence(F.trunc(F.coalesce(start, first), "MM"),
-                        F.trunc(F.greatest(F.coalesce(end, last), F.coalesce(start, first)), "MM"),
-                        F.expr("INTERVAL 1 MONTH"))
+    span = facts.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    lo, hi = C.instant(span.lo or "1970-01-01"), C.instant(span.hi or "1970-01-01")
+    begin, finish = F.greatest(F.coalesce(start, lo), lo), F.least(F.coalesce(end, hi), hi)
+    intervals = intervals.filter(begin <= finish)
+    months = F.sequence(F.trunc(begin, "MM"), F.trunc(finish, "MM"), F.expr("INTERVAL 1 MONTH"))
     laid = intervals.withColumn("_month", F.explode(months)).withColumnRenamed(key, "_key")
     f = facts.withColumn("_fact_month", F.trunc(ts, "MM"))
     upper = F.col(ts) <= F.col(end) if closed_end else F.col(ts) < F.col(end)
@@ -64,12 +65,12 @@ def interval_join(facts: DataFrame, intervals: DataFrame, key: str, ts: str, sta
     return f.join(laid, on, how).drop("_key", "_month", "_fact_month")
 
 
-def with_corrections(obs: DataFrame, corrections: DataFrame, horizon) -> DataFrame:
+def with_corrections(obs: DataFrame, corrections: DataFrame) -> DataFrame:
     c = corrections.select("correction_id", "series_uid", "applied_from", "applied_to", "correction_type")
-    return interval_join(obs, c, "series_uid", "datetime_utc", "applied_from", "applied_to", horizon)
+    return interval_join(obs, c, "series_uid", "datetime_utc", "applied_from", "applied_to")
 
 
-def rated_discharge(stage: DataFrame, ratings: DataFrame, horizon) -> DataFrame:
+def rated_discharge(stage: DataFrame, ratings: DataFrame) -> DataFrame:
     """Discharge from stage by the rating in effect; half-open effective intervals.
 
     The equation's form is this package's choice: q = a * (stage - offset) ^ b with a and b from
@@ -79,15 +80,15 @@ def rated_discharge(stage: DataFrame, ratings: DataFrame, horizon) -> DataFrame:
     r = ratings.select("rating_uid", "station_uid", "effective_from", "effective_to",
                        params["a"].alias("_a"), params["b"].alias("_b"), F.col("offset").alias("_offset"))
     rated = interval_join(stage, r, "station_uid", "datetime_utc", "effective_from", "effective_to",
-                          horizon, closed_end=False)
+                          closed_end=False)
     depth = F.col("stage_h") - F.col("_offset")
     q = F.when(depth > 0, F.col("_a") * F.pow(depth, F.col("_b")))
     return rated.withColumn("rated_q", q).drop("_a", "_b", "_offset", "effective_from", "effective_to")
 
 
-def rating_deviation(measurements: DataFrame, ratings: DataFrame, horizon) -> DataFrame:
+def rating_deviation(measurements: DataFrame, ratings: DataFrame) -> DataFrame:
     """(measured - rated) / rated * 100; the formula is this package's choice."""
-    rated = rated_discharge(measurements, ratings, horizon)
+    rated = rated_discharge(measurements, ratings)
     return rated.withColumn("rating_deviation_pct", F.round(
         (F.col("measured_q") - F.col("rated_q")) / F.nullif(F.col("rated_q"), F.lit(0.0)) * 100, 4))
 

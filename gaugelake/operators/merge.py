@@ -92,9 +92,9 @@ def merge_counts(target: DataFrame, incoming: DataFrame, keys: list[str]) -> Dat
     sides = (target.select(*keys, F.lit(0).alias("_side"))
              .unionByName(incoming.select(*keys, F.lit(1).alias("_side")))
              .groupBy(*keys).agg(F.min("_side").alias("lo"), F.max("_side").alias("hi")))
-    return sides.agg(F.count_if("lo = 1").alias("inserted"),
-                     F.count_if("lo = 0 AND hi = 1").alias("updated"),
-                     F.count_if("hi = 1").alias("affected"))
+    return sides.agg(F.count_if(F.col("lo") == 1).alias("inserted"),
+                     F.count_if((F.col("lo") == 0) & (F.col("hi") == 1)).alias("updated"),
+                     F.count_if(F.col("hi") == 1).alias("affected"))
 
 
 def replace_slice(target: DataFrame, predicate: Column, new: DataFrame) -> DataFrame:

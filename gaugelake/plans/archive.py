@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions import columns as C
 from ..operators import merge
-from ..session import workspace
 from ..sinks import tables as sink
 
 SCHEMAS = {
@@ -18,13 +17,6 @@ SCHEMAS = {
 }
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to a new shared folder and read it back: computed once, safe from lost executors."""
-    path = workspace(df.sparkSession, purpose)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class Archive:
     """Station, series, observation and ledger tables under one root.
 
@@ -37,6 +29,7 @@ class Archive:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._scratch: list[str] = []
         for name in ("station", "series", "observation"):
             sink.recover(spark, self.path(name), name == "observation")
 
@@ -54,6 +47,17 @@ class Archive:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in SCHEMAS}
 
+    def stage(self, df: DataFrame, purpose: str) -> DataFrame:
+        """Rows written aside once, to be read several times in one run."""
+        staged, path = sink.stage(df, purpose)
+        self._scratch.append(path)
+        return staged
+
+    def clear_scratch(self) -> None:
+        """Drop what :meth:`stage` wrote, at the end of a run."""
+        while self._scratch:
+            sink.delete(self.spark, self._scratch.pop())
+
     # --- dimensions -----------------------------------------------------
 
     def write_dimension(self, name: str, df: DataFrame) -> None:
@@ -105,7 +109,7 @@ class Archive:
         if not months:
             return
         rows = merge.replace_slice(current.filter(F.col("ym").isin(months)).drop("ym"), predicate, new)
-        rows = stage(rows, "slice")
+        rows = self.stage(rows, "slice")
         left = set(self.months_of(rows))
         if left:
             self.write_months(rows)

@@ -1,6 +1,6 @@
-"""Scheduled jobs: daily, weekly, provincial, gw, backfill, firstcut, migrate.
+"""Scheduled jobs: daily, weekly, provincial, gw; and one-off ones: backfill, firstcut, migrate.
 
-    spark-submit -m gaugelake.plans.jobs --mode daily --archive PATH --landing PATH [--as-of TS]
+    spark-submit run.py --mode daily --archive PATH --landing PATH [--as-of TS]
 
 Fetching is not part of the jobs: they read what a fetcher has put on shared storage.
 """
@@ -21,7 +21,7 @@ from ..operators import audit, merge, normalize
 from ..session import build_session
 from ..sinks import tables as sink
 from ..sources import files, registry
-from .archive import Archive, stage
+from .archive import Archive
 
 log = logging.getLogger(__name__)
 
@@ -40,6 +40,7 @@ def with_ledger(archive: Archive, source: str, as_of: datetime, body: Callable[[
         raise
     finally:
         archive.append_row("pull_run", row | {"finished_ts": _now()})
+        archive.clear_scratch()
     return run_id
 
 
@@ -52,7 +53,7 @@ def _pull_wsc(archive: Archive, landing: str, as_of: datetime, days: int, source
     ids = registry.active_wsc_ids(archive.read("station")).withColumnRenamed("wsc_id", "STATION_NUMBER")
     pull = files.wide_pull(files.geojson_pages(archive.spark, landing, multiline))
     pull = pull.filter(C.parse_wsc_time(F.col("DATETIME")) >= C.days_before(as_of, days))
-    pull = stage(pull.join(ids, "STATION_NUMBER", "left_semi"), "pull")
+    pull = archive.stage(pull.join(ids, "STATION_NUMBER", "left_semi"), "pull")
     if raw_root:
         sink.land_raw(pull, raw_root, source, run_id, as_of.date())
     long = normalize.reshape_long(pull).filter(F.col("datetime_utc").isNotNull())
@@ -77,7 +78,7 @@ def weekly(archive: Archive, landing: str, as_of: datetime, raw_root: str | None
         found = audit.discrepancies(gaps, audit_id, as_of)
         if dedupe_open:
             found = audit.new_only(found, archive.read("audit_discrepancy"))
-        found = stage(found, "gaps")
+        found = archive.stage(found, "gaps")
         archive.append("audit_discrepancy", found)
         header = audit.audit_header(archive.read("station"), found).first()
         archive.append_row("audit_log", {
@@ -109,12 +110,12 @@ def _provincial(archive: Archive, landing: str, registry_path: str, as_of: datet
         reg = files.dataset_registry(archive.spark, registry_path)
         readings = files.since(export_readings(archive.spark, landing, reg),
                                "datetime_utc", as_of, DATE_RANGES[window])
-        readings = stage(readings, "export")
+        readings = archive.stage(readings, "export")
         if raw_root:
             sink.land_raw(readings, raw_root, "gw" if wells else "bc", run_id, as_of.date())
         # Sites and series appear in the archive with their first readings.
         seen = readings.select("moe_id", "canon").distinct()
-        present = stage(reg.join(seen, ["moe_id", "canon"], "left_semi"), "registry")
+        present = archive.stage(reg.join(seen, ["moe_id", "canon"], "left_semi"), "registry")
         archive.upsert_stations(
             normalize.bc_stations(present, "groundwater_well" if wells else None), wells)
         archive.add_series(normalize.bc_series(present))
@@ -146,7 +147,7 @@ def backfill(archive: Archive, flows: DataFrame, levels: DataFrame, as_of: datet
     def body(run_id: int) -> int:
         if meta is not None:
             archive.write_dimension("station", merge.enrich_stations(archive.read("station"), meta))
-        long = stage(normalize.daily_normalise(flows, "Q", "m3/s").unionByName(
+        long = archive.stage(normalize.daily_normalise(flows, "Q", "m3/s").unionByName(
             normalize.daily_normalise(levels, "H", "m")), "daily")
         daily_series = F.col("series_uid").like("WSC-%-daily")
         archive.write_dimension("series", merge.replace_slice(
@@ -168,7 +169,7 @@ def firstcut(archive: Archive, registry_path: str, landing: str, as_of: datetime
             archive.read("station"), F.col("operator") == "WSC", S.conform(reg, S.STATION)))
         pull = files.wide_pull(files.geojson_pages(archive.spark, landing, multiline))
         ids = reg.select(F.col("wsc_id").alias("STATION_NUMBER"))
-        long = stage(normalize.reshape_long(pull.join(ids, "STATION_NUMBER", "left_semi"))
+        long = archive.stage(normalize.reshape_long(pull.join(ids, "STATION_NUMBER", "left_semi"))
                      .filter(F.col("datetime_utc").isNotNull()), "pull")
         archive.write_dimension("series", merge.replace_slice(
             archive.read("series"), F.col("station_uid").like("WSC-%"),
@@ -200,40 +201,54 @@ def migrate(source_root: str, archive: Archive, as_of: datetime) -> None:
         S.T.StructField(f.name, S.T.StringType()) for f in S.OBSERVATION.fields])
     staged = read("observation", text_obs).select(
         [F.col(c).cast(S.STAGED_OBS[c].dataType) for c in columns])
-    archive.insert_observations(stage(normalize.staged_to_observation(staged, as_of), "migrate"))
+    archive.insert_observations(archive.stage(normalize.staged_to_observation(staged, as_of), "migrate"))
+    archive.clear_scratch()
 
 
-MODES = ("daily", "weekly", "provincial", "gw")
+MODES = ("daily", "weekly", "provincial", "gw", "backfill", "firstcut", "migrate")
 
 
 def main(argv: list[str] | None = None) -> None:
-    p = argparse.ArgumentParser(description=__doc__)
+    p = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("--mode", choices=MODES, default="daily")
     p.add_argument("--archive", required=True)
-    p.add_argument("--landing", required=True)
-    p.add_argument("--registry")
-    p.add_argument("--raw-root")
-    p.add_argument("--window", choices=list(DATE_RANGES))
+    p.add_argument("--landing", help="landed pages or exports; for migrate the exported tables")
+    p.add_argument("--registry", help="station or dataset registry CSV")
+    p.add_argument("--flows", help="backfill: daily flows")
+    p.add_argument("--levels", help="backfill: daily levels")
+    p.add_argument("--raw-root", help="immutable raw landing; none if absent")
+    p.add_argument("--window", choices=list(DATE_RANGES), help="provincial and gw")
     p.add_argument("--as-of", type=datetime.fromisoformat, default=None)
-    p.add_argument("--dry-run", action="store_true", help="gw only: report, write nothing")
+    p.add_argument("--dry-run", action="store_true", help="gw: report, write nothing")
     a = p.parse_args(argv)
+    needed = {"backfill": ["flows", "levels"], "migrate": ["landing"], "daily": ["landing"],
+              "weekly": ["landing"]}.get(a.mode, ["landing", "registry"])
+    missing = [f"--{n}" for n in needed if getattr(a, n) is None]
+    if missing:
+        p.error(f"--mode {a.mode} needs {', '.join(missing)}")
+
     spark = build_session(f"gaugelake-{a.mode}")
     as_of = a.as_of or _now()
-    if a.mode in ("provincial", "gw") and not a.registry:
-        p.error(f"--mode {a.mode} needs --registry")
     if a.mode == "gw" and a.dry_run:
         groundwater_dry_run(spark, a.landing, a.registry).show(1000, truncate=False)
         return
     archive = Archive(spark, a.archive)
     if a.mode == "daily":
-        run_id = daily(archive, a.landing, as_of, a.raw_root)
+        result = daily(archive, a.landing, as_of, a.raw_root)
     elif a.mode == "weekly":
-        run_id = weekly(archive, a.landing, as_of, a.raw_root)
+        result = weekly(archive, a.landing, as_of, a.raw_root)
     elif a.mode == "provincial":
-        run_id = provincial(archive, a.landing, a.registry, as_of, a.window or "Days7", a.raw_root)
+        result = provincial(archive, a.landing, a.registry, as_of, a.window or "Days7", a.raw_root)
+    elif a.mode == "gw":
+        result = groundwater(archive, a.landing, a.registry, as_of, a.window or "Days30", a.raw_root)
+    elif a.mode == "backfill":
+        flows, levels = (files.daily_history(spark, path) for path in (a.flows, a.levels))
+        result = backfill(archive, flows, levels, as_of)
+    elif a.mode == "firstcut":
+        result = firstcut(archive, a.registry, a.landing, as_of)
     else:
-        run_id = groundwater(archive, a.landing, a.registry, as_of, a.window or "Days30", a.raw_root)
-    log.info("mode=%s run_id=%s", a.mode, run_id)
+        result = migrate(a.landing, archive, as_of)
+    log.info("mode=%s run_id=%s", a.mode, result)
 
 
 if __name__ == "__main__":

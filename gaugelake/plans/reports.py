@@ -200,7 +200,7 @@ def network_year(t: Tables) -> DataFrame:
     per_day = days.groupBy("station_uid", "day").agg(
         F.sum("n").alias("n"), F.max("after_gap").alias("visited"))
     per_station = per_day.groupBy(F.year("day").alias("yr"), "station_uid").agg(
-        F.sum("n").alias("n"), F.count_if("visited").alias("visits"))
+        F.sum("n").alias("n"), F.count_if(F.col("visited")).alias("visits"))
     return (per_station.groupBy("yr")
             .agg(F.count(F.lit(1)).alias("stations"), F.sum("n").alias("points"),
                  F.sum("visits").alias("visits"))

@@ -9,6 +9,8 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import workspace
+
 log = logging.getLogger(__name__)
 
 
@@ -32,6 +34,17 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def stage(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to a new shared folder and read it back; returns the rows and the folder.
+
+    Computed once and safe from lost executors. Reading files also gives the planner the true
+    size, so a later join broadcasts the rows only when they really are small.
+    """
+    path = workspace(df.sparkSession, purpose)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def land_raw(df: DataFrame, root: str, source: str, run_id: int, on: date) -> bool:
     """Immutable raw copy under {source}/{yyyy}/{mm}/{dd}/{source}-run{id}.csv.
 

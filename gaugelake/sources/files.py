@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as C
+from ..sinks.tables import stage
 
 _METADATA_LINES = 5
 
@@ -71,7 +72,8 @@ def export_lines(spark: SparkSession, path: str, dataset_pattern: str = r"([^/]+
              .groupBy("path")
              .agg(F.collect_list("line").alias("head"),
                   F.max(F.when(F.col("line_no") == _METADATA_LINES + 1, F.col("line"))).alias("header")))
-    complete = heads.filter(_column_count(F.col("header")) >= 4).select("path", "head")
+    # One row per file. Written aside, its size is known before the lines are joined to it.
+    complete, _ = stage(heads.filter(_column_count(F.col("header")) >= 4).select("path", "head"), "heads")
     return (lines.join(complete, "path")
             .filter((F.col("block_start") > 0) | ~F.array_contains("head", F.col("line")))
             .select(F.url_decode(F.regexp_extract("path", dataset_pattern, 1)).alias("dataset"), "path", "line"))

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..plans.archive import Archive, stage
+from ..plans.archive import Archive
+from ..session import tuned
 
 WATERMARK = "3 days"
 
 
 def landed(spark: SparkSession, path: str, schema: T.StructType = S.OBSERVATION,
            files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+    """New files of a landing folder, read in a session set up for state (and for UTC)."""
+    reader = tuned(spark).readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
@@ -25,6 +27,11 @@ def _run(writer, checkpoint: str) -> None:
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def _timed(rows: DataFrame, delay: str) -> DataFrame:
+    """Watermarks want a TIMESTAMP; in a UTC session the cast keeps the wall clock."""
+    return rows.withColumn("event_time", F.col("datetime_utc").cast("timestamp")).withWatermark("event_time", delay)
+
+
 def ingest(rows: DataFrame, out: str, checkpoint: str) -> None:
     """Append new rows to a raw table, each exactly once."""
     _run(rows.writeStream.format("parquet").outputMode("append").option("path", out), checkpoint)
@@ -35,7 +42,8 @@ def upsert(rows: DataFrame, archive: Archive, update: list[str], checkpoint: str
     """Merge every batch into the archive. The merge is by key, so a batch that runs again after
     a crash changes nothing. Late rows of any age are taken."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        archive.upsert_observations(stage(batch, f"batch{batch_id}"), update, order_by)
+        archive.upsert_observations(archive.stage(batch, f"batch{batch_id}"), update, order_by)
+        archive.clear_scratch()
 
     _run(rows.writeStream.foreachBatch(apply), checkpoint)
 
@@ -43,7 +51,7 @@ def upsert(rows: DataFrame, archive: Archive, update: list[str], checkpoint: str
 def dedupe(rows: DataFrame, out: str, checkpoint: str, delay: str = WATERMARK) -> None:
     """Drop repeats of overlapping pulls. Rows older than the watermark are dropped as well and
     belong to the weekly re-pull; see :func:`late_rows`."""
-    unique = rows.withWatermark("datetime_utc", delay).dropDuplicatesWithinWatermark(S.OBSERVATION_KEY)
+    unique = _timed(rows, delay).dropDuplicatesWithinWatermark(S.OBSERVATION_KEY).drop("event_time")
     _run(unique.writeStream.format("parquet").outputMode("append").option("path", out), checkpoint)
 
 
@@ -54,8 +62,8 @@ def late_rows(landed_rows: DataFrame, accepted: DataFrame) -> DataFrame:
 
 def daily_counts(rows: DataFrame, out: str, checkpoint: str, delay: str = WATERMARK) -> None:
     """Readings per day, kept up to date: each batch writes the days it changed."""
-    counts = (rows.withWatermark("datetime_utc", delay)
-              .groupBy(F.window("datetime_utc", "1 day").alias("w"))
+    counts = (_timed(rows, delay)
+              .groupBy(F.window("event_time", "1 day").alias("w"))
               .agg(F.count(F.lit(1)).alias("n"))
               .select(F.to_date("w.start").alias("d"), "n"))
 
@@ -73,11 +81,11 @@ def current_daily_counts(spark: SparkSession, out: str) -> DataFrame:
 
 def sessions(rows: DataFrame, out: str, checkpoint: str, delay: str = WATERMARK) -> None:
     """Stretches of readings with no pause over a day, written once the watermark has passed them."""
-    stretches = (rows.withWatermark("datetime_utc", delay)
-                 .groupBy("series_uid", F.session_window("datetime_utc", "1 day").alias("w"))
+    stretches = (_timed(rows, delay)
+                 .groupBy("series_uid", F.session_window("event_time", "1 day").alias("w"))
                  .agg(F.count(F.lit(1)).alias("n"))
-                 .select("series_uid", F.col("w.start").alias("start_ts"),
-                         (F.col("w.end") - F.expr("INTERVAL 1 DAY")).alias("last_ts"), "n"))
+                 .select("series_uid", F.col("w.start").cast("timestamp_ntz").alias("start_ts"),
+                         (F.col("w.end") - F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz").alias("last_ts"), "n"))
     _run(stretches.writeStream.format("parquet").outputMode("append").option("path", out), checkpoint)
 
 

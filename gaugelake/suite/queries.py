@@ -13,7 +13,7 @@ from ..functions import columns as C
 from ..operators import audit, lineage, merge, normalize, quality, rollup, search
 from ..plans import jobs, reports
 from ..plans.archive import Archive
-from ..session import tuned, workspace
+from ..session import workspace
 from ..sinks import tables as sink
 from ..sources import files, registry
 from ..streaming import legs
@@ -123,7 +123,7 @@ def _export_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.expr("CASE WHEN l_returnflag = 'A' THEN '\"A, partial\"' WHEN l_returnflag = 'R' THEN 'E' ELSE '' END")
     return rows.select(
         F.concat("canon", F.lit(".Working@"), supp).alias("dataset"),
-        F.year("l_shipdate").alias("yr"),
+        F.expr("l_orderkey div 1000000").alias("pull"),
         F.concat_ws(",", time, bad_value, F.expr(D.GRADE), F.expr(D.APPROVAL_CODE), flag).alias("line"))
 
 
@@ -134,16 +134,16 @@ def export_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def export_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export files of each dataset and year with their metadata lines, written and read back."""
-    body = _export_text(spark, sf_dir).select("dataset", "yr", F.lit(1).alias("part"), "line")
+    """Export files of each dataset and pull of a million orders with their metadata lines, written and read back."""
+    body = _export_text(spark, sf_dir).select("dataset", "pull", F.lit(1).alias("part"), "line")
     preamble = F.array(*[F.struct(F.lit(i - 6).alias("part"), F.lit(text).alias("line")) for i, text in enumerate([
         "Dataset", "Location", "Unit", "2000-01-01 00:00:00,1,1,1200,metadata shaped like a row",
         "Time zone UTC", "Timestamp,Value,Grade Code,Approval Level,Qualifiers"])])
-    heads = body.select("dataset", "yr").distinct().select("dataset", "yr", F.explode(preamble).alias("p"))
+    heads = body.select("dataset", "pull").distinct().select("dataset", "pull", F.explode(preamble).alias("p"))
     path = workspace(spark, "exports")
-    (body.unionByName(heads.select("dataset", "yr", "p.part", "p.line"))
-     .repartition("dataset", "yr").sortWithinPartitions("dataset", "yr", "part")
-     .select("dataset", "yr", "line").write.partitionBy("dataset", "yr").text(path))
+    (body.unionByName(heads.select("dataset", "pull", "p.part", "p.line"))
+     .repartition("dataset", "pull").sortWithinPartitions("dataset", "pull", "part")
+     .select("dataset", "pull", "line").write.partitionBy("dataset", "pull").text(path))
     lines = files.export_lines(spark, path, dataset_pattern=r"dataset=([^/]+)/")
     return normalize.export_normalise(files.export_rows(lines))
 
@@ -498,13 +498,13 @@ class _Landing:
     """A landing folder filled pull by pull, with a stream run after each."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.session = spark, tuned(spark)
+        self.spark = spark
         self.path, self.out, self.checkpoint = (workspace(spark, f"{name}-{d}") for d in ("in", "out", "state"))
 
     def run(self, pulls: list[DataFrame], leg: Callable[[DataFrame], None]) -> None:
         for pull in pulls:
             S.conform(pull, S.OBSERVATION).write.mode("append").parquet(self.path)
-            leg(legs.landed(self.session, self.path))
+            leg(legs.landed(self.spark, self.path))
 
     def rows(self) -> DataFrame:
         return self.spark.read.schema(S.OBSERVATION).parquet(self.path)
@@ -608,21 +608,20 @@ def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some line items double as corrections: from the ship date for a month, or open-ended."""
-    supp = F.col("l_suppkey").cast("string")
-    rows = D.load(spark, sf_dir, "lineitem").filter("l_discount = 0.1 AND l_linenumber = 7")
-    return rows.select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", F.col("l_extendedprice").cast("decimal(14,2)")).alias("correction_id"),
-        C.bc_series_uid(supp, F.expr(D.BC_PARAMETER)).alias("series_uid"),
-        F.col("l_shipdate").alias("applied_from"),
-        F.when(F.col("l_tax") > 0, F.col("l_shipdate") + F.expr("INTERVAL 31 DAYS")).alias("applied_to"),
-        F.when(F.col("l_returnflag") == "A", "drift").otherwise("datum").alias("correction_type"))
+    """Two corrections per provincial series: one of some months, one open-ended."""
+    series = D.archive(spark, sf_dir)["series"].filter(F.col("station_uid").like("BC-%"))
+    kind = F.explode(F.array(F.lit("drift"), F.lit("datum"))).alias("correction_type")
+    drift = F.col("correction_type") == "drift"
+    return series.select("series_uid", kind).select(
+        F.concat_ws(":", "series_uid", "correction_type").alias("correction_id"), "series_uid",
+        F.when(drift, C.instant("1996-02-10")).otherwise(C.instant("2000-05-05 12:00:00")).alias("applied_from"),
+        F.when(drift, C.instant("1996-09-20")).alias("applied_to"), "correction_type")
 
 
 @query
 def obs_with_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = D.archive(spark, sf_dir)["observation"].select("series_uid", "datetime_utc", "value")
-    return lineage.with_corrections(obs, _corrections(spark, sf_dir), BC).select(
+    return lineage.with_corrections(obs, _corrections(spark, sf_dir)).select(
         "series_uid", "datetime_utc", "value", "correction_id", "correction_type")
 
 
@@ -650,7 +649,7 @@ def _bc_stage(spark: SparkSession, sf_dir: str, value: str, *extra) -> DataFrame
 
 @query
 def rated_discharge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rated = lineage.rated_discharge(_bc_stage(spark, sf_dir, "stage_h"), _ratings(spark, sf_dir), BC)
+    rated = lineage.rated_discharge(_bc_stage(spark, sf_dir, "stage_h"), _ratings(spark, sf_dir))
     return rated.select("series_uid", "datetime_utc", "stage_h", "rating_uid",
                         F.round("rated_q", 4).alias("rated_q"))
 
@@ -658,7 +657,7 @@ def rated_discharge(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rating_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = _bc_stage(spark, sf_dir, "stage_h", (F.col("value") * 10 + 1).alias("measured_q"))
-    out = lineage.rating_deviation(measured, _ratings(spark, sf_dir), BC)
+    out = lineage.rating_deviation(measured, _ratings(spark, sf_dir))
     return out.select("series_uid", "datetime_utc", "measured_q", "rating_uid", "rating_deviation_pct")
 
 
