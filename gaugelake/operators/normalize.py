@@ -15,14 +15,15 @@ def reshape_long(pull: DataFrame) -> DataFrame:
     Columns: series_uid, station_uid, parameter, units, datetime_utc, value, qflag.
     """
     station, parameter = F.col("STATION_NUMBER"), F.col("parameter")
-    long = pull.selectExpr(
-        "STATION_NUMBER", "DATETIME",
+    timed = pull.withColumn("datetime_utc", C.parse_wsc_time(F.col("DATETIME")))
+    long = timed.selectExpr(
+        "STATION_NUMBER", "datetime_utc",
         "stack(2, 'H', 'm', LEVEL, LEVEL_SYM, 'Q', 'm3/s', DISCHARGE, DISCHARGE_SYM)"
         " AS (parameter, units, value, qflag)")
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value")).select(
         C.wsc_series_uid(station, parameter, "instant").alias("series_uid"),
         C.wsc_station_uid(station).alias("station_uid"), "parameter", "units",
-        C.parse_wsc_time(F.col("DATETIME")).alias("datetime_utc"), "value", "qflag")
+        "datetime_utc", "value", "qflag")
 
 
 def daily_normalise(history: DataFrame, parameter: str, units: str) -> DataFrame:

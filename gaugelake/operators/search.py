@@ -13,12 +13,15 @@ from ..functions import geo, text
 
 def name_search(df: DataFrame, column: str, terms: list[str], threshold: float = 0.3) -> DataFrame:
     """Rows whose name resembles a search term, with the similarity."""
-    wanted = F.array(*[F.struct(F.lit(t).alias("term"), text.trigrams(F.lit(t)).alias("grams")) for t in terms])
-    scored = (df.withColumn("_grams", text.trigrams(F.col(column)))
-              .withColumn("_wanted", F.explode(wanted))
-              .withColumn("similarity", text.similarity(F.col("_grams"), F.col("_wanted.grams")))
-              .withColumn("term", F.col("_wanted.term")))
-    return scored.filter(F.col("similarity") >= threshold).drop("_grams", "_wanted")
+    # The few terms are cut up once, not per row.
+    given = df.sparkSession.createDataFrame([(t,) for t in terms], "term string")
+    cut = given.select("term", text.trigrams(F.col("term")).alias("grams")).collect()
+    wanted = F.array(*[F.struct(F.lit(r.term).alias("term"), F.array(*[F.lit(g) for g in r.grams]).alias("grams"))
+                       for r in cut])
+    scored = df.withColumn("_grams", text.trigrams(F.col(column))).select(
+        "*", F.inline(F.transform(wanted, lambda w: F.struct(
+            w["term"].alias("term"), text.similarity(F.col("_grams"), w["grams"]).alias("similarity")))))
+    return scored.filter(F.col("similarity") >= threshold).drop("_grams")
 
 
 def in_bbox(station: DataFrame, south: float, west: float, north: float, east: float) -> DataFrame:

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Also the size at which the rebalancing writes split a month into files.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Let AQE turn a shuffled join into a broadcast only after the side's size is known.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     # Series and station keys recur in every report; a bloom filter trims the fact side of the

@@ -88,15 +88,19 @@ def commit(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
     The rows are first written whole beside the table, and only a complete copy is moved over
     the old files. So ``df`` may read the table it replaces, and a crash between the two steps
-    is mended by :func:`recover`. Range partitioning on the sort columns splits a hot partition
-    over many tasks and gives files narrow min/max ranges.
+    is mended by :func:`recover`.
+
+    The rebalancing shuffle gathers small partitions in one task and splits a hot one over many
+    by its measured size; unlike range partitioning it does not compute the rows twice to sample
+    them. Rows are sorted inside each file, for compression and row-group statistics.
 
     Returns the number of rows where the boolean column ``touched`` (not stored) is true.
     """
     spark = df.sparkSession
+    df = df.hint("rebalance", *partition_by or [])
     layout = (partition_by or []) + (sort_by or [])
     if layout:
-        df = df.repartitionByRange(*layout).sortWithinPartitions(*layout)
+        df = df.sortWithinPartitions(*layout)
     seen = None
     if touched:
         # Observed after the last shuffle: only the writing tasks count.

@@ -80,10 +80,14 @@ def export_lines(spark: SparkSession, path: str, dataset_pattern: str = r"([^/]+
 
 
 def export_rows(lines: DataFrame) -> DataFrame:
-    """Lines to positional fields (ts, value, grade, approval, qualifier or NULL), all text."""
+    """Lines to positional fields (ts, value, grade, approval, qualifier or NULL), all text.
+
+    ``inline`` makes the parsed line an operator of its own. As a plain projection the parse would
+    be copied into every later filter and run several times per line.
+    """
     parsed = F.from_csv("line", "ts string, value string, grade string, approval string, qualifier string",
                         {"nullValue": "NA", "mode": "PERMISSIVE"})
-    return lines.select("dataset", parsed.alias("row")).select("dataset", "row.*")
+    return lines.select("dataset", F.inline(F.array(parsed)))
 
 
 def _column_count(header: Column) -> Column:

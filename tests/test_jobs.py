@@ -183,3 +183,18 @@ def test_cli_rejects_unknown_modes_and_missing_inputs(capsys):
         with pytest.raises(SystemExit) as stop:
             jobs.main(args)
         assert stop.value.code != 0
+
+
+def test_a_hot_month_is_written_by_many_tasks(spark, obs, tmp_path):
+    session = spark.newSession()
+    for key, value in {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100000", "spark.sql.session.timeZone": "UTC",
+                       "spark.sql.shuffle.partitions": "4"}.items():
+        session.conf.set(key, value)
+    rows_ = session.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id"))).alias("series_uid"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("datetime_utc"),
+        F.lit("bc").alias("source"), F.rand(1).alias("value"))
+    Archive(session, str(tmp_path / "hot")).write_months(S.conform(rows_, S.OBSERVATION))
+    files = list((tmp_path / "hot/observation/ym=202401").glob("*.parquet"))
+    assert len(files) > 3
+    assert Archive(session, str(tmp_path / "hot")).read("observation").count() == 60000
