@@ -88,8 +88,13 @@ def not_a_well(station_type: Column) -> Column:
 
 # --- ages and buckets -------------------------------------------------------
 
+def seconds_between(start: Column, end: Column) -> Column:
+    """Seconds with fraction. Subtraction, unlike ``timestampdiff``, stays free of time zones."""
+    return (end - start).cast("interval second").cast("decimal(20,6)").cast("double")
+
+
 def elapsed(unit_seconds: int, start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(unit_seconds * 1e6)
+    return seconds_between(start, end) / F.lit(float(unit_seconds))
 
 
 def hours_old(as_of, ts: Column) -> Column:
@@ -133,7 +138,9 @@ def weighted_percent(points: Column, pct: Column) -> Column:
 
 def round_to_second(ts: Column) -> Column:
     """Halves go up."""
-    return F.date_trunc("second", ts + F.expr("INTERVAL '0.5' SECOND")).cast("timestamp_ntz")
+    shifted = ts + F.expr("INTERVAL '0.5' SECOND")
+    fraction = F.pmod(F.date_part(F.lit("SECOND"), shifted), F.lit(1))
+    return shifted - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction)
 
 
 # --- identity ---------------------------------------------------------------

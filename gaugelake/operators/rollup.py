@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import seconds_between
+
 
 def by_series(obs: DataFrame, *keys) -> DataFrame:
     """Count, span and approval counts per series and extra keys; unused columns are pruned."""
@@ -54,7 +56,7 @@ def reading_gaps(obs: DataFrame, bucket: str = "day") -> DataFrame:
                        "bucket", F.lit(False).alias("is_row")))
     # The carried reading is earlier than all of the bucket; ties by source keep the order total.
     in_bucket = Window.partitionBy("series_uid", "bucket").orderBy("datetime_utc", "source")
-    gap = F.timestamp_diff("MICROSECOND", F.lag("datetime_utc").over(in_bucket), F.col("datetime_utc"))
-    return (rows.unionByName(carried).withColumn("gap_us", gap).filter("is_row")
+    return (rows.unionByName(carried)
+            .withColumn("previous_ts", F.lag("datetime_utc").over(in_bucket)).filter("is_row")
             .select("series_uid", "datetime_utc", "source",
-                    (F.col("gap_us") / F.lit(1e6)).alias("gap_seconds")))
+                    seconds_between(F.col("previous_ts"), F.col("datetime_utc")).alias("gap_seconds")))

@@ -186,21 +186,18 @@ def migrate(source_root: str, archive: Archive, as_of: datetime) -> None:
     spark = archive.spark
 
     def read(name: str, schema) -> DataFrame:
-        return (spark.read.schema(schema).option("header", True)
-                .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{source_root}/{name}"))
+        """Read as text, then cast: the text form of a time is zone-free."""
+        text = S.T.StructType([S.T.StructField(n, S.T.StringType()) for n in schema.names])
+        return spark.read.schema(text).option("header", True).csv(f"{source_root}/{name}")
 
-    runs = read("pull_run", S.PULL_RUN)
+    runs = S.conform(read("pull_run", S.PULL_RUN), S.PULL_RUN)
     archive.append("pull_run", runs.join(archive.read("pull_run").select("run_id"), "run_id", "left_anti"))
     flat = S.T.StructType([f for f in S.STATION.fields if f.name != "geom"])
-    station = read("station", flat).withColumn("geom", C.point(F.col("lon"), F.col("lat")))
+    station = S.conform(read("station", flat), flat).withColumn("geom", C.point(F.col("lon"), F.col("lat")))
     archive.write_dimension("station", merge.insert_ignore(
         archive.read("station"), S.conform(station, S.STATION), ["station_uid"]))
     archive.add_series(read("series", S.SERIES))
-    columns = [f.name for f in S.STAGED_OBS.fields]
-    text_obs = S.T.StructType([
-        S.T.StructField(f.name, S.T.StringType()) for f in S.OBSERVATION.fields])
-    staged = read("observation", text_obs).select(
-        [F.col(c).cast(S.STAGED_OBS[c].dataType) for c in columns])
+    staged = S.conform(read("observation", S.OBSERVATION), S.STAGED_OBS)
     archive.insert_observations(archive.stage(normalize.staged_to_observation(staged, as_of), "migrate"))
     archive.clear_scratch()
 

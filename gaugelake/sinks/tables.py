@@ -73,7 +73,7 @@ def export_tables(tables: dict[str, DataFrame], root: str) -> None:
             c = F.col(field.name)
             kind = field.dataType.typeName()
             if kind.startswith("timestamp"):
-                c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+                c = c.cast("string")
             elif kind == "array":
                 c = F.array_join(c, ",")
             elif kind == "struct":

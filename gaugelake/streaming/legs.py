@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions.columns import seconds_between
 from ..plans.archive import Archive
 from ..session import tuned
 
@@ -95,5 +96,4 @@ def outages(closed: DataFrame) -> DataFrame:
     return (closed.withColumn("until_ts", F.lead("start_ts").over(in_series))
             .filter(F.col("until_ts").isNotNull())
             .select("series_uid", F.col("last_ts").alias("from_ts"), "until_ts",
-                    (F.timestamp_diff("MICROSECOND", F.col("last_ts"), F.col("until_ts"))
-                     / F.lit(1e6)).alias("outage_seconds")))
+                    seconds_between(F.col("last_ts"), F.col("until_ts")).alias("outage_seconds")))

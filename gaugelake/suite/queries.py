@@ -88,19 +88,22 @@ def _lineitem_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("DATETIME"),
         F.when(F.col("l_linenumber") != 1, F.col("l_quantity")).alias("LEVEL"),
         F.when(F.col("l_linenumber") != 2, F.col("l_extendedprice")).alias("DISCHARGE"),
-        F.col("l_returnflag").alias("LEVEL_SYM"), F.col("l_linestatus").alias("DISCHARGE_SYM"),
-        F.col("l_orderkey").alias("page"))
+        F.col("l_returnflag").alias("LEVEL_SYM"), F.col("l_linestatus").alias("DISCHARGE_SYM"))
 
 
 @query
 def geojson_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of features (one per order, a handful of lines each), written and read back."""
-    feature = F.struct(F.struct(
-        "STATION_NUMBER", "DATETIME", "LEVEL", "DISCHARGE", F.col("LEVEL_SYM").alias("LEVEL_SYMBOL_EN"),
-        F.col("DISCHARGE_SYM").alias("DISCHARGE_SYMBOL_EN")).alias("properties"))
-    pages = _lineitem_pull(spark, sf_dir).groupBy("page").agg(F.collect_list(feature).alias("features"))
+    """Pages of two features each, one with the stage and one with the discharge, written and
+    read back. What a feature lacks is absent from the JSON."""
+    def feature(level, discharge, level_sym, discharge_sym):
+        return F.struct(F.struct("STATION_NUMBER", "DATETIME", level.alias("LEVEL"), discharge.alias("DISCHARGE"),
+                                 level_sym.alias("LEVEL_SYMBOL_EN"), discharge_sym.alias("DISCHARGE_SYMBOL_EN"))
+                        .alias("properties"))
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
     path = workspace(spark, "pages")
-    pages.select("features").write.json(path)
+    _lineitem_pull(spark, sf_dir).select(F.array(
+        feature(F.col("LEVEL"), none, F.col("LEVEL_SYM"), text),
+        feature(none, F.col("DISCHARGE"), text, F.col("DISCHARGE_SYM"))).alias("features")).write.json(path)
     return files.wide_pull(files.geojson_pages(spark, path, multiline=False))
 
 
@@ -429,7 +432,7 @@ def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pull as landed, read back."""
     root = workspace(spark, "raw")
     on = datetime(2024, 1, 31).date()
-    pull = _lineitem_pull(spark, sf_dir).drop("page")
+    pull = _lineitem_pull(spark, sf_dir)
     if not sink.land_raw(pull, root, "wsc-daily", 1, on):
         raise OSError("raw landing failed")
     return (spark.read.schema(S.WIDE_PULL).option("header", True).option("nullValue", "NA")

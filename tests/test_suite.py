@@ -57,3 +57,14 @@ def test_reports_scan_only_what_they_need(spark):
 
 def test_flagship(spark):
     assert entry.entry(spark).count() == 9
+
+
+@pytest.mark.parametrize("name", ["series_gaps", "freshness_by_source", "freshness_buckets", "network_year", "recent_runs",
+                                  "recent_audits", "stream_outages", "stream_daily_counts", "migrate_roundtrip", "audit_gaps"])
+def test_results_do_not_depend_on_the_session_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Vancouver")
+    try:
+        got = entry.queries()[name](spark, SF).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert canonical(got) == canonical(con.execute(entry.oracle_sql()[name]).df())
