@@ -12,7 +12,7 @@ import logging
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -51,9 +51,15 @@ def _now() -> datetime:
 def _pull_wsc(archive: Archive, landing: str, as_of: datetime, days: int, source: str,
               run_id: int, raw_root: str | None, multiline: bool) -> int:
     ids = registry.active_wsc_ids(archive.read("station")).withColumnRenamed("wsc_id", "STATION_NUMBER")
-    pull = files.wide_pull(files.geojson_pages(archive.spark, landing, multiline))
+    unreadable = Observation()
+    pages = files.geojson_pages(archive.spark, landing, multiline).observe(
+        unreadable, F.count_if(F.col("features").isNull()).alias("n"))
+    pull = files.wide_pull(pages)
     pull = pull.filter(C.parse_wsc_time(F.col("DATETIME")) >= C.days_before(as_of, days))
     pull = archive.stage(pull.join(ids, "STATION_NUMBER", "left_semi"), "pull")
+    if unreadable.get["n"]:
+        # As with a failed fetch, the run goes on with what could be read.
+        log.warning("%s run %s: %s unreadable pages left out", source, run_id, unreadable.get["n"])
     if raw_root:
         sink.land_raw(pull, raw_root, source, run_id, as_of.date())
     long = normalize.reshape_long(pull).filter(F.col("datetime_utc").isNotNull())

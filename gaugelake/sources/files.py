@@ -76,7 +76,7 @@ def export_lines(spark: SparkSession, path: str, dataset_pattern: str = r"([^/]+
     complete, _ = stage(heads.filter(_column_count(F.col("header")) >= 4).select("path", "head"), "heads")
     return (lines.join(complete, "path")
             .filter((F.col("block_start") > 0) | ~F.array_contains("head", F.col("line")))
-            .select(F.url_decode(F.regexp_extract("path", dataset_pattern, 1)).alias("dataset"), "path", "line"))
+            .select(_unescaped(F.regexp_extract("path", dataset_pattern, 1)).alias("dataset"), "path", "line"))
 
 
 def export_rows(lines: DataFrame) -> DataFrame:
@@ -90,6 +90,11 @@ def export_rows(lines: DataFrame) -> DataFrame:
     return lines.select("dataset", F.inline(F.array(parsed)))
 
 
+def _unescaped(path_part: Column) -> Column:
+    """File paths come percent-encoded; a plus in them is a plus."""
+    return F.url_decode(F.replace(path_part, F.lit("+"), F.lit("%2B")))
+
+
 def _column_count(header: Column) -> Column:
     """Commas outside quotes, plus one."""
     return F.size(F.split(F.regexp_replace(header, r'"[^"]*"', "q"), ","))

@@ -15,6 +15,7 @@ from ..functions import columns as C
 from ..operators import merge
 from ..plans.archive import Archive
 from ..session import workspace
+from ..sinks import tables as sink
 
 EVENTS_AS_OF = "2024-01-31 00:00:00"
 BC_AS_OF = "2001-11-06 00:00:00"
@@ -178,19 +179,20 @@ def audit_discrepancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.conform(rows, S.AUDIT_DISCREPANCY)
 
 
-_archives: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_archives: dict[tuple[str, str], tuple[str, dict[str, DataFrame]]] = {}
 
 
 def archive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The archive built from ``sf_dir``: written once per application, then scanned by reports."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _archives:
-        _archives[key] = build(spark, sf_dir)
-    return _archives[key]
+    if key not in _archives or not sink.exists(spark, f"{_archives[key][0]}/observation"):
+        root = workspace(spark, "archive")
+        _archives[key] = (root, build(spark, sf_dir, root))
+    return _archives[key][1]
 
 
-def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    store = Archive(spark, workspace(spark, "archive"))
+def build(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, DataFrame]:
+    store = Archive(spark, root or workspace(spark, "archive"))
     rows = staged(spark, sf_dir)
     columns = [f.name for f in S.OBSERVATION.fields]
     unique = merge.last_of_batch(as_observations(rows, "ord_line", "ord_part", "ord_price"),

@@ -350,7 +350,7 @@ def replace_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def slice_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with a grade of 151 replaced by nothing: rows without a grade stay."""
     obs = D.archive(spark, sf_dir)["observation"].drop("ym")
-    return _flat(merge.replace_slice(obs, F.col("grade_code") == "151", obs.limit(0)))
+    return _flat(merge.replace_slice(obs, F.col("grade_code") == "151", obs.filter(F.lit(False))))
 
 
 # --- audit ------------------------------------------------------------------
@@ -471,7 +471,7 @@ def backfill_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = _order_history(spark, sf_dir)
     # Repeated days of a station would break the key; the last status and value stand for the day.
     history = merge.last_of_batch(history, ["STATION_NUMBER", "Date"], ["Symbol"], history.columns)
-    jobs.backfill(store, history, history.limit(0), datetime(2024, 1, 31), _customer_meta(spark, sf_dir))
+    jobs.backfill(store, history, history.filter(F.lit(False)), datetime(2024, 1, 31), _customer_meta(spark, sf_dir))
     return reports.coverage(store.tables())
 
 

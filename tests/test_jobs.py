@@ -59,6 +59,16 @@ def test_empty_pull(archive, tmp_path):
     assert rows(archive.read("pull_run"), "status", "rows_in") == [("ok", 0)]
 
 
+def test_unreadable_pages_do_not_stop_a_run(archive, tmp_path, caplog):
+    landing = tmp_path / "landing"
+    pages(landing, ("1", "2024-01-31T00:00:00Z", 1.0, None, None))
+    (landing / "torn.json").write_text('{"features": [{"prop')
+    jobs.daily(archive, str(landing), AS_OF)
+    assert archive.read("observation").count() == 1
+    assert rows(archive.read("pull_run"), "status", "rows_in") == [("ok", 1)]
+    assert "1 unreadable pages" in caplog.text
+
+
 def test_failed_run_is_recorded(archive):
     with pytest.raises(Exception):
         jobs.daily(archive, "/nonexistent/landing", AS_OF)
@@ -90,6 +100,7 @@ def exports(tmp_path):
     (landing / "SGWL.Working@OW1.csv").write_text(
         f"{head}\n2024-01-30 00:00:00,1,31,1200,\n2024-01-30 00:00:00,2,,800,E\n2023-01-30 00:00:00,3,31,1200,\n")
     (landing / "SGWL.Working@OW2.csv").write_text(head + "\n")
+    (landing / "A B+C.Working@XX.csv").write_text(f"{head}\n2024-01-30 00:00:00,1,31,1200,\n")
     (landing / "Other.Working@XX.csv").write_text(f"{head}\n2024-01-30 00:00:00,1,31,1200,\n")
     return str(landing), str(reg)
 

@@ -44,10 +44,12 @@ def test_exports(spark, tmp_path):
         "2024-01-01 00:10:00,bad,31,1200,", "2024-01-01 00:15:00,,31,1200,", "2024-01-01 00:20:00,NaN,31,1200,",
         "2024-01-01 00:25:00,3,NA,,E"])
     export(tmp_path, "Empty.Working@2.csv", full, [])
+    export(tmp_path, "A B+C.Working@5.csv", full, ["2024-01-01 00:00:00,7,31,800,"])
     export(tmp_path, "Narrow.Working@3.csv", "Timestamp,Value,Grade", ["2024-01-01 00:00:00,1.5,31"])
     export(tmp_path, "NoFlag.Working@4.csv", "Timestamp,Value,\"Grade, code\",Approval", ["2024-01-01 00:00:00,1.5,31,7"])
     out = normalize.export_normalise(files.export_rows(files.export_lines(spark, str(tmp_path))))
     assert rows(out) == [
+        ("A B+C.Working@5", datetime(2024, 1, 1), 7.0, "31", "working", None),
         ("Discharge.Working@1", datetime(2024, 1, 1, 0, 0), 1.5, "31", "approved", "ICE, heavy"),
         ("Discharge.Working@1", datetime(2024, 1, 1, 0, 25), 3.0, None, "unspecified", "E"),
         ("Discharge.Working@1", datetime(2024, 1, 1, 0, 5), 2.0, None, "reviewed", None),
