@@ -199,9 +199,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without the documents that have a class mate with a smaller id, and without repeated rows of one text
     and id. Documents without words all stay."""
-    held = classes(docs, similarity).where("k = lead.k AND t = lead.t").select("k", "t").distinct()
-    base = docs.withColumns({"_" + name: column for name, column in key_columns().items()})
+    own = {"k": "gaugelake key", "t": "gaugelake text key"}
+    held = (classes(docs, similarity).where("k = lead.k AND t = lead.t")
+            .select(*(F.col(c).alias(name) for c, name in own.items())).distinct())
+    base = docs.withColumns({own[c]: column for c, column in key_columns().items()})
     words = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    kept = (base.where(words).join(held, (F.col("_k") == F.col("k")) & (F.col("_t") == F.col("t"))).drop("k", "t")
-            .dropDuplicates(["_k", "_t"]))
-    return kept.unionByName(base.where(~words)).drop("_k", "_t")
+    kept = base.where(words).join(held, list(own.values())).dropDuplicates(list(own.values())).select(docs.columns)
+    return kept.unionByName(base.where(~words).select(docs.columns))

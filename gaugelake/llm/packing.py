@@ -106,70 +106,54 @@ def local_search(bins: Bins, donors: int = 64) -> None:
     """Empty the least filled bins by moves and exchanges that raise the sum of squared fills.
 
     For a donor bin, in this order: move a member into a bin with room; exchange one member against a
-    smaller one of a fuller bin; exchange two members against one larger member smaller than their sum.
-    Receivers are at least as full as the donor, so each step raises the sum of squares, and the search
-    ends. It stops early at the lower bound ceil(tokens / capacity). ``donors`` bounds the effort, not
-    the pieces: all stay packed.
+    smaller one of another bin; exchange two members against one smaller than their sum. Receivers are at
+    least as full as the donor, so each step raises the sum of squares, and the search ends: after a pass
+    over the ``donors`` least filled bins without a step, or at the lower bound ceil(tokens / capacity).
+    ``donors`` bounds the effort, not the pieces: all stay packed.
     """
-    capacity, lengths = bins.capacity, bins.lengths
-    least = -(-int(lengths.sum()) // capacity)
-    fill = np.array(bins.fill, np.int64)
-    used = int((fill > 0).sum())
-    tried = 0
-    for donor in np.argsort(fill, kind="stable").tolist():
-        if used <= least or tried >= donors:
-            break
-        tried += 1
-        improved = True
-        while improved and bins.members[donor]:
-            improved = False
-            fill = np.array(bins.fill, np.int64)
-            room = capacity - fill
-            able = (room > 0) & (fill >= fill[donor])
-            able[donor] = False
-            if not able.any():
-                break
-            items = np.flatnonzero(able[bins.place])
-            size, slack = lengths[items], room[bins.place[items]]
-            own = sorted(bins.members[donor], key=lambda i: -int(lengths[i]))
-            for item in own:  # one piece over
-                fits = np.flatnonzero(able & (room >= lengths[item]))
-                if len(fits):
-                    bins.move(item, int(fits[np.argmin(room[fits])]))
-                    improved = True
-                    break
-            if improved:
-                continue
-            for item in own:  # one against one
-                x = int(lengths[item])
-                gain = np.where((size < x) & (x - size <= slack), x - size, 0)
-                best = int(np.argmax(gain)) if len(gain) else 0
-                if len(gain) and gain[best] > 0:
-                    other = int(items[best])
-                    at = int(bins.place[other])
-                    bins.move(other, donor)
-                    bins.move(item, at)
-                    improved = True
-                    break
-            if improved:
-                continue
-            for i, first in enumerate(own[:32]):  # two against one
-                for second in own[i + 1:33]:
-                    x = int(lengths[first] + lengths[second])
-                    gain = np.where((size < x) & (x - size <= slack), x - size, 0)
-                    best = int(np.argmax(gain)) if len(gain) else 0
-                    if len(gain) and gain[best] > 0:
-                        other = int(items[best])
-                        at = int(bins.place[other])
-                        bins.move(other, donor)
-                        bins.move(first, at)
-                        bins.move(second, at)
-                        improved = True
-                        break
-                if improved:
-                    break
-        if not bins.members[donor]:
-            used -= 1
+    least = -(-int(bins.lengths.sum()) // bins.capacity)
+    stepped = True
+    while stepped and sum(f > 0 for f in bins.fill) > least:
+        stepped = False
+        fill = np.array(bins.fill)
+        open_bins = np.flatnonzero((fill > 0) & (fill < bins.capacity))
+        for donor in open_bins[np.argsort(fill[open_bins], kind="stable")][:donors].tolist():
+            while bins.members[donor] and step(bins, donor):
+                stepped = True
+
+
+def step(bins: Bins, donor: int) -> bool:
+    """One move or exchange out of a bin; False if none raises the sum of squares."""
+    lengths, fill = bins.lengths, np.array(bins.fill, np.int64)
+    room = bins.capacity - fill
+    able = (room > 0) & (fill >= fill[donor])
+    able[donor] = False
+    if not able.any():
+        return False
+    own = sorted(bins.members[donor], key=lambda i: -int(lengths[i]))
+    for item in own:
+        fits = np.flatnonzero(able & (room >= lengths[item]))
+        if len(fits):
+            bins.move(item, int(fits[np.argmin(room[fits])]))
+            return True
+    items = np.flatnonzero(able[bins.place])
+    size, slack = lengths[items], room[bins.place[items]]
+
+    def exchange(given: list[int]) -> bool:
+        total = int(lengths[given].sum())
+        gain = np.where((size < total) & (total - size <= slack), total - size, 0)
+        best = int(np.argmax(gain))
+        if gain[best] <= 0:
+            return False
+        other = int(items[best])
+        at = int(bins.place[other])
+        bins.move(other, donor)
+        for item in given:
+            bins.move(item, at)
+        return True
+
+    return any(exchange([item]) for item in own) or any(
+        exchange([first, second]) for i, first in enumerate(own[:32]) for second in own[i + 1:33])
 
 
 def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:

@@ -15,6 +15,8 @@ import public_tokenizers
 
 SUFFIX = ".,;:!?*$%&#|()\"-+=<>@"
 LONG = 64  # longer parts are not remembered
+LAST_SIMPLE = "\u1c7f"  # up to here, Unicode versions agree on what a letter is
+BLANKS = re.compile("[ \t\n\r\x0b\x0c]+")
 
 
 def path(name: str) -> str:
@@ -26,7 +28,8 @@ class WordIds:
 
     White space ends a word. Within a word, letters and punctuation are separate units, so a word
     made of letters and closing marks is the ids of its letters and those of its marks. Letter units
-    not met before are segmented together; each ends in a token that carries the word end.
+    not met before are segmented together and told apart by their tokens' offsets. Any other word is
+    segmented as it stands.
     """
 
     WORDS = 500_000
@@ -36,9 +39,6 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        for token, number in self.tokenizer.get_vocab().items():
-            self.ends[number] = token.endswith("</w>")
         self.words: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -46,24 +46,33 @@ class WordIds:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    @staticmethod
+    def simple(core: str) -> bool:
+        return core.isalpha() and len(core) <= LONG and max(core) <= LAST_SIMPLE
+
+    @staticmethod
+    def split(text: str) -> list[str]:
+        """Words between white space; the four separators that only Python counts as such stay in words."""
+        if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+            return [w for w in BLANKS.split(text) if w]
+        return text.split()
+
     def learn(self, words: list[str]) -> None:
         if len(self.words) + len(words) > self.WORDS:
             self.words.clear()
         cores = [w.rstrip(SUFFIX) for w in words]
         lower = [c.lower() if c.isascii() else c for c in cores]
-        fresh = {c for c in set(lower).difference(self.units) if c.isalpha() and len(c) <= LONG}
+        fresh = list(filter(self.simple, set(lower).difference(self.units)))
         if fresh:
             if len(self.units) + len(fresh) > self.UNITS:
                 self.units.clear()
-                fresh = {c for c in set(lower) if c.isalpha() and len(c) <= LONG}
-            fresh = list(fresh)
-            ids = np.array(self.tokenizer.encode("\n".join(fresh), add_special_tokens=False).ids, "<u4")
-            cut = np.flatnonzero(self.ends[ids]) + 1
-            if len(cut) == len(fresh):
-                data, at = ids.tobytes(), [0, *(cut * 4).tolist()]
-                self.units.update(zip(fresh, [data[i:j] for i, j in zip(at, at[1:])]))
-            else:  # a unit that normalises to several, or to none
-                self.units.update((c, self.whole(c)) for c in fresh)
+                fresh = list(filter(self.simple, set(lower)))
+            found = self.tokenizer.encode("\n".join(fresh), add_special_tokens=False)
+            starts = np.cumsum([0, *(len(c) + 1 for c in fresh)])
+            owner = np.searchsorted(starts, np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids)), "right")
+            data = np.array(found.ids, "<u4").tobytes()
+            at = (4 * np.cumsum([0, *np.bincount(owner, minlength=len(fresh) + 1)[1:len(fresh) + 1]])).tolist()
+            self.units.update(zip(fresh, [data[i:j] for i, j in zip(at, at[1:])]))
         units, tails, known = self.units, self.tails, self.words
         for word, core, low in zip(words, cores, lower):
             ids = units.get(low)
@@ -80,7 +89,7 @@ class WordIds:
                 known[word] = ids + tails[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split() for t in texts]
+        split = [self.split(t) for t in texts]
         fresh = set().union(*split).difference(self.words)
         if fresh:
             before = len(self.words)

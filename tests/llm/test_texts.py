@@ -1,0 +1,119 @@
+import random
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from gaugelake.llm import language_id, pii, quality, vocab
+from gaugelake.llm.queries import PIECE_VOCABULARY
+from helpers import awkward, corpus, frame, prose
+
+# The base patterns as the contract states them.
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def plain(text):
+    out = []
+    for kind, pattern in PLAIN.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {"email": True, "ip": all(int(p) <= 255 for p in m[0].split(".")) if kind == "ip" else False,
+                    "card": 16 <= len(digits) <= 19 and pii.luhn(digits) if kind == "card" else False,
+                    "phone": 8 <= len(digits) <= 15}[kind]
+            if good:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def base_spans(text):
+    return [s[:3] for s in pii.spans(text) if s[0] in pii.BASE]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab1205.@+-() %é", max_size=60))
+def test_base_spans_of_any_text(text):
+    assert base_spans(text) == plain(text)
+
+
+def test_spans():
+    text = "mail a.b@c.de, card 4111 1111 1111 1111, +49 (30) 1234567, 10.0.0.255 and 1.2.3.256; iban DE89 3704 0044 0532 0130 00, SSN 123-45-6789"
+    assert base_spans(text) == plain(text) and len(base_spans(text)) == 4
+    assert [s[0] for s in pii.spans(text)] == ["email", "ip", "card", "phone", "iban", "ssn"]
+    assert pii.spans("DE89 3704 0044 0532 0130 01") == []  # check sum
+    assert pii.spans("part 123-45-6789") == []  # no context
+    assert pii.spans(None) == []
+    assert "4111" not in pii.redacted(text) and "<CARD>" in pii.redacted(text)
+    assert pii.redacted("plain") == "plain" and pii.redacted(None) is None
+
+
+def test_long_runs_take_linear_time():
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1" + " " * 200_000):
+        pii.spans(text)
+
+
+def test_find_and_redact(spark):
+    texts = awkward() + ["write to x@y.org"]
+    docs = frame(spark, texts)
+    got = {r.doc_id: [tuple(s)[:3] for s in r.spans] for r in pii.find(docs).collect()}
+    assert got == {i: [s[:3] for s in pii.spans(t)] for i, t in enumerate(texts)}
+    out = pii.redact(docs)
+    assert out.columns == docs.columns and {r.doc_id: r.text for r in out.collect()}[len(texts) - 1] == "write to <EMAIL>"
+
+
+def base_by_hand(text):
+    words = (text or "").encode().split()
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    twice = {w for w in windows if windows.count(w) > 1}
+    covered = {j for i, w in enumerate(windows) if w in twice for j in range(i, i + 8)}
+    lines = (text or "").split("\n")
+    dup = sum(bool(line.encode().split()) and line in lines[:i] for i, line in enumerate(lines))
+    return (len(words), sum(len(w.decode()) for w in words), sum(c in "#*$%&|<>" for c in text or ""), dup, len(covered))
+
+
+def test_quality_counts(spark):
+    rng = random.Random(2)
+    line = prose(rng, 12)
+    texts = corpus() + [f"{line}\n{line}\n \n \n{line}", "a # b | c <d>", "  \x1c x y"]
+    rows = quality.rules(frame(spark, texts), vocab.path(PIECE_VOCABULARY)).collect()
+    for r in rows:
+        want = base_by_hand(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0])
+        assert not (r.base_failed and r.kept)
+
+
+def test_quality_verdict(spark):
+    rng = random.Random(3)
+    good = ("The river rose in the night and the mill stood silent until the water fell again, when men came down from the hills "
+            "to see what was left of the bridge they had built.")
+    texts = [good, " ".join(w + "***###" for w in good.split()), " ".join("".join(rng.choice("ᚠᚡᚢ") for _ in range(6)) for _ in range(30)),
+             "zzzz " * 30, None]
+    kept = {r.doc_id: r.kept for r in quality.rules(frame(spark, texts), vocab.path(PIECE_VOCABULARY)).collect()}
+    assert kept[0] and not kept[1] and not kept[3] and not kept[4]
+
+
+@pytest.mark.parametrize("text,script", [("abc", "latin"), ("абв a", "cyrillic"), ("日本", "cjk"), ("12", "none"), ("", "none"), ("ñandú", "latin")])
+def test_script(text, script):
+    assert quality.script_of(text) == script
+
+
+def test_language_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL")
+    right, total = got.agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).first()
+    assert total > 100 and right / total > 0.97
+
+
+def test_language_edges(spark):
+    texts = awkward() + ["le la les des une est dans " * 4, "the of and that with this " * 4]
+    docs = frame(spark, texts).withColumn("lang", F.when(F.col("doc_id") == len(texts) - 2, "fr").when(F.col("doc_id") == len(texts) - 1, "en"))
+    got = {r.doc_id: r for r in language_id.predict(docs, language_id.prototypes(docs)).collect()}
+    assert all(0 <= r.score <= 1 for r in got.values())
+    assert {i for i, r in got.items() if r.lang_pred == "und"} == {0, 1, 2, 3}
+    assert got[len(texts) - 1].lang_pred == "en" and got[len(texts) - 2].lang_pred == "fr"
+    none = language_id.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r.lang_pred for r in none} == {"und"} and len(none) == len(texts)
+    assert language_id.identify(docs.limit(0)).count() == 0
