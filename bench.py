@@ -12,7 +12,8 @@ import os
 import statistics
 import time
 
-from gaugelake.session import build_session
+from gaugelake.session import build_session, scratch_root
+from gaugelake.sinks import tables as sink
 from gaugelake.suite import driver_tables as D
 from gaugelake.suite.queries import QUERIES
 
@@ -55,6 +56,7 @@ def main() -> None:
         "observations": rows, "cpus": int(cpus), "driver_memory": "16g", "shuffle_partitions": int(cpus),
         "rows_per_sec": {name: round(rows / warm[name]) for name in PUBLISHED},
     }))
+    sink.delete(spark, scratch_root(spark))
     spark.stop()
 
 

@@ -22,6 +22,7 @@ def gap_scan(obs: DataFrame, series: DataFrame, as_of, window_days: int = 30,
     start, end = F.to_date(C.days_before(as_of, window_days)), F.to_date(C.instant(as_of))
     calendar = F.sequence(start, end)
     recent = since(obs.filter(F.col("source") == source), "datetime_utc", as_of, window_days, strict=True)
+    recent = recent.filter(F.col("datetime_utc") < end.cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY"))
     present = recent.groupBy("series_uid").agg(F.collect_set(F.to_date("datetime_utc")).alias("present"))
     scanned = series.filter(F.col("interval") == "instant").select("series_uid")
     if scope == "source":

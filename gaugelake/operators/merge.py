@@ -1,13 +1,13 @@
 """Keyed merges: upsert, insert-ignore, slice replacement, keyed update.
 
-Each merge is one grouping of old and incoming rows on the full key. Aggregates that combine
-before the shuffle pick the winner, so many copies of one key collapse where they are read
-instead of meeting in one task.
+Only the batch is reduced to one row per key. The target is joined to it in place: while the batch
+is small the planner broadcasts it and the target is neither shuffled nor sorted; beyond that the
+join is a sort-merge with skew splitting.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -28,29 +28,20 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], update: list
     an extra boolean column marking inserted and updated rows.
     """
     rest = [c for c in target.columns if c not in keys]
-    old = target.select(*keys, F.struct(*rest).alias("_old"))
-    new = incoming.select(*keys, _ordered(rest, order_by).alias("_new"))
-    merged = old.unionByName(new, allowMissingColumns=True).groupBy(*keys).agg(
-        F.max("_old").alias("_old"), F.max("_new").alias("_new"), F.count("_new").alias("_incoming"))
-    if on_dup == "error":
-        merged = merged.filter(
-            F.when(F.col("_incoming") > 1, F.raise_error(F.lit("one key occurs twice in the batch"))
-                   .cast("boolean")).otherwise(True))
-    has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    batch = _one_per_key(incoming, keys, order_by, rest, last=True, unique=on_dup == "error")
+    new = batch.select(*keys, F.struct(*rest).alias("_new"))
+    hit = F.col("_new").isNotNull()
+    columns = [F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
+               for c in target.columns]
+    kept = target.join(new, keys, "left").select(*columns, *([hit.alias(touched)] if touched else []))
+    added = _absent(batch, target, keys).select(target.columns)
+    return kept.unionByName(added.withColumn(touched, F.lit(True)) if touched else added)
 
-    def pick(c: str) -> Column:
-        take_new = has_new if c in update else ~has_old
-        return F.when(take_new, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c)
 
-    columns = [F.col(c) if c in keys else pick(c) for c in target.columns]
-    if touched:
-        columns.append(has_new.alias(touched))
-    return merged.select(columns)
-
-
-def _ordered(columns: list[str], order_by: list[str] | None) -> Column:
-    """A struct that compares by ``order_by`` first and holds ``columns``."""
-    return F.struct(*[F.col(c).alias(f"_order_{c}") for c in order_by or []], *columns)
+def _absent(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the batch whose key the target lacks; only the batch side and the keys it hits move."""
+    present = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
+    return batch.join(present, keys, "left_anti")
 
 
 def upsert_wsc(target: DataFrame, incoming: DataFrame, **kw) -> DataFrame:
@@ -67,13 +58,19 @@ def upsert_station(target: DataFrame, incoming: DataFrame, wells: bool = False,
 
 def last_of_batch(incoming: DataFrame, keys: list[str], order_by: list[str], columns: list[str]) -> DataFrame:
     """One row per key: the last by ``order_by``, then by the remaining columns."""
-    return _one_per_key(incoming, keys, order_by, columns, F.max)
+    return _one_per_key(incoming, keys, order_by, [c for c in columns if c not in keys], last=True).select(columns)
 
 
-def _one_per_key(df, keys, order_by, columns, pick) -> DataFrame:
-    rest = [c for c in columns if c not in keys]
-    picked = df.groupBy(*keys).agg(pick(_ordered(rest, order_by)).alias("_row"))
-    return picked.select([F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in columns])
+def _one_per_key(df: DataFrame, keys: list[str], order_by: list[str] | None, rest: list[str], last: bool,
+                 unique: bool = False) -> DataFrame:
+    """The first or last row per key in a total order; the ranking keeps one row a key before the shuffle too."""
+    order = [F.col(c).desc_nulls_last() if last else F.col(c).asc_nulls_first() for c in [*(order_by or []), *rest]]
+    window = Window.partitionBy(*keys)
+    if unique:
+        df = df.withColumn("_n", F.count(F.lit(1)).over(window)).filter(
+            F.when(F.col("_n") > 1, F.raise_error(F.lit("one key occurs twice in the batch")).cast("boolean")).otherwise(True))
+    return (df.withColumn("_row", F.row_number().over(window.orderBy(*order))).filter("_row = 1")
+            .select(*keys, *rest))
 
 
 def batch_duplicates(incoming: DataFrame, keys: list[str]) -> DataFrame:
@@ -83,8 +80,8 @@ def batch_duplicates(incoming: DataFrame, keys: list[str]) -> DataFrame:
 def insert_ignore(target: DataFrame, incoming: DataFrame, keys: list[str],
                   order_by: list[str] | None = None) -> DataFrame:
     """Adds only keys not yet present; of several incoming rows of a key the first one."""
-    first = _one_per_key(incoming, keys, order_by, target.columns, F.min)
-    return target.unionByName(first.join(target.select(*keys), keys, "left_anti").select(target.columns))
+    first = _one_per_key(incoming, keys, order_by, [c for c in target.columns if c not in keys], last=False)
+    return target.unionByName(_absent(first, target, keys).select(target.columns))
 
 
 def merge_counts(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:

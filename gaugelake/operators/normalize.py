@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as C
+from ..sources.files import PULL_ORDER
+
+
+def _order_of(rows: DataFrame) -> list[Column]:
+    """The pull order, where the rows carry it."""
+    return [F.col(c) for c in PULL_ORDER if c in rows.columns]
 
 
 def reshape_long(pull: DataFrame) -> DataFrame:
@@ -16,14 +22,15 @@ def reshape_long(pull: DataFrame) -> DataFrame:
     """
     station, parameter = F.col("STATION_NUMBER"), F.col("parameter")
     timed = pull.withColumn("datetime_utc", C.parse_wsc_time(F.col("DATETIME")))
+    order = _order_of(pull)
     long = timed.selectExpr(
-        "STATION_NUMBER", "datetime_utc",
+        *(c for c in PULL_ORDER if order), "STATION_NUMBER", "datetime_utc",
         "stack(2, 'H', 'm', LEVEL, LEVEL_SYM, 'Q', 'm3/s', DISCHARGE, DISCHARGE_SYM)"
         " AS (parameter, units, value, qflag)")
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value")).select(
         C.wsc_series_uid(station, parameter, "instant").alias("series_uid"),
         C.wsc_station_uid(station).alias("station_uid"), "parameter", "units",
-        "datetime_utc", "value", "qflag")
+        "datetime_utc", "value", "qflag", *order)
 
 
 def daily_normalise(history: DataFrame, parameter: str, units: str) -> DataFrame:
@@ -37,17 +44,22 @@ def daily_normalise(history: DataFrame, parameter: str, units: str) -> DataFrame
         F.col("Value").alias("value"), F.col("Symbol").alias("qflag"))
 
 
-def export_normalise(rows: DataFrame) -> DataFrame:
-    """Positional export fields to typed readings; unparsable time or value drops the row."""
+def export_normalise(rows: DataFrame, dropped: Observation | None = None) -> DataFrame:
+    """Positional export fields to typed readings; unparsable time or value drops the row.
+
+    ``dropped`` observes how many rows have no readable time; rows without a value are no loss.
+    """
     keep = [c for c in rows.columns if c not in S.EXPORT_ROW.names]
-    return rows.select(
+    typed = rows.select(
         *keep,
         C.parse_export_time(F.col("ts")).alias("datetime_utc"),
         C.parse_number(F.col("value")).alias("value"),
         C.null_if_empty(F.trim("grade")).alias("grade_code"),
         C.approval_from_code(F.trim("approval")).alias("approval_level"),
-        F.col("qualifier").alias("qflag"),
-    ).filter(F.col("datetime_utc").isNotNull() & F.col("value").isNotNull())
+        F.col("qualifier").alias("qflag"))
+    if dropped:
+        typed = typed.observe(dropped, F.count_if(F.col("datetime_utc").isNull()).alias("n"))
+    return typed.filter(F.col("datetime_utc").isNotNull() & F.col("value").isNotNull())
 
 
 def series_discovery(long: DataFrame, interval: str) -> DataFrame:
@@ -59,23 +71,29 @@ def series_discovery(long: DataFrame, interval: str) -> DataFrame:
 
 
 def wsc_observations(long: DataFrame, run_id, ingest_ts, approval: str = "working") -> DataFrame:
-    return S.conform(long.select(
-        "series_uid", "datetime_utc", "value", F.lit(approval).alias("approval_level"),
+    return _conform(long, long.select(
+        *_order_of(long), "series_uid", "datetime_utc", "value", F.lit(approval).alias("approval_level"),
         C.qualifier_array(F.col("qflag")).alias("qualifier_flags"),
         F.lit(False).alias("estimate_flag"), F.lit(False).alias("ice_flag"),
         F.lit("wsc").alias("source"), F.lit(run_id).alias("pull_run_id"),
-        C.instant(ingest_ts).alias("ingest_ts")), S.OBSERVATION)
+        C.instant(ingest_ts).alias("ingest_ts")))
+
+
+def _conform(source: DataFrame, rows: DataFrame) -> DataFrame:
+    """Observation columns, then the pull order where there is one."""
+    order = [S.T.StructField(c, source.schema[c].dataType) for c in PULL_ORDER if c in source.columns]
+    return S.conform(rows, S.T.StructType([*S.OBSERVATION.fields, *order]))
 
 
 def bc_observations(readings: DataFrame, run_id, ingest_ts) -> DataFrame:
     """Readings with moe_id and canon (joined from the registry) to observations."""
-    return S.conform(readings.select(
-        C.bc_series_uid(F.col("moe_id"), F.col("canon")).alias("series_uid"),
+    return _conform(readings, readings.select(
+        *_order_of(readings), C.bc_series_uid(F.col("moe_id"), F.col("canon")).alias("series_uid"),
         "datetime_utc", "value", "grade_code", "approval_level",
         C.qualifier_array(F.col("qflag")).alias("qualifier_flags"),
         F.lit(False).alias("estimate_flag"), F.lit(False).alias("ice_flag"),
         F.lit("bc").alias("source"), F.lit(run_id).alias("pull_run_id"),
-        C.instant(ingest_ts).alias("ingest_ts")), S.OBSERVATION)
+        C.instant(ingest_ts).alias("ingest_ts")))
 
 
 def staged_to_observation(staged: DataFrame, ingest_ts) -> DataFrame:
@@ -116,5 +134,5 @@ def dry_run_report(registry: DataFrame, readings: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"), F.min("datetime_utc").alias("first_ts"),
         F.max("datetime_utc").alias("last_ts"))
     return (registry.join(per_dataset, registry.moe_id == per_dataset.dataset, "left")
-            .select("moe_id", F.substring("name", 1, 42).alias("name"),
+            .select("moe_id", "name",
                     F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "first_ts", "last_ts"))

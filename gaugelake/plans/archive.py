@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from contextlib import contextmanager
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,13 +18,15 @@ SCHEMAS = {
     "station": S.STATION, "series": S.SERIES, "observation": S.OBSERVATION, "pull_run": S.PULL_RUN,
     "audit_log": S.AUDIT_LOG, "audit_discrepancy": S.AUDIT_DISCREPANCY,
 }
+VERSIONED = ("station", "series", "observation")
 
 
 class Archive:
     """Station, series, observation and ledger tables under one root.
 
     Observations lie in one folder per month, sorted by series and time inside, so an upsert
-    rewrites only the months its batch touches and time filters skip whole folders.
+    rewrites only the months its batch touches and time filters skip whole folders. Opening an
+    archive changes nothing; jobs that write hold its lock.
     """
 
     PARTITION = ["ym"]
@@ -30,26 +35,53 @@ class Archive:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._scratch: list[str] = []
-        for name in ("station", "series", "observation"):
-            sink.recover(spark, self.path(name), name == "observation")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    @contextmanager
+    def lock(self, owner: str):
+        """Hold the archive for one writing job; a second one is refused. Leftovers of crashed runs are cleared here,
+        where no other job can be writing. A lock whose owner has died is removed by hand (:meth:`unlock`)."""
+        path = self.path("_lock")
+        if not sink.create(self.spark, path, f"{owner} since {datetime.now(timezone.utc):%Y-%m-%d %H:%M:%S} UTC"):
+            raise RuntimeError(f"{self.root} is in use: {sink.content(self.spark, path)}")
+        try:
+            sink.delete(self.spark, self.path("_stage"))
+            for name in VERSIONED:
+                sink.sweep(self.spark, self.path(name))
+            yield
+        finally:
+            self.clear_scratch()
+            self.unlock()
+
+    def unlock(self) -> None:
+        sink.delete(self.spark, self.path("_lock"))
+
     def read(self, name: str) -> DataFrame:
         schema = SCHEMAS[name]
         if name == "observation":
             schema = T.StructType([*schema.fields, T.StructField("ym", T.IntegerType())])
-        if not sink.exists(self.spark, self.path(name)):
+        if name in VERSIONED:
+            found = sink.read(self.spark, self.path(name), schema)
+        else:
+            found = self.spark.read.schema(schema).parquet(self.path(name)) if sink.exists(self.spark, self.path(name)) else None
+        if found is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(name))
+        return self._closed(found) if name == "pull_run" else found
+
+    @staticmethod
+    def _closed(ledger: DataFrame) -> DataFrame:
+        """One row per run: the row written at its end, or the one from its start while it runs."""
+        newest = Window.partitionBy("run_id").orderBy(F.col("finished_ts").desc_nulls_last())
+        return ledger.withColumn("_row", F.row_number().over(newest)).filter("_row = 1").drop("_row")
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in SCHEMAS}
 
     def stage(self, df: DataFrame, purpose: str) -> DataFrame:
         """Rows written aside once, to be read several times in one run."""
-        staged, path = sink.stage(df, purpose)
+        staged, path = sink.stage(df, self.root, purpose)
         self._scratch.append(path)
         return staged
 
@@ -78,9 +110,9 @@ class Archive:
         found = rows.select(C.year_month(F.col("datetime_utc")).alias("ym")).distinct().collect()
         return sorted(r.ym for r in found)
 
-    def write_months(self, rows: DataFrame, touched: str | None = None) -> int | None:
+    def write_months(self, rows: DataFrame, touched: str | None = None, emptied: list[int] = ()) -> int | None:
         return sink.commit(rows.withColumn("ym", C.year_month(F.col("datetime_utc"))),
-                           self.path("observation"), self.PARTITION, self.SORT, touched)
+                           self.path("observation"), self.PARTITION, self.SORT, touched, [f"ym={m}" for m in emptied])
 
     def upsert_observations(self, incoming: DataFrame, update: list[str],
                             order_by: list[str] | None = None, on_dup: str = "last") -> int:
@@ -109,13 +141,7 @@ class Archive:
         if not months:
             return
         rows = merge.replace_slice(current.filter(F.col("ym").isin(months)).drop("ym"), predicate, new)
-        rows = self.stage(rows, "slice")
-        left = set(self.months_of(rows))
-        if left:
-            self.write_months(rows)
-        for month in months:
-            if month not in left:
-                sink.delete(self.spark, f"{self.path('observation')}/ym={month}")
+        self.write_months(rows, emptied=months)
 
     # --- ledgers --------------------------------------------------------
 

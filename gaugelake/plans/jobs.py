@@ -30,17 +30,19 @@ DATE_RANGES = {"Days7": 7, "Days30": 30, "EntirePeriodOfRecord": None}
 
 
 def with_ledger(archive: Archive, source: str, as_of: datetime, body: Callable[[int], int]) -> int:
-    """Run ``body(run_id)`` and record the run once it is over, failed or not."""
-    run_id = audit.next_id(archive.read("pull_run"), "run_id")
-    row = {"run_id": run_id, "source": source, "started_ts": as_of}
-    try:
-        row |= {"rows_in": body(run_id), "status": "ok"}
-    except Exception as error:
-        row |= {"status": "error", "error": str(error)[:2000]}
-        raise
-    finally:
-        archive.append_row("pull_run", row | {"finished_ts": _now()})
-        archive.clear_scratch()
+    """Run ``body(run_id)`` under the archive's lock. The run is in the ledger as ``running`` from its start, which
+    reserves its id, and closed as ``ok`` or ``error``; a run whose driver died stays ``running``."""
+    with archive.lock(source):
+        run_id = audit.next_id(archive.read("pull_run"), "run_id")
+        row = {"run_id": run_id, "source": source, "started_ts": as_of}
+        archive.append_row("pull_run", row | {"status": "running"})
+        try:
+            row |= {"rows_in": body(run_id), "status": "ok"}
+        except Exception as error:
+            row |= {"status": "error", "error": str(error)}
+            raise
+        finally:
+            archive.append_row("pull_run", row | {"finished_ts": _now()})
     return run_id
 
 
@@ -51,20 +53,26 @@ def _now() -> datetime:
 def _pull_wsc(archive: Archive, landing: str, as_of: datetime, days: int, source: str,
               run_id: int, raw_root: str | None, multiline: bool) -> int:
     ids = registry.active_wsc_ids(archive.read("station")).withColumnRenamed("wsc_id", "STATION_NUMBER")
-    unreadable = Observation()
+    unreadable, untimed = Observation(), Observation()
     pages = files.geojson_pages(archive.spark, landing, multiline).observe(
         unreadable, F.count_if(F.col("features").isNull()).alias("n"))
-    pull = files.wide_pull(pages)
-    pull = pull.filter(C.parse_wsc_time(F.col("DATETIME")) >= C.days_before(as_of, days))
+    time = C.parse_wsc_time(F.col("DATETIME"))
+    pull = files.wide_pull(pages).observe(untimed, F.count_if(time.isNull()).alias("n"))
+    pull = pull.filter(time >= C.days_before(as_of, days))
     pull = archive.stage(pull.join(ids, "STATION_NUMBER", "left_semi"), "pull")
-    if unreadable.get["n"]:
-        # As with a failed fetch, the run goes on with what could be read.
-        log.warning("%s run %s: %s unreadable pages left out", source, run_id, unreadable.get["n"])
+    # As with a failed fetch, the run goes on with what could be read.
+    _report(source, run_id, unreadable.get["n"], "unreadable pages")
+    _report(source, run_id, untimed.get["n"], "readings without a readable time")
     if raw_root:
-        sink.land_raw(pull, raw_root, source, run_id, as_of.date())
+        sink.land_raw(pull.drop(*files.PULL_ORDER), raw_root, source, run_id, as_of.date())
     long = normalize.reshape_long(pull).filter(F.col("datetime_utc").isNotNull())
     archive.add_series(normalize.series_discovery(long, "instant"))
-    return archive.upsert_observations(normalize.wsc_observations(long, run_id, as_of), merge.WSC_UPDATES)
+    return archive.upsert_observations(normalize.wsc_observations(long, run_id, as_of), merge.WSC_UPDATES, files.PULL_ORDER)
+
+
+def _report(source: str, run_id: int, n: int, what: str) -> None:
+    if n:
+        log.warning("%s run %s: %s %s left out", source, run_id, n, what)
 
 
 def daily(archive: Archive, landing: str, as_of: datetime, raw_root: str | None = None,
@@ -96,14 +104,14 @@ def weekly(archive: Archive, landing: str, as_of: datetime, raw_root: str | None
 
 
 def export_readings(archive_spark, landing: str, registry_rows: DataFrame,
-                    dataset_pattern: str | None = None) -> DataFrame:
+                    dataset_pattern: str | None = None, dropped: Observation | None = None) -> DataFrame:
     """Readings of registered datasets with their registry columns.
 
     Export files are named ``<parameter>.<label>@<moe_id>``, the upstream dataset id.
     """
     options = {"dataset_pattern": dataset_pattern} if dataset_pattern else {}
     lines = files.export_lines(archive_spark, landing, **options)
-    readings = normalize.export_normalise(files.export_rows(lines))
+    readings = normalize.export_normalise(files.export_rows(lines), dropped)
     known = registry_rows.select(
         C.bc_source_series_id(F.col("parameter"), F.col("label"), F.col("moe_id")).alias("dataset"),
         "moe_id", "canon")
@@ -111,14 +119,19 @@ def export_readings(archive_spark, landing: str, registry_rows: DataFrame,
 
 
 def _provincial(archive: Archive, landing: str, registry_path: str, as_of: datetime, source: str,
-                wells: bool, window: str, raw_root: str | None) -> int:
+                wells: bool, window: str, raw_root: str | None, dataset_pattern: str | None = None) -> int:
     def body(run_id: int) -> int:
         reg = files.dataset_registry(archive.spark, registry_path)
-        readings = files.since(export_readings(archive.spark, landing, reg),
+        dropped = Observation()
+        readings = files.since(export_readings(archive.spark, landing, reg, dataset_pattern, dropped),
                                "datetime_utc", as_of, DATE_RANGES[window])
         readings = archive.stage(readings, "export")
+        _report(source, run_id, dropped.get["n"], "export rows without a readable time")
+        _report(source, run_id, files.short_exports(archive.spark, landing).count(), "export files without four columns")
         if raw_root:
-            sink.land_raw(readings, raw_root, "gw" if wells else "bc", run_id, as_of.date())
+            for name in [r.dataset for r in readings.select("dataset").distinct().toLocalIterator()]:
+                sink.land_raw(readings.filter(F.col("dataset") == name).drop(*files.PULL_ORDER), raw_root,
+                              f"{'gw' if wells else 'bc'}/{name}", run_id, as_of.date())
         # Sites and series appear in the archive with their first readings.
         seen = readings.select("moe_id", "canon").distinct()
         present = archive.stage(reg.join(seen, ["moe_id", "canon"], "left_semi"), "registry")
@@ -126,18 +139,18 @@ def _provincial(archive: Archive, landing: str, registry_path: str, as_of: datet
             normalize.bc_stations(present, "groundwater_well" if wells else None), wells)
         archive.add_series(normalize.bc_series(present))
         return archive.upsert_observations(
-            normalize.bc_observations(readings, run_id, as_of), merge.BC_UPDATES)
+            normalize.bc_observations(readings, run_id, as_of), merge.BC_UPDATES, files.PULL_ORDER)
     return with_ledger(archive, source, as_of, body)
 
 
 def provincial(archive: Archive, landing: str, registry_path: str, as_of: datetime,
-               window: str = "Days7", raw_root: str | None = None) -> int:
-    return _provincial(archive, landing, registry_path, as_of, "bc-export", False, window, raw_root)
+               window: str = "Days7", raw_root: str | None = None, dataset_pattern: str | None = None) -> int:
+    return _provincial(archive, landing, registry_path, as_of, "bc-export", False, window, raw_root, dataset_pattern)
 
 
 def groundwater(archive: Archive, landing: str, registry_path: str, as_of: datetime,
-                window: str = "Days30", raw_root: str | None = None) -> int:
-    return _provincial(archive, landing, registry_path, as_of, "gw-export", True, window, raw_root)
+                window: str = "Days30", raw_root: str | None = None, dataset_pattern: str | None = None) -> int:
+    return _provincial(archive, landing, registry_path, as_of, "gw-export", True, window, raw_root, dataset_pattern)
 
 
 def groundwater_dry_run(spark, landing: str, registry_path: str) -> DataFrame:
@@ -147,14 +160,25 @@ def groundwater_dry_run(spark, landing: str, registry_path: str) -> DataFrame:
     return normalize.dry_run_report(reg, readings)
 
 
+def dry_run_lines(report: DataFrame):
+    """The report as text, a dataset a line, and the total of readings and of datasets that have any."""
+    total = filled = 0
+    for r in report.orderBy("moe_id").toLocalIterator():
+        total, filled = total + r.n_rows, filled + (r.n_rows > 0)
+        yield f"{r.moe_id:<12} {r.name or '':<42} {r.n_rows:>10} {r.first_ts or '-'} {r.last_ts or '-'}"
+    yield f"total {total} readings in {filled} datasets"
+
+
 def backfill(archive: Archive, flows: DataFrame, levels: DataFrame, as_of: datetime,
              meta: DataFrame | None = None) -> int:
-    """Replace the approved daily record of federal stations with a full history extract."""
+    """Replace the approved daily record of the registered federal stations with a full history extract."""
     def body(run_id: int) -> int:
         if meta is not None:
             archive.write_dimension("station", merge.enrich_stations(archive.read("station"), meta))
-        long = archive.stage(normalize.daily_normalise(flows, "Q", "m3/s").unionByName(
-            normalize.daily_normalise(levels, "H", "m")), "daily")
+        ids = registry.active_wsc_ids(archive.read("station")).withColumnRenamed("wsc_id", "STATION_NUMBER")
+        own = [h.join(ids, "STATION_NUMBER", "left_semi") for h in (flows, levels)]
+        long = archive.stage(normalize.daily_normalise(own[0], "Q", "m3/s").unionByName(
+            normalize.daily_normalise(own[1], "H", "m")), "daily")
         daily_series = F.col("series_uid").like("WSC-%-daily")
         archive.write_dimension("series", merge.replace_slice(
             archive.read("series"), daily_series,
@@ -173,39 +197,53 @@ def firstcut(archive: Archive, registry_path: str, landing: str, as_of: datetime
         reg = files.station_registry(archive.spark, registry_path)
         archive.write_dimension("station", merge.replace_slice(
             archive.read("station"), F.col("operator") == "WSC", S.conform(reg, S.STATION)))
-        pull = files.wide_pull(files.geojson_pages(archive.spark, landing, multiline))
+        unreadable = Observation()
+        pull = files.wide_pull(files.geojson_pages(archive.spark, landing, multiline).observe(
+            unreadable, F.count_if(F.col("features").isNull()).alias("n")))
         ids = reg.select(F.col("wsc_id").alias("STATION_NUMBER"))
         long = archive.stage(normalize.reshape_long(pull.join(ids, "STATION_NUMBER", "left_semi"))
                      .filter(F.col("datetime_utc").isNotNull()), "pull")
+        _report("wsc", run_id, unreadable.get["n"], "unreadable pages")
         archive.write_dimension("series", merge.replace_slice(
             archive.read("series"), F.col("station_uid").like("WSC-%"),
             S.conform(normalize.series_discovery(long, "instant"), S.SERIES)))
-        obs = normalize.wsc_observations(long, run_id, as_of)
+        obs = merge.last_of_batch(normalize.wsc_observations(long, run_id, as_of), S.OBSERVATION_KEY, files.PULL_ORDER,
+                                  S.OBSERVATION.names)
         archive.replace_observations(F.col("source") == "wsc", obs)
         return obs.count()
     return with_ledger(archive, "wsc", as_of, body)
 
 
+# The columns of an export that must be there; the others are loaded where present.
+REQUIRED = {"pull_run": ["run_id", "source", "started_ts"], "station": ["station_uid"],
+            "series": ["series_uid", "station_uid", "parameter", "interval"],
+            "observation": ["series_uid", "datetime_utc", "source", "pull_run_id"]}
+
+
 def migrate(source_root: str, archive: Archive, as_of: datetime) -> None:
-    """Load four exported CSV tables, parents first; present keys are kept. Run ids allocated
-    later continue after the loaded ones."""
+    """Load exported CSV tables by the names in their headers, parents first; present keys are kept, '' is NULL. Run
+    ids allocated later continue after the loaded ones. An absent ``pull_run`` table is left out; an absent required
+    column is an error."""
     spark = archive.spark
 
     def read(name: str, schema) -> DataFrame:
         """Read as text, then cast: the text form of a time is zone-free."""
-        text = S.T.StructType([S.T.StructField(n, S.T.StringType()) for n in schema.names])
-        return spark.read.schema(text).option("header", True).csv(f"{source_root}/{name}")
-
-    runs = S.conform(read("pull_run", S.PULL_RUN), S.PULL_RUN)
-    archive.append("pull_run", runs.join(archive.read("pull_run").select("run_id"), "run_id", "left_anti"))
-    flat = S.T.StructType([f for f in S.STATION.fields if f.name != "geom"])
-    station = S.conform(read("station", flat), flat).withColumn("geom", C.point(F.col("lon"), F.col("lat")))
-    archive.write_dimension("station", merge.insert_ignore(
-        archive.read("station"), S.conform(station, S.STATION), ["station_uid"]))
-    archive.add_series(read("series", S.SERIES))
-    staged = S.conform(read("observation", S.OBSERVATION), S.STAGED_OBS)
-    archive.insert_observations(archive.stage(normalize.staged_to_observation(staged, as_of), "migrate"))
-    archive.clear_scratch()
+        text = files.by_name(spark, f"{source_root}/{name}", REQUIRED[name])
+        typed = {f.name: f.dataType.typeName() for f in schema.fields}
+        return text.select(*(files.zone_free(F.col(c)).alias(c) if typed[c] == "timestamp_ntz" else C.null_if_empty(F.col(c)).alias(c)
+                             for c in text.columns if c in typed))
+
+    with archive.lock("migrate"):
+        if sink.exists(spark, f"{source_root}/pull_run"):
+            runs = S.conform(read("pull_run", S.PULL_RUN), S.PULL_RUN)
+            archive.append("pull_run", runs.join(archive.read("pull_run").select("run_id"), "run_id", "left_anti"))
+        flat = S.T.StructType([f for f in S.STATION.fields if f.name != "geom"])
+        station = S.conform(read("station", flat), flat).withColumn("geom", C.point(F.col("lon"), F.col("lat")))
+        archive.write_dimension("station", merge.insert_ignore(
+            archive.read("station"), S.conform(station, S.STATION), ["station_uid"]))
+        archive.add_series(read("series", S.SERIES))
+        staged = S.conform(read("observation", S.STAGED_OBS), S.STAGED_OBS)
+        archive.insert_observations(archive.stage(normalize.staged_to_observation(staged, as_of), "migrate"))
 
 
 MODES = ("daily", "weekly", "provincial", "gw", "backfill", "firstcut", "migrate")
@@ -219,6 +257,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--registry", help="station or dataset registry CSV")
     p.add_argument("--flows", help="backfill: daily flows")
     p.add_argument("--levels", help="backfill: daily levels")
+    p.add_argument("--stations", help="backfill: station metadata CSV")
+    p.add_argument("--regulation", help="backfill: regulation CSV")
+    p.add_argument("--break-lock", action="store_true", help="remove the lock of a run that died")
     p.add_argument("--raw-root", help="immutable raw landing; none if absent")
     p.add_argument("--window", choices=list(DATE_RANGES), help="provincial and gw")
     p.add_argument("--as-of", type=datetime.fromisoformat, default=None)
@@ -229,13 +270,18 @@ def main(argv: list[str] | None = None) -> None:
     missing = [f"--{n}" for n in needed if getattr(a, n) is None]
     if missing:
         p.error(f"--mode {a.mode} needs {', '.join(missing)}")
+    if a.dry_run and a.mode != "gw":
+        p.error("--dry-run is for --mode gw")
 
     spark = build_session(f"gaugelake-{a.mode}")
     as_of = a.as_of or _now()
     if a.mode == "gw" and a.dry_run:
-        groundwater_dry_run(spark, a.landing, a.registry).show(1000, truncate=False)
+        for line in dry_run_lines(groundwater_dry_run(spark, a.landing, a.registry)):
+            print(line)
         return
     archive = Archive(spark, a.archive)
+    if a.break_lock:
+        archive.unlock()
     if a.mode == "daily":
         result = daily(archive, a.landing, as_of, a.raw_root)
     elif a.mode == "weekly":
@@ -246,7 +292,10 @@ def main(argv: list[str] | None = None) -> None:
         result = groundwater(archive, a.landing, a.registry, as_of, a.window or "Days30", a.raw_root)
     elif a.mode == "backfill":
         flows, levels = (files.daily_history(spark, path) for path in (a.flows, a.levels))
-        result = backfill(archive, flows, levels, as_of)
+        meta = None
+        if a.stations and a.regulation:
+            meta = files.station_metadata(files.station_table(spark, a.stations), files.regulation_table(spark, a.regulation))
+        result = backfill(archive, flows, levels, as_of, meta)
     elif a.mode == "firstcut":
         result = firstcut(archive, a.registry, a.landing, as_of)
     else:

@@ -256,11 +256,11 @@ def gw_map(t: Tables, as_of) -> DataFrame:
 # --- downloads and checks ---------------------------------------------------
 
 def latest_per_series(t: Tables) -> DataFrame:
-    """Newest readings per series, all sources at that time. The ranking is limited to rank 1 on
-    each side of the shuffle, so only candidates move."""
-    newest = Window.partitionBy("series_uid").orderBy(F.desc("datetime_utc"))
-    latest = (t["observation"].select("series_uid", "datetime_utc", "value", "approval_level")
-              .withColumn("rank", F.rank().over(newest)).filter("rank = 1"))
+    """Newest readings per series, all sources at that time: the time by a hash aggregate that combines
+    before the shuffle, then the readings that have it."""
+    readings = t["observation"].select("series_uid", "datetime_utc", "value", "approval_level")
+    newest = readings.groupBy("series_uid").agg(F.max("datetime_utc").alias("datetime_utc"))
+    latest = readings.join(newest, ["series_uid", "datetime_utc"], "left_semi")
     return (latest.join(t["series"].select("series_uid", "station_uid", "parameter", "interval", "units"),
                         "series_uid")
             .select("station_uid", "parameter", "interval", "value", "units", "datetime_utc", "approval_level")

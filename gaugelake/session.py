@@ -49,16 +49,27 @@ def tuned(spark: SparkSession) -> SparkSession:
 _local_base: str | None = None
 
 
-def workspace(spark: SparkSession, purpose: str) -> str:
-    """A new, unused folder path for written intermediate tables.
+def scratch_root(spark: SparkSession) -> str:
+    """The folder that holds everything this application writes aside.
 
-    Lives under the shared folder the cluster names in ``spark.checkpoint.dir``; only where
-    that is unset (tests, one machine) a temporary folder stands in.
+    Lives under the shared folder the cluster names in ``spark.checkpoint.dir``. Where that is unset a temporary
+    folder stands in on one machine (tests); on a cluster executors would not see it, so there it is an error.
     """
     global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _local_base is None:
             _local_base = tempfile.mkdtemp(prefix="gaugelake-")
         base = _local_base
-    return f"{base.rstrip('/')}/gaugelake/{purpose}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/gaugelake/{spark.sparkContext.applicationId}"
+
+
+def workspace(spark: SparkSession, purpose: str) -> str:
+    """A new, unused folder path for written intermediate tables, below :func:`scratch_root`.
+
+    Results are lazy and may still read it, so it is left to the application to delete the root at its end
+    (``sinks.tables.delete(spark, scratch_root(spark))``, as ``bench.py`` and ``check.py`` do).
+    """
+    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"

@@ -1,7 +1,13 @@
-"""Writing tables so that a lost executor or a lost driver cannot lose rows."""
+"""Writing tables so that a lost executor or a lost driver cannot lose rows.
+
+A table is a folder of versions (``v=<id>``) and a numbered list of manifests naming the version of each
+partition. A write adds a version and then one manifest; readers follow the newest manifest and never see
+half a write. Files are deleted only by a job that holds the archive's lock, see :func:`sweep`.
+"""
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from datetime import date
@@ -9,8 +15,6 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import workspace
-
 log = logging.getLogger(__name__)
 
 
@@ -34,13 +38,38 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def stage(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
-    """Write ``df`` to a new shared folder and read it back; returns the rows and the folder.
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file; False if it is there already. Of several that try, one succeeds."""
+    fs, p = _fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception as error:  # noqa: BLE001 - only "exists" is expected
+        if fs.exists(p):
+            return False
+        raise error
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def content(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def stage(df: DataFrame, root: str, purpose: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to a new folder below ``root`` and read it back; returns the rows and the folder.
 
     Computed once and safe from lost executors. Reading files also gives the planner the true
     size, so a later join broadcasts the rows only when they really are small.
     """
-    path = workspace(df.sparkSession, purpose)
+    path = f"{root}/_stage/{purpose}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
@@ -82,13 +111,33 @@ def export_tables(tables: dict[str, DataFrame], root: str) -> None:
         write_csv(df.select(columns), f"{root}/{name}")
 
 
-def commit(df: DataFrame, path: str, partition_by: list[str] | None = None,
-           sort_by: list[str] | None = None, touched: str | None = None) -> int | None:
-    """Replace the table at ``path``, or only its partitions that ``df`` holds.
+WHOLE = ""  # the one partition of an unpartitioned table
+
+
+def manifest(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
+    """Number of the newest manifest (0: none) and the version of each partition."""
+    found = children(spark, f"{path}/_manifest")
+    if not found:
+        return 0, {}
+    return int(found[-1].rsplit("/", 1)[1]), json.loads(content(spark, found[-1]))
+
+
+def read(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table as its newest manifest has it, or None where there is none. ``schema`` holds the partition column too."""
+    _, parts = manifest(spark, path)
+    if not parts:
+        return None
+    folders = [f"{path}/v={version}/{part}".rstrip("/") for part, version in sorted(parts.items())]
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(schema.names)
 
-    The rows are first written whole beside the table, and only a complete copy is moved over
-    the old files. So ``df`` may read the table it replaces, and a crash between the two steps
-    is mended by :func:`recover`.
+
+def commit(df: DataFrame, path: str, partition_by: list[str] | None = None, sort_by: list[str] | None = None,
+           touched: str | None = None, emptied: list[str] = ()) -> int | None:
+    """Replace the table at ``path``, or only its partitions that ``df`` holds and those in ``emptied``.
+
+    The rows are written whole as a new version before the manifest names it. So ``df`` may read the table it
+    replaces, running queries keep the files they began with, and a crash leaves the old state. A second
+    writer that commits in between makes this one fail instead of losing the other's rows.
 
     The rebalancing shuffle gathers small partitions in one task and splits a hot one over many
     by its measured size; unlike range partitioning it does not compute the rows twice to sample
@@ -97,6 +146,7 @@ def commit(df: DataFrame, path: str, partition_by: list[str] | None = None,
     Returns the number of rows where the boolean column ``touched`` (not stored) is true.
     """
     spark = df.sparkSession
+    number, parts = manifest(spark, path)
     df = df.hint("rebalance", *partition_by or [])
     layout = (partition_by or []) + (sort_by or [])
     if layout:
@@ -106,40 +156,37 @@ def commit(df: DataFrame, path: str, partition_by: list[str] | None = None,
         # Observed after the last shuffle: only the writing tasks count.
         seen = Observation()
         df = df.observe(seen, F.count_if(F.col(touched)).alias("n")).drop(touched)
-    staged = f"{path}__staged/{uuid.uuid4().hex}"
+    version = uuid.uuid4().hex
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(staged)
-    publish(spark, staged, path, bool(partition_by))
+    writer.parquet(f"{path}/v={version}")
+    if partition_by:
+        names = [c.rsplit("/", 1)[1] for c in children(spark, f"{path}/v={version}")]
+        new = {n: version for n in names if "=" in n}
+    else:
+        new = {WHOLE: version}
+    kept = {k: v for k, v in parts.items() if k not in emptied}
+    if not create(spark, f"{path}/_manifest/{number + 1:012d}", json.dumps(kept | new)):
+        delete(spark, f"{path}/v={version}")
+        raise RuntimeError(f"another writer has changed {path}")
     return int(seen.get["n"]) if seen else None
 
 
-def publish(spark: SparkSession, staged: str, path: str, partitioned: bool) -> None:
-    """Move a complete staged copy over the table. Repeating an interrupted move is safe: what
-    was already moved is no longer staged."""
-    fs, target = _fs(spark, path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    if partitioned:
-        fs.mkdirs(target)
-        moves = [(p, f"{path}/{p.rsplit('/', 1)[1]}") for p in children(spark, staged)
-                 if "=" in p.rsplit("/", 1)[1]]
-    else:
-        moves = [(staged, path)]
-    for source, destination in moves:
-        fs.delete(hadoop_path(destination), True)
-        if not fs.rename(hadoop_path(source), hadoop_path(destination)):
-            raise OSError(f"cannot move {source} to {destination}")
-    delete(spark, staged)
-
-
-def recover(spark: SparkSession, path: str, partitioned: bool) -> int:
-    """Publish complete staged copies a crashed run left behind; drop incomplete ones."""
-    done = 0
-    for staged in children(spark, f"{path}__staged"):
-        if exists(spark, f"{staged}/_SUCCESS"):
-            publish(spark, staged, path, partitioned)
-            done += 1
-        else:
-            delete(spark, staged)
-    return done
+def sweep(spark: SparkSession, path: str, manifests: int = 2) -> None:
+    """Delete what the last ``manifests`` states do not name: the caller holds the archive's lock, so no write is
+    under way, and a reader that began under an earlier state has had a whole run to finish."""
+    found = children(spark, f"{path}/_manifest")
+    held = found[-manifests:]
+    live = {v for m in held for v in json.loads(content(spark, m)).values()}
+    for folder in children(spark, path):
+        name = folder.rsplit("/", 1)[1]
+        if name.startswith("v=") and name[2:] not in live:
+            delete(spark, folder)
+        elif name.startswith("v="):
+            for part in children(spark, folder):
+                own = part.rsplit("/", 1)[1]
+                if "=" in own and not any(json.loads(content(spark, m)).get(own) == name[2:] for m in held):
+                    delete(spark, part)
+    for old in found[:-manifests]:
+        delete(spark, old)

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as C
-from ..sinks.tables import stage
 
 _METADATA_LINES = 5
 
+# Columns that say which pull a row is from; the later file is the later pull, its name breaks ties.
+PULL_ORDER = ["pulled_at", "pulled_from"]
+
+
+def _pull_order() -> list[Column]:
+    return [F.col("_metadata.file_modification_time").alias("pulled_at"), F.col("_metadata.file_path").alias("pulled_from")]
+
 
 def geojson_pages(spark: SparkSession, path: str, multiline: bool = True,
                   quarantine_column: str = "_corrupt") -> DataFrame:
@@ -21,14 +27,15 @@ def geojson_pages(spark: SparkSession, path: str, multiline: bool = True,
     """
     schema = S.T.StructType([*S.GEOJSON_PAGE.fields, S.T.StructField(quarantine_column, S.T.StringType())])
     return (spark.read.schema(schema).option("multiLine", multiline)
-            .option("columnNameOfCorruptRecord", quarantine_column).json(path))
+            .option("columnNameOfCorruptRecord", quarantine_column).json(path).select("*", *_pull_order()))
 
 
 def wide_pull(pages: DataFrame) -> DataFrame:
     """Pages to one row per feature; a property that is null or absent is NULL."""
     p = "feature.properties."
-    return (pages.select(F.explode("features").alias("feature"))
-            .select(F.col(p + "STATION_NUMBER").alias("STATION_NUMBER"),
+    order = [c for c in PULL_ORDER if c in pages.columns]
+    return (pages.select(F.explode("features").alias("feature"), *order)
+            .select(*order, F.col(p + "STATION_NUMBER").alias("STATION_NUMBER"),
                     F.col(p + "DATETIME").alias("DATETIME"),
                     F.col(p + "LEVEL").alias("LEVEL"),
                     F.col(p + "DISCHARGE").alias("DISCHARGE"),
@@ -39,7 +46,7 @@ def wide_pull(pages: DataFrame) -> DataFrame:
 def unreadable_pages(pages: DataFrame, quarantine_column: str = "_corrupt") -> DataFrame:
     """Pages that are no valid JSON, as text, for counting and later repair."""
     bad = F.col(quarantine_column).isNotNull() & F.col("features").isNull()
-    return pages.filter(bad).select(F.col("_metadata.file_path").alias("path"), quarantine_column)
+    return pages.filter(bad).select(F.col("pulled_from").alias("path"), quarantine_column)
 
 
 def since(df: DataFrame, ts: str, as_of, days: int | None, strict: bool = False) -> DataFrame:
@@ -53,30 +60,43 @@ def since(df: DataFrame, ts: str, as_of, days: int | None, strict: bool = False)
     return out
 
 
-def export_lines(spark: SparkSession, path: str, dataset_pattern: str = r"([^/]+?)(?:\.csv)?$") -> DataFrame:
-    """Lines of metadata-prefixed CSV exports: dataset (from the file's path), path, line.
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their place counted from the start of the file, exact in the file's first split.
 
-    Files are split like any text, so a dataset of any size is read by many tasks. The five
-    metadata lines and the header sit at the start of the split at offset 0; they are numbered
-    there, and the group limit of the ranking keeps six lines per file before anything moves.
+    Lines are numbered as they are read; the least number per file in the split at offset 0, one value a file from
+    an aggregate that combines before the shuffle, is that of the first line.
     """
     lines = (spark.read.option("recursiveFileLookup", True).text(path)
-             .select(F.col("value").alias("line"),
-                     F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("block_start")))
-    in_file = Window.partitionBy("path").orderBy("line_id")
-    heads = (lines.filter("block_start = 0")
-             .withColumn("line_id", F.monotonically_increasing_id())
-             .withColumn("line_no", F.row_number().over(in_file))
-             .filter(F.col("line_no") <= _METADATA_LINES + 1)
-             .groupBy("path")
-             .agg(F.collect_list("line").alias("head"),
-                  F.max(F.when(F.col("line_no") == _METADATA_LINES + 1, F.col("line"))).alias("header")))
-    # One row per file. Written aside, its size is known before the lines are joined to it.
-    complete, _ = stage(heads.filter(_column_count(F.col("header")) >= 4).select("path", "head"), "heads")
-    return (lines.join(complete, "path")
-            .filter((F.col("block_start") > 0) | ~F.array_contains("head", F.col("line")))
-            .select(_unescaped(F.regexp_extract("path", dataset_pattern, 1)).alias("dataset"), "path", "line"))
+             .select(F.col("value").alias("line"), *_pull_order(),
+                     F.col("_metadata.file_block_start").alias("block_start"))
+             .withColumn("line_id", F.monotonically_increasing_id()))
+    first = lines.filter("block_start = 0").groupBy("pulled_from").agg(F.min("line_id").alias("first_id"))
+    return lines.join(first, "pulled_from").withColumn(
+        "line_no", F.when(F.col("block_start") == 0, F.col("line_id") - F.col("first_id")))
+
+
+def export_lines(spark: SparkSession, path: str, dataset_pattern: str = r"([^/]+?)(?:\.csv)?$") -> DataFrame:
+    """Lines of metadata-prefixed CSV exports: dataset (from the file's path), pull order, line.
+
+    Files are split like any text, so a dataset of any size is read by many tasks. The five metadata lines and
+    the header go by their place, never by their text. Files whose header has fewer than four columns are left
+    out (:func:`short_exports` lists them).
+    """
+    lines = _numbered_lines(spark, path)
+    complete = (lines.filter((F.col("line_no") == _METADATA_LINES) & (_column_count(F.col("line")) >= 4))
+                .select("pulled_from"))
+    return (lines.filter(F.col("line_no").isNull() | (F.col("line_no") > _METADATA_LINES))
+            .join(complete, "pulled_from", "left_semi")
+            .select(_unescaped(F.regexp_extract("pulled_from", dataset_pattern, 1)).alias("dataset"), *PULL_ORDER, "line"))
+
+
+def short_exports(spark: SparkSession, path: str) -> DataFrame:
+    """Paths of export files that end before a header of at least four columns."""
+    lines = _numbered_lines(spark, path)
+    complete = (lines.filter((F.col("line_no") == _METADATA_LINES) & (_column_count(F.col("line")) >= 4))
+                .select(F.col("pulled_from").alias("path")))
+    return (lines.filter("line_no = 0").select(F.col("pulled_from").alias("path"))
+            .join(complete, "path", "left_anti"))
 
 
 def export_rows(lines: DataFrame) -> DataFrame:
@@ -87,7 +107,8 @@ def export_rows(lines: DataFrame) -> DataFrame:
     """
     parsed = F.from_csv("line", "ts string, value string, grade string, approval string, qualifier string",
                         {"nullValue": "NA", "mode": "PERMISSIVE"})
-    return lines.select("dataset", F.inline(F.array(parsed)))
+    order = [c for c in PULL_ORDER if c in lines.columns]
+    return lines.select("dataset", *order, F.inline(F.array(parsed)))
 
 
 def _unescaped(path_part: Column) -> Column:
@@ -114,20 +135,43 @@ def station_metadata(stations: DataFrame, regulation: DataFrame) -> DataFrame:
     return stations.join(regulation, "STATION_NUMBER", "left")
 
 
-def _csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return (spark.read.schema(schema).option("header", True).option("nullValue", "NA")
-            .option("escape", '"').csv(path))
+def by_name(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
+    """A CSV as text columns named by its header; an absent required column is an error."""
+    text = spark.read.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    missing = [c for c in required if c not in text.columns]
+    if missing:
+        raise ValueError(f"{path} lacks {', '.join(missing)}")
+    return text
+
+
+def zone_free(c: Column) -> Column:
+    """Text times in UTC, with or without the offset +00 or Z, to wall-clock times."""
+    return F.regexp_replace(c, r"(\+00(:?00)?|Z)$", "").try_cast("timestamp_ntz")
+
+
+def _typed(spark: SparkSession, path: str, schema, required: list[str]) -> DataFrame:
+    """A CSV by its header's names as ``schema``; 'NA' and '' are NULL, columns it lacks are NULL."""
+    text = by_name(spark, path, required)
+    clean = text.select(*(F.nullif(C.null_if_empty(F.col(f"`{c}`")), F.lit("NA")).alias(c) for c in text.columns))
+    return S.conform(clean, schema)
+
+
+def station_table(spark: SparkSession, path: str) -> DataFrame:
+    return _typed(spark, path, S.STATION_META, ["STATION_NUMBER"])
+
+
+def regulation_table(spark: SparkSession, path: str) -> DataFrame:
+    return _typed(spark, path, S.STATION_REGULATION, ["STATION_NUMBER", "REGULATED"])
 
 
 def station_registry(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, path, S.STATION_REGISTRY)
+    return _typed(spark, path, S.STATION_REGISTRY, ["station_uid"])
 
 
 def dataset_registry(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, path, S.DATASET_REGISTRY)
+    return _typed(spark, path, S.DATASET_REGISTRY, ["moe_id", "parameter", "label", "canon"])
 
 
 def staged_observations(spark: SparkSession, path: str) -> DataFrame:
-    """Bulk CSV with UTC text times; '' stays '' until :func:`normalize.staged_to_observation`."""
-    return (spark.read.schema(S.STAGED_OBS).option("header", True).option("emptyValue", "")
-            .csv(path))
+    """Bulk CSV by name with UTC text times; '' stays '' until :func:`normalize.staged_to_observation`."""
+    return S.conform(by_name(spark, path, ["series_uid", "datetime_utc", "source"]), S.STAGED_OBS)

@@ -104,7 +104,7 @@ def geojson_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     _lineitem_pull(spark, sf_dir).select(F.array(
         feature(F.col("LEVEL"), none, F.col("LEVEL_SYM"), text),
         feature(none, F.col("DISCHARGE"), text, F.col("DISCHARGE_SYM"))).alias("features")).write.json(path)
-    return files.wide_pull(files.geojson_pages(spark, path, multiline=False))
+    return files.wide_pull(files.geojson_pages(spark, path, multiline=False)).drop(*files.PULL_ORDER)
 
 
 @query
@@ -137,25 +137,38 @@ def export_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def export_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export files of each dataset and pull of a million orders with their metadata lines, written and read back."""
-    body = _export_text(spark, sf_dir).select("dataset", "pull", F.lit(1).alias("part"), "line")
-    preamble = F.array(*[F.struct(F.lit(i - 6).alias("part"), F.lit(text).alias("line")) for i, text in enumerate([
-        "Dataset", "Location", "Unit", "2000-01-01 00:00:00,1,1,1200,metadata shaped like a row",
-        "Time zone UTC", "Timestamp,Value,Grade Code,Approval Level,Qualifiers"])])
-    heads = body.select("dataset", "pull").distinct().select("dataset", "pull", F.explode(preamble).alias("p"))
+    """Export files of each dataset and pull of a million orders with their metadata lines, written and read back.
+    Each file also holds a reading whose line equals one of its metadata lines."""
     path = workspace(spark, "exports")
+    _write_exports(_export_text(spark, sf_dir), path, 2)
+    lines = files.export_lines(spark, path, dataset_pattern=_IN_FOLDER)
+    return normalize.export_normalise(files.export_rows(lines)).drop(*files.PULL_ORDER)
+
+
+_IN_FOLDER = r"dataset=([^/]+)/"
+_LIKE_A_READING = "2000-01-01 00:00:00,1,1,1200,metadata shaped like a row"
+
+
+def _write_exports(text: DataFrame, path: str, twins: int = 1) -> None:
+    """One file per dataset and pull, as upstream gives them; ``twins`` 2 repeats the reading-like line as a reading."""
+    body = text.select("dataset", "pull", F.lit(1).alias("part"), "line")
+    preamble = [(i - 6, line) for i, line in enumerate([
+        "Dataset", "Location", "Unit", _LIKE_A_READING, "Time zone UTC",
+        "Timestamp,Value,Grade Code,Approval Level,Qualifiers"])] + [(1, _LIKE_A_READING)] * (twins - 1)
+    extra = F.array(*[F.struct(F.lit(part).alias("part"), F.lit(line).alias("line")) for part, line in preamble])
+    heads = body.select("dataset", "pull").distinct().select("dataset", "pull", F.explode(extra).alias("p"))
     (body.unionByName(heads.select("dataset", "pull", "p.part", "p.line"))
      .repartition("dataset", "pull").sortWithinPartitions("dataset", "pull", "part")
-     .select("dataset", "pull", "line").write.partitionBy("dataset", "pull").text(path))
-    lines = files.export_lines(spark, path, dataset_pattern=r"dataset=([^/]+)/")
-    return normalize.export_normalise(files.export_rows(lines))
+     .select("dataset", "pull", "line").write.mode("append").partitionBy("dataset", "pull").text(path))
 
 
 @query
 def daily_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as a daily-history extract, restricted to the federal stations."""
+    """Orders as a daily-history extract in CSV, read back for the federal stations."""
     stations = registry.active_wsc_ids(D.archive(spark, sf_dir)["station"]).withColumnRenamed("wsc_id", "STATION_NUMBER")
-    return _order_history(spark, sf_dir).join(stations, "STATION_NUMBER", "left_semi")
+    path = workspace(spark, "history")
+    _order_history(spark, sf_dir).write.option("header", True).option("nullValue", "NA").csv(path)
+    return files.daily_history(spark, path, "csv", stations)
 
 
 def _order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,10 +180,19 @@ def _order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def station_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _customer_meta(spark, sf_dir)
+    """Station and regulation tables written as CSV with their columns in another order, read back and joined."""
+    stations, regulation = _customer_tables(spark, sf_dir)
+    paths = [workspace(spark, name) for name in ("stations", "regulation")]
+    for table, path in zip((stations, regulation), paths):
+        table.select(*reversed(table.columns)).write.option("header", True).option("nullValue", "NA").csv(path)
+    return files.station_metadata(files.station_table(spark, paths[0]), files.regulation_table(spark, paths[1]))
 
 
 def _customer_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.station_metadata(*_customer_tables(spark, sf_dir))
+
+
+def _customer_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     customer = D.load(spark, sf_dir, "customer")
     number = F.col("c_custkey").cast("string").alias("STATION_NUMBER")
     key = F.col("c_custkey")
@@ -180,7 +202,47 @@ def _customer_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 3 != 0, F.lit(-119.0) - (key % 50) / 50.0).alias("LONGITUDE"))
     regulation = (customer.filter("c_mktsegment <> 'HOUSEHOLD'")
                   .select(number, (F.col("c_mktsegment") == "MACHINERY").alias("REGULATED")))
-    return files.station_metadata(stations, regulation)
+    return stations, regulation
+
+
+def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier's three datasets as registry rows."""
+    parameter = F.explode(F.array(F.lit("H"), F.lit("Q"), F.lit("GW"))).alias("parameter")
+    rows = D.load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", parameter)
+    return rows.select(
+        F.col("s_suppkey").cast("string").alias("moe_id"), F.col("s_name").alias("name"),
+        (F.lit(49.0) + (F.col("s_suppkey") % 100) / 100.0).alias("lat"), F.lit(-119.5).alias("lon"), "parameter",
+        F.lit("Working").alias("label"), F.lit(1).alias("unit_id"), F.col("parameter").alias("canon"),
+        F.when(F.col("parameter") == "Q", "m3/s").otherwise("m").alias("units"))
+
+
+def _registry_file(spark: SparkSession, sf_dir: str) -> str:
+    """The registry as a CSV with its columns in another order."""
+    path = workspace(spark, "registry")
+    rows = _registry(spark, sf_dir)
+    rows.select(*reversed(rows.columns)).write.option("header", True).option("nullValue", "NA").csv(path)
+    return path
+
+
+@query
+def dataset_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.dataset_registry(spark, _registry_file(spark, sf_dir))
+
+
+@query
+def station_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The built registry written as CSV by the registry job's sink and read back by name."""
+    path = workspace(spark, "station-registry")
+    sink.write_csv(registry_build(spark, sf_dir), path, single_file=True)
+    return files.station_registry(spark, path)
+
+
+@query
+def staged_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations exported to CSV, read back by name and typed."""
+    root = workspace(spark, "staged")
+    sink.export_tables({"observation": D.archive(spark, sf_dir)["observation"].drop("ym")}, root)
+    return _flat(normalize.staged_to_observation(files.staged_observations(spark, f"{root}/observation"), D.INGEST_TS))
 
 
 @query
@@ -199,10 +261,10 @@ def active_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dry_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All suppliers registered, only wells with readings: the others report 0."""
+    """All suppliers registered; those without readings report 0."""
     reg = D.load(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("string").alias("moe_id"), F.col("s_name").alias("name"))
-    readings = D.bc_leg(spark, sf_dir).filter("parameter = 'GW'").select(
+    readings = D.bc_leg(spark, sf_dir).select(
         F.substring_index("source_series_id", "@", -1).alias("dataset"), "datetime_utc")
     return normalize.dry_run_report(reg, readings)
 
@@ -406,8 +468,7 @@ def _with_faults(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query
 def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.all_duplicate_keys(_with_faults(spark, sf_dir)).withColumn(
-        "key", F.regexp_replace("key", " 00:00:00", ""))
+    return quality.all_duplicate_keys(_with_faults(spark, sf_dir))
 
 
 @query
@@ -461,38 +522,147 @@ def migrate_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def backfill_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The backfill job over an archive of instant readings: coverage afterwards."""
+def migrate_export_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with the upstream export's own columns, times with an offset and '' for NULL, loaded by name."""
     t = D.archive(spark, sf_dir)
-    store = Archive(spark, workspace(spark, "backfill"))
-    store.write_dimension("station", t["station"])
-    store.write_dimension("series", t["series"])
-    store.write_months(t["observation"].drop("ym"))
+    root = workspace(spark, "export-columns")
+    station = ["station_uid", "wsc_id", "bc_aquarius_loc_id", "ona_id", "name", "operator", "status", "lat", "lon",
+               "drainage_area_km2", "regulation_status", "basin", "telemetry_type", "station_type"]
+    sink.write_csv(t["station"].select(station), f"{root}/station")
+    sink.write_csv(t["series"].select("series_uid", "station_uid", "parameter", "units", "interval", "source_series_id"), f"{root}/series")
+    sink.write_csv(t["observation"].select(
+        "series_uid", F.concat(F.col("datetime_utc").cast("string"), F.lit("+00")).alias("datetime_utc"), "value",
+        F.coalesce("grade_code", F.lit("")).alias("grade_code"), F.coalesce("approval_level", F.lit("")).alias("approval_level"),
+        F.coalesce(F.array_join("qualifier_flags", ","), F.lit("")).alias("qualifier_flags"), "source", "pull_run_id"),
+        f"{root}/observation")
+    copy = Archive(spark, workspace(spark, "migrated-columns"))
+    jobs.migrate(root, copy, D.INGEST_TS)
+    loaded = copy.tables()
+    return (_flat(loaded["observation"]).join(loaded["series"].select("series_uid", "station_uid", "parameter"), "series_uid")
+            .join(loaded["station"].select("station_uid", "name", "basin", F.col("geom.lon").alias("lon")), "station_uid"))
+
+
+def _store(spark: SparkSession, sf_dir: str, name: str, *tables: str) -> Archive:
+    """A new archive holding copies of the given tables."""
+    t = D.archive(spark, sf_dir)
+    store = Archive(spark, workspace(spark, name))
+    for table in tables:
+        if table == "observation":
+            store.write_months(t[table].drop("ym"))
+        else:
+            store.write_dimension(table, t[table])
+    return store
+
+
+@query
+def backfill_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The backfill job over an archive of instant readings, with flows and levels: coverage afterwards. Customers that
+    are no stations have histories as well; theirs are not taken."""
+    store = _store(spark, sf_dir, "backfill", "station", "series", "observation")
     history = _order_history(spark, sf_dir)
     # Repeated days of a station would break the key; the last status and value stand for the day.
     history = merge.last_of_batch(history, ["STATION_NUMBER", "Date"], ["Symbol"], history.columns)
-    jobs.backfill(store, history, history.filter(F.lit(False)), datetime(2024, 1, 31), _customer_meta(spark, sf_dir))
+    levels = history.withColumn("Value", F.when(F.col("Symbol") == "F", F.col("Value") / 2))
+    jobs.backfill(store, history, levels, datetime(2024, 1, 31), _customer_meta(spark, sf_dir))
     return reports.coverage(store.tables())
 
 
-@query
-def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs of the daily job over the same landed pages: observations stay single."""
-    t = D.archive(spark, sf_dir)
-    store = Archive(spark, workspace(spark, "daily"))
-    store.write_dimension("station", t["station"])
-    events = D.load(spark, sf_dir, "events")
+def _event_pages(spark: SparkSession, sf_dir: str, path: str, revised: bool) -> None:
+    """One reading per user, quantity and second as landed pages; a revised pull lowers the stages."""
+    view = F.col("event_type") == "view"
+    readings = (D.load(spark, sf_dir, "events")
+                .groupBy("user_id", view.alias("view"), F.date_trunc("second", "ts").alias("t")).agg(F.max("value").alias("value")))
+    value = F.col("value") - F.lit(1.0 if revised else 0.0)
     feature = F.struct(F.struct(
         F.col("user_id").cast("string").alias("STATION_NUMBER"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("DATETIME"),
-        F.when(F.col("event_type") == "view", F.col("value")).alias("LEVEL"),
-        F.when(F.col("event_type") != "view", F.col("value")).alias("DISCHARGE"),
+        F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("DATETIME"),
+        F.when(F.col("view"), value).alias("LEVEL"),
+        F.when(~F.col("view"), F.col("value")).alias("DISCHARGE"),
         F.lit("E").alias("LEVEL_SYMBOL_EN"), F.lit("").alias("DISCHARGE_SYMBOL_EN")).alias("properties"))
+    readings.select(F.array(feature).alias("features")).write.mode("append").json(path)
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> Archive:
+    store = _store(spark, sf_dir, "daily", "station")
     path = workspace(spark, "pages")
-    events.select(F.array(feature).alias("features")).write.json(path)
-    for _ in range(2):
+    for revised in (False, True):
+        _event_pages(spark, sf_dir, path, revised)
         jobs.daily(store, path, datetime(2024, 1, 31), days=35, multiline=False)
-    return _flat(store.read("observation")).drop("pull_run_id")
+    return store
+
+
+@query
+def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the daily job over a landing that keeps both pulls: the later pull's readings, lower ones too."""
+    return _flat(_daily(spark, sf_dir).read("observation")).drop("pull_run_id")
+
+
+@query
+def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs that ended well, that failed, and one whose driver died, over one archive."""
+    store = _daily(spark, sf_dir)
+    try:
+        jobs.daily(store, workspace(spark, "nothing-landed"), datetime(2024, 2, 1))
+    except Exception:  # noqa: BLE001 - the ledger has it
+        pass
+    store.append_row("pull_run", {"run_id": 4, "source": "wsc-daily", "started_ts": datetime(2024, 2, 2), "status": "running"})
+    return store.read("pull_run").select("run_id", "source", "started_ts", "rows_in", "status",
+                                         F.col("finished_ts").isNotNull().alias("finished"), F.col("error").isNotNull().alias("failed"))
+
+
+@query
+def weekly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 35-day re-pull with its audit: open findings per series."""
+    store = _store(spark, sf_dir, "weekly", "station")
+    path = workspace(spark, "weekly-pages")
+    _event_pages(spark, sf_dir, path, False)
+    jobs.weekly(store, path, datetime(2024, 1, 31), multiline=False)
+    return store.read("audit_discrepancy").groupBy("series_uid", "kind").agg(F.count("*").alias("n"))
+
+
+@query
+def empty_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A daily run long after the last reading takes nothing and changes nothing."""
+    store = _store(spark, sf_dir, "empty", "station", "observation")
+    path = workspace(spark, "old-pages")
+    _event_pages(spark, sf_dir, path, False)
+    jobs.daily(store, path, datetime(2025, 1, 1), multiline=False)
+    return store.read("observation").groupBy("source").agg(F.count("*").alias("n"), F.max("ingest_ts").alias("ingest_ts"))
+
+
+@query
+def firstcut_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All federal readings replaced by one landing; provincial ones stay."""
+    store = _store(spark, sf_dir, "firstcut", "station", "series", "observation")
+    path, reg = workspace(spark, "first-pages"), workspace(spark, "first-registry")
+    _event_pages(spark, sf_dir, path, False)
+    stations = store.read("station").filter("operator = 'WSC'")
+    sink.write_csv(stations.select(*(c for c in S.STATION_REGISTRY.names)), reg)
+    jobs.firstcut(store, reg, path, datetime(2024, 1, 31), multiline=False)
+    return reports.coverage(store.tables())
+
+
+def _provincial_text(spark: SparkSession, sf_dir: str, revised: bool) -> DataFrame:
+    """One line per dataset and time: the greatest quantity, or in the later pull a quarter of it as working."""
+    rows = D.load(spark, sf_dir, "lineitem").withColumn("canon", F.expr(D.BC_PARAMETER))
+    readings = rows.groupBy("l_suppkey", "canon", "l_shipdate").agg(F.max("l_quantity").alias("q"))
+    hour = F.expr("timestampadd(HOUR, cast(l_suppkey % 24 as int), l_shipdate)")
+    value = (F.col("q") / F.lit(4 if revised else 1)).cast("decimal(12,2)").cast("string")
+    return readings.select(
+        F.concat("canon", F.lit(".Working@"), F.col("l_suppkey").cast("string")).alias("dataset"),
+        F.lit(2 if revised else 1).alias("pull"),
+        F.concat_ws(",", F.date_format(hour, "yyyy-MM-dd HH:mm:ss"), value, F.lit("31"), F.lit("800" if revised else "1200"), F.lit("")).alias("line"))
+
+
+@query
+def provincial_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two pulls of surface and well exports kept side by side: the later pull's value, grade and approval."""
+    store = Archive(spark, workspace(spark, "provincial"))
+    reg, path = _registry_file(spark, sf_dir), workspace(spark, "provincial-exports")
+    for revised in (False, True):
+        _write_exports(_provincial_text(spark, sf_dir, revised), path)
+        jobs.provincial(store, path, reg, datetime(2001, 11, 6), "EntirePeriodOfRecord", dataset_pattern=_IN_FOLDER)
+    return _flat(store.read("observation")).select("series_uid", "datetime_utc", "value", "grade_code", "approval_level", "pull_run_id")
 
 
 # --- streams ----------------------------------------------------------------

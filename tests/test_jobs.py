@@ -161,24 +161,129 @@ def test_migrate_roundtrip(archive, spark, obs, make, tmp_path):
 
 def test_other_months_are_left_alone(archive, obs, tmp_path):
     archive.upsert_observations(obs({"series_uid": "a", "datetime_utc": "2023-05-01"}, {"series_uid": "a", "datetime_utc": "2024-01-01"}), merge.WSC_UPDATES)
-    may = sorted((tmp_path / "archive/observation/ym=202305").iterdir())
+    def may():
+        return sorted(p for p in archive.read("observation").inputFiles() if "/ym=202305/" in p)
+    before = may()
     n = archive.upsert_observations(obs({"series_uid": "a", "datetime_utc": "2024-01-01", "value": 5.0}, {"series_uid": "b", "datetime_utc": "2024-01-02"}), merge.WSC_UPDATES)
-    assert n == 2 and sorted((tmp_path / "archive/observation/ym=202305").iterdir()) == may
+    assert n == 2 and may() == before and len(before) > 0
     assert archive.read("observation").count() == 3
 
 
-def test_recovery_publishes_complete_copies_only(archive, spark, obs, tmp_path):
-    archive.upsert_observations(obs({"series_uid": "a", "datetime_utc": "2024-01-01"}, {"series_uid": "a", "datetime_utc": "2024-02-01"}), merge.WSC_UPDATES)
+def test_opening_an_archive_leaves_a_write_under_way_alone(archive, spark, obs):
+    archive.upsert_observations(obs({"series_uid": "a", "datetime_utc": "2024-01-01"}), merge.WSC_UPDATES)
     path = archive.path("observation")
-    whole = obs({"series_uid": "a", "datetime_utc": "2024-01-01", "value": 8.0}).withColumn("ym", F.lit(202401))
-    whole.write.partitionBy("ym").parquet(f"{path}__staged/whole")
-    whole.withColumn("ym", F.lit(202402)).write.partitionBy("ym").parquet(f"{path}__staged/torn")
-    (tmp_path / "archive/observation__staged/torn/_SUCCESS").unlink()
-    # The crash came after the old month was deleted.
-    sink.delete(spark, f"{path}/ym=202401")
-    again = Archive(spark, archive.root)
-    assert rows(again.read("observation"), "ym", "value") == [(202401, 8.0), (202402, 1.0)]
-    assert sink.children(spark, f"{path}__staged") == []
+    staged = obs({"series_uid": "a", "datetime_utc": "2024-01-01", "value": 8.0}).withColumn("ym", F.lit(202401))
+    staged.write.partitionBy("ym").parquet(f"{path}/v=underway")
+    reader = Archive(spark, archive.root)
+    assert rows(reader.read("observation"), "value") == [(1.0,)]  # no manifest names it
+    assert sink.exists(spark, f"{path}/v=underway/_SUCCESS")
+    with archive.lock("cleaner"):  # no write is under way when the lock is held
+        pass
+    assert not sink.exists(spark, f"{path}/v=underway") and rows(reader.read("observation"), "value") == [(1.0,)]
+
+
+def test_one_writer_at_a_time(archive, spark, tmp_path):
+    pages(tmp_path / "landing", ("1", "2024-01-31T00:00:00Z", 1.0, None, None))
+    with archive.lock("first"):
+        with pytest.raises(RuntimeError, match="in use: first"):
+            jobs.daily(Archive(spark, archive.root), str(tmp_path / "landing"), AS_OF)
+    jobs.daily(archive, str(tmp_path / "landing"), AS_OF)
+
+
+def test_a_write_between_read_and_commit_is_not_lost(archive, spark, obs, monkeypatch):
+    archive.upsert_observations(obs({"series_uid": "a", "datetime_utc": "2024-01-01"}), merge.WSC_UPDATES)
+    path = archive.path("observation")
+    plain = sink.manifest
+    seen = plain(spark, path)
+    archive.upsert_observations(obs({"series_uid": "b", "datetime_utc": "2024-01-01"}), merge.WSC_UPDATES)
+    monkeypatch.setattr(sink, "manifest", lambda s, p: seen if p == path else plain(s, p))
+    with pytest.raises(RuntimeError, match="another writer"):
+        archive.write_months(obs({"series_uid": "c", "datetime_utc": "2024-01-01"}))
+    monkeypatch.undo()
+    assert rows(archive.read("observation"), "series_uid") == [("a",), ("b",)]
+
+
+def test_readers_keep_their_files_over_a_commit(archive, obs):
+    archive.upsert_observations(obs({"series_uid": "a", "datetime_utc": "2024-01-01"}), merge.WSC_UPDATES)
+    before = archive.read("observation")
+    archive.upsert_observations(obs({"series_uid": "a", "datetime_utc": "2024-01-01", "value": 7.0}), merge.WSC_UPDATES)
+    assert rows(before, "value") == [(1.0,)] and rows(archive.read("observation"), "value") == [(7.0,)]
+
+
+def test_a_running_job_is_in_the_ledger(archive):
+    def body(run_id):
+        assert rows(archive.read("pull_run"), "run_id", "status", "finished_ts") == [(run_id, "running", None)]
+        return 5
+    assert jobs.with_ledger(archive, "x", AS_OF, body) == 1
+    assert rows(archive.read("pull_run"), "run_id", "status", "rows_in") == [(1, "ok", 5)]
+
+
+def test_the_newest_pull_wins(archive, tmp_path):
+    import os
+    landing = tmp_path / "landing"
+    pages(landing, ("1", "2024-01-31T00:00:00Z", 9.0, None, None))
+    os.utime(landing / "0.json", (1, 1))
+    jobs.daily(archive, str(landing), AS_OF)
+    pages(landing, ("1", "2024-01-31T00:00:00Z", 1.5, None, None))
+    jobs.daily(archive, str(landing), AS_OF)
+    assert rows(archive.read("observation"), "value") == [(1.5,)]
+
+
+def test_the_newest_export_wins(archive, tmp_path):
+    import os
+    landing, reg = exports(tmp_path)
+    head = "\n".join(["m"] * 5 + ["t,v,g,a,q"])
+    for when, value, code in ((1, 9, 1200), (2, 1.5, 800)):
+        folder = tmp_path / "exports" / f"pull{when}"
+        folder.mkdir()
+        file = folder / "SGWL.Working@OW2.csv"
+        file.write_text(f"{head}\n2024-01-30 00:00:00,{value},,{code},\n")
+        os.utime(file, (10**9 * when, 10**9 * when))
+    jobs.groundwater(archive, landing, reg, AS_OF)
+    got = rows(archive.read("observation").filter("series_uid LIKE 'BC-OW2%'"), "value", "approval_level")
+    assert got == [(1.5, "working")]
+
+
+def test_dropped_rows_and_files_are_counted(archive, tmp_path, caplog):
+    landing, reg = exports(tmp_path)
+    head = "\n".join(["m"] * 5 + ["t,v,g,a,q"])
+    (tmp_path / "exports/SGWL.Working@OW1b.csv").write_text("m\nm\n")
+    (tmp_path / "exports/SGWL.Working@OW2.csv").write_text(f"{head}\nyesterday,1,,800,\n")
+    jobs.groundwater(archive, landing, reg, AS_OF)
+    assert "1 export rows without a readable time" in caplog.text and "1 export files without four columns" in caplog.text
+
+
+def test_backfill_takes_registered_stations_only(archive, spark):
+    flows = spark.createDataFrame([("1", datetime(2020, 1, 1).date(), 5.0, None), ("99ZZ", datetime(2020, 1, 1).date(), 5.0, None)], S.DAILY_HISTORY)
+    jobs.backfill(archive, flows, flows, AS_OF)
+    assert rows(archive.read("observation"), "series_uid") == [("WSC-1-H-daily",), ("WSC-1-Q-daily",)]
+
+
+def test_migrate_by_column_name(archive, spark, tmp_path):
+    root = tmp_path / "csv"
+    root.mkdir()
+    (root / "station").mkdir(), (root / "series").mkdir(), (root / "observation").mkdir()
+    (root / "station/a.csv").write_text("regulation_status,station_uid,name,lat,lon,operator\nnatural,WSC-9,nine,49.5,-119.5,WSC\n")
+    (root / "series/a.csv").write_text("series_uid,station_uid,parameter,units,interval,source_series_id\ns9,WSC-9,Q,m3/s,instant,x\n")
+    (root / "observation/a.csv").write_text(
+        "series_uid,datetime_utc,value,grade_code,approval_level,qualifier_flags,source,pull_run_id\n"
+        's9,2024-01-01 00:00:00+00,1.5,"",approved,E,wsc,3\n')
+    jobs.migrate(str(root), archive, AS_OF)
+    got = archive.read("observation").first()
+    assert (got.datetime_utc, got.value, got.grade_code, got.qualifier_flags, got.source, got.pull_run_id) == (
+        datetime(2024, 1, 1), 1.5, None, ["E"], "wsc", 3)
+    station = archive.read("station").filter("station_uid = 'WSC-9'").first()
+    assert (station.regulation_status, station.geom.lon, station.name) == ("natural", -119.5, "nine")
+    (root / "series/a.csv").write_text("series_uid,parameter\ns9,Q\n")
+    with pytest.raises(ValueError, match="lacks station_uid, interval"):
+        jobs.migrate(str(root), archive, AS_OF)
+    assert not sink.exists(spark, archive.path("_lock"))
+
+
+def test_dry_run_lists_all_datasets_and_the_total(spark, tmp_path):
+    landing, reg = exports(tmp_path)
+    lines = list(jobs.dry_run_lines(jobs.groundwater_dry_run(spark, landing, reg)))
+    assert len(lines) == 3 and lines[-1] == "total 3 readings in 1 datasets"
 
 
 def test_raw_landing_is_immutable(spark, tmp_path):
@@ -190,7 +295,8 @@ def test_raw_landing_is_immutable(spark, tmp_path):
 
 
 def test_cli_rejects_unknown_modes_and_missing_inputs(capsys):
-    for args in (["--mode", "hourly", "--archive", "x"], ["--mode", "gw", "--archive", "x", "--landing", "y"]):
+    for args in (["--mode", "hourly", "--archive", "x"], ["--mode", "gw", "--archive", "x", "--landing", "y"],
+                 ["--mode", "provincial", "--archive", "x", "--landing", "y", "--registry", "z", "--dry-run"]):
         with pytest.raises(SystemExit) as stop:
             jobs.main(args)
         assert stop.value.code != 0
@@ -206,6 +312,6 @@ def test_a_hot_month_is_written_by_many_tasks(spark, obs, tmp_path):
         F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("datetime_utc"),
         F.lit("bc").alias("source"), F.rand(1).alias("value"))
     Archive(session, str(tmp_path / "hot")).write_months(S.conform(rows_, S.OBSERVATION))
-    files = list((tmp_path / "hot/observation/ym=202401").glob("*.parquet"))
+    files = list((tmp_path / "hot/observation").glob("v=*/ym=202401/*.parquet"))
     assert len(files) > 3
     assert Archive(session, str(tmp_path / "hot")).read("observation").count() == 60000

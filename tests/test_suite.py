@@ -9,6 +9,8 @@ import pytest
 import __spark_entry__ as entry
 from check import TABLES, canonical
 from gaugelake.suite import driver_tables as D
+from gaugelake.suite.oracle import sql
+from gaugelake.suite.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables absent")
@@ -23,15 +25,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(sql()) and set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|EvalPython|InPandas|InArrow", plan)
-    got, want = df.toPandas(), con.execute(entry.oracle_sql()[name]).df()
+    got, want = df.toPandas(), con.execute(sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert canonical(got) == canonical(want)
 
@@ -49,12 +51,29 @@ def test_reports_scan_only_what_they_need(spark):
     cover = plan_of(reports.coverage(t))
     assert "struct<series_uid:string,datetime_utc:timestamp_ntz,source:string>" in cover
     assert "SortAggregate" not in cover
-    assert plan_of(reports.latest_per_series(t)).count("WindowGroupLimit") == 2
+    latest = plan_of(reports.latest_per_series(t))
+    assert "HashAggregate" in latest and not re.search("SortAggregate|Window", latest)
     audit = plan_of(reports.network_audit(t, D.BC_AS_OF))
     assert "EqualTo(source,bc)" in audit
     assert "TakeOrderedAndProject" in plan_of(reports.recent_runs(t))
 
 
+def test_small_batches_leave_the_target_where_it_is(spark):
+    """No sort aggregate, and the only shuffles are of the batch."""
+    from gaugelake.operators import merge
+    from gaugelake import schemas as S
+    t = D.archive(spark, SF)["observation"].drop("ym")
+    batch = spark.createDataFrame(t.limit(5).toPandas(), t.schema)
+    for merged in (merge.upsert_wsc(t, batch), merge.insert_ignore(t, batch, S.OBSERVATION_KEY)):
+        plan = plan_of(merged)
+        assert "SortAggregate" not in plan and "SortMergeJoin" not in plan
+        assert "BroadcastHashJoin" in plan
+
+
+def test_canonical_ranks_once(spark):
+    assert "SortAggregate" not in plan_of(QUERIES["canonical"](spark, SF))
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() == 9
 
@@ -64,7 +83,7 @@ def test_flagship(spark):
 def test_results_do_not_depend_on_the_session_zone(spark, con, name):
     spark.conf.set("spark.sql.session.timeZone", "America/Vancouver")
     try:
-        got = entry.queries()[name](spark, SF).toPandas()
+        got = QUERIES[name](spark, SF).toPandas()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert canonical(got) == canonical(con.execute(entry.oracle_sql()[name]).df())
+    assert canonical(got) == canonical(con.execute(sql()[name]).df())
