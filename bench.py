@@ -1,7 +1,7 @@
 """Headline timings: builds the archive, then runs the reports and merges over it.
 
 Prints one JSON line. ``queries`` holds warm seconds (median of three after a first run),
-``cold`` the first run of each, ``rows_per_sec`` the archive rows over the warm seconds for the
+``cold`` the first run of each, ``jobs`` one run of each source, job and stream, ``rows_per_sec`` the archive rows over the warm seconds for the
 three queries the reference publishes timings for.
 """
 
@@ -24,6 +24,9 @@ HEADLINE = [
     "reshape_long", "export_normalise", "upsert_wsc", "upsert_bc", "insert_ignore", "audit_gaps", "audit_compare",
     "dq_duplicate_keys", "dq_orphans", "canonical", "obs_with_corrections", "name_trigram_match",
 ]
+# Sources, jobs and streams write and read files of their own; each is timed once.
+JOBS = ["export_file_scan", "geojson_pages", "raw_landing", "migrate_export_columns", "backfill_daily", "daily_job",
+        "provincial_job", "stream_upsert", "replace_slice", "rated_discharge", "nearest_station"]
 PUBLISHED = {"kpi_overview", "obs_per_day_60d", "coverage"}
 
 
@@ -50,9 +53,10 @@ def main() -> None:
     for name in HEADLINE:
         cold[name] = round(run(name), 3)
         warm[name] = round(statistics.median(run(name) for _ in range(3)), 3)
+    jobs = {name: round(run(name), 3) for name in JOBS}
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(warm.values()), 3), "unit": "sec",
-        "queries": warm, "cold": cold, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "queries": warm, "cold": cold, "jobs": jobs, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "observations": rows, "cpus": int(cpus), "driver_memory": "16g", "shuffle_partitions": int(cpus),
         "rows_per_sec": {name: round(rows / warm[name]) for name in PUBLISHED},
     }))

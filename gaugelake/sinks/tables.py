@@ -14,6 +14,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
@@ -123,12 +124,27 @@ def manifest(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
 
 
 def read(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    """The table as its newest manifest has it, or None where there is none. ``schema`` holds the partition column too."""
+    """The table as its newest manifest has it, or None where there is none. ``schema`` holds the partition column too.
+
+    Whole versions are listed, and a filter on the folder columns, which prunes before any file is opened, leaves the
+    partitions of each that the manifest names.
+    """
     _, parts = manifest(spark, path)
     if not parts:
         return None
-    folders = [f"{path}/v={version}/{part}".rstrip("/") for part, version in sorted(parts.items())]
-    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(schema.names)
+    live: dict[str, list[str]] = {}
+    for part, version in sorted(parts.items()):
+        live.setdefault(version, []).append(part)
+    rows = (spark.read.schema(T.StructType([*schema.fields, T.StructField("v", T.StringType())])).option("basePath", path)
+            .parquet(*(f"{path}/v={version}" for version in live)))
+    if WHOLE not in parts:
+        named = F.lit(False)
+        for version, names in live.items():
+            column = names[0].split("=")[0]
+            values = F.array(*(F.lit(int(n.split("=")[1])) for n in names))
+            named |= (F.col("v") == version) & F.array_contains(values, F.col(column))
+        rows = rows.filter(named)
+    return rows.select(schema.names)
 
 
 def commit(df: DataFrame, path: str, partition_by: list[str] | None = None, sort_by: list[str] | None = None,
