@@ -6,7 +6,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugelake.llm.common import batch_of, grams, keep, mix, per_slice, word_codes, words_of
@@ -17,6 +17,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32  # a pair at 0.8 shares a key with probability 1 - (1 - 0.8 ** MINIMA) ** SKETCHES, over 0.9999
 MINIMA = 6
+OFFSETS = (1, 2)  # a pair at 0.8 that no original joins agrees in two such sketches with probability 0.95, one at 0.85 with 0.998
+LEADERS_GROW = 8  # times as many leaders a bucket in each further round
 SEED = 20240611
 
 
@@ -82,26 +84,30 @@ def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
     return len(tails)
 
 
+def allowance(total: int, similarity: float) -> int:
+    """Unmatched grams that a pair with ``total`` grams may have: matched / (total - matched) >= similarity."""
+    return int(total * (1 - similarity) / (1 + similarity) + 1e-9)
+
+
 def alike(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     """Whether matched / (grams of both - matched) reaches ``similarity`` in the best order-keeping alignment.
 
-    That needs at most total * (1 - s) / (1 + s) unmatched grams, which also bounds how far a match can shift.
+    The band is the allowance: in an alignment with so few unmatched grams no match can be shifted further.
     """
     total = len(a) + len(b)
-    most = int(total * (1 - similarity) / (1 + similarity) + 1e-9)
-    if abs(len(a) - len(b)) > most:
-        return False
-    return total - 2 * aligned(a, b, most) <= most
+    most = allowance(total, similarity)
+    return abs(len(a) - len(b)) <= most and total - 2 * aligned(a, b, most) <= most
 
 
 def keys_of(base: DataFrame) -> DataFrame:
-    arrow = pa.schema([("k", pa.int64()), ("t", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    arrow = pa.schema([("k", pa.int64()), ("t", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
-        keys = [sketch(labelled(text)).view(np.int64) for text in part.column("text").to_pylist()]
-        return batch_of(arrow, part.column("k"), part.column("t"), keys)
+        codes = [labelled(text) for text in part.column("text").to_pylist()]
+        return batch_of(arrow, part.column("k"), part.column("t"), [len(c) for c in codes],
+                        [sketch(c).view(np.int64) for c in codes])
 
-    return base.mapInArrow(per_slice(run), "k long, t long, keys array<long>")
+    return base.mapInArrow(per_slice(run), "k long, t long, n long, keys array<long>")
 
 
 def sequences(base: DataFrame) -> DataFrame:
@@ -114,55 +120,97 @@ def sequences(base: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, grams_of: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``a``, ``b`` whose texts are alike."""
-    arrow = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """``a``, ``b``, whether they are ``alike``, the grams that b adds to a, and how many of a's it lacks."""
+    arrow = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("alike", pa.bool_()), ("added", pa.list_(pa.int64())), ("lacks", pa.int64())])
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
-        good = [alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), similarity)
-                for x, y in zip(part.column("ga").to_pylist(), part.column("gb").to_pylist())]
-        return part.select(["a", "b"]).filter(pa.array(good, pa.bool_())).cast(arrow)
+        good, added, lacks = [], [], []
+        for x, y in zip(part.column("ga").to_pylist(), part.column("gb").to_pylist()):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            good.append(alike(x, y, similarity))
+            added.append(np.setdiff1d(y, x, assume_unique=True).view(np.int64))
+            lacks.append(len(x) - (len(y) - len(added[-1])))
+        return batch_of(arrow, part.column("a"), part.column("b"), good, added, lacks)
 
     left = grams_of.select(F.col("t").alias("a"), F.col("grams").alias("ga"))
     right = grams_of.select(F.col("t").alias("b"), F.col("grams").alias("gb"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ga", "gb").mapInArrow(per_slice(run, "gb"), "a long, b long")
+    return (pairs.join(right, "b").join(left, "a").select("a", "b", "ga", "gb")
+            .mapInArrow(per_slice(run, "gb"), "a long, b long, alike boolean, added array<long>, lacks long"))
+
+
+def pair_keys(keys: F.Column) -> F.Column:
+    """Keys of the pairs of sketches that lie OFFSETS apart: texts that share one agree in both sketches."""
+    n = F.size(keys)
 
+    def apart(d: int) -> F.Column:
+        return F.transform(keys, lambda x, i: F.xxhash64(x, F.element_at(keys, ((i + d) % n + 1).cast("int")), F.lit(d)))
 
-def linked(base: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame | None:
-    """``id`` and ``label`` of the texts that have a link; None where there are none.
+    return F.flatten(F.array(*(apart(d) for d in OFFSETS)))
 
-    Texts that share a key of a sketch are candidates. In each bucket the first member in a random order leads and
-    is compared with those of other components; then the next member leads, and so on, until no bucket holds members
-    of different components that have not been compared. So the components are those of all links between
-    candidates, without listing all pairs of a bucket.
+
+def linked(base: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame:
+    """``id`` and ``label`` (least id of the component) of the texts that have a link.
+
+    First each bucket of a sketch: the member that shares most keys with others, the likely original of a family, is
+    compared with all members. That joins the family. What a member adds to its original and lacks of it is kept.
+
+    Then what the originals did not join: texts that agree in two sketches (pair_keys) and are in different
+    components. Members of the smallest components of a bucket lead, in rounds with ever more leaders, and are
+    compared with members of other components, but for those that cannot be alike: two texts with one original
+    differ by their changes to it without the changes they share, and of those they lack they share at most what
+    the one with fewer lacks; if that leaves too many, they must add some gram in common. A bucket is done when one
+    component is left, or all of its members but those of the largest one have led. No family is compared pair by
+    pair.
     """
-    keys = keep(keys_of(base).join(firsts, ["k", "t"]).select("t", F.explode("keys").alias("key")).distinct(), "near-keys")
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    waiting = keep(keys.join(shared, "key").select("key", "t", F.xxhash64("t").alias("r")), "near-buckets")
-    ids = waiting.select("t").distinct()
-    grams_of = keep(sequences(base.join(firsts, ["k", "t"]).join(ids, "t").dropDuplicates(["t"])), "near-grams")
-    labels, links, done = None, None, None
+    sketched = keys_of(base).join(firsts, ["k", "t"]).dropDuplicates(["t"]).select("t", "n", "keys")
+    keys = keep(sketched, "near-keys")
+    single = keys.select("t", F.explode("keys").alias("key"))
+    shared = single.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    buckets = keep(single.join(shared, "key"), "near-buckets")
+    hubs = buckets.groupBy("t").agg(F.sum("members").alias("degree"))
+    grams_of = keep(sequences(base.join(firsts, ["k", "t"]).join(hubs.select("t"), "t").dropDuplicates(["t"])), "near-grams")
+
+    ranked = buckets.select("key", "t").join(hubs, "t")
+    pivots = ranked.groupBy("key").agg(F.max(F.struct("degree", "t")).alias("top"))
+    starred = ranked.join(pivots, "key").where("t <> top.t").select("t", "top").distinct()
+    pairs = keep(starred.select(F.col("top.t").alias("a"), F.col("t").alias("b"), F.col("top.degree").alias("degree")), "near-pairs")
+    found = keep(verified(pairs.select("a", "b"), grams_of, similarity), "near-compared")
+    done = found.select("a", "b")
+    own = (pairs.groupBy("b").agg(F.max(F.struct("degree", "a")).alias("p")).select("b", F.col("p.a").alias("a"))
+           .join(found, ["a", "b"]).select(F.col("b").alias("t"), F.col("a").alias("original"), "added", "lacks"))
+    waiting = keep(keys.join(hubs, "t").join(own, "t", "left")
+                   .select("t", "n", "degree", "original", "added", "lacks", F.explode(pair_keys(F.col("keys"))).alias("key")), "near-waiting")
+    labels, leaders = None, LEADERS_GROW
+    carried = ["t", "n", "degree", "original", "added", "lacks"]
     while True:
-        if labels is None:
-            known = waiting.withColumn("label", F.col("t"))
-        else:
-            known = (waiting.join(labels, F.col("t") == F.col("id"), "left")
-                     .select("key", "t", "r", F.coalesce("label", "t").alias("label")))
-        mixed = (known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                          F.min(F.struct("r", "t", "label")).alias("lead"))
-                 .where("lo <> hi").select("key", "lead"))
-        waiting = keep(known.join(mixed, "key"), "near-open")
-        if waiting.isEmpty():
+        stars = found.where("alike").select("a", "b")
+        if labels is not None:
+            stars = stars.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
+        labels = keep(components(stars), "near-labels")
+        known = (waiting.join(labels, F.col("t") == F.col("id"), "left")
+                 .select("key", *carried, F.coalesce("label", "t").alias("label")))
+        mixed = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+        known = keep(known.join(mixed, "key"), "near-open")
+        parts = known.groupBy("key", "label").agg(F.count("*").alias("size"))
+        largest = parts.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top"))
+        order = Window.partitionBy("key").orderBy("size", "label", F.desc("degree"), "t")
+        lead = (known.join(parts.join(largest, "key").where("label <> top.label").select("key", "label", "size"), ["key", "label"])
+                .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= leaders))
+        lead = keep(lead.select(*(F.col(c).alias("l_" + c) for c in ("key", *carried, "label"))), "near-lead")
+        if lead.isEmpty():
             return labels
-        pairs = waiting.where("label <> lead.label").select(F.col("lead.t").alias("a"), F.col("t").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = keep(pairs, "near-pairs")
-        found = keep(verified(pairs, grams_of, similarity), "near-links")
-        done = pairs if done is None else done.unionByName(pairs)
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = keep(components(links), "near-labels")
-        waiting = waiting.where("r <> lead.r").select("key", "t", "r")
+        most = (F.col("n") + F.col("l_n")) * ((1 - similarity) / (1 + similarity)) + 1e-9
+        changes = F.size("added") + F.size("l_added") + F.col("lacks") + F.col("l_lacks")
+        apart = ((F.col("original") == F.col("l_original")) & (changes - 2 * F.least("lacks", "l_lacks") > most)
+                 & ~F.arrays_overlap("added", "l_added"))
+        on = (F.col("key") == F.col("l_key")) & (F.col("label") != F.col("l_label")) & ~F.coalesce(apart, F.lit(False))
+        pairs = (known.join(lead, on).select(F.least("t", "l_t").alias("a"), F.greatest("t", "l_t").alias("b")).distinct()
+                 .join(done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+        found = keep(verified(keep(pairs, "near-pairs"), grams_of, similarity), "near-compared")
+        done = done.unionByName(found.select("a", "b"))
+        waiting = (known.join(lead.select(F.col("l_key").alias("key"), F.col("l_t").alias("t")), ["key", "t"], "left_anti")
+                   .select("key", *carried))
+        leaders *= LEADERS_GROW
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -172,15 +220,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """
     base = keyed(docs).where(F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
     firsts = base.groupBy("t").agg(F.min("k").alias("k"))
-    labels = linked(base, firsts, similarity)
-    if labels is None:
-        nodes = firsts.select("t", F.struct("k", "t").alias("lead"))
-    else:
-        near = labels.join(firsts, F.col("id") == F.col("t")).select("t", "k", "label")
-        leads = near.groupBy("label").agg(F.min(F.struct("k", "t")).alias("lead"))
-        near = near.join(leads, "label").select("t", "lead")
-        nodes = (firsts.join(near, "t", "left")
-                 .select("t", F.coalesce("lead", F.struct("k", "t")).alias("lead")))
+    near = linked(base, firsts, similarity).join(firsts, F.col("id") == F.col("t")).select("t", "k", "label")
+    leads = near.groupBy("label").agg(F.min(F.struct("k", "t")).alias("lead"))
+    near = near.join(leads, "label").select("t", "lead")
+    nodes = firsts.join(near, "t", "left").select("t", F.coalesce("lead", F.struct("k", "t")).alias("lead"))
     return base.select("k", "t").join(nodes, "t").select("k", "t", "lead")
 
 
