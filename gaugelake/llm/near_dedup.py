@@ -184,9 +184,11 @@ def linked(base: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame:
     carried = ["t", "n", "degree", "original", "added", "lacks"]
     while True:
         stars = found.where("alike").select("a", "b")
-        if labels is not None:
+        if labels is None:
+            labels = keep(components(stars), "near-labels")
+        elif not stars.isEmpty():
             stars = stars.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
-        labels = keep(components(stars), "near-labels")
+            labels = keep(components(stars), "near-labels")
         known = (waiting.join(labels, F.col("t") == F.col("id"), "left")
                  .select("key", *carried, F.coalesce("label", "t").alias("label")))
         mixed = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
