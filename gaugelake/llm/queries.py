@@ -37,13 +37,14 @@ def span_list(spans) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def of_kinds(*kinds: str) -> F.Column:
+    return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(documents(ship(spark), sf_dir))
-    return found.select(
-        "doc_id",
-        *(F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE),
-        F.sha2(span_list(F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))), 256).alias("base_sha256"),
-        span_list(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *(F.size(of_kinds(kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE),
+                        F.sha2(span_list(of_kinds(*pii.BASE)), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
 
 
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,14 @@
+import hashlib
+import re
+
 import corpus_pipeline
 from gaugelake.llm import near_dedup, pii
-from gaugelake.llm.queries import QUERIES, SQL, WORD_VOCABULARY
+from gaugelake.llm.queries import PIECE_VOCABULARY, QUERIES, SQL, WORD_VOCABULARY
 from gaugelake.llm import vocab
-from helpers import corpus, frame
+from helpers import awkward, corpus, frame
 from test_near import by_hand
 from test_repeats import passages_by_hand
+from test_texts import plain
 
 
 def test_stages_by_hand(spark, tmp_path):
@@ -35,3 +39,32 @@ def test_stages_by_hand(spark, tmp_path):
 def test_every_operator_has_a_query():
     assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
     assert set(SQL) <= set(QUERIES) and [n for n, _ in corpus_pipeline.STAGES][1] == "near_duplicates"
+
+
+def test_digest_columns(spark, tmp_path):
+    """The queries' digests over documents of every awkward kind, against the plain definitions."""
+    texts = [*awkward(), "write to x.y@z.org or 10.1.2.3, card 4111-1111-1111-1111 and +49 30 1234567", "two  words"]
+    frame(spark, texts).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def sha(data):
+        return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
+    run = {name: {r.doc_id: r for r in q(spark, str(tmp_path)).collect()} for name, q in QUERIES.items()
+           if name.startswith(("op2", "op3", "op5", "op7", "op8", "op10"))}
+    model = vocab.chunk_ids(vocab.path(PIECE_VOCABULARY)).model
+    for i, text in enumerate(texts):
+        text = text or ""
+        spans = [f"{k}:{s}:{e}" for k, s, e in plain(text)]
+        r = run["op5_pii"][i]
+        assert r.base_sha256 == sha(",".join(spans)) and [r.n_email, r.n_ip, r.n_card, r.n_phone] == [
+            sum(s.startswith(k) for s in spans) for k in ("email", "ip", "card", "phone")]
+        assert set(spans) <= set(r.spans.split(","))  or not spans
+        ids = model.encode(text)
+        r = run["op7_chunk_table"][i]
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(model.decode(ids)))
+        words = [w for w in re.split("[ \t\n\x0b\x0c\r]+", text) if w]
+        r = run["op2_phrase_automata"][i]
+        assert (r.n_words, r.n_removed, r.kept_sha256) == (len(words), 0, sha(" ".join(words)))
+        assert run["op10_column_transform"][i].n_bytes == len(text.encode())
+        assert run["op3_fertility"][i].base_failed is (len(words) < 20 or run["op3_fertility"][i].n_repeat_words * 100 > 30 * len(words))
+        assert run["op8_hyperdimensional"][i].held_out in (True, False)
+    assert run["op10_column_transform"][8].n_removed == 3000 and run["op10_column_transform"][8].n_spans == 1
