@@ -12,6 +12,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,46 +92,63 @@ def permuted(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
+MOST_FILES = 200_000  # whose counts, some 100 bytes each, are broadcast; with more the planner decides
+
+
 def numbered(written: DataFrame) -> DataFrame:
     """A written table with ``index`` (0, 1, ... without gaps): rows before the file, by name, plus the row in the file."""
     rows = written.withColumns({"file": F.col("_metadata.file_name"), "row": F.col("_metadata.row_index")})
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = (rows.groupBy("file").agg(F.count("*").alias("n"))  # one row a file
              .select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
+    if len(written.inputFiles()) <= MOST_FILES:
+        files = F.broadcast(files)  # so that the sequences do not move for this
     return rows.join(files, "file").withColumn("index", F.col("before") + F.col("row")).drop("file", "row", "before")
 
 
-def slotted(written: DataFrame, key: int = KEY) -> tuple[DataFrame, int]:
-    """A written table with ``slot``, and its number of rows."""
+def materialise(written: DataFrame, folder: str, length: int = LENGTH, key: int = KEY, per_shard: int = PER_SHARD) -> DataFrame:
+    """Write the sequences of a written table as shards under ``folder``; returns ``slot``, ``shard``, ``byte_offset``,
+    ``n_tokens``, ``ids_crc32`` and ``docs`` of each. Shard i is the file ``part-<i>-``. An empty table gives no rows."""
     total = written.count()
+    per_shard = max(per_shard, math.ceil(total / MOST_SHARDS))
+    shards = max(1, math.ceil(total / per_shard))
+    moved = pa.schema([("slot", pa.int64()), ("shard", pa.int32()), ("ids", pa.binary())])
+    placed = pa.schema([("ids", pa.binary())])
+
+    def deal(batches):
+        squeeze = zstandard.ZstdCompressor(level=5).compress  # the ids move at two thirds of their size
+        for batch in batches:
+            slot = permuted(batch.column("index").to_numpy(), total, key)
+            yield batch_of(moved, pa.array(slot), pa.array((slot // per_shard).astype(np.int32)),
+                           [squeeze(d) for d in batch.column("ids").to_pylist()])
+
+    def place(batches):
+        expand = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            yield batch_of(placed, [expand(d) for d in batch.column("ids").to_pylist()])
 
     @F.pandas_udf("long")
     def slot(index: pd.Series) -> pd.Series:
         return pd.Series(permuted(index.to_numpy(), total, key))
 
-    return numbered(written).withColumn("slot", slot("index")).drop("index"), total
-
-
-def materialise(written: DataFrame, folder: str, length: int = LENGTH, key: int = KEY, per_shard: int = PER_SHARD) -> DataFrame:
-    """Write the sequences of a written table as shards under ``folder``; returns ``slot``, ``shard``, ``byte_offset``,
-    ``n_tokens``, ``ids_crc32`` and ``docs`` of each. Shard i is the i-th file by name. An empty table gives no rows."""
-    rows, total = slotted(written, key)
-    per_shard = max(per_shard, math.ceil(total / MOST_SHARDS))
-    shards = max(1, math.ceil(total / per_shard))
-    (rows.select("slot", "ids", F.floor(F.col("slot") / per_shard).cast("int").alias("shard"))
-     .repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot")
-     .select("shard", F.col("ids").cast("string").alias("value"))
-     .write.partitionBy("shard").option("lineSep", RECORD_END).text(folder))
+    rows = numbered(written)
+    # slots are dense, so the ranges are known: partition i takes the slots of shard i, and nothing is sampled
+    (rows.select("index", "ids").mapInArrow(deal, "slot long, shard int, ids binary")
+     .repartitionById(shards, "shard").sortWithinPartitions("slot").select("ids")
+     .mapInArrow(place, "ids binary").select(F.col("ids").cast("string").alias("value"))
+     .write.option("lineSep", RECORD_END).text(folder))
     stride = 2 * length + 2
-    return rows.select("slot", F.floor(F.col("slot") / per_shard).cast("int").alias("shard"),
-                       ((F.col("slot") % per_shard) * stride).alias("byte_offset"), "n_tokens", "ids_crc32", "docs")
+    return rows.withColumn("slot", slot("index")).select(
+        "slot", F.floor(F.col("slot") / per_shard).cast("int").alias("shard"),
+        ((F.col("slot") % per_shard) * stride).alias("byte_offset"), "n_tokens", "ids_crc32", "docs")
 
 
 def read_slots(spark, folder: str, first: int, last: int, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
     """``slot`` and ``ids`` of the slots from ``first`` to before ``last``, from the shards that hold them."""
     stride = 2 * length + 2
-    files = (spark.read.format("binaryFile").option("basePath", folder)
-             .load([f"{folder}/shard={s}" for s in range(first // per_shard, (last - 1) // per_shard + 1)]))
+    files = (spark.read.format("binaryFile")
+             .load([f"{folder}/part-{s:05d}-*" for s in range(first // per_shard, (last - 1) // per_shard + 1)])
+             .select(F.regexp_extract(F.substring_index("path", "/", -1), "part-([0-9]+)-", 1).cast("int").alias("shard"), "content"))
     schema = pa.schema([("slot", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
@@ -141,7 +159,7 @@ def read_slots(spark, folder: str, first: int, last: int, length: int = LENGTH,
                 held = (slot >= first) & (slot < last)
                 yield batch_of(schema, slot[held], list(table[held]))
 
-    return files.select("shard", "content").mapInArrow(run, "slot long, ids array<int>")
+    return files.mapInArrow(run, "slot long, ids array<int>")
 
 
 def in_training_order(docs: DataFrame, file: str, folder: str, length: int = LENGTH, key: int = KEY,
