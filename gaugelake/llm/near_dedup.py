@@ -17,7 +17,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32  # a pair at 0.8 shares a key with probability 1 - (1 - 0.8 ** MINIMA) ** SKETCHES, over 0.9999
 MINIMA = 6
-OFFSETS = (1, 2)  # a pair at 0.8 that no original joins agrees in two such sketches with probability 0.95, one at 0.85 with 0.998
 LEADERS_GROW = 8  # times as many leaders a bucket in each further round
 SEED = 20240611
 
@@ -138,29 +137,19 @@ def verified(pairs: DataFrame, grams_of: DataFrame, similarity: float) -> DataFr
             .mapInArrow(per_slice(run, "gb"), "a long, b long, alike boolean, added array<long>, lacks long"))
 
 
-def pair_keys(keys: F.Column) -> F.Column:
-    """Keys of the pairs of sketches that lie OFFSETS apart: texts that share one agree in both sketches."""
-    n = F.size(keys)
-
-    def apart(d: int) -> F.Column:
-        return F.transform(keys, lambda x, i: F.xxhash64(x, F.element_at(keys, ((i + d) % n + 1).cast("int")), F.lit(d)))
-
-    return F.flatten(F.array(*(apart(d) for d in OFFSETS)))
-
-
 def linked(base: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame:
     """``id`` and ``label`` (least id of the component) of the texts that have a link.
 
     First each bucket of a sketch: the member that shares most keys with others, the likely original of a family, is
     compared with all members. That joins the family. What a member adds to its original and lacks of it is kept.
 
-    Then what the originals did not join: texts that agree in two sketches (pair_keys) and are in different
-    components. Members of the smallest components of a bucket lead, in rounds with ever more leaders, and are
-    compared with members of other components, but for those that cannot be alike: two texts with one original
-    differ by their changes to it without the changes they share, and of those they lack they share at most what
-    the one with fewer lacks; if that leaves too many, they must add some gram in common. A bucket is done when one
-    component is left, or all of its members but those of the largest one have led. No family is compared pair by
-    pair.
+    Then what the originals did not join: the buckets that hold several components. Members of the smallest
+    components of a bucket lead, in rounds with ever more leaders, and are compared with members of other components,
+    but for those that cannot be alike: texts whose numbers of grams differ by more than they may differ in all, and
+    texts with one original whose changes to it, without those they share, are too many (what both add is counted,
+    of what they lack they share at most what the one with fewer lacks). A bucket is done when one component is left,
+    or all of its members but those of the largest one have led: every pair that shares a key is then joined, compared
+    or ruled out.
     """
     sketched = keys_of(base).join(firsts, ["k", "t"]).dropDuplicates(["t"]).select("t", "n", "keys")
     keys = keep(sketched, "near-keys")
@@ -178,10 +167,9 @@ def linked(base: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame:
     done = found.select("a", "b")
     own = (pairs.groupBy("b").agg(F.max(F.struct("degree", "a")).alias("p")).select("b", F.col("p.a").alias("a"))
            .join(found, ["a", "b"]).select(F.col("b").alias("t"), F.col("a").alias("original"), "added", "lacks"))
-    waiting = keep(keys.join(hubs, "t").join(own, "t", "left")
-                   .select("t", "n", "degree", "original", "added", "lacks", F.explode(pair_keys(F.col("keys"))).alias("key")), "near-waiting")
-    labels, leaders = None, LEADERS_GROW
     carried = ["t", "n", "degree", "original", "added", "lacks"]
+    texts = keep(keys.join(hubs, "t").join(own, "t", "left").select(carried), "near-texts")
+    waiting, labels, leaders = buckets.select("key", "t"), None, LEADERS_GROW
     while True:
         stars = found.where("alike").select("a", "b")
         if labels is None:
@@ -190,9 +178,9 @@ def linked(base: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame:
             stars = stars.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
             labels = keep(components(stars), "near-labels")
         known = (waiting.join(labels, F.col("t") == F.col("id"), "left")
-                 .select("key", *carried, F.coalesce("label", "t").alias("label")))
+                 .select("key", "t", F.coalesce("label", "t").alias("label")))
         mixed = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-        known = keep(known.join(mixed, "key"), "near-open")
+        known = keep(known.join(mixed, "key").join(texts, "t").select("key", *carried, "label"), "near-open")
         parts = known.groupBy("key", "label").agg(F.count("*").alias("size"))
         largest = parts.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top"))
         order = Window.partitionBy("key").orderBy("size", "label", F.desc("degree"), "t")
@@ -202,16 +190,17 @@ def linked(base: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame:
         if lead.isEmpty():
             return labels
         most = (F.col("n") + F.col("l_n")) * ((1 - similarity) / (1 + similarity)) + 1e-9
-        changes = F.size("added") + F.size("l_added") + F.col("lacks") + F.col("l_lacks")
-        apart = ((F.col("original") == F.col("l_original")) & (changes - 2 * F.least("lacks", "l_lacks") > most)
-                 & ~F.arrays_overlap("added", "l_added"))
+        changes = F.size("added") + F.size("l_added") + F.abs(F.col("lacks") - F.col("l_lacks"))
+        apart = (F.abs(F.col("n") - F.col("l_n")) > most) | ((F.col("original") == F.col("l_original")) & (changes > most) & (
+            (changes - 2 * F.least(F.size("added"), F.size("l_added")) > most)
+            | (changes - 2 * F.size(F.array_intersect("added", "l_added")) > most)))
         on = (F.col("key") == F.col("l_key")) & (F.col("label") != F.col("l_label")) & ~F.coalesce(apart, F.lit(False))
         pairs = (known.join(lead, on).select(F.least("t", "l_t").alias("a"), F.greatest("t", "l_t").alias("b")).distinct()
                  .join(done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
         found = keep(verified(keep(pairs, "near-pairs"), grams_of, similarity), "near-compared")
         done = done.unionByName(found.select("a", "b"))
         waiting = (known.join(lead.select(F.col("l_key").alias("key"), F.col("l_t").alias("t")), ["key", "t"], "left_anti")
-                   .select("key", *carried))
+                   .select("key", "t"))
         leaders *= LEADERS_GROW
 
 

@@ -42,6 +42,22 @@ def test_classes_match_all_pairs(spark):
     assert got == by_hand(list(enumerate(texts)))
 
 
+def test_pairs_that_a_third_text_does_not_join(spark):
+    rng = random.Random(8)
+    base = [f"{rng.choice(WORDS)}{rng.randrange(10**6)}" for _ in range(94)]
+    texts = [" ".join(base)]
+    for pair in range(150):  # each of a pair is alike to its fellow by 0.8, to the template and all others by under 0.7
+        common = base[:10] + [f"w{pair}x{i}" for i in range(9)] + base[19:]
+        for at in (45, 85):
+            words = list(common)
+            words[at] = f"own{pair}"
+            texts.append(" ".join(words))
+    want = by_hand(list(enumerate(texts)))
+    assert len(set(want.values())) > 100 and sum(i != c for i, c in want.items()) > 100
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(frame(spark, texts)).collect()}
+    assert got == want
+
+
 def test_one_of_each_keeps_the_least_id_and_texts_without_words(spark):
     texts = family()
     docs = frame(spark, texts + texts[:2], [*range(len(texts)), 0, 1])
