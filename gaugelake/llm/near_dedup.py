@@ -17,6 +17,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32  # a pair at 0.8 shares a key with probability 1 - (1 - 0.8 ** MINIMA) ** SKETCHES, over 0.9999
 MINIMA = 6
+FEW = 64  # texts of up to so many grams have FEW_SKETCHES more keys, of FEW_MINIMA grams: the chance above falls with the
+FEW_SKETCHES = 16  # number of grams (0.990 for 8 of 10 in common) and with these is over 0.9998 at every number
+FEW_MINIMA = 4
+WHOLE = 8  # pairs of up to 17 grams in all may differ by one gram: that of up to WHOLE grams is the other without one gram
 LEADERS_GROW = 8  # times as many leaders a bucket in each further round
 SEED = 20240611
 
@@ -38,12 +42,12 @@ def labelled(text: str | None, k: int = SHINGLE) -> np.ndarray:
     return mix(codes + nth * np.uint64(0xD1342543DE82EF95))
 
 
-def sketch(codes: np.ndarray, sketches: int = SKETCHES, minima: int = MINIMA) -> np.ndarray:
+def sketch(codes: np.ndarray, sketches: int = SKETCHES, minima: int = MINIMA, seed: int = SEED) -> np.ndarray:
     """One key per random order: its ``minima`` least grams, taken in text order."""
     n = len(codes)
     if not n:
         return np.empty(0, np.uint64)
-    salts = mix(np.arange(SEED, SEED + sketches, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    salts = mix(np.arange(seed, seed + sketches, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     keys = np.empty(sketches, np.uint64)
     step = max(1, (1 << 18) // n)
     for at in range(0, sketches, step):
@@ -63,6 +67,28 @@ def sketch(codes: np.ndarray, sketches: int = SKETCHES, minima: int = MINIMA) ->
     return keys
 
 
+def sketch_keys(codes: np.ndarray) -> np.ndarray:
+    """The keys of a text. One of up to MINIMA grams has none: pairs with it can only differ by one gram (short_keys)."""
+    if len(codes) <= MINIMA:
+        return np.empty(0, np.uint64)
+    more = sketch(codes, FEW_SKETCHES, FEW_MINIMA, SEED + SKETCHES) if len(codes) <= FEW else np.empty(0, np.uint64)
+    return np.r_[sketch(codes), more]
+
+
+def short_keys(codes: np.ndarray) -> tuple[int | None, np.ndarray]:
+    """A key of all grams in order, for texts of up to WHOLE grams, and the keys of what is left without one gram, for
+    texts of 5 to WHOLE + 1 grams. With fewer, one gram more or less is below the threshold."""
+    n = len(codes)
+
+    def key(own: np.ndarray) -> np.ndarray:
+        return grams(own, len(own), 0xC2B2AE3D27D4EB4F)
+
+    whole = int(key(codes).view(np.int64)[0]) if 0 < n <= WHOLE else None
+    if not 5 <= n <= WHOLE + 1:
+        return whole, np.empty(0, np.uint64)
+    return whole, np.unique(np.concatenate([key(np.delete(codes, i)) for i in range(n)]))
+
+
 def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Length of the longest common subsequence whose matches lie within ``band`` places of each other.
 
@@ -99,14 +125,26 @@ def alike(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
 
 
 def keys_of(base: DataFrame) -> DataFrame:
-    arrow = pa.schema([("k", pa.int64()), ("t", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    arrow = pa.schema([("k", pa.int64()), ("t", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())),
+                       ("whole", pa.int64()), ("without", pa.list_(pa.int64()))])
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         codes = [labelled(text) for text in part.column("text").to_pylist()]
+        short = [short_keys(c) for c in codes]
         return batch_of(arrow, part.column("k"), part.column("t"), [len(c) for c in codes],
-                        [sketch(c).view(np.int64) for c in codes])
+                        [sketch_keys(c).view(np.int64) for c in codes], [w for w, _ in short],
+                        [left.view(np.int64) for _, left in short])
+
+    return base.mapInArrow(per_slice(run), "k long, t long, n long, keys array<long>, whole long, without array<long>")
+
 
-    return base.mapInArrow(per_slice(run), "k long, t long, n long, keys array<long>")
+def short_pairs(keys: DataFrame) -> DataFrame:
+    """``a``, ``b``: texts with the grams of a, or these and one more, each with one text of those grams. What is
+    joined to nothing here differs by more than one gram from every text of up to WHOLE grams."""
+    wholes = keys.where("whole IS NOT NULL").groupBy(F.col("whole").alias("key")).agg(F.min("t").alias("a"))
+    members = (keys.where("whole IS NOT NULL").select("t", F.col("whole").alias("key"))
+               .unionByName(keys.select("t", F.explode("without").alias("key"))))
+    return members.join(wholes, "key").where("t <> a").select("a", F.col("t").alias("b"))
 
 
 def sequences(base: DataFrame) -> DataFrame:
@@ -140,7 +178,7 @@ def verified(pairs: DataFrame, grams_of: DataFrame, similarity: float) -> DataFr
 def linked(base: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame:
     """``id`` and ``label`` (least id of the component) of the texts that have a link.
 
-    First each bucket of a sketch: the member that shares most keys with others, the likely original of a family, is
+    Pairs of so few grams that they may differ by only one are found by short_keys, all others by sketches. First each bucket of a sketch: the member that shares most keys with others, the likely original of a family, is
     compared with all members. That joins the family. What a member adds to its original and lacks of it is kept.
 
     Then what the originals did not join: the buckets that hold several components. Members of the smallest
@@ -151,18 +189,22 @@ def linked(base: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame:
     or all of its members but those of the largest one have led: every pair that shares a key is then joined, compared
     or ruled out.
     """
-    sketched = keys_of(base).join(firsts, ["k", "t"]).dropDuplicates(["t"]).select("t", "n", "keys")
+    sketched = keys_of(base).join(firsts, ["k", "t"]).dropDuplicates(["t"]).select("t", "n", "keys", "whole", "without")
     keys = keep(sketched, "near-keys")
     single = keys.select("t", F.explode("keys").alias("key"))
     shared = single.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     buckets = keep(single.join(shared, "key"), "near-buckets")
     hubs = buckets.groupBy("t").agg(F.sum("members").alias("degree"))
-    grams_of = keep(sequences(base.join(firsts, ["k", "t"]).join(hubs.select("t"), "t").dropDuplicates(["t"])), "near-grams")
+    short = keep(short_pairs(keys), "near-short")
+    compared = hubs.select("t").unionByName(short.select(F.explode(F.array("a", "b")).alias("t"))).distinct()
+    grams_of = keep(sequences(base.join(firsts, ["k", "t"]).join(compared, "t").dropDuplicates(["t"])), "near-grams")
 
     ranked = buckets.select("key", "t").join(hubs, "t")
     pivots = ranked.groupBy("key").agg(F.max(F.struct("degree", "t")).alias("top"))
-    starred = ranked.join(pivots, "key").where("t <> top.t").select("t", "top").distinct()
-    pairs = keep(starred.select(F.col("top.t").alias("a"), F.col("t").alias("b"), F.col("top.degree").alias("degree")), "near-pairs")
+    starred = (ranked.join(pivots, "key").where("t <> top.t")
+               .select(F.col("top.t").alias("a"), F.col("t").alias("b"), F.col("top.degree").alias("degree")))
+    pairs = keep(starred.unionByName(short.withColumn("degree", F.lit(0).cast("long"))).groupBy("a", "b")
+                 .agg(F.max("degree").alias("degree")), "near-pairs")
     found = keep(verified(pairs.select("a", "b"), grams_of, similarity), "near-compared")
     done = found.select("a", "b")
     own = (pairs.groupBy("b").agg(F.max(F.struct("degree", "a")).alias("p")).select("b", F.col("p.a").alias("a"))

@@ -58,6 +58,20 @@ def test_pairs_that_a_third_text_does_not_join(spark):
     assert got == want
 
 
+def test_short_texts_match_all_pairs(spark):
+    rng, texts = random.Random(12), []
+    for n in range(1, 21):
+        for _ in range(12):
+            words = [rng.choice(WORDS) + str(rng.randrange(10**6)) for _ in range(n)]
+            middle = list(words)
+            middle[n // 2] = "changed"
+            texts += [" ".join(w) for w in (words, [*words, "one"], ["other", *words], [*words, "two", "more"], [*words[:-1], "last"], middle)]
+    texts += ["so it goes on and so it goes", "so it goes on and so it goes on"]
+    want = by_hand(list(enumerate(texts)))
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(frame(spark, texts)).collect()}
+    assert got == want and sum(want[i] != i for i in want) > 400
+
+
 def test_one_of_each_keeps_the_least_id_and_texts_without_words(spark):
     texts = family()
     docs = frame(spark, texts + texts[:2], [*range(len(texts)), 0, 1])
