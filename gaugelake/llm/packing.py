@@ -102,58 +102,66 @@ def first_packing(lengths: np.ndarray, capacity: int) -> Bins:
     return bins
 
 
-def local_search(bins: Bins, donors: int = 64) -> None:
-    """Empty the least filled bins by moves and exchanges that raise the sum of squared fills.
+def local_search(bins: Bins) -> None:
+    """Empty bins, the least filled first, by moves and exchanges that raise the sum of squared fills.
 
     For a donor bin, in this order: move a member into a bin with room; exchange one member against a
     smaller one of another bin; exchange two members against one smaller than their sum. Receivers are at
     least as full as the donor, so each step raises the sum of squares, and the search ends: after a pass
-    over the ``donors`` least filled bins without a step, or at the lower bound ceil(tokens / capacity).
-    ``donors`` bounds the effort, not the pieces: all stay packed.
+    over all open bins without a step, or at the lower bound ceil(tokens / capacity).
     """
     least = -(-int(bins.lengths.sum()) // bins.capacity)
+    by_length = np.argsort(bins.lengths, kind="stable")
+    fill = np.array(bins.fill, np.int64)
     stepped = True
-    while stepped and sum(f > 0 for f in bins.fill) > least:
+    while stepped and (fill > 0).sum() > least:
         stepped = False
-        fill = np.array(bins.fill)
         open_bins = np.flatnonzero((fill > 0) & (fill < bins.capacity))
-        for donor in open_bins[np.argsort(fill[open_bins], kind="stable")][:donors].tolist():
-            while bins.members[donor] and step(bins, donor):
+        for donor in open_bins[np.argsort(fill[open_bins], kind="stable")].tolist():
+            while bins.members[donor] and step(bins, donor, by_length, fill):
                 stepped = True
 
 
-def step(bins: Bins, donor: int) -> bool:
-    """One move or exchange out of a bin; False if none raises the sum of squares."""
-    lengths, fill = bins.lengths, np.array(bins.fill, np.int64)
+def step(bins: Bins, donor: int, by_length: np.ndarray, fill: np.ndarray) -> bool:
+    """One move or exchange out of a bin; False if none raises the sum of squares. ``by_length``: pieces, shortest first;
+    ``fill``: the fills, kept up to date."""
     room = bins.capacity - fill
     able = (room > 0) & (fill >= fill[donor])
     able[donor] = False
     if not able.any():
         return False
-    own = sorted(bins.members[donor], key=lambda i: -int(lengths[i]))
-    for item in own:
-        fits = np.flatnonzero(able & (room >= lengths[item]))
-        if len(fits):
-            bins.move(item, int(fits[np.argmin(room[fits])]))
+    alike: dict[int, list[int]] = {}  # members of one length are interchangeable
+    for item in bins.members[donor]:
+        alike.setdefault(int(bins.lengths[item]), []).append(item)
+    own = sorted(alike, reverse=True)
+    most = int(room[able].max())
+    for length in own:
+        if length <= most:
+            fits = np.flatnonzero(able & (room >= length))
+            to = int(fits[np.argmin(room[fits])])
+            bins.move(alike[length][0], to)
+            fill[[donor, to]] = bins.fill[donor], bins.fill[to]
             return True
-    items = np.flatnonzero(able[bins.place])
-    size, slack = lengths[items], room[bins.place[items]]
-
-    def exchange(given: list[int]) -> bool:
-        total = int(lengths[given].sum())
-        gain = np.where((size < total) & (total - size <= slack), total - size, 0)
-        best = int(np.argmax(gain))
-        if gain[best] <= 0:
-            return False
-        other = int(items[best])
-        at = int(bins.place[other])
-        bins.move(other, donor)
-        for item in given:
-            bins.move(item, at)
-        return True
-
-    return any(exchange([item]) for item in own) or any(
-        exchange([first, second]) for i, first in enumerate(own[:32]) for second in own[i + 1:33])
+    items = by_length[able[bins.place[by_length]]]
+    size = bins.lengths[items]
+    reach = np.maximum.accumulate(size + room[bins.place[items]])  # the first to reach a total is the shortest to give for it
+    ones = np.array(own, np.int64)
+    first, second = np.triu_indices(len(own))
+    twice = np.array([len(alike[length]) > 1 for length in own])
+    paired = (first != second) | twice[first]
+    first, second = first[paired], second[paired]
+    for total, given in ((ones, [ones]), (ones[first] + ones[second], [ones[first], ones[second]])):
+        at = np.searchsorted(reach, total)
+        good = np.flatnonzero((at < len(items)) & (size[np.minimum(at, len(items) - 1)] < total))
+        if len(good):
+            other = int(items[at[good[0]]])
+            to = int(bins.place[other])
+            bins.move(other, donor)
+            for lengths in given:
+                bins.move(alike[int(lengths[good[0]])].pop(), to)
+            fill[[donor, to]] = bins.fill[donor], bins.fill[to]
+            return True
+    return False
 
 
 def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:

@@ -93,6 +93,23 @@ def test_local_search_empties_a_bin():
     assert sorted(f for f in bins.fill if f) == [10, 10] and sum(f * f for f in bins.fill) > squares
 
 
+@pytest.mark.parametrize("low, high, n, capacity", [(1000, 1701, 2000, 4096), (20, 60, 1500, 4096)])
+def test_no_bin_has_a_step_left(low, high, n, capacity):
+    lengths = np.random.default_rng(1).integers(low, high, n)
+    numbers, _ = packing.pack_lengths(lengths, capacity)
+    fill = np.bincount(numbers, lengths).astype(int)
+    if len(fill) == -(-lengths.sum() // capacity):
+        return
+    room = capacity - fill
+    for donor in np.flatnonzero(room > 0):
+        other = lengths[(fill >= fill[donor])[numbers] & (numbers != donor) & (room > 0)[numbers]]
+        free = room[numbers][(fill >= fill[donor])[numbers] & (numbers != donor) & (room > 0)[numbers]]
+        own = lengths[numbers == donor]
+        totals = {*own.tolist(), *(int(a + b) for i, a in enumerate(own) for b in own[i + 1:])}
+        assert not any(((other < t) & (t - other <= free)).any() for t in totals)
+        assert not any((free >= size).any() for size in own)
+
+
 def test_no_piece_is_lost_by_the_search():
     rng = np.random.default_rng(4)
     for _ in range(20):
