@@ -65,7 +65,7 @@ def op8_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = topk.quantised(ship(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+    vectors = topk.quantised(ship(spark).read.parquet(f"{sf_dir}/embeddings.parquet"), copies=topk.K)
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
 
 

@@ -74,13 +74,16 @@ def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_id
     best = Best(len(queries), k)
     if not len(queries) or not len(data):
         return best
-    # equal vectors are one point; more than k + 1 of the smallest ids of a point can never be among a query's k
+    # equal vectors are one point; of its rows a query takes the k of smallest ids, besides those of its own id, of which k stay
     points, point_of = np.unique(data, axis=0, return_inverse=True)
     order = np.lexsort((data_ids, point_of.ravel()))
     owners = point_of.ravel()[order]
+    new = np.r_[True, (owners[1:] != owners[:-1]) | (data_ids[order][1:] != data_ids[order][:-1])]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    few = np.arange(len(order)) - first < k
+    order, owners = order[few], owners[few]
     start = np.searchsorted(owners, np.arange(len(points)))
-    nth = np.arange(len(order)) - start[owners]
-    kept = order[nth <= k]
+    kept = order[np.arange(len(order)) - start[owners] < 2 * k]
     ids_of = np.split(data_ids[kept], np.cumsum(np.bincount(point_of.ravel()[kept], minlength=len(points)))[:-1])
     exact = points.astype(np.float64)
     slack = 1e-6 * (1 + np.abs(queries).max(initial=0) * np.abs(exact).max(initial=0) * data.shape[1])
@@ -108,19 +111,23 @@ def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_id
     return best
 
 
-def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """``vec_id`` and ``v`` (components floor(scale * x)); one row per id. Rows take no part whose id or vector is
-    null or that hold a null or non-finite component; of several rows of one id the least vector counts."""
+def quantised(vectors: DataFrame, scale: int = SCALE, copies: int = 1) -> DataFrame:
+    """``vec_id`` and ``v`` (components floor(scale * x)). Rows take no part whose id or vector is null or that hold a
+    null or non-finite component. All vectors of an id stay; of rows equal in both, ``copies``: with k of them the best k
+    are those of all rows."""
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
             .where(finite)
             .select(F.col("vec_id").cast("long").alias("vec_id"),
                     F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
-            .groupBy("vec_id").agg(F.min("v").alias("v")))
+            .groupBy("vec_id", "v").agg(F.count("*").alias("rows"))
+            .select("vec_id", "v", F.explode(F.sequence(F.lit(1), F.least("rows", F.lit(copies).cast("long")))).alias("copy"))
+            .select("vec_id", "v"))
 
 
 def top_k(table: DataFrame, is_query: F.Column, k: int = K) -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id``, ``score``: the best ``k`` of all other rows for each query.
+    """``query_id``, ``rank``, ``vec_id``, ``score``: the best ``k`` of all rows of other ids for each query. Several
+    query rows of one id are ranked together, each pair of rows counting.
 
     ``table`` has ``vec_id`` and integer vectors ``v``; only vectors of one length are compared. Queries and data are
     dealt into blocks of bounded size and every pair of blocks is one task; its k best per query are merged by a
@@ -131,7 +138,7 @@ def top_k(table: DataFrame, is_query: F.Column, k: int = K) -> DataFrame:
     dealt = table.withColumn("dim", F.size("v"))
 
     def copies(block: str, own: int, other: str, others: int, rows: DataFrame) -> DataFrame:
-        return (rows.withColumn(block, F.pmod(F.xxhash64("vec_id"), F.lit(own)))
+        return (rows.withColumn(block, F.pmod(F.xxhash64("vec_id", "v"), F.lit(own)))
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1)))))
 
     asked = copies("qb", q_blocks, "db", d_blocks, dealt.where(is_query)).select("dim", "qb", "db", "vec_id", "v")

@@ -3,7 +3,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from gaugelake.llm import topk
+from gaugelake.llm import queries, topk
 
 
 def by_hand(rows, is_query, k=10):
@@ -49,6 +49,21 @@ def test_awkward_rows(spark):
     assert run(spark, extra(rows[:1])) == []
 
 
+def test_repeated_ids_as_in_the_sql(spark, tmp_path):
+    rows = rows_of(6, 300, 6, 0.4)
+    rows += [(i, rows[i + 7][1]) for i in (0, 0, 100, 3, 3, 50)]  # ids with several vectors
+    rows += [rows[0]] * 15 + [rows[100]] * 2 + [rows[40]] * 25  # equal rows
+    folder = f"{tmp_path}/embeddings.parquet"
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(folder)
+    got = sorted(tuple(r) for r in queries.op9_dual_tree(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect())
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    want = []
+    for q in (0, 100, 200):
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for j, v in whole if j == q for i, w in whole if i != q)
+        want += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scored[:10])]
+    assert got == want
+
+
 def test_nodes_cover_their_members():
     points = np.random.default_rng(3).normal(size=(500, 6))
 
