@@ -13,7 +13,7 @@ from gaugelake.llm import language_id, near_dedup, packing, pii, substring_dedup
 from gaugelake.llm.common import documents, keep, ship
 from gaugelake.llm.queries import WORD_VOCABULARY
 
-LEAST_COSINE = 0.02  # below, a text is no nearer to any language than random letters are
+LEAST_COSINE = 0.02  # most random letters reach it too: see README
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
