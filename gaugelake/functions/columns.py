@@ -172,3 +172,8 @@ def bc_source_series_id(parameter: Column, label: Column, moe_id: Column) -> Col
 
 def year_month(ts: Column) -> Column:
     return (F.year(ts) * 100 + F.month(ts)).cast("int")
+
+
+def span_of(series_uid: Column) -> Column:
+    """Span of a series by its id: daily series end in ``-daily``, all others hold instant readings."""
+    return F.when(series_uid.endswith("-daily"), "daily").otherwise("instant")

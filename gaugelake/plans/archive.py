@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import time
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
@@ -24,32 +26,44 @@ VERSIONED = ("station", "series", "observation")
 class Archive:
     """Station, series, observation and ledger tables under one root.
 
-    Observations lie in one folder per month, sorted by series and time inside, so an upsert
-    rewrites only the months its batch touches and time filters skip whole folders. Opening an
-    archive changes nothing; jobs that write hold its lock.
+    Observations lie in folders by span (daily or instant), month and bucket of series, sorted by series and time
+    inside. An upsert rewrites only the buckets its batch touches, a new daily history leaves instant readings alone, and
+    time filters skip whole months. ``buckets`` counts for a new archive and is stored with it: take one so that a bucket of
+    a month holds some hundred MB. Opening an archive changes nothing; jobs that write hold its lock.
     """
 
-    PARTITION = ["ym"]
+    PARTITION = ["span", "ym", "bucket"]
     SORT = ["series_uid", "datetime_utc"]
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, leftover_seconds: float = 86_400.0, buckets: int = 4):
+        self.spark, self.root, self.leftover_seconds = spark, root.rstrip("/"), leftover_seconds
+        self._wanted_buckets, self._buckets = buckets, None
         self._scratch: list[str] = []
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     @contextmanager
-    def lock(self, owner: str):
-        """Hold the archive for one writing job; a second one is refused. Leftovers of crashed runs are cleared here,
-        where no other job can be writing. A lock whose owner has died is removed by hand (:meth:`unlock`)."""
-        path = self.path("_lock")
-        if not sink.create(self.spark, path, f"{owner} since {datetime.now(timezone.utc):%Y-%m-%d %H:%M:%S} UTC"):
-            raise RuntimeError(f"{self.root} is in use: {sink.content(self.spark, path)}")
+    def lock(self, owner: str, wait_seconds: float = 0.0):
+        """Hold the archive for one writer. A second one waits for up to ``wait_seconds`` and is then refused.
+
+        Leftovers of crashed runs are cleared here, but only those older than ``leftover_seconds``: a writer that came
+        without the lock, or whose lock was broken by hand, keeps what it has just written. A lock whose owner has died
+        is removed by hand (:meth:`unlock`).
+
+        The lock and the manifests are files made only where none is: the storage below ``root`` must refuse to create
+        a file that exists (HDFS and local disks do; an object store needs conditional writes).
+        """
+        path, until = self.path("_lock"), time.monotonic() + wait_seconds
+        while not sink.create(self.spark, path, f"{owner} since {datetime.now(timezone.utc):%Y-%m-%d %H:%M:%S} UTC"):
+            if time.monotonic() >= until:
+                raise RuntimeError(f"{self.root} is in use: {sink.content(self.spark, path)}")
+            time.sleep(0.2)
         try:
-            sink.delete(self.spark, self.path("_stage"))
+            for folder in sink.older(self.spark, self.path("_stage"), self.leftover_seconds):
+                sink.delete(self.spark, folder)
             for name in VERSIONED:
-                sink.sweep(self.spark, self.path(name))
+                sink.sweep(self.spark, self.path(name), min_age_seconds=self.leftover_seconds)
             yield
         finally:
             self.clear_scratch()
@@ -58,10 +72,20 @@ class Archive:
     def unlock(self) -> None:
         sink.delete(self.spark, self.path("_lock"))
 
+    def buckets(self) -> int:
+        """Buckets a month, as stored by the first write; the first of several writers decides."""
+        if self._buckets is None:
+            path = self.path("_layout")
+            if not sink.exists(self.spark, path):
+                sink.create(self.spark, path, json.dumps({"buckets": self._wanted_buckets}))
+            self._buckets = json.loads(sink.content(self.spark, path))["buckets"]
+        return self._buckets
+
     def read(self, name: str) -> DataFrame:
-        schema = SCHEMAS[name]
+        """A table as last committed; observations come with their month ``ym``, on which filters skip folders."""
         if name == "observation":
-            schema = T.StructType([*schema.fields, T.StructField("ym", T.IntegerType())])
+            return self._placed().select(*S.OBSERVATION.names, "ym")
+        schema = SCHEMAS[name]
         if name in VERSIONED:
             found = sink.read(self.spark, self.path(name), schema)
         else:
@@ -105,43 +129,60 @@ class Archive:
 
     # --- observations ---------------------------------------------------
 
-    def months_of(self, rows: DataFrame) -> list[int]:
-        """Months a batch touches: at most the calendar's length."""
-        found = rows.select(C.year_month(F.col("datetime_utc")).alias("ym")).distinct().collect()
-        return sorted(r.ym for r in found)
+    def _placed(self) -> DataFrame:
+        """Observations with their folder columns."""
+        schema = T.StructType([*S.OBSERVATION.fields, T.StructField("span", T.StringType()),
+                               T.StructField("ym", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
+        found = sink.read(self.spark, self.path("observation"), schema)
+        return self.spark.createDataFrame([], schema) if found is None else found
+
+    def place(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumns({
+            "span": C.span_of(F.col("series_uid")), "ym": C.year_month(F.col("datetime_utc")),
+            "bucket": F.pmod(F.xxhash64("series_uid"), F.lit(self.buckets())).cast("int")})
+
+    def folders_of(self, placed: DataFrame) -> list[str]:
+        """Folders that placed rows lie in: at most spans times months of the calendar times buckets."""
+        return sorted("/".join(f"{c}={r[c]}" for c in self.PARTITION)
+                      for r in placed.select(self.PARTITION).distinct().collect())
 
-    def write_months(self, rows: DataFrame, touched: str | None = None, emptied: list[int] = ()) -> int | None:
-        return sink.commit(rows.withColumn("ym", C.year_month(F.col("datetime_utc"))),
-                           self.path("observation"), self.PARTITION, self.SORT, touched, [f"ym={m}" for m in emptied])
+    def _in_folders(self, folders: list[str]) -> DataFrame:
+        """What the archive holds in these folders; other folders are not opened."""
+        place = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in self.PARTITION))
+        return self._placed().filter(place.isin(folders)).select(S.OBSERVATION.names)
+
+    def write_observations(self, rows: DataFrame, touched: str | None = None, emptied: list[str] = ()) -> int | None:
+        return sink.commit(self.place(rows), self.path("observation"), self.PARTITION, self.SORT, touched, emptied)
 
     def upsert_observations(self, incoming: DataFrame, update: list[str],
                             order_by: list[str] | None = None, on_dup: str = "last") -> int:
-        """Merge a batch into the months it touches; returns rows inserted plus updated.
+        """Merge a batch into the folders it touches; returns rows inserted plus updated.
 
-        ``incoming`` is read twice (months, merge); pass staged rows.
+        ``incoming`` is read twice (folders, merge); pass staged rows.
         """
-        months = self.months_of(incoming)
-        if not months:
+        folders = self.folders_of(self.place(incoming))
+        if not folders:
             return 0
-        current = self.read("observation").filter(F.col("ym").isin(months)).drop("ym")
-        merged = merge.upsert(current, incoming, S.OBSERVATION_KEY, update, order_by, on_dup, touched="touched")
-        return self.write_months(merged, "touched")
+        merged = merge.upsert(self._in_folders(folders), incoming, S.OBSERVATION_KEY, update, order_by, on_dup, touched="touched")
+        return self.write_observations(merged, "touched")
 
     def insert_observations(self, incoming: DataFrame) -> None:
         """Bulk load that leaves present readings alone."""
-        months = self.months_of(incoming)
-        if months:
-            current = self.read("observation").filter(F.col("ym").isin(months)).drop("ym")
-            self.write_months(merge.insert_ignore(current, incoming, S.OBSERVATION_KEY))
-
-    def replace_observations(self, predicate: Column, new: DataFrame) -> None:
-        """Full refresh of a slice: only months holding old or new rows of it are rewritten."""
-        current = self.read("observation")
-        months = sorted({*self.months_of(current.filter(predicate)), *self.months_of(new)})
-        if not months:
-            return
-        rows = merge.replace_slice(current.filter(F.col("ym").isin(months)).drop("ym"), predicate, new)
-        self.write_months(rows, emptied=months)
+        folders = self.folders_of(self.place(incoming))
+        if folders:
+            self.write_observations(merge.insert_ignore(self._in_folders(folders), incoming, S.OBSERVATION_KEY))
+
+    def replace_observations(self, predicate: Column, new: DataFrame, span: str | None = None) -> int:
+        """Full refresh of a slice: only folders that hold old or new rows of it are rewritten. ``span`` says that the
+        slice lies in one span, whose folders alone are looked at. Returns the number of new rows."""
+        placed = self._placed()
+        old = placed.filter(predicate & (F.col("span") == span) if span else predicate)
+        folders = sorted({*self.folders_of(old), *self.folders_of(self.place(new))})
+        if not folders:
+            return 0
+        kept = self._in_folders(folders).withColumn("touched", F.lit(False))
+        rows = merge.replace_slice(kept, predicate, S.conform(new, S.OBSERVATION).withColumn("touched", F.lit(True)))
+        return self.write_observations(rows, "touched", emptied=folders)
 
     # --- ledgers --------------------------------------------------------
 

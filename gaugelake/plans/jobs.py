@@ -184,8 +184,7 @@ def backfill(archive: Archive, flows: DataFrame, levels: DataFrame, as_of: datet
             archive.read("series"), daily_series,
             S.conform(normalize.series_discovery(long, "daily"), S.SERIES)))
         obs = normalize.wsc_observations(long, run_id, as_of, approval="approved")
-        archive.replace_observations((F.col("source") == "wsc") & daily_series, obs)
-        return obs.count()
+        return archive.replace_observations((F.col("source") == "wsc") & daily_series, obs, span="daily")
     return with_ledger(archive, "wsc-hydat", as_of, body)
 
 
@@ -209,8 +208,7 @@ def firstcut(archive: Archive, registry_path: str, landing: str, as_of: datetime
             S.conform(normalize.series_discovery(long, "instant"), S.SERIES)))
         obs = merge.last_of_batch(normalize.wsc_observations(long, run_id, as_of), S.OBSERVATION_KEY, files.PULL_ORDER,
                                   S.OBSERVATION.names)
-        archive.replace_observations(F.col("source") == "wsc", obs)
-        return obs.count()
+        return archive.replace_observations(F.col("source") == "wsc", obs)
     return with_ledger(archive, "wsc", as_of, body)
 
 
@@ -260,6 +258,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--stations", help="backfill: station metadata CSV")
     p.add_argument("--regulation", help="backfill: regulation CSV")
     p.add_argument("--break-lock", action="store_true", help="remove the lock of a run that died")
+    p.add_argument("--buckets", type=int, default=4, help="buckets of series in a month, for a new archive")
     p.add_argument("--raw-root", help="immutable raw landing; none if absent")
     p.add_argument("--window", choices=list(DATE_RANGES), help="provincial and gw")
     p.add_argument("--as-of", type=datetime.fromisoformat, default=None)
@@ -279,7 +278,7 @@ def main(argv: list[str] | None = None) -> None:
         for line in dry_run_lines(groundwater_dry_run(spark, a.landing, a.registry)):
             print(line)
         return
-    archive = Archive(spark, a.archive)
+    archive = Archive(spark, a.archive, buckets=a.buckets)
     if a.break_lock:
         archive.unlock()
     if a.mode == "daily":

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import logging
+import time
 import uuid
 from datetime import date
 
@@ -39,6 +40,13 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def older(spark: SparkSession, path: str, seconds: float) -> list[str]:
+    """Entries of a folder last changed at least so many seconds ago, by the storage's own clock and this one's."""
+    fs, p = _fs(spark, path)
+    until = (time.time() - seconds) * 1000
+    return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.getModificationTime() <= until) if fs.exists(p) else []
+
+
 def create(spark: SparkSession, path: str, text: str) -> bool:
     """Make a small file; False if it is there already. Of several that try, one succeeds."""
     fs, p = _fs(spark, path)
@@ -112,6 +120,16 @@ def export_tables(tables: dict[str, DataFrame], root: str) -> None:
         write_csv(df.select(columns), f"{root}/{name}")
 
 
+def partitions(spark: SparkSession, folder: str) -> list[str]:
+    """Partition folders below a version, as paths like ``a=1/b=2``; what else lies there (``_SUCCESS``) is left out."""
+    found = []
+    for child in children(spark, folder):
+        name = child.rsplit("/", 1)[1]
+        if "=" in name:
+            found += [f"{name}/{below}" for below in partitions(spark, child)] or [name]
+    return found
+
+
 WHOLE = ""  # the one partition of an unpartitioned table
 
 
@@ -138,12 +156,9 @@ def read(spark: SparkSession, path: str, schema) -> DataFrame | None:
     rows = (spark.read.schema(T.StructType([*schema.fields, T.StructField("v", T.StringType())])).option("basePath", path)
             .parquet(*(f"{path}/v={version}" for version in live)))
     if WHOLE not in parts:
-        named = F.lit(False)
-        for version, names in live.items():
-            column = names[0].split("=")[0]
-            values = F.array(*(F.lit(int(n.split("=")[1])) for n in names))
-            named |= (F.col("v") == version) & F.array_contains(values, F.col(column))
-        rows = rows.filter(named)
+        columns = [level.split("=")[0] for level in next(iter(parts)).split("/")]
+        wanted = [f"{version}/{'/'.join(level.split('=')[1] for level in part.split('/'))}" for part, version in parts.items()]
+        rows = rows.filter(F.concat_ws("/", "v", *(F.col(c).cast("string") for c in columns)).isin(wanted))
     return rows.select(schema.names)
 
 
@@ -177,11 +192,7 @@ def commit(df: DataFrame, path: str, partition_by: list[str] | None = None, sort
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/v={version}")
-    if partition_by:
-        names = [c.rsplit("/", 1)[1] for c in children(spark, f"{path}/v={version}")]
-        new = {n: version for n in names if "=" in n}
-    else:
-        new = {WHOLE: version}
+    new = dict.fromkeys(partitions(spark, f"{path}/v={version}") if partition_by else [WHOLE], version)
     kept = {k: v for k, v in parts.items() if k not in emptied}
     if not create(spark, f"{path}/_manifest/{number + 1:012d}", json.dumps(kept | new)):
         delete(spark, f"{path}/v={version}")
@@ -189,20 +200,22 @@ def commit(df: DataFrame, path: str, partition_by: list[str] | None = None, sort
     return int(seen.get["n"]) if seen else None
 
 
-def sweep(spark: SparkSession, path: str, manifests: int = 2) -> None:
-    """Delete what the last ``manifests`` states do not name: the caller holds the archive's lock, so no write is
-    under way, and a reader that began under an earlier state has had a whole run to finish."""
+def sweep(spark: SparkSession, path: str, manifests: int = 2, min_age_seconds: float = 0.0) -> None:
+    """Delete what the last ``manifests`` states do not name, if it was written at least ``min_age_seconds`` ago: a
+    write whose manifest is still to come is younger, and a reader that began under an earlier state has had that long
+    to finish. The caller holds the archive's lock."""
     found = children(spark, f"{path}/_manifest")
-    held = found[-manifests:]
-    live = {v for m in held for v in json.loads(content(spark, m)).values()}
-    for folder in children(spark, path):
+    old = [m for m in older(spark, f"{path}/_manifest", min_age_seconds) if m in found[:-manifests]]
+    states = [json.loads(content(spark, m)) for m in found if m not in old]
+    live = {v for state in states for v in state.values()}
+    for folder in older(spark, path, min_age_seconds):
         name = folder.rsplit("/", 1)[1]
         if name.startswith("v=") and name[2:] not in live:
             delete(spark, folder)
         elif name.startswith("v="):
-            for part in children(spark, folder):
-                own = part.rsplit("/", 1)[1]
-                if "=" in own and not any(json.loads(content(spark, m)).get(own) == name[2:] for m in held):
-                    delete(spark, part)
-    for old in found[:-manifests]:
-        delete(spark, old)
+            named = {part for state in states for part, version in state.items() if version == name[2:]}
+            for part in partitions(spark, folder):
+                if part not in named:
+                    delete(spark, f"{folder}/{part}")
+    for m in old:
+        delete(spark, m)

@@ -39,12 +39,13 @@ def ingest(rows: DataFrame, out: str, checkpoint: str) -> None:
 
 
 def upsert(rows: DataFrame, archive: Archive, update: list[str], checkpoint: str,
-           order_by: list[str] | None = None) -> None:
+           order_by: list[str] | None = None, wait_seconds: float = 3600.0) -> None:
     """Merge every batch into the archive. The merge is by key, so a batch that runs again after
-    a crash changes nothing. Late rows of any age are taken."""
+    a crash changes nothing. Late rows of any age are taken. Each batch holds the archive's lock while it stages and
+    commits, and waits for a job that has it."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        archive.upsert_observations(archive.stage(batch, f"batch{batch_id}"), update, order_by)
-        archive.clear_scratch()
+        with archive.lock(f"stream batch {batch_id}", wait_seconds):
+            archive.upsert_observations(archive.stage(batch, f"batch{batch_id}"), update, order_by)
 
     _run(rows.writeStream.foreachBatch(apply), checkpoint)
 

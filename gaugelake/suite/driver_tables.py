@@ -197,7 +197,7 @@ def build(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str
     columns = [f.name for f in S.OBSERVATION.fields]
     unique = merge.last_of_batch(as_observations(rows, "ord_line", "ord_part", "ord_price"),
                                  S.OBSERVATION_KEY, ORDER, columns)
-    store.write_months(unique)
+    store.write_observations(unique)
     store.write_dimension("series", series(rows))
     store.write_dimension("station", station(spark, sf_dir))
     tables = {name: store.read(name) for name in ("observation", "series", "station")}

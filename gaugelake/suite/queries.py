@@ -548,7 +548,7 @@ def _store(spark: SparkSession, sf_dir: str, name: str, *tables: str) -> Archive
     store = Archive(spark, workspace(spark, name))
     for table in tables:
         if table == "observation":
-            store.write_months(t[table].drop("ym"))
+            store.write_observations(t[table].drop("ym"))
         else:
             store.write_dimension(table, t[table])
     return store

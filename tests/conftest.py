@@ -39,7 +39,3 @@ def obs(make):
         base = {"source": "wsc", "ingest_ts": "2024-01-01", "value": 1.0}
         return make(S.OBSERVATION, *[{**base, **r} for r in rows])
     return _obs
-
-
-def rows(df, *columns):
-    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=repr)

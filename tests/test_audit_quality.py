@@ -1,6 +1,6 @@
 from datetime import date, timedelta
 
-from conftest import rows
+from row_sets import rows
 from pyspark.sql import functions as F
 
 from gaugelake import schemas as S

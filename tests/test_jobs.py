@@ -2,7 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from row_sets import rows
 from pyspark.sql import functions as F
 
 from gaugelake import schemas as S
@@ -159,10 +159,37 @@ def test_migrate_roundtrip(archive, spark, obs, make, tmp_path):
     assert next_id(copy.read("pull_run"), "run_id") == 8
 
 
+def files_of(archive):
+    """Files of the newest state: inputFiles() lists whole versions, the filter on folders comes after."""
+    return {r[0] for r in archive.read("observation").select(F.input_file_name()).distinct().collect()}
+
+
+def test_an_upsert_of_one_series_rewrites_one_bucket(archive, obs):
+    archive.upsert_observations(obs(*({"series_uid": f"s{i}", "datetime_utc": "2024-01-01"} for i in range(20))), merge.WSC_UPDATES)
+    before = files_of(archive)
+    assert len({p.rsplit("/", 2)[1] for p in before}) == 4
+    archive.upsert_observations(obs({"series_uid": "s3", "datetime_utc": "2024-01-02"}), merge.WSC_UPDATES)
+    after = files_of(archive)
+    changed = {p.rsplit("/", 2)[1] for p in before ^ after}
+    assert len(changed) == 1 and len(before & after) == len(before) - 1
+    assert Archive(archive.spark, archive.root, buckets=9).buckets() == 4  # stored with the archive
+
+
+def test_a_new_daily_history_leaves_instant_files_alone(archive, obs, spark):
+    archive.upsert_observations(obs(*({"series_uid": f"WSC-1-Q-{span}", "datetime_utc": f"2024-0{m}-01"}
+                                      for m in (1, 2) for span in ("instant", "daily"))), merge.WSC_UPDATES)
+    before = {p for p in files_of(archive) if "span=instant" in p}
+    flows = spark.createDataFrame([("1", datetime(2024, 1, 5).date(), 2.0, "")], S.DAILY_HISTORY)
+    run = jobs.backfill(archive, flows, flows.limit(0), AS_OF)
+    assert {p for p in files_of(archive) if "span=instant" in p} == before and len(before) == 2
+    assert rows(archive.read("observation").filter("series_uid LIKE '%daily'"), "datetime_utc", "value") == [(datetime(2024, 1, 5), 2.0)]
+    assert rows(archive.read("pull_run").filter(F.col("run_id") == run), "rows_in") == [(1,)]
+
+
 def test_other_months_are_left_alone(archive, obs, tmp_path):
     archive.upsert_observations(obs({"series_uid": "a", "datetime_utc": "2023-05-01"}, {"series_uid": "a", "datetime_utc": "2024-01-01"}), merge.WSC_UPDATES)
     def may():
-        return sorted(p for p in archive.read("observation").inputFiles() if "/ym=202305/" in p)
+        return sorted(p for p in files_of(archive) if "/ym=202305/" in p)
     before = may()
     n = archive.upsert_observations(obs({"series_uid": "a", "datetime_utc": "2024-01-01", "value": 5.0}, {"series_uid": "b", "datetime_utc": "2024-01-02"}), merge.WSC_UPDATES)
     assert n == 2 and may() == before and len(before) > 0
@@ -172,12 +199,15 @@ def test_other_months_are_left_alone(archive, obs, tmp_path):
 def test_opening_an_archive_leaves_a_write_under_way_alone(archive, spark, obs):
     archive.upsert_observations(obs({"series_uid": "a", "datetime_utc": "2024-01-01"}), merge.WSC_UPDATES)
     path = archive.path("observation")
-    staged = obs({"series_uid": "a", "datetime_utc": "2024-01-01", "value": 8.0}).withColumn("ym", F.lit(202401))
-    staged.write.partitionBy("ym").parquet(f"{path}/v=underway")
+    staged = archive.place(obs({"series_uid": "a", "datetime_utc": "2024-01-01", "value": 8.0}))
+    staged.write.partitionBy(*archive.PARTITION).parquet(f"{path}/v=underway")
     reader = Archive(spark, archive.root)
     assert rows(reader.read("observation"), "value") == [(1.0,)]  # no manifest names it
     assert sink.exists(spark, f"{path}/v=underway/_SUCCESS")
-    with archive.lock("cleaner"):  # no write is under way when the lock is held
+    with archive.lock("cleaner"):  # too young to be a leftover
+        pass
+    assert sink.exists(spark, f"{path}/v=underway/_SUCCESS")
+    with Archive(spark, archive.root, leftover_seconds=0).lock("cleaner"):
         pass
     assert not sink.exists(spark, f"{path}/v=underway") and rows(reader.read("observation"), "value") == [(1.0,)]
 
@@ -198,7 +228,7 @@ def test_a_write_between_read_and_commit_is_not_lost(archive, spark, obs, monkey
     archive.upsert_observations(obs({"series_uid": "b", "datetime_utc": "2024-01-01"}), merge.WSC_UPDATES)
     monkeypatch.setattr(sink, "manifest", lambda s, p: seen if p == path else plain(s, p))
     with pytest.raises(RuntimeError, match="another writer"):
-        archive.write_months(obs({"series_uid": "c", "datetime_utc": "2024-01-01"}))
+        archive.write_observations(obs({"series_uid": "c", "datetime_utc": "2024-01-01"}))
     monkeypatch.undo()
     assert rows(archive.read("observation"), "series_uid") == [("a",), ("b",)]
 
@@ -311,7 +341,7 @@ def test_a_hot_month_is_written_by_many_tasks(spark, obs, tmp_path):
         F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id"))).alias("series_uid"),
         F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("datetime_utc"),
         F.lit("bc").alias("source"), F.rand(1).alias("value"))
-    Archive(session, str(tmp_path / "hot")).write_months(S.conform(rows_, S.OBSERVATION))
-    files = list((tmp_path / "hot/observation").glob("v=*/ym=202401/*.parquet"))
+    Archive(session, str(tmp_path / "hot")).write_observations(S.conform(rows_, S.OBSERVATION))
+    files = list((tmp_path / "hot/observation").glob("v=*/span=instant/ym=202401/bucket=*/*.parquet"))
     assert len(files) > 3
     assert Archive(session, str(tmp_path / "hot")).read("observation").count() == 60000

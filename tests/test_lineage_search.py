@@ -1,7 +1,7 @@
 import math
 from datetime import datetime
 
-from conftest import rows
+from row_sets import rows
 from pyspark.sql import functions as F
 
 from gaugelake import schemas as S

@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from row_sets import rows
 
 from gaugelake import schemas as S
 from gaugelake.operators import rollup

@@ -1,11 +1,12 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from row_sets import rows
 from pyspark.sql import functions as F
 
 from gaugelake.operators import merge
 from gaugelake.plans.archive import Archive
+from gaugelake.sinks import tables as sink
 from gaugelake.streaming import legs
 
 
@@ -40,6 +41,37 @@ def test_upsert_equals_batch_whatever_the_order(spark, landing, tmp_path):
     assert rows(again.read("observation"), "datetime_utc", "value") == want
 
 
+def test_a_job_between_a_streams_write_and_its_manifest(spark, obs, landing, tmp_path, monkeypatch):
+    """A job that starts meanwhile is refused; one that breaks the lock deletes nothing fresh. No row is lost."""
+    archive = Archive(spark, str(tmp_path / "archive"))
+    archive.upsert_observations(obs({"series_uid": "a", "datetime_utc": "2024-02-01"}), merge.WSC_UPDATES)
+    plain, refused = sink.create, []
+
+    def create(session, path, text):
+        if "/observation/_manifest/" in path and not refused:
+            with pytest.raises(RuntimeError, match="in use: stream batch 0"):
+                with Archive(spark, archive.root).lock("job"):
+                    pass
+            archive.unlock()
+            refused.append(path)
+            with Archive(spark, archive.root).lock("job that broke the lock"):
+                pass
+        return plain(session, path, text)
+    monkeypatch.setattr(sink, "create", create)
+    legs.upsert(landing.pull(("a", "2024-03-01", 3.0)), archive, merge.WSC_UPDATES, landing.state)
+    assert refused and rows(Archive(spark, archive.root).read("observation"), "value") == [(1.0,), (3.0,)]
+
+
+def test_a_batch_waits_for_the_lock(spark, landing, tmp_path):
+    archive = Archive(spark, str(tmp_path / "archive"))
+    pulled = landing.pull(("a", "2024-03-01", 3.0))
+    with archive.lock("job"):
+        with pytest.raises(Exception, match="in use: job"):
+            legs.upsert(pulled, archive, merge.WSC_UPDATES, landing.state, wait_seconds=0)
+    legs.upsert(pulled, archive, merge.WSC_UPDATES, landing.state)
+    assert rows(archive.read("observation"), "value") == [(3.0,)]
+
+
 def test_dedupe_and_late_rows(spark, landing):
     legs.dedupe(landing.pull(("a", "2024-01-01", 1.0), ("a", "2024-01-10", 1.0)), landing.out, landing.state)
     legs.dedupe(landing.pull(("a", "2024-01-10", 1.0), ("a", "2024-01-08", 1.0), ("a", "2024-01-05", 1.0)), landing.out, landing.state)

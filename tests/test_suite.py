@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, canonical
+from gaugelake.sinks import tables as sink
 from gaugelake.suite import driver_tables as D
 from gaugelake.suite.oracle import sql
 from gaugelake.suite.queries import QUERIES
@@ -45,7 +46,11 @@ def plan_of(df):
 def test_reports_scan_only_what_they_need(spark):
     from gaugelake.plans import reports
     t = D.archive(spark, SF)
-    recent = plan_of(reports.obs_per_day(t, D.EVENTS_AS_OF))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000000")  # else the printed filters are cut
+    try:
+        recent = plan_of(reports.obs_per_day(t, D.EVENTS_AS_OF))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "ym#" in recent and ">= 202312" in recent and "GreaterThan(datetime_utc" in recent
     assert re.search(r"ReadSchema: struct<datetime_utc:timestamp_ntz>", recent)
     cover = plan_of(reports.coverage(t))
@@ -58,12 +63,12 @@ def test_reports_scan_only_what_they_need(spark):
     assert "TakeOrderedAndProject" in plan_of(reports.recent_runs(t))
 
 
-def test_small_batches_leave_the_target_where_it_is(spark):
-    """No sort aggregate, and the only shuffles are of the batch."""
+def test_small_batches_leave_the_target_where_it_is(spark, tmp_path):
+    """No sort aggregate, and the only shuffles are of the batch, once it is staged and its size known."""
     from gaugelake.operators import merge
     from gaugelake import schemas as S
     t = D.archive(spark, SF)["observation"].drop("ym")
-    batch = spark.createDataFrame(t.limit(5).toPandas(), t.schema)
+    batch, _ = sink.stage(spark.createDataFrame(t.limit(5).toPandas(), t.schema), str(tmp_path), "batch")
     for merged in (merge.upsert_wsc(t, batch), merge.insert_ignore(t, batch, S.OBSERVATION_KEY)):
         plan = plan_of(merged)
         assert "SortAggregate" not in plan and "SortMergeJoin" not in plan
