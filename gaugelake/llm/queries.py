@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugelake.llm import (language_id, near_dedup, packing, pieces, pii, quality, substring_dedup, suffix_dedup, topk,
+from gaugelake.llm import (conversations, language_id, near_dedup, packing, pieces, pii, quality, substring_dedup, suffix_dedup, topk,
                            training_order, vocab)
 from gaugelake.llm.common import documents, ship
 from gaugelake.session import workspace
@@ -74,10 +74,15 @@ def op10_column_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = ship(spark).read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.report(conversations.searched(conversations.damaged(talks)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_order_minhash, op2_phrase_automata, op3_fertility, op4_swap_packing, op5_pii,
                             op6_training_order, op7_chunk_table, op8_hyperdimensional, op9_dual_tree,
-                            op10_column_transform)}
+                            op10_column_transform, op11_checkpointed_repair)}
 
 SQL: dict[str, str] = {
     "op9_dual_tree": """
