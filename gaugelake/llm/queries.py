@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugelake.llm import (conversations, language_id, near_dedup, packing, pieces, pii, quality, substring_dedup, suffix_dedup, topk,
-                           training_order, vocab)
+from gaugelake.llm import (conversations, language_id, near_dedup, packing, pieces, pii, quality, simhash, substring_dedup, suffix_dedup, topk,
+                           training_order, vocab, whitening)
 from gaugelake.llm.common import documents, ship
 from gaugelake.session import workspace
 
@@ -79,10 +79,23 @@ def op11_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(conversations.searched(conversations.damaged(talks)))
 
 
+def op12_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_components(documents(ship(spark), sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op13_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(whitening.integers(ship(spark).read.parquet(f"{sf_dir}/embeddings.parquet")))
+    parts = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "own")
+    return (white.select("vec_id", "n", F.col("deviation").try_cast("long").alias("deviation"), "identity_error", parts)
+            .select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "own.whitened", "own.explained", "identity_error"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_order_minhash, op2_phrase_automata, op3_fertility, op4_swap_packing, op5_pii,
                             op6_training_order, op7_chunk_table, op8_hyperdimensional, op9_dual_tree,
-                            op10_column_transform, op11_checkpointed_repair)}
+                            op10_column_transform, op11_checkpointed_repair, op12_vantage_point,
+                            op13_bit_sliced)}
 
 SQL: dict[str, str] = {
     "op9_dual_tree": """

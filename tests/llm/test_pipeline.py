@@ -37,7 +37,7 @@ def test_stages_by_hand(spark, tmp_path):
 
 
 def test_every_operator_has_a_query():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(SQL) <= set(QUERIES) and [n for n, _ in corpus_pipeline.STAGES][1] == "near_duplicates"
 
 
