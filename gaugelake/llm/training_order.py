@@ -16,6 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugelake.llm import vocab
 from gaugelake.llm.common import batch_of, keep, mix, slices
 from gaugelake.llm.packing import token_bytes
 
@@ -33,11 +34,14 @@ SEQUENCES_SQL = "ids binary, n_tokens int, ids_crc32 long, docs array<struct<doc
 
 
 def sequences(docs: DataFrame, file: str, length: int = LENGTH) -> DataFrame:
-    """Documents of a task laid end to end, each with its end id, and cut into sequences of ``length`` tokens; the last
+    """One row a sequence: documents of a task laid end to end, each with its end id, and cut into sequences of ``length`` tokens; the last
     of a task is filled up with zeros. ``docs`` tells which tokens of which documents a sequence holds. Nulls and empty
-    texts are one end id."""
+    texts are one end id, very long ones fill many sequences, repeated rows are laid each time, and an empty table has no
+    sequences. Other columns are ignored."""
     def run(batches):
         held, filled, owners = [], 0, []
+        if vocab.word_ids(file).tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("the vocabulary does not fit two bytes")
         for batch in batches:
             for part in slices(batch):
                 rows = [[] for _ in SEQUENCES]
@@ -48,12 +52,10 @@ def sequences(docs: DataFrame, file: str, length: int = LENGTH) -> DataFrame:
                         row.append(value)
 
                 for doc, encoded in zip(part.column("doc_id").to_pylist(), token_bytes(part.column("text").to_pylist(), file)):
-                    wide = np.frombuffer(encoded, "<u4")
-                    if len(wide) and wide.max() > 0xFFFF:
-                        raise ValueError("the vocabulary does not fit two bytes")
-                    own, at = wide.astype("<u2").tobytes(), 0
-                    while at < len(wide):
-                        take = min(length - filled, len(wide) - at)
+                    own, at = np.frombuffer(encoded, "<u4").astype("<u2").tobytes(), 0
+                    total = len(own) // 2
+                    while at < total:
+                        take = min(length - filled, total - at)
                         held.append(own[2 * at:2 * (at + take)])
                         owners.append({"doc_id": doc, "start": at, "length": take})
                         filled += take
@@ -108,7 +110,9 @@ def numbered(written: DataFrame) -> DataFrame:
 
 def materialise(written: DataFrame, folder: str, length: int = LENGTH, key: int = KEY, per_shard: int = PER_SHARD) -> DataFrame:
     """Write the sequences of a written table as shards under ``folder``; returns ``slot``, ``shard``, ``byte_offset``,
-    ``n_tokens``, ``ids_crc32`` and ``docs`` of each. Shard i is the file ``part-<i>-``. An empty table gives no rows."""
+    ``n_tokens``, ``ids_crc32`` and ``docs`` of each. Shard i is the file ``part-<i>-``; ``layout/`` holds the numbers that
+    :func:`read_slots` needs. An empty table gives no rows. More sequences than MOST_SHARDS shards of ``per_shard`` hold
+    make larger shards. Up to MOST_FILES written files their counts are broadcast; the rows are the same either way."""
     total = written.count()
     per_shard = max(per_shard, math.ceil(total / MOST_SHARDS))
     shards = max(1, math.ceil(total / per_shard))
@@ -116,7 +120,7 @@ def materialise(written: DataFrame, folder: str, length: int = LENGTH, key: int
     placed = pa.schema([("ids", pa.binary())])
 
     def deal(batches):
-        squeeze = zstandard.ZstdCompressor(level=5).compress  # the ids move at two thirds of their size
+        squeeze = zstandard.ZstdCompressor(level=2).compress  # the ids move at two thirds of their size
         for batch in batches:
             slot = permuted(batch.column("index").to_numpy(), total, key)
             yield batch_of(moved, pa.array(slot), pa.array((slot // per_shard).astype(np.int32)),
@@ -137,15 +141,21 @@ def materialise(written: DataFrame, folder: str, length: int = LENGTH, key: int
      .repartitionById(shards, "shard").sortWithinPartitions("slot").select("ids")
      .mapInArrow(place, "ids binary").select(F.col("ids").cast("string").alias("value"))
      .write.option("lineSep", RECORD_END).text(folder))
-    stride = 2 * length + 2
+    spark, stride = written.sparkSession, 2 * length + 2
+    spark.range(1).select(F.lit(length).alias("length"), F.lit(per_shard).alias("per_shard"), F.lit(total).alias("total")).write.json(f"{folder}/layout")
     return rows.withColumn("slot", slot("index")).select(
         "slot", F.floor(F.col("slot") / per_shard).cast("int").alias("shard"),
         ((F.col("slot") % per_shard) * stride).alias("byte_offset"), "n_tokens", "ids_crc32", "docs")
 
 
-def read_slots(spark, folder: str, first: int, last: int, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
-    """``slot`` and ``ids`` of the slots from ``first`` to before ``last``, from the shards that hold them."""
-    stride = 2 * length + 2
+def read_slots(spark, folder: str, first: int, last: int) -> DataFrame:
+    """``slot`` and ``ids`` of the slots from ``first`` to before ``last``, from the shards that hold them; slots beyond the
+    last are left out."""
+    layout = spark.read.schema("length int, per_shard long, total long").json(f"{folder}/layout").first()
+    length, per_shard, stride = layout.length, layout.per_shard, 2 * layout.length + 2
+    first, last = max(first, 0), min(last, layout.total)
+    if first >= last:
+        return spark.createDataFrame([], "slot long, ids array<int>")
     files = (spark.read.format("binaryFile")
              .load([f"{folder}/part-{s:05d}-*" for s in range(first // per_shard, (last - 1) // per_shard + 1)])
              .select(F.regexp_extract(F.substring_index("path", "/", -1), "part-([0-9]+)-", 1).cast("int").alias("shard"), "content"))
@@ -164,4 +174,5 @@ def read_slots(spark, folder: str, first: int, last: int, length: int = LENGTH,
 
 def in_training_order(docs: DataFrame, file: str, folder: str, length: int = LENGTH, key: int = KEY,
                       per_shard: int = PER_SHARD) -> DataFrame:
+    """:func:`sequences` of ``docs``, written under ``folder`` in a keyed random order; see :func:`materialise`."""
     return materialise(keep(sequences(docs, file, length), "training-sequences"), folder, length, key, per_shard)

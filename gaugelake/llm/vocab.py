@@ -1,7 +1,7 @@
 """Token ids by public tokenizers, each distinct part of a text segmented once per worker.
 
 Both vocabularies never join characters across white space, so the ids of a text are the ids of
-its parts in order. Parts are remembered up to a bound; the tables are emptied when full.
+its parts in order. Parts are remembered up to a bound; full tables are emptied, but for the words at hand.
 """
 
 from __future__ import annotations
@@ -57,9 +57,10 @@ class WordIds:
             return [w for w in BLANKS.split(text) if w]
         return text.split()
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: list[str], now: set[str]) -> None:
+        """Add ids of ``words``. A full table keeps the words of the texts at hand (``now``): the frequent ones stay."""
         if len(self.words) + len(words) > self.WORDS:
-            self.words.clear()
+            self.words = {w: self.words[w] for w in now if w in self.words}
         cores = [w.rstrip(SUFFIX) for w in words]
         lower = [c.lower() if c.isascii() else c for c in cores]
         fresh = list(filter(self.simple, set(lower).difference(self.units)))
@@ -90,12 +91,10 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.split(t) for t in texts]
-        fresh = set().union(*split).difference(self.words)
+        now = set().union(*split)
+        fresh = now.difference(self.words)
         if fresh:
-            before = len(self.words)
-            self.learn(list(fresh))
-            if len(self.words) < before + len(fresh):  # the table was emptied
-                self.learn(list(set().union(*split).difference(self.words)))
+            self.learn(list(fresh), now)
         known = self.words
         return [b"".join([known[w] for w in words]) for words in split]
 
