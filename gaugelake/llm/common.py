@@ -59,8 +59,25 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         yield batch.slice(start)
 
 
+def forget() -> None:
+    """Empty what a Python worker remembers between tasks: workers are used again by later stages, whose memory it is."""
+    CODES.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def tidy(run):
+    """A mapInArrow function that forgets at the end of its task."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+    return wrapped
+
+
 def per_slice(fn: Callable[[pa.RecordBatch], pa.RecordBatch], column: str = "text"):
     """A mapInArrow function that applies ``fn`` to slices."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, column):

@@ -8,6 +8,8 @@ by cosine.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -15,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugelake.llm.common import batch_of, slices
+from gaugelake.llm.common import batch_of, forget, slices
 
 DIM = 1024
 SEED = 20240611
@@ -40,7 +42,7 @@ class Space:
 
     def clear(self) -> None:
         self.rows: dict[int, int] = {}
-        self.vectors = np.empty((TRIGRAMS_KEPT, self.dim), np.float32)
+        self.vectors = np.empty((TRIGRAMS_KEPT, self.dim), np.int8)
 
     def letter(self, point: int) -> np.ndarray:
         if point not in self.letters:
@@ -65,12 +67,14 @@ class Space:
         for code in fresh:
             self.vectors[len(self.rows)] = self.trigram(code)
             self.rows[code] = len(self.rows)
-        return self.vectors[[self.rows[c] for c in codes.tolist()]]
+        return self.vectors[[self.rows[c] for c in codes.tolist()]].astype(np.float32)
 
 
-@lru_cache(maxsize=2)
-def space(dim: int, seed: int) -> Space:
-    return Space(dim, seed)
+@contextmanager
+def space(dim: int, seed: int):
+    """The vectors of one task, gone at its end."""
+    yield Space(dim, seed)
+    forget()
 
 
 def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -93,11 +97,13 @@ def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return codes[inside], doc[1:-1][inside]
 
 
-def bundles(texts: list[str | None], hyper: Space) -> np.ndarray:
-    """The bundled vector of each text, one row each; zero for a text without letters."""
+def bundles(texts: list[str | None], hyper: Space) -> tuple[np.ndarray, np.ndarray]:
+    """The bundled vector of each text, one row each, zero for a text without letters; and the number of its letters,
+    each of which is the middle of one trigram."""
     codes, doc = trigrams(texts)
+    letters = np.bincount(doc, minlength=len(texts)).astype(np.int64)
     if not len(codes):
-        return np.zeros((len(texts), hyper.dim), np.float32)
+        return np.zeros((len(texts), hyper.dim), np.float32), letters
     parts = [codes >> 42, codes >> 21 & 0x1FFFFF, codes & 0x1FFFFF]
     seen = np.zeros(0x110000, bool)
     for p in parts:
@@ -116,7 +122,7 @@ def bundles(texts: list[str | None], hyper: Space) -> np.ndarray:
     else:
         distinct, column = np.unique(codes, return_inverse=True)
     counts = np.bincount(doc * len(distinct) + column, minlength=len(texts) * len(distinct))
-    return counts.reshape(len(texts), -1).astype(np.float32) @ hyper.matrix(distinct)
+    return counts.reshape(len(texts), -1).astype(np.float32) @ hyper.matrix(distinct), letters
 
 
 def parts_of(batch: pa.RecordBatch):
@@ -132,14 +138,15 @@ def prototypes(labelled: DataFrame, dim: int = DIM, seed: int = SEED) -> DataFra
     arrow = pa.schema([("lang", pa.string()), ("vector", pa.list_(pa.float64()))])
 
     def run(batches):
-        hyper, sums = space(dim, seed), {}
-        for batch in batches:
-            for part in parts_of(batch):
-                own = bundles(part.column("text").to_pylist(), hyper)
-                langs = np.array(part.column("lang").to_pylist(), object)
-                for lang in set(langs):
-                    total = sums.setdefault(lang, np.zeros(dim))
-                    total += own[langs == lang].sum(axis=0, dtype=np.float64)
+        sums = {}
+        with space(dim, seed) as hyper:
+            for batch in batches:
+                for part in parts_of(batch):
+                    own, _ = bundles(part.column("text").to_pylist(), hyper)
+                    langs = np.array(part.column("lang").to_pylist(), object)
+                    for lang in set(langs):
+                        total = sums.setdefault(lang, np.zeros(dim))
+                        total += own[langs == lang].sum(axis=0, dtype=np.float64)
         if sums:
             yield batch_of(arrow, list(sums), [v for v in sums.values()])
 
@@ -151,12 +158,12 @@ def prototypes(labelled: DataFrame, dim: int = DIM, seed: int = SEED) -> DataFra
             .select("lang", F.col("v.x").alias("vector")))
 
 
-def predict(docs: DataFrame, profiles: DataFrame, dim: int = DIM, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (cosine, 0 to 1) added; needs ``text``.
+def verdict(profiles: DataFrame, dim: int = DIM, seed: int = SEED):
+    """A column function: text to a struct of ``lang_pred``, ``score`` (cosine, 0 to 1) and ``letters``.
 
     ``und`` and 0 for a text that is null, empty or without letters, and for all where there are no
-    profiles. Equal cosines go to the first language by name. The profiles, one vector a language, are
-    collected; more than MOST_LANGUAGES is an error.
+    profiles. Equal cosines go to the first language by name. Only texts go to Python, and only verdicts come back.
+    The profiles, one vector a language, are collected; more than MOST_LANGUAGES is an error.
     """
     rows = profiles.orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
     if len(rows) > MOST_LANGUAGES:
@@ -167,24 +174,31 @@ def predict(docs: DataFrame, profiles: DataFrame, dim: int = DIM, seed: int = SE
     unit = np.divide(vectors, length, out=np.zeros_like(vectors), where=length > 0).astype(np.float32)
     known = bool(rows)
 
-    def run(batches):
-        hyper = space(dim, seed)
-        for batch in batches:
-            for part in parts_of(batch):
-                own = bundles(part.column("text").to_pylist(), hyper)
-                size = np.linalg.norm(own, axis=1)
-                near = own @ unit.T
-                best = near.argmax(axis=1)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    score = np.clip(np.nan_to_num(near[np.arange(len(best)), best] / size), 0, 1).astype(np.float64)
-                found = (size > 0) & known
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(np.where(found, names[best], UNKNOWN).tolist(), pa.string()),
-                     pa.array(np.where(found, score, 0.0))],
-                    names=[*part.schema.names, "lang_pred", "score"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, fields + ", lang_pred string, score double")
+    @F.arrow_udf("lang_pred string, score double, letters long")
+    def judge(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        with space(dim, seed) as hyper:
+            for array in texts:
+                out = [(pa.array([], pa.string()), pa.array([], pa.float64()), pa.array([], pa.int64()))]
+                for part in parts_of(pa.RecordBatch.from_arrays([array], names=["text"])):
+                    own, letters = bundles(part.column("text").to_pylist(), hyper)
+                    size = np.linalg.norm(own, axis=1)
+                    near = own @ unit.T
+                    best = near.argmax(axis=1)
+                    with np.errstate(invalid="ignore", divide="ignore"):
+                        score = np.clip(np.nan_to_num(near[np.arange(len(best)), best] / size), 0, 1).astype(np.float64)
+                    found = (size > 0) & known
+                    out.append((pa.array(np.where(found, names[best], UNKNOWN).tolist(), pa.string()),
+                                pa.array(np.where(found, score, 0.0)), pa.array(letters)))
+                yield pa.StructArray.from_arrays([pa.concat_arrays(c) for c in zip(*out)], names=["lang_pred", "score", "letters"])
+
+    return judge
+
+
+def predict(docs: DataFrame, profiles: DataFrame, dim: int = DIM, seed: int = SEED) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` of :func:`verdict` added; columns of these names are replaced."""
+    held = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    judged = docs.select(*held, verdict(profiles, dim, seed)(F.col("text").cast("string")).alias("gaugelake verdict"))
+    return judged.select(*held, F.col("`gaugelake verdict`.lang_pred").alias("lang_pred"), F.col("`gaugelake verdict`.score").alias("score"))
 
 
 def held_out() -> F.Column:
@@ -193,7 +207,8 @@ def held_out() -> F.Column:
 
 
 def identify(docs: DataFrame, dim: int = DIM, seed: int = SEED) -> DataFrame:
-    """Learn from the documents that are not held out, predict all of them."""
+    """Learn from the documents that are not held out, predict all of them: one row per row, repeated rows alike. Null,
+    empty and letterless texts are ``und``; very long texts are taken whole; other columns are ignored."""
     profiles = prototypes(docs.where(~held_out()).select("lang", "text"), dim, seed)
     return predict(docs.select("doc_id", held_out().alias("held_out"), F.col("text").cast("string").alias("text")),
                    profiles, dim, seed).drop("text")

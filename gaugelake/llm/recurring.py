@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugelake.llm.common import batch_of, grams, keep, slices
+from gaugelake.llm.common import batch_of, grams, keep, slices, tidy
 
 CHUNK = 1 << 22  # windows looked at together; the low 24 bits of a key hold the position
 LOW = np.uint64((1 << 24) - 1)
@@ -80,6 +80,7 @@ def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
 
 
 def anchors(base: DataFrame, tokens: Tokens) -> DataFrame:
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -125,6 +126,7 @@ def segments(base: DataFrame, tokens: Tokens, within: bool, hot: int) -> DataFra
     wanted = (found.drop("twice").join(repeated, "h").join(firsts, ["k", "t"]).groupBy("k", "t")
               .agg(F.collect_list(F.struct("h", "lo", "size", "off", "n")).alias("a")))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -171,6 +173,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def ranges(parts: DataFrame, resolve: Callable[[pa.Table], tuple[np.ndarray, ...]], hot_windows: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Removed token ranges ``k, t, lo, hi`` of the segments: in blocks of whole anchors, and window by window where hot."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in blocks(batches):
             row, lo, hi = resolve(table)

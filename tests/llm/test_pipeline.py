@@ -1,6 +1,9 @@
 import hashlib
+import random
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from gaugelake.llm import near_dedup, pii
 from gaugelake.llm.queries import PIECE_VOCABULARY, QUERIES, SQL, WORD_VOCABULARY
@@ -36,6 +39,21 @@ def test_stages_by_hand(spark, tmp_path):
     assert sum(r.length for r in packed) == sum(tokens.values())
 
 
+def test_language_stage_takes_clashing_columns_and_empty_tables(spark, tmp_path):
+    rng = random.Random(6)
+    noise = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10))) for _ in range(60))
+    texts = [*[f"the words of this text are plain and they are number {i} of the many that we have here" for i in range(40)], noise, "A.", "12 34"]
+    docs = frame(spark, texts).withColumns({"score": F.lit(1.0), "lang_pred": F.lit("x"), "letters": F.lit(2), "lang": F.lit("en")})
+    labelled = docs.withColumn("lang", F.when(F.col("doc_id") < 40, "en"))
+    kept = corpus_pipeline.languages(spark, labelled, "")
+    assert kept.columns == labelled.columns
+    assert {r.doc_id for r in kept.collect()} == {*range(40), 41}  # noise and a text without letters go, a short one stays
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in corpus_pipeline.languages(spark, bare, "").collect()} == {*range(42)}
+    frame(spark, []).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_every_operator_has_a_query():
     assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(SQL) <= set(QUERIES) and [n for n, _ in corpus_pipeline.STAGES][1] == "near_duplicates"

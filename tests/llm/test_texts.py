@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,6 +108,48 @@ def test_language_accuracy(spark):
     assert total > 100 and right / total > 0.97
 
 
+def plain_scores(texts, langs, dim):
+    """Bind, bundle and cosine one trigram and one dimension list at a time, in whole numbers."""
+    vectors = {}
+
+    def letter(c):
+        if c not in vectors:
+            bits = np.random.Generator(np.random.Philox(key=[language_id.SEED, ord(c)])).integers(0, 2, dim)
+            vectors[c] = [2 * int(b) - 1 for b in bits]
+        return vectors[c]
+
+    def bundle(text):
+        padded = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in f" {text or ''} ".lower()))
+        total = [0] * dim
+        for i in range(1, len(padded) - 1):
+            if padded[i] != " ":
+                a, b, c = (letter(x) for x in padded[i - 1:i + 2])
+                for d in range(dim):
+                    total[d] += a[d - 2] * b[d - 1] * c[d]
+        return total
+
+    own = [bundle(t) for t in texts]
+    known = {lang: [sum(v) for v in zip(*(o for o, x in zip(own, langs) if x == lang))] for lang in sorted({x for x in langs if x})}
+
+    def cosine(x, y):
+        size = sum(a * a for a in x) * sum(b * b for b in y)
+        return sum(a * b for a, b in zip(x, y)) / size ** 0.5 if size else 0.0
+    out = []
+    for o in own:
+        best = max(known, key=lambda lang: cosine(o, known[lang])) if any(o) else "und"
+        out.append((best, min(1.0, max(0.0, cosine(o, known[best]))) if any(o) else 0.0))
+    return out
+
+
+def test_language_against_plain_loops(spark):
+    texts = [*awkward(), *corpus(n=14), "le la les des une est dans " * 3, "Été où l'œuvre naïve", "the of and that with this " * 3]
+    langs = [None if i % 4 == 0 or not t else ["en", "fr", "de"][i % 3] for i, t in enumerate(texts)]
+    docs = frame(spark, texts).drop("lang").join(spark.createDataFrame(list(enumerate(langs)), "doc_id long, lang string"), "doc_id")
+    got = {r.doc_id: r for r in language_id.predict(docs, language_id.prototypes(docs, 64), 64).collect()}
+    for i, (lang, score) in enumerate(plain_scores(texts, langs, 64)):
+        assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-5
+
+
 def test_language_edges(spark):
     texts = awkward() + ["le la les des une est dans " * 4, "the of and that with this " * 4]
     docs = frame(spark, texts).withColumn("lang", F.when(F.col("doc_id") == len(texts) - 2, "fr").when(F.col("doc_id") == len(texts) - 1, "en"))
