@@ -6,6 +6,8 @@ SQL form; ``tests/llm/test_pipeline.py`` compares with a brute-force version.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,14 +15,21 @@ from gaugelake.llm import language_id, near_dedup, packing, pii, substring_dedup
 from gaugelake.llm.common import documents, keep, ship
 from gaugelake.llm.queries import WORD_VOCABULARY
 
-LEAST_COSINE = 0.02  # most random letters reach it too: see README
+LEAST_COSINE = 0.14  # above nearly all random letters, below nearly all prose: see README
+FEW_LETTERS = 25  # texts of fewer letters are kept if they have any: a cosine of so few trigrams says little
+BATCH_ROWS = 1000
+VERDICT = "gaugelake verdict"  # no clash with columns of the documents
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or near to no language learned from ``lang``, go. Without any ``lang`` only the former go."""
-    profiles = language_id.prototypes(docs)
-    judged = language_id.predict(docs, profiles)
-    return judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_COSINE)).select(docs.columns)
+    """Documents without letters go, and those of FEW_LETTERS letters and more that are near to no language learned from
+    ``lang``. Without any ``lang`` only the former go. Columns named like a verdict's fields are no matter."""
+    judged = language_id.verdict(language_id.prototypes(docs.select("lang", "text")))(F.col("text").cast("string"))
+    own = docs.withColumn(VERDICT, judged)
+    near = (F.col(f"`{VERDICT}`.score") >= LEAST_COSINE) | (F.col(f"`{VERDICT}`.letters") < FEW_LETTERS)
+    lettered = F.col(f"`{VERDICT}`.letters") > 0
+    some = F.col(f"`{VERDICT}`.lang_pred") == language_id.UNKNOWN
+    return own.where(lettered & (near | some)).select(docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,6 +65,21 @@ STAGES = [("language", languages), ("near_duplicates", near_copies), ("passages"
 ORACLE_SQL = None
 
 
+def in_small_batches(stage):
+    """A stage whose Python workers take BATCH_ROWS rows at a time: whole texts pass through several stages of one
+    application, and what the batches of one leave behind in the executors is the memory of the next. The setting stays
+    on the session, since results are computed after the stage has returned."""
+    @wraps(stage)
+    def set_and_run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for session in (spark, docs.sparkSession):
+            session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+    return set_and_run
+
+
+STAGES = [(name, in_small_batches(stage)) for name, stage in STAGES]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(ship(spark), sf_dir)
     for number, (name, stage) in enumerate(STAGES):
