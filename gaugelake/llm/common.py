@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -63,6 +64,8 @@ def forget() -> None:
     """Empty what a Python worker remembers between tasks: workers are used again by later stages, whose memory it is."""
     CODES.clear()
     pa.default_memory_pool().release_unused()
+    if hasattr(LIBC, "malloc_trim"):
+        LIBC.malloc_trim(0)
 
 
 def tidy(run):
@@ -105,6 +108,7 @@ class WordCodes(dict):
 
 
 CODES = WordCodes()
+LIBC = ctypes.CDLL(None)
 
 
 def word_codes(words: list[bytes]) -> np.ndarray:
