@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as C
+from ..sinks.tables import keep
 from ..sources.files import since
 
 
@@ -79,6 +80,36 @@ def compare(ours: DataFrame, theirs: DataFrame, keys: list[str] | None = None) -
     return both.select(*keys, "ours", "theirs", F.explode(kinds).alias("kind"))
 
 
+def month_digests(rows: DataFrame) -> DataFrame:
+    """Number of readings and two sums of hashes of time, value and grade per series and month: equal for equal sets of readings,
+    and added up before anything moves."""
+    content = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in ("datetime_utc", "value", "grade_code")]
+    return rows.groupBy("series_uid", C.year_month(F.col("datetime_utc")).alias("ym")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*content).cast("decimal(38,0)")).alias("h1"),
+        F.sum(F.xxhash64(F.lit("2"), *reversed(content)).cast("decimal(38,0)")).alias("h2"))
+
+
+def unlike_months(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Series and months whose digests differ; of months that one side lacks only those that only they have matter, but both
+    are told."""
+    a = month_digests(ours).select("series_uid", "ym", F.struct("n", "h1", "h2").alias("a"))
+    b = month_digests(theirs).select("series_uid", "ym", F.struct("n", "h1", "h2").alias("b"))
+    return a.join(b, ["series_uid", "ym"], "full_outer").filter(~F.col("a").eqNullSafe(F.col("b"))).select("series_uid", "ym")
+
+
+def compare_by_month(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """What :func:`compare` gives for whole archives, from the series and months whose digests differ alone: readings of
+    equal months are summed up where they lie and never moved. Filters on ``ym`` skip the folders of months that are
+    equal for all series, where the sides have that column."""
+    unlike = keep(unlike_months(ours, theirs), "unlike")
+    months = [r.ym for r in unlike.select("ym").distinct().collect()]  # at most the calendar's length
+
+    def part(rows: DataFrame) -> DataFrame:
+        own = rows.filter(F.col("ym").isin(months)) if "ym" in rows.columns else rows.withColumn("ym", C.year_month(F.col("datetime_utc")))
+        return own.join(unlike, ["series_uid", "ym"], "left_semi")
+    return compare(part(ours), part(theirs))
+
+
 def next_id(df: DataFrame, column: str) -> int:
     return int(df.agg((F.coalesce(F.max(column), F.lit(0)) + 1).alias("n")).first()["n"])
 

@@ -64,13 +64,41 @@ def interval_join(facts: DataFrame, intervals: DataFrame, key: str, ts: str, sta
     return f.join(laid, on, how).drop("_key", "_month", "_fact_month")
 
 
+def disjoint(intervals: DataFrame, key: str, start: str, end: str, order: list[str]) -> DataFrame:
+    """Intervals (half-open, NULL bounds open) flattened to disjoint pieces of each key: where several hold, the one with the
+    greatest ``order`` columns does, NULL being least. Columns stay, the bounds are those of the piece.
+
+    A sweep: the bounds of a key in order cut it into elementary pieces; each piece meets the intervals of its key that hold
+    its beginning (:func:`interval_join`, on key and month), and neighbours that the same interval won are put together
+    again. Intervals that hold nothing are dropped.
+    """
+    rows = intervals.filter(F.col(start).isNull() | F.col(end).isNull() | (F.col(start) < F.col(end)))
+    span = rows.select(F.explode(F.array(start, end)).alias("at")).agg(F.struct(F.min("at").alias("lo"), F.max("at").alias("hi"))).scalar()
+    some = F.lit("1970-01-01").cast("timestamp_ntz")
+    low, high = (F.coalesce(b, some) + F.expr(f"INTERVAL '{n}' DAY") for b, n in ((span["lo"], -1), (span["hi"], 1)))
+    closed = rows.withColumns({"_lo": F.coalesce(F.col(start), low), "_hi": F.coalesce(F.col(end), high), "_row": F.struct(*intervals.columns)})
+    ordered = Window.partitionBy(key).orderBy("_at")
+    pieces = (closed.select(key, F.explode(F.array("_lo", "_hi")).alias("_at")).distinct()
+              .withColumn("_until", F.lead("_at").over(ordered)).filter("_until IS NOT NULL"))
+    held = interval_join(pieces, closed.select(key, "_lo", "_hi", "_row"), key, "_at", "_lo", "_hi", closed_end=False)
+    best = F.struct(*(F.col(f"_row.{c}").alias(f"o{i}") for i, c in enumerate(order)), F.col("_row").alias("row"))
+    won = held.groupBy(key, "_at", "_until").agg(F.max(best).alias("w")).select(key, "_at", "_until", "w.row")
+    before = F.lag("row").over(ordered).eqNullSafe(F.col("row")) & (F.lag("_until").over(ordered) == F.col("_at"))
+    runs = won.withColumn("_new", F.when(F.coalesce(before, F.lit(False)), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(ordered))
+    joined = runs.groupBy(key, "_run").agg(F.min("_at").alias("_at"), F.max("_until").alias("_until"), F.first("row").alias("row"))
+    bounds = {start: F.when(F.col("_at") > low, F.col("_at")), end: F.when(F.col("_until") < high, F.col("_until"))}
+    return joined.select(*((bounds[c] if c in bounds else F.col(f"row.{c}")).alias(c) for c in intervals.columns))
+
+
 def with_corrections(obs: DataFrame, corrections: DataFrame) -> DataFrame:
+    """Readings with every correction that holds at their time; several kinds apply at once."""
     c = corrections.select("correction_id", "series_uid", "applied_from", "applied_to", "correction_type")
     return interval_join(obs, c, "series_uid", "datetime_utc", "applied_from", "applied_to")
 
 
 def rated_discharge(stage: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Discharge from stage by the rating in effect; half-open effective intervals.
+    """Discharge from stage by the rating in effect; half-open effective intervals. Where ratings of a station overlap, the
+    one that came into effect last holds, then the greater id, so a reading has one rating at most.
 
     The equation's form is this package's choice: q = a * (stage - offset) ^ b with a and b from
     the JSON parameters, NULL at or below the offset.
@@ -78,6 +106,7 @@ def rated_discharge(stage: DataFrame, ratings: DataFrame) -> DataFrame:
     params = F.from_json("equation_params", "map<string,double>")
     r = ratings.select("rating_uid", "station_uid", "effective_from", "effective_to",
                        params["a"].alias("_a"), params["b"].alias("_b"), F.col("offset").alias("_offset"))
+    r = disjoint(r, "station_uid", "effective_from", "effective_to", ["effective_from", "rating_uid"])
     rated = interval_join(stage, r, "station_uid", "datetime_utc", "effective_from", "effective_to",
                           closed_end=False)
     depth = F.col("stage_h") - F.col("_offset")

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as C
-from ..sources.files import PULL_ORDER
+from ..sources.files import CARRIED
 
 
 def _order_of(rows: DataFrame) -> list[Column]:
     """The pull order, where the rows carry it."""
-    return [F.col(c) for c in PULL_ORDER if c in rows.columns]
+    return [F.col(c) for c in CARRIED if c in rows.columns]
 
 
 def reshape_long(pull: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def reshape_long(pull: DataFrame) -> DataFrame:
     timed = pull.withColumn("datetime_utc", C.parse_wsc_time(F.col("DATETIME")))
     order = _order_of(pull)
     long = timed.selectExpr(
-        *(c for c in PULL_ORDER if order), "STATION_NUMBER", "datetime_utc",
+        *(c for c in CARRIED if c in pull.columns), "STATION_NUMBER", "datetime_utc",
         "stack(2, 'H', 'm', LEVEL, LEVEL_SYM, 'Q', 'm3/s', DISCHARGE, DISCHARGE_SYM)"
         " AS (parameter, units, value, qflag)")
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value")).select(
@@ -81,7 +81,7 @@ def wsc_observations(long: DataFrame, run_id, ingest_ts, approval: str = "workin
 
 def _conform(source: DataFrame, rows: DataFrame) -> DataFrame:
     """Observation columns, then the pull order where there is one."""
-    order = [S.T.StructField(c, source.schema[c].dataType) for c in PULL_ORDER if c in source.columns]
+    order = [S.T.StructField(c, source.schema[c].dataType) for c in CARRIED if c in source.columns]
     return S.conform(rows, S.T.StructType([*S.OBSERVATION.fields, *order]))
 
 

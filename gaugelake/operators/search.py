@@ -1,14 +1,16 @@
-"""Fuzzy name search and location search over stations: one pass each, no pairs of rows.
+"""Fuzzy name search and location search over stations. A few literal terms or points are compared while the table is
+read; two tables meet on rare trigrams or on map cells, never row by row.
 
 The reference declares the indexes for these look-ups and runs none of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
+from ..sinks.tables import keep
 
 
 def name_search(df: DataFrame, column: str, terms: list[str], threshold: float = 0.3) -> DataFrame:
@@ -42,3 +44,96 @@ def nearest(station: DataFrame, points: list[tuple[str, float, float]]) -> DataF
             .groupBy(F.col("p.point_id").alias("point_id"))
             .agg(F.min(F.struct(distance.alias("km"), "station_uid")).alias("best")))
     return best.select("point_id", "best.station_uid", F.round("best.km", 6).alias("distance_km"))
+
+
+# Cells round the globe at each level of the search, coarser by four; at the last one all is one cell.
+CELLS = [4 ** n for n in range(7, -1, -1)]
+
+
+def _cells(lat: Column, lon: Column, around: int) -> tuple[Column, Column]:
+    """Row and column of the square cell that holds a place; columns wrap round the globe."""
+    size = 360.0 / around
+    return F.floor((lat + 90) / size), F.floor((lon + 180) / size) % around
+
+
+def _covered_km(lat: Column, lon: Column, around: int) -> Column:
+    """A distance within which every place lies in the 3 x 3 cells about a point. The way to a parallel is along the
+    meridian; the way to a meridian at longitude d away is asin(cos(lat) sin(d)), from 90 degrees on over the pole."""
+    size = 360.0 / around
+    row = F.floor((lat + 90) / size)
+    south, north = lat - ((row - 1) * size - 90), (row + 2) * size - 90 - lat
+    far = F.lit(1e9)
+    to_south = F.when((row - 1) * size <= 0, far).otherwise(F.radians(south))
+    to_north = F.when((row + 2) * size >= 180, far).otherwise(F.radians(north))
+    if around <= 3:
+        sides = far
+    else:
+        into = (lon + 180) - F.floor((lon + 180) / size) * size
+        narrow = F.least(F.lit(90.0), into + size, 2 * size - into)
+        sides = F.asin(F.least(F.lit(1.0), F.cos(F.radians(lat)) * F.sin(F.radians(narrow))))
+    return F.lit(geo.EARTH_RADIUS_KM) * F.least(to_south, to_north, sides) * (1 - 1e-9)
+
+
+def nearest_points(station: DataFrame, points: DataFrame) -> DataFrame:
+    """For each row of ``points(point_id, lat, lon)`` the closest station; equal distances go to the lower uid.
+
+    Stations and points meet in map cells: each open point looks into the 3 x 3 cells about it, at first fine ones and in
+    each further round four times coarser ones, and is done once its best station is nearer than the edge of what it
+    has looked at. So dense places are settled among few candidates. Points without a place are left out; without
+    stations there are no rows. Repeated points have a row each; a point_id names one place.
+    """
+    located = station.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("station_uid", "lat", "lon")
+    open_points = keep(points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("point_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")), "points")
+    located, done = keep(located, "located"), []
+    for around in CELLS:
+        lat, lon = F.col("p_lat"), F.col("p_lon")
+        row, column = _cells(lat, lon, around)
+        cells = F.array_distinct(F.array(*(F.struct((row + i).alias("cell_row"), F.pmod(column + j, F.lit(around)).alias("cell_column"))
+                                           for i in (-1, 0, 1) for j in (-1, 0, 1))))
+        asked = open_points.select("point_id", "p_lat", "p_lon", F.inline(cells))
+        s_row, s_column = _cells(F.col("lat"), F.col("lon"), around)
+        held = located.withColumns({"cell_row": s_row, "cell_column": s_column})
+        km = geo.haversine_km(lat, lon, F.col("lat"), F.col("lon"))
+        best = (asked.join(held, ["cell_row", "cell_column"]).groupBy("point_id", "p_lat", "p_lon")
+                .agg(F.min(F.struct(km.alias("km"), "station_uid")).alias("best")))
+        best = keep(best.filter((F.col("best.km") < _covered_km(lat, lon, around)) | F.lit(around == 1)), "nearest")
+        done.append(best)
+        if around == 1:
+            break
+        open_points = keep(open_points.join(best, ["point_id", "p_lat", "p_lon"], "left_anti"), "points")
+        if open_points.isEmpty():
+            break
+    found = done[0]
+    for more in done[1:]:
+        found = found.unionByName(more)
+    return found.select("point_id", "best.station_uid", F.round("best.km", 6).alias("distance_km"))
+
+
+def similar_names(left: DataFrame, right: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """Pairs ``left_name``, ``right_name``, ``similarity`` of distinct names of ``left(name)`` and ``right(name)`` whose
+    trigrams reach ``threshold``, which is over 0. Names without trigrams resemble nothing.
+
+    An inverted index over trigrams, by prefixes: with a name's trigrams in order of rarity, two names that are similar
+    enough share one among the first n - ceil(threshold * n) + 1 of each. Only those meet, if their numbers of trigrams
+    allow it; the candidates' whole trigrams are compared after. Very common trigrams come last and index few names.
+    """
+    sides = {}
+    for side, names in (("left", left), ("right", right)):
+        own = names.filter(F.col("name").isNotNull()).select(F.col("name").alias(f"{side}_name")).distinct()
+        sides[side] = keep(own.select("*", text.trigrams(F.col(f"{side}_name")).alias(f"{side}_grams")).filter(F.size(f"{side}_grams") > 0), "names")
+    every = sides["left"].select(F.explode("left_grams").alias("gram")).unionByName(sides["right"].select(F.explode("right_grams").alias("gram")))
+    rarity = keep(every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "grams")
+
+    def index(side: str) -> DataFrame:
+        name, grams = f"{side}_name", f"{side}_grams"
+        size = F.size(grams)
+        placed = (sides[side].select(name, size.alias(f"{side}_size"), F.explode(grams).alias("gram")).join(rarity, "gram")
+                  .groupBy(name, f"{side}_size").agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("order")))  # a name's own trigrams
+        prefix = F.col(f"{side}_size") - F.ceil(F.col(f"{side}_size") * threshold - 1e-9).cast("int") + 1
+        return placed.select(name, f"{side}_size", F.explode(F.slice("order", F.lit(1), prefix)["gram"]).alias("gram"))
+
+    low, high = F.least("left_size", "right_size"), F.greatest("left_size", "right_size")
+    pairs = index("left").join(index("right"), "gram").filter(low >= high * threshold - 1e-9).select("left_name", "right_name").distinct()
+    scored = (pairs.join(sides["left"], "left_name").join(sides["right"], "right_name")
+              .select("left_name", "right_name", text.similarity(F.col("left_grams"), F.col("right_grams")).alias("similarity")))
+    return scored.filter(F.col("similarity") >= threshold)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
@@ -13,12 +14,12 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import columns as C
-from ..operators import merge
+from ..operators import merge, quarantine
 from ..sinks import tables as sink
 
 SCHEMAS = {
     "station": S.STATION, "series": S.SERIES, "observation": S.OBSERVATION, "pull_run": S.PULL_RUN,
-    "audit_log": S.AUDIT_LOG, "audit_discrepancy": S.AUDIT_DISCREPANCY,
+    "audit_log": S.AUDIT_LOG, "audit_discrepancy": S.AUDIT_DISCREPANCY, "quarantine": S.QUARANTINE,
 }
 VERSIONED = ("station", "series", "observation")
 
@@ -109,6 +110,16 @@ class Archive:
         self._scratch.append(path)
         return staged
 
+    def stage_split(self, tagged: DataFrame, purpose: str, kind: str, run_id: int, as_of) -> DataFrame:
+        """The good rows of a tagged table, staged; the bad ones are appended to the quarantine."""
+        path = self.path(f"_stage/{purpose}-{uuid.uuid4().hex}")
+        self._scratch.append(path)
+        good, bad = quarantine.split(tagged, path)
+        if not bad.isEmpty():
+            rows = quarantine.quarantined(bad, kind, run_id, as_of)
+            self.append("quarantine", quarantine.unknown(rows, self.read("quarantine")))
+        return good
+
     def clear_scratch(self) -> None:
         """Drop what :meth:`stage` wrote, at the end of a run."""
         while self._scratch:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as C
-from ..operators import audit, merge, normalize
+from ..operators import audit, merge, normalize, quarantine
 from ..session import build_session
 from ..sinks import tables as sink
 from ..sources import files, registry
@@ -52,27 +52,37 @@ def _now() -> datetime:
 
 def _pull_wsc(archive: Archive, landing: str, as_of: datetime, days: int, source: str,
               run_id: int, raw_root: str | None, multiline: bool) -> int:
-    ids = registry.active_wsc_ids(archive.read("station")).withColumnRenamed("wsc_id", "STATION_NUMBER")
-    unreadable, untimed = Observation(), Observation()
-    pages = files.geojson_pages(archive.spark, landing, multiline).observe(
-        unreadable, F.count_if(F.col("features").isNull()).alias("n"))
-    time = C.parse_wsc_time(F.col("DATETIME"))
-    pull = files.wide_pull(pages).observe(untimed, F.count_if(time.isNull()).alias("n"))
-    pull = pull.filter(time >= C.days_before(as_of, days))
-    pull = archive.stage(pull.join(ids, "STATION_NUMBER", "left_semi"), "pull")
+    pages = archive.stage_split(quarantine.tag_pages(files.geojson_pages(archive.spark, landing, multiline)),
+                                "pages", quarantine.PAGE, run_id, as_of)
     # As with a failed fetch, the run goes on with what could be read.
-    _report(source, run_id, unreadable.get["n"], "unreadable pages")
-    _report(source, run_id, untimed.get["n"], "readings without a readable time")
+    pull = archive.stage_split(quarantine.tag_readings(files.wide_pull(pages)), "readings", quarantine.READING, run_id, as_of)
+    _report_quarantine(archive, source, run_id)
+    pull = pull.filter(C.parse_wsc_time(F.col("DATETIME")) >= C.days_before(as_of, days))
+    pull = archive.stage(_registered(archive, pull), "pull")
     if raw_root:
         sink.land_raw(pull.drop(*files.PULL_ORDER), raw_root, source, run_id, as_of.date())
+    return _take_wsc(archive, pull, run_id, as_of)
+
+
+def _registered(archive: Archive, pull: DataFrame) -> DataFrame:
+    ids = registry.active_wsc_ids(archive.read("station")).withColumnRenamed("wsc_id", "STATION_NUMBER")
+    return pull.join(ids, "STATION_NUMBER", "left_semi")
+
+
+def _take_wsc(archive: Archive, pull: DataFrame, run_id: int, as_of: datetime) -> int:
     long = normalize.reshape_long(pull).filter(F.col("datetime_utc").isNotNull())
     archive.add_series(normalize.series_discovery(long, "instant"))
     return archive.upsert_observations(normalize.wsc_observations(long, run_id, as_of), merge.WSC_UPDATES, files.PULL_ORDER)
 
 
+def _report_quarantine(archive: Archive, source: str, run_id: int) -> None:
+    for r in (archive.read("quarantine").filter(F.col("run_id") == run_id).groupBy("kind", "reason").count().collect()):  # a row a reason
+        _report(source, run_id, r["count"], f"{r.kind}: {r.reason}; kept in the quarantine")
+
+
 def _report(source: str, run_id: int, n: int, what: str) -> None:
     if n:
-        log.warning("%s run %s: %s %s left out", source, run_id, n, what)
+        log.warning("%s run %s: %s left out, %s", source, run_id, n, what)
 
 
 def daily(archive: Archive, landing: str, as_of: datetime, raw_root: str | None = None,
@@ -111,7 +121,10 @@ def export_readings(archive_spark, landing: str, registry_rows: DataFrame,
     """
     options = {"dataset_pattern": dataset_pattern} if dataset_pattern else {}
     lines = files.export_lines(archive_spark, landing, **options)
-    readings = normalize.export_normalise(files.export_rows(lines), dropped)
+    return _known(normalize.export_normalise(files.export_rows(lines), dropped), registry_rows)
+
+
+def _known(readings: DataFrame, registry_rows: DataFrame) -> DataFrame:
     known = registry_rows.select(
         C.bc_source_series_id(F.col("parameter"), F.col("label"), F.col("moe_id")).alias("dataset"),
         "moe_id", "canon")
@@ -122,27 +135,67 @@ def _provincial(archive: Archive, landing: str, registry_path: str, as_of: datet
                 wells: bool, window: str, raw_root: str | None, dataset_pattern: str | None = None) -> int:
     def body(run_id: int) -> int:
         reg = files.dataset_registry(archive.spark, registry_path)
-        dropped = Observation()
-        readings = files.since(export_readings(archive.spark, landing, reg, dataset_pattern, dropped),
-                               "datetime_utc", as_of, DATE_RANGES[window])
+        options = {"dataset_pattern": dataset_pattern} if dataset_pattern else {}
+        lines = archive.stage_split(quarantine.tag_lines(files.tagged_lines(archive.spark, landing, **options)),
+                                    "lines", quarantine.LINE, run_id, as_of)
+        _report_quarantine(archive, source, run_id)
+        readings = files.since(_known(normalize.export_normalise(files.export_rows(lines)), reg), "datetime_utc", as_of, DATE_RANGES[window])
         readings = archive.stage(readings, "export")
-        _report(source, run_id, dropped.get["n"], "export rows without a readable time")
-        _report(source, run_id, files.short_exports(archive.spark, landing).count(), "export files without four columns")
         if raw_root:
-            for name in [r.dataset for r in readings.select("dataset").distinct().toLocalIterator()]:
-                sink.land_raw(readings.filter(F.col("dataset") == name).drop(*files.PULL_ORDER), raw_root,
-                              f"{'gw' if wells else 'bc'}/{name}", run_id, as_of.date())
-        # Sites and series appear in the archive with their first readings.
-        seen = readings.select("moe_id", "canon").distinct()
-        present = archive.stage(reg.join(seen, ["moe_id", "canon"], "left_semi"), "registry")
-        archive.upsert_stations(
-            normalize.bc_stations(present, "groundwater_well" if wells else None), wells)
-        archive.add_series(normalize.bc_series(present))
-        return archive.upsert_observations(
-            normalize.bc_observations(readings, run_id, as_of), merge.BC_UPDATES, files.PULL_ORDER)
+            sink.land_raw(readings.drop(*files.PULL_ORDER), raw_root, "gw" if wells else "bc", run_id, as_of.date(), "dataset")
+        return _take_provincial(archive, readings, reg, wells, run_id, as_of)
     return with_ledger(archive, source, as_of, body)
 
 
+def _take_provincial(archive: Archive, readings: DataFrame, reg: DataFrame, wells: bool, run_id: int, as_of: datetime) -> int:
+    """Sites and series appear in the archive with their first readings."""
+    seen = readings.select("moe_id", "canon").distinct()
+    present = archive.stage(reg.join(seen, ["moe_id", "canon"], "left_semi"), "registry")
+    archive.upsert_stations(normalize.bc_stations(present, "groundwater_well" if wells else None), wells)
+    archive.add_series(normalize.bc_series(present))
+    return archive.upsert_observations(normalize.bc_observations(readings, run_id, as_of), merge.BC_UPDATES, files.PULL_ORDER)
+
+
+def replay(archive: Archive, repairs: DataFrame, as_of: datetime, registry_path: str | None = None, wells: bool = False) -> int:
+    """Take repaired quarantine rows into the archive and close them.
+
+    ``repairs`` (pulled_from, body, fixed) gives the mended text of a row; see :func:`quarantine.repaired`. What is still
+    bad after its repair is quarantined as a row of its own. A replayed reading keeps the time of its pull among readings
+    of the same run, and never replaces one that a later run has brought. Export lines need the dataset registry.
+    """
+    def body(run_id: int) -> int:
+        fixed = archive.stage(quarantine.repaired(quarantine.still_open(archive.read("quarantine")), repairs)
+                              .withColumn("seen_ts", F.col("changed_ts")), "fixed")
+        pages = archive.stage_split(quarantine.tag_pages(quarantine.pages_of(fixed).withColumn("_corrupt", F.col("fixed"))),
+                                    "pages", quarantine.PAGE, run_id, as_of)
+        pull = files.wide_pull(pages).unionByName(quarantine.readings_of(fixed).select(
+            *files.CARRIED, "STATION_NUMBER", "DATETIME", "LEVEL", "DISCHARGE", "LEVEL_SYM", "DISCHARGE_SYM"))
+        pull = archive.stage(_registered(archive, archive.stage_split(
+            quarantine.tag_readings(pull), "readings", quarantine.READING, run_id, as_of)), "pull")
+        long = archive.stage(normalize.reshape_long(pull), "long")
+        archive.add_series(normalize.series_discovery(long, "instant"))
+        n = _replayed(archive, normalize.wsc_observations(long, run_id, as_of), merge.WSC_UPDATES)
+        if registry_path:
+            reg = files.dataset_registry(archive.spark, registry_path)
+            lines = fixed.filter(F.col("kind") == quarantine.LINE).withColumnRenamed("fixed", "line")
+            lines = archive.stage_split(quarantine.tag_lines(lines.select("dataset", *files.CARRIED, "line", F.lit(True).alias("complete"))),
+                                        "lines", quarantine.LINE, run_id, as_of)
+            readings = archive.stage(_known(normalize.export_normalise(files.export_rows(lines)), reg), "export")
+            present = archive.stage(reg.join(readings.select("moe_id", "canon").distinct(), ["moe_id", "canon"], "left_semi"), "registry")
+            archive.upsert_stations(normalize.bc_stations(present, "groundwater_well" if wells else None), wells)
+            archive.add_series(normalize.bc_series(present))
+            n += _replayed(archive, normalize.bc_observations(readings, run_id, as_of), merge.BC_UPDATES)
+        done = fixed if registry_path else fixed.filter(F.col("kind") != quarantine.LINE)
+        archive.append("quarantine", done.withColumns({"status": F.lit("replayed"), "changed_ts": C.instant(as_of)}))
+        return n
+    return with_ledger(archive, "replay", as_of, body)
+
+
+def _replayed(archive: Archive, observations: DataFrame, update: list[str]) -> int:
+    newer = quarantine.not_older(archive.stage(observations, "replayed"), archive.read("observation"))
+    return archive.upsert_observations(archive.stage(newer, "newer"), update, ["seen_ts", *files.PULL_ORDER])
+
+
 def provincial(archive: Archive, landing: str, registry_path: str, as_of: datetime,
                window: str = "Days7", raw_root: str | None = None, dataset_pattern: str | None = None) -> int:
     return _provincial(archive, landing, registry_path, as_of, "bc-export", False, window, raw_root, dataset_pattern)
@@ -196,13 +249,13 @@ def firstcut(archive: Archive, registry_path: str, landing: str, as_of: datetime
         reg = files.station_registry(archive.spark, registry_path)
         archive.write_dimension("station", merge.replace_slice(
             archive.read("station"), F.col("operator") == "WSC", S.conform(reg, S.STATION)))
-        unreadable = Observation()
-        pull = files.wide_pull(files.geojson_pages(archive.spark, landing, multiline).observe(
-            unreadable, F.count_if(F.col("features").isNull()).alias("n")))
+        pages = archive.stage_split(quarantine.tag_pages(files.geojson_pages(archive.spark, landing, multiline)),
+                                    "pages", quarantine.PAGE, run_id, as_of)
+        pull = archive.stage_split(quarantine.tag_readings(files.wide_pull(pages)), "readings", quarantine.READING, run_id, as_of)
         ids = reg.select(F.col("wsc_id").alias("STATION_NUMBER"))
         long = archive.stage(normalize.reshape_long(pull.join(ids, "STATION_NUMBER", "left_semi"))
                      .filter(F.col("datetime_utc").isNotNull()), "pull")
-        _report("wsc", run_id, unreadable.get["n"], "unreadable pages")
+        _report_quarantine(archive, "wsc", run_id)
         archive.write_dimension("series", merge.replace_slice(
             archive.read("series"), F.col("station_uid").like("WSC-%"),
             S.conform(normalize.series_discovery(long, "instant"), S.SERIES)))
@@ -244,7 +297,7 @@ def migrate(source_root: str, archive: Archive, as_of: datetime) -> None:
         archive.insert_observations(archive.stage(normalize.staged_to_observation(staged, as_of), "migrate"))
 
 
-MODES = ("daily", "weekly", "provincial", "gw", "backfill", "firstcut", "migrate")
+MODES = ("daily", "weekly", "provincial", "gw", "backfill", "firstcut", "migrate", "replay")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -257,6 +310,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--levels", help="backfill: daily levels")
     p.add_argument("--stations", help="backfill: station metadata CSV")
     p.add_argument("--regulation", help="backfill: regulation CSV")
+    p.add_argument("--repairs", help="replay: JSON lines of pulled_from, body, fixed")
     p.add_argument("--break-lock", action="store_true", help="remove the lock of a run that died")
     p.add_argument("--buckets", type=int, default=4, help="buckets of series in a month, for a new archive")
     p.add_argument("--raw-root", help="immutable raw landing; none if absent")
@@ -264,7 +318,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--as-of", type=datetime.fromisoformat, default=None)
     p.add_argument("--dry-run", action="store_true", help="gw: report, write nothing")
     a = p.parse_args(argv)
-    needed = {"backfill": ["flows", "levels"], "migrate": ["landing"], "daily": ["landing"],
+    needed = {"backfill": ["flows", "levels"], "migrate": ["landing"], "replay": ["repairs"], "daily": ["landing"],
               "weekly": ["landing"]}.get(a.mode, ["landing", "registry"])
     missing = [f"--{n}" for n in needed if getattr(a, n) is None]
     if missing:
@@ -295,6 +349,9 @@ def main(argv: list[str] | None = None) -> None:
         if a.stations and a.regulation:
             meta = files.station_metadata(files.station_table(spark, a.stations), files.regulation_table(spark, a.regulation))
         result = backfill(archive, flows, levels, as_of, meta)
+    elif a.mode == "replay":
+        repairs = spark.read.schema("pulled_from string, body string, fixed string").json(a.repairs)
+        result = replay(archive, repairs, as_of, a.registry)
     elif a.mode == "firstcut":
         result = firstcut(archive, a.registry, a.landing, as_of)
     else:

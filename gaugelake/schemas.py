@@ -55,6 +55,11 @@ AUDIT_DISCREPANCY = _struct(
     ("ours", _D), ("theirs", _D), ("action_taken", _S), ("detected_ts", _TS),
 )
 
+QUARANTINE = _struct(
+    ("run_id", _L), ("pulled_at", _TS), ("pulled_from", _S), ("kind", _S), ("reason", _S), ("body", _S), ("nth", _L),
+    ("dataset", _S), ("status", _S), ("changed_ts", _TS),
+)
+
 # Input shapes.
 GEOJSON_PAGE = _struct(
     ("features", T.ArrayType(_struct(("properties", _struct(

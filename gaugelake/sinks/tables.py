@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import workspace
+
 log = logging.getLogger(__name__)
 
 
@@ -83,15 +85,24 @@ def stage(df: DataFrame, root: str, purpose: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def land_raw(df: DataFrame, root: str, source: str, run_id: int, on: date) -> bool:
-    """Immutable raw copy under {source}/{yyyy}/{mm}/{dd}/{source}-run{id}.csv.
+def keep(df: DataFrame, purpose: str) -> DataFrame:
+    """Rows written to a new scratch folder of the application and read back: computed once, of known size."""
+    path = workspace(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def land_raw(df: DataFrame, root: str, source: str, run_id: int, on: date, partition_by: str | None = None) -> bool:
+    """Immutable raw copy under {source}/{yyyy}/{mm}/{dd}/{source}-run{id}.csv; with ``partition_by`` a folder for each
+    value of that column inside, all in one write.
 
     Best effort as the rest of the run must not depend on it; an existing landing is never
     touched.
     """
     path = f"{root}/{source}/{on:%Y/%m/%d}/{source}-run{run_id}.csv"
     try:
-        df.write.mode("errorifexists").option("header", True).option("nullValue", "NA").csv(path)
+        writer = df.write.mode("errorifexists").option("header", True).option("nullValue", "NA")
+        (writer.partitionBy(partition_by) if partition_by else writer).csv(path)
         return True
     except Exception as error:  # noqa: BLE001 - reported, not raised
         log.warning("raw landing %s failed: %s", path, error)
@@ -120,14 +131,11 @@ def export_tables(tables: dict[str, DataFrame], root: str) -> None:
         write_csv(df.select(columns), f"{root}/{name}")
 
 
-def partitions(spark: SparkSession, folder: str) -> list[str]:
-    """Partition folders below a version, as paths like ``a=1/b=2``; what else lies there (``_SUCCESS``) is left out."""
-    found = []
-    for child in children(spark, folder):
-        name = child.rsplit("/", 1)[1]
-        if "=" in name:
-            found += [f"{name}/{below}" for below in partitions(spark, child)] or [name]
-    return found
+def partitions(spark: SparkSession, folder: str, depth: int) -> list[str]:
+    """Partition folders ``depth`` levels below a version, as paths like ``a=1/b=2``, found in one listing."""
+    fs, _ = _fs(spark, folder)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(folder + "/*=*" * depth)
+    return sorted("/".join(s.getPath().toString().split("/")[-depth:]) for s in fs.globStatus(pattern) or [])
 
 
 WHOLE = ""  # the one partition of an unpartitioned table
@@ -192,7 +200,7 @@ def commit(df: DataFrame, path: str, partition_by: list[str] | None = None, sort
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/v={version}")
-    new = dict.fromkeys(partitions(spark, f"{path}/v={version}") if partition_by else [WHOLE], version)
+    new = dict.fromkeys(partitions(spark, f"{path}/v={version}", len(partition_by)) if partition_by else [WHOLE], version)
     kept = {k: v for k, v in parts.items() if k not in emptied}
     if not create(spark, f"{path}/_manifest/{number + 1:012d}", json.dumps(kept | new)):
         delete(spark, f"{path}/v={version}")
@@ -214,7 +222,8 @@ def sweep(spark: SparkSession, path: str, manifests: int = 2, min_age_seconds: f
             delete(spark, folder)
         elif name.startswith("v="):
             named = {part for state in states for part, version in state.items() if version == name[2:]}
-            for part in partitions(spark, folder):
+            depth = next(iter(named)).count("/") + 1 if named != {WHOLE} else 0
+            for part in partitions(spark, folder, depth) if depth else []:
                 if part not in named:
                     delete(spark, f"{folder}/{part}")
     for m in old:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -10,12 +10,23 @@ from ..functions import columns as C
 
 _METADATA_LINES = 5
 
-# Columns that say which pull a row is from; the later file is the later pull, its name breaks ties.
+# Columns that say which pull a row is from: the later pull wins, the file's name breaks ties.
 PULL_ORDER = ["pulled_at", "pulled_from"]
+# What rows bring along through parsing where they have it; repaired rows also know when they were first seen.
+CARRIED = [*PULL_ORDER, "seen_ts"]
+
+
+def pull_time(path: Column, modified: Column) -> Column:
+    """When a landed file was pulled: the time in its path (a folder ``pull=<ISO time or date>``, or folders yyyy/mm/dd),
+    so that copying or landing an old pull again does not make it new; without one the file's own time."""
+    named = F.url_decode(F.regexp_extract(path, r"/pull=(\d{4}-\d\d-\d\d[^/]*)/", 1)).try_cast("timestamp_ntz")
+    dated = F.regexp_replace(F.regexp_extract(path, r"/(\d{4}/\d\d/\d\d)/", 1), "/", "-").try_cast("timestamp_ntz")
+    return F.coalesce(named, dated, modified.cast("timestamp_ntz"))
 
 
 def _pull_order() -> list[Column]:
-    return [F.col("_metadata.file_modification_time").alias("pulled_at"), F.col("_metadata.file_path").alias("pulled_from")]
+    path = F.col("_metadata.file_path")
+    return [pull_time(path, F.col("_metadata.file_modification_time")).alias("pulled_at"), path.alias("pulled_from")]
 
 
 def geojson_pages(spark: SparkSession, path: str, multiline: bool = True,
@@ -33,7 +44,7 @@ def geojson_pages(spark: SparkSession, path: str, multiline: bool = True,
 def wide_pull(pages: DataFrame) -> DataFrame:
     """Pages to one row per feature; a property that is null or absent is NULL."""
     p = "feature.properties."
-    order = [c for c in PULL_ORDER if c in pages.columns]
+    order = [c for c in CARRIED if c in pages.columns]
     return (pages.select(F.explode("features").alias("feature"), *order)
             .select(*order, F.col(p + "STATION_NUMBER").alias("STATION_NUMBER"),
                     F.col(p + "DATETIME").alias("DATETIME"),
@@ -60,43 +71,43 @@ def since(df: DataFrame, ts: str, as_of, days: int | None, strict: bool = False)
     return out
 
 
-def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their place counted from the start of the file, exact in the file's first split.
+def _export_heads(lines: DataFrame) -> DataFrame:
+    """Number of the first line of each file, and whether its header has four columns or more: one row a file.
 
-    Lines are numbered as they are read; the least number per file in the split at offset 0, one value a file from
-    an aggregate that combines before the shuffle, is that of the first line.
+    Lines are numbered as they are read, so those of a file's first split are consecutive. The rank keeps six lines a
+    file in each task before anything moves.
     """
-    lines = (spark.read.option("recursiveFileLookup", True).text(path)
-             .select(F.col("value").alias("line"), *_pull_order(),
-                     F.col("_metadata.file_block_start").alias("block_start"))
-             .withColumn("line_id", F.monotonically_increasing_id()))
-    first = lines.filter("block_start = 0").groupBy("pulled_from").agg(F.min("line_id").alias("first_id"))
-    return lines.join(first, "pulled_from").withColumn(
-        "line_no", F.when(F.col("block_start") == 0, F.col("line_id") - F.col("first_id")))
+    place = Window.partitionBy("pulled_from").orderBy("line_id")
+    first = (lines.filter("block_start = 0").withColumn("line_no", F.row_number().over(place) - 1)
+             .filter(F.col("line_no") <= _METADATA_LINES))
+    header = (F.col("line_no") == _METADATA_LINES) & (_column_count(F.col("line")) >= 4)
+    return first.groupBy("pulled_from").agg(F.min("line_id").alias("first_id"), F.max(header).alias("complete"))
 
 
-def export_lines(spark: SparkSession, path: str, dataset_pattern: str = r"([^/]+?)(?:\.csv)?$") -> DataFrame:
-    """Lines of metadata-prefixed CSV exports: dataset (from the file's path), pull order, line.
+def tagged_lines(spark: SparkSession, path: str, dataset_pattern: str = r"([^/]+?)(?:\.csv)?$") -> DataFrame:
+    """Lines of metadata-prefixed CSV exports after their headers: dataset (from the file's path), pull order, line, and
+    ``complete``: false for all lines of a file that ends before a header of at least four columns.
 
     Files are split like any text, so a dataset of any size is read by many tasks. The five metadata lines and
-    the header go by their place, never by their text. Files whose header has fewer than four columns are left
-    out (:func:`short_exports` lists them).
+    the header go by their place, never by their text. The text is read twice, for the files' heads and for the body; heads
+    are one row a file and the planner broadcasts them once it knows their size.
     """
-    lines = _numbered_lines(spark, path)
-    complete = (lines.filter((F.col("line_no") == _METADATA_LINES) & (_column_count(F.col("line")) >= 4))
-                .select("pulled_from"))
-    return (lines.filter(F.col("line_no").isNull() | (F.col("line_no") > _METADATA_LINES))
-            .join(complete, "pulled_from", "left_semi")
-            .select(_unescaped(F.regexp_extract("pulled_from", dataset_pattern, 1)).alias("dataset"), *PULL_ORDER, "line"))
+    lines = (spark.read.option("recursiveFileLookup", True).text(path)
+             .select(F.col("value").alias("line"), *_pull_order(), F.col("_metadata.file_block_start").alias("block_start"))
+             .withColumn("line_id", F.monotonically_increasing_id()))
+    body = (F.col("block_start") > 0) | (F.col("line_id") > F.col("first_id") + _METADATA_LINES) | ~F.col("complete")
+    dataset = _unescaped(F.regexp_extract("pulled_from", dataset_pattern, 1)).alias("dataset")
+    return lines.join(_export_heads(lines), "pulled_from").filter(body).select(dataset, *PULL_ORDER, "line", "complete")
+
+
+def export_lines(spark: SparkSession, path: str, dataset_pattern: str = r"([^/]+?)(?:\.csv)?$") -> DataFrame:
+    """Lines of complete exports; see :func:`tagged_lines`."""
+    return tagged_lines(spark, path, dataset_pattern).filter("complete").drop("complete")
 
 
 def short_exports(spark: SparkSession, path: str) -> DataFrame:
     """Paths of export files that end before a header of at least four columns."""
-    lines = _numbered_lines(spark, path)
-    complete = (lines.filter((F.col("line_no") == _METADATA_LINES) & (_column_count(F.col("line")) >= 4))
-                .select(F.col("pulled_from").alias("path")))
-    return (lines.filter("line_no = 0").select(F.col("pulled_from").alias("path"))
-            .join(complete, "path", "left_anti"))
+    return tagged_lines(spark, path).filter(~F.col("complete")).select(F.col("pulled_from").alias("path")).distinct()
 
 
 def export_rows(lines: DataFrame) -> DataFrame:
@@ -107,7 +118,7 @@ def export_rows(lines: DataFrame) -> DataFrame:
     """
     parsed = F.from_csv("line", "ts string, value string, grade string, approval string, qualifier string",
                         {"nullValue": "NA", "mode": "PERMISSIVE"})
-    order = [c for c in PULL_ORDER if c in lines.columns]
+    order = [c for c in CARRIED if c in lines.columns]
     return lines.select("dataset", *order, F.inline(F.array(parsed)))
 
 

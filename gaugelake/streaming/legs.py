@@ -11,6 +11,7 @@ from .. import schemas as S
 from ..functions.columns import seconds_between
 from ..plans.archive import Archive
 from ..session import tuned
+from ..sinks import tables as sink
 
 WATERMARK = "3 days"
 
@@ -98,3 +99,37 @@ def outages(closed: DataFrame) -> DataFrame:
             .filter(F.col("until_ts").isNotNull())
             .select("series_uid", F.col("last_ts").alias("from_ts"), "until_ts",
                     seconds_between(F.col("last_ts"), F.col("until_ts")).alias("outage_seconds")))
+
+
+LAST_SEEN = T.StructType([T.StructField("series_uid", T.StringType()), T.StructField("last_ts", T.TimestampNTZType()),
+                          T.StructField("bucket", T.IntegerType())])
+
+
+def last_seen(rows: DataFrame, out: str, checkpoint: str, buckets: int = 16) -> None:
+    """Keep the newest reading's time of every series, whatever order readings come in: a batch reads and rewrites the
+    buckets of the series it holds. The merge takes the greater time, so a batch that runs again changes nothing."""
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = batch.groupBy("series_uid").agg(F.max("datetime_utc").alias("last_ts"))
+        new = sink.keep(new.withColumn("bucket", F.pmod(F.xxhash64("series_uid"), F.lit(buckets)).cast("int")), "seen")
+        touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most ``buckets``
+        if not touched:
+            return
+        known = sink.read(spark, out, LAST_SEEN)
+        both = new if known is None else new.unionByName(known.filter(F.col("bucket").isin(touched)).select(new.columns))
+        sink.commit(both.groupBy("series_uid", "bucket").agg(F.max("last_ts").alias("last_ts")), out, ["bucket"], ["series_uid"])
+        sink.sweep(spark, out, min_age_seconds=86_400.0)
+
+    _run(rows.writeStream.foreachBatch(apply), checkpoint)
+
+
+def open_outages(spark: SparkSession, out: str, delay: str = WATERMARK, pause: str = "1 day") -> DataFrame:
+    """Series that are silent now: no reading for over ``pause`` up to the newest reading of all less ``delay``, with how
+    long that is so far. They show while the outage lasts, also if it never ends; :func:`outages` has those that have ended."""
+    seen = sink.read(spark, out, LAST_SEEN)
+    if seen is None:
+        seen = spark.createDataFrame([], LAST_SEEN)
+    now = seen.agg((F.max("last_ts") - F.expr(f"INTERVAL {delay}")).alias("now")).scalar()
+    silent = seen.withColumn("as_of_ts", now).filter(F.col("last_ts") + F.expr(f"INTERVAL {pause}") < F.col("as_of_ts"))
+    return silent.select("series_uid", F.col("last_ts").alias("from_ts"), "as_of_ts",
+                         seconds_between(F.col("last_ts"), F.col("as_of_ts")).alias("outage_seconds"))

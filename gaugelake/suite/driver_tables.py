@@ -192,7 +192,7 @@ def archive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def build(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, DataFrame]:
-    store = Archive(spark, root or workspace(spark, "archive"))
+    store = Archive(spark, root or workspace(spark, "archive"), buckets=1)  # a month here is a few thousand rows
     rows = staged(spark, sf_dir)
     columns = [f.name for f in S.OBSERVATION.fields]
     unique = merge.last_of_batch(as_observations(rows, "ord_line", "ord_part", "ord_price"),

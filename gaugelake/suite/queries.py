@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as C
-from ..operators import audit, lineage, merge, normalize, quality, rollup, search
+from ..operators import audit, crosswalk, lineage, merge, normalize, quality, quarantine, rollup, search
 from ..plans import jobs, reports
 from ..plans.archive import Archive
 from ..session import workspace
@@ -545,7 +545,7 @@ def migrate_export_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _store(spark: SparkSession, sf_dir: str, name: str, *tables: str) -> Archive:
     """A new archive holding copies of the given tables."""
     t = D.archive(spark, sf_dir)
-    store = Archive(spark, workspace(spark, name))
+    store = Archive(spark, workspace(spark, name), buckets=2)
     for table in tables:
         if table == "observation":
             store.write_observations(t[table].drop("ym"))
@@ -657,7 +657,7 @@ def _provincial_text(spark: SparkSession, sf_dir: str, revised: bool) -> DataFra
 @query
 def provincial_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two pulls of surface and well exports kept side by side: the later pull's value, grade and approval."""
-    store = Archive(spark, workspace(spark, "provincial"))
+    store = Archive(spark, workspace(spark, "provincial"), buckets=2)
     reg, path = _registry_file(spark, sf_dir), workspace(spark, "provincial-exports")
     for revised in (False, True):
         _write_exports(_provincial_text(spark, sf_dir, revised), path)
@@ -844,3 +844,131 @@ def qualifier_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def grade_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.decode_grades(D.archive(spark, sf_dir)["observation"]).select(
         "series_uid", "datetime_utc", "source", "grade_code", "grade_label", "grade_description")
+
+
+@query
+def nearest_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closest station of every customer's place, many of them far from all stations."""
+    return search.nearest_points(D.archive(spark, sf_dir)["station"], _customer_places(spark, sf_dir))
+
+
+def _customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    return D.load(spark, sf_dir, "customer").select(
+        key.alias("point_id"),
+        F.when(key % 9 == 0, -90.0 + key % 181).otherwise(48.5 + (key % 200) / 100.0).alias("lat"),
+        F.when(key % 9 == 0, -180.0 + key % 361).otherwise(-120.5 + (key % 233) / 100.0).alias("lon"))
+
+
+@query
+def similar_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names against nations' and part names put another way: all pairs that resemble each other."""
+    parts = D.load(spark, sf_dir, "part").select(F.col("p_name").alias("name"))
+    turned = parts.select(F.concat_ws(" ", F.reverse(F.split("name", " "))).alias("name"))
+    nations = D.load(spark, sf_dir, "nation").select(F.col("n_name").alias("name"))
+    found = search.similar_names(parts, turned.unionByName(nations))
+    return found.select("left_name", "right_name", F.round("similarity", 6).alias("similarity"))
+
+
+def _three_authorities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rows a supplier, known by the ids of one authority and of the next: chains of three ids; every fifth chain runs on
+    into the next supplier's."""
+    key = F.col("s_suppkey").cast("string")
+    row = F.explode(F.array(F.lit("BC"), F.lit("WSC"), F.lit("ONA"))).alias("operator")
+    rows = D.load(spark, sf_dir, "supplier").select("s_suppkey", row)
+    is_bc, is_wsc, is_ona = (F.col("operator") == name for name in ("BC", "WSC", "ONA"))
+    following = (F.col("s_suppkey") + 1).cast("string")
+    return S.conform(rows.select(
+        F.concat_ws("-", "operator", key).alias("station_uid"), "operator",
+        F.when(is_bc | is_wsc, F.concat(F.lit("b"), key)).when(F.col("s_suppkey") % 5 == 0, F.concat(F.lit("b"), following)).alias("bc_aquarius_loc_id"),
+        F.when(is_wsc | is_ona, F.concat(F.lit("w"), key)).alias("wsc_id"),
+        F.when(is_ona, F.concat(F.lit("o"), key)).alias("ona_id")), S.STATION)
+
+
+@query
+def canonical_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that three authorities share out among their own stations, reconciled per canonical station."""
+    stations = crosswalk.canonical_stations(_three_authorities(spark, sf_dir))
+    owner = F.element_at(F.array(F.lit("BC"), F.lit("WSC"), F.lit("ONA")), (F.col("pull_run_id") % 3 + 1).cast("int"))
+    rows = D.as_observations(D.bc_leg(spark, sf_dir), "station_uid", "parameter", "interval")
+    rows = rows.withColumn("source", F.lower(owner)).withColumn("station_uid", F.concat_ws("-", owner, F.substring("station_uid", 4, 20)))
+    keyed = rows.withColumn("series_uid", F.concat_ws("/", "station_uid", "parameter"))
+    series = keyed.select("series_uid", "station_uid", "parameter", "interval").distinct()
+    return lineage.canonical(crosswalk.by_canonical_station(keyed.drop("station_uid", "parameter", "interval"), series, stations),
+                             ["canonical_uid", "parameter", "interval", "datetime_utc"], BC)
+
+
+@query
+def rated_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three ratings a station that overlap, one without bounds: one rating a reading."""
+    supplier = D.load(spark, sf_dir, "supplier").select("s_suppkey", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("version"))
+    version = F.col("version")
+    ratings = supplier.select(
+        F.concat_ws("-", F.lit("R"), "s_suppkey", "version").alias("rating_uid"),
+        C.bc_station_uid(F.col("s_suppkey").cast("string")).alias("station_uid"),
+        F.when(version == 2, C.instant("1994-03-05")).when(version == 3, C.instant("1996-07-01 06:00:00")).alias("effective_from"),
+        F.when(version == 2, C.instant("1998-01-15")).when(version == 3, C.instant("1997-02-01")).alias("effective_to"),
+        F.concat(F.lit('{"a": '), (version * 0.5 + 1).cast("string"), F.lit(', "b": 1.5}')).alias("equation_params"), F.lit(2.0).alias("offset"))
+    return lineage.rated_discharge(_bc_stage(spark, sf_dir, "stage_h"), ratings).select(
+        "series_uid", "datetime_utc", "stage_h", "rating_uid", F.round("rated_q", 4).alias("rated_q"))
+
+
+def _two_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The archive, and a copy in which one month of some series has other values, other grades and more readings."""
+    ours = D.archive(spark, sf_dir)["observation"].filter("source = 'bc'").select("series_uid", "datetime_utc", "value", "grade_code", "ym")
+    changed = (F.col("ym") == 199603) & F.col("series_uid").like("%-H-%")
+    theirs = ours.withColumns({"value": F.when(changed, F.col("value") + 1).otherwise(F.col("value")),
+                               "grade_code": F.when(changed & (F.dayofmonth("datetime_utc") > 20), "31").otherwise(F.col("grade_code"))})
+    return ours.filter(~(changed & (F.dayofmonth("datetime_utc") == 5))), theirs
+
+
+@query
+def audit_compare_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots of the provincial archive, compared where the months' digests differ."""
+    return audit.compare_by_month(*_two_snapshots(spark, sf_dir))
+
+
+@query
+def stream_open_outages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series that are silent when the landing ends: those of an event type stop early."""
+    landing = _Landing(spark, "open-outages")
+    silent = (F.col("series_uid").like("%-COND-%")) & (F.col("datetime_utc") > F.lit("2024-01-10").cast("timestamp_ntz"))
+    landing.run([pull.filter(~silent) for pull in _two_pulls(spark, sf_dir)], lambda rows: legs.last_seen(rows, landing.out, landing.checkpoint))
+    return legs.open_outages(spark, landing.out)
+
+
+@query
+def input_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A daily run over pages some of which are broken or hold unreadable times: every page and reading is taken or kept."""
+    store = _store(spark, sf_dir, "quarantine", "station")
+    path = workspace(spark, "broken-pages")
+    readings = (D.load(spark, sf_dir, "events").groupBy("user_id", F.date_trunc("second", "ts").alias("t")).agg(F.max("value").alias("value")))
+    time = F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    broken = F.dayofmonth("t") == 7
+    feature = F.struct(F.struct(
+        F.col("user_id").cast("string").alias("STATION_NUMBER"),
+        F.when(F.hour("t") == 3, F.date_format("t", "dd.MM.yyyy HH:mm:ss")).otherwise(time).alias("DATETIME"),
+        F.col("value").alias("LEVEL"), F.lit("E").alias("LEVEL_SYMBOL_EN")).alias("properties"))
+    page = F.to_json(F.struct(F.array(feature).alias("features")))
+    readings.select(F.when(broken, F.substring(page, 1, 40)).otherwise(page)).write.text(path)
+    jobs.daily(store, path, datetime(2024, 1, 31), days=35, multiline=False)
+    kept = store.read("quarantine").groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"))
+    taken = store.read("observation").agg(F.count(F.lit(1)).alias("n")).select(F.lit("observation").alias("kind"), F.lit("taken").alias("reason"), "n")
+    return kept.unionByName(taken)
+
+
+@query
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports of which every third supplier's files end after two lines, without a header, and some times are unreadable:
+    both are mended and replayed."""
+    store, reg, path = Archive(spark, workspace(spark, "replay"), buckets=2), _registry_file(spark, sf_dir), workspace(spark, "short-exports")
+    text = _provincial_text(spark, sf_dir, False)
+    short = F.substring_index("dataset", "@", -1).cast("long") % 3 == 0
+    torn = F.col("line").like("%-13 %")
+    _write_exports(text.filter(~short).withColumn("line", F.when(torn, F.concat(F.lit("?"), "line")).otherwise(F.col("line"))), path)
+    few = text.filter(short).withColumn("row", F.row_number().over(Window.partitionBy("dataset").orderBy("line"))).filter("row <= 2")
+    few.repartition("dataset").select("dataset", "pull", "line").write.mode("append").partitionBy("dataset", "pull").text(path)
+    jobs.provincial(store, path, reg, datetime(2001, 11, 6), "EntirePeriodOfRecord", dataset_pattern=_IN_FOLDER)
+    held = quarantine.still_open(store.read("quarantine"))
+    jobs.replay(store, held.select("pulled_from", "body", F.ltrim(F.col("body"), F.lit("?")).alias("fixed")), datetime(2001, 11, 6), reg)
+    return _flat(store.read("observation")).select("series_uid", "datetime_utc", "value", "grade_code", "approval_level")

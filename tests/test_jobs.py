@@ -10,6 +10,7 @@ from gaugelake.operators import merge
 from gaugelake.plans import jobs, reports
 from gaugelake.plans.archive import Archive
 from gaugelake.sinks import tables as sink
+from gaugelake.sources import files
 
 AS_OF = datetime(2024, 1, 31, 12)
 
@@ -59,6 +60,60 @@ def test_empty_pull(archive, tmp_path):
     assert rows(archive.read("pull_run"), "status", "rows_in") == [("ok", 0)]
 
 
+def test_quarantine_and_replay(archive, tmp_path, spark):
+    """Every input row is either taken or kept for repair; repaired rows come back, but not over later readings."""
+    landing = tmp_path / "landing"
+    pages(landing, ("1", "2024-01-31T00:00:00Z", 1.0, None, None), ("1", "31/01/2024 01:00", 2.0, None, "E"), (None, "2024-01-31T00:00:00Z", 3.0, None, None))
+    (landing / "broken.json").write_text('{"features": [{"properties": {"STATION_NUMBER": "1", "DATETIME": "2024-01-31T02:00:00Z", "LEVEL": 4.0}}')
+    (landing / "none.json").write_text('{"message": "busy"}')
+    for _ in range(2):  # the landing keeps its broken files: they are known the second time
+        jobs.daily(archive, str(landing), AS_OF)
+    kept = archive.read("quarantine")
+    assert rows(kept, "kind", "reason", "status") == sorted([
+        ("page", "unreadable page", "open"), ("page", "no features", "open"), ("reading", "unreadable time", "open"), ("reading", "no station", "open")])
+    by_reason = {r.reason: r for r in kept.collect()}
+    late = tmp_path / "late"
+    pages(late, ("1", "2024-01-31T02:00:00Z", 9.0, None, None))
+    jobs.daily(archive, str(late), datetime(2024, 2, 1))
+    page, time = by_reason["unreadable page"], by_reason["unreadable time"]
+    repairs = spark.createDataFrame([
+        (page.pulled_from, page.body, page.body + "]}"), (None, time.body, time.body.replace("31/01/2024 01:00", "2024-01-31T01:00:00Z")),
+        (None, by_reason["no features"].body, '{"still": "bad"}'), (None, "unheard of", "x")], "pulled_from string, body string, fixed string")
+    jobs.replay(archive, repairs, datetime(2024, 2, 2))
+    got = rows(archive.read("observation"), "datetime_utc", "value", "qualifier_flags")
+    assert got == [(datetime(2024, 1, 31), 1.0, None), (datetime(2024, 1, 31, 1), 2.0, ["E"]), (datetime(2024, 1, 31, 2), 9.0, None)]
+    from gaugelake.operators import quarantine
+    still = quarantine.still_open(archive.read("quarantine"))
+    assert rows(still, "reason", "body") == sorted([("no station", by_reason["no station"].body), ("unreadable page", '{"still": "bad"}')], key=repr)
+    jobs.daily(archive, str(landing), datetime(2024, 2, 1))  # replayed rows stay closed
+    assert still.count() == 2 and quarantine.still_open(archive.read("quarantine")).count() == 2
+
+
+def test_short_exports_are_kept_and_replayed(spark, archive, tmp_path):
+    landing, reg = exports(tmp_path)
+    name = "SGWL.Working@OW1"
+    (tmp_path / "exports" / "later").mkdir()
+    (tmp_path / "exports" / "later" / f"{name}.csv").write_text("Dataset\nbroken off\n")
+    jobs.groundwater(archive, landing, reg, AS_OF, "EntirePeriodOfRecord")
+    held = archive.read("quarantine").filter("reason = 'short file'")
+    assert rows(held, "body", "dataset") == [("Dataset", name), ("broken off", name)]
+    before = archive.read("observation").count()
+    fixed = held.select("pulled_from", "body", F.when(F.col("body") == "Dataset", "2024-01-20 07:00:00,5.5,31,1200,").alias("fixed"))
+    jobs.replay(archive, fixed.filter("fixed IS NOT NULL"), AS_OF, reg, wells=True)
+    assert archive.read("observation").count() == before + 1
+    assert rows(archive.read("observation").filter("value = 5.5"), "approval_level") == [("approved",)]
+
+
+def test_an_old_pull_uploaded_again_does_not_win(spark, tmp_path):
+    for day, level in (("2024-01-31", 2.0), ("2024-01-30", 1.0)):  # the older one is written last
+        pages(tmp_path / "landing" / f"pull={day}", ("1", "2024-01-29T00:00:00Z", level, None, None))
+    read = files.geojson_pages(spark, str(tmp_path / "landing" / "*"))
+    assert [r[0] for r in read.orderBy("pulled_at").select("pulled_at").collect()] == [datetime(2024, 1, 30), datetime(2024, 1, 31)]
+    paths = spark.createDataFrame([("file:/x/2023/05/06/a.csv",), ("file:/x/pull=2024-01-02T03%3A04%3A05/a.csv",), ("file:/x/a.csv",)], "p string")
+    at = paths.select(files.pull_time(F.col("p"), F.lit(datetime(2020, 1, 1))))
+    assert [r[0] for r in at.collect()] == [datetime(2023, 5, 6), datetime(2024, 1, 2, 3, 4, 5), datetime(2020, 1, 1)]
+
+
 def test_unreadable_pages_do_not_stop_a_run(archive, tmp_path, caplog):
     landing = tmp_path / "landing"
     pages(landing, ("1", "2024-01-31T00:00:00Z", 1.0, None, None))
@@ -66,7 +121,7 @@ def test_unreadable_pages_do_not_stop_a_run(archive, tmp_path, caplog):
     jobs.daily(archive, str(landing), AS_OF)
     assert archive.read("observation").count() == 1
     assert rows(archive.read("pull_run"), "status", "rows_in") == [("ok", 1)]
-    assert "1 unreadable pages" in caplog.text
+    assert "1 left out, page: unreadable page" in caplog.text
 
 
 def test_failed_run_is_recorded(archive):
@@ -280,7 +335,7 @@ def test_dropped_rows_and_files_are_counted(archive, tmp_path, caplog):
     (tmp_path / "exports/SGWL.Working@OW1b.csv").write_text("m\nm\n")
     (tmp_path / "exports/SGWL.Working@OW2.csv").write_text(f"{head}\nyesterday,1,,800,\n")
     jobs.groundwater(archive, landing, reg, AS_OF)
-    assert "1 export rows without a readable time" in caplog.text and "1 export files without four columns" in caplog.text
+    assert "1 left out, export line: unreadable time" in caplog.text and "2 left out, export line: short file" in caplog.text
 
 
 def test_backfill_takes_registered_stations_only(archive, spark):
