@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import columns as C
-from ..operators import merge, quarantine
+from ..operators import gate, merge, quarantine
 from ..sinks import tables as sink
 
 SCHEMAS = {
@@ -120,6 +120,16 @@ class Archive:
             self.append("quarantine", quarantine.unknown(rows, self.read("quarantine")))
         return good
 
+    def gated(self, batch: DataFrame, table: str, source: str, run_id: int, as_of, committed: dict[str, DataFrame] | None = None) -> DataFrame:
+        """Rows of a batch that keep the table's rules, staged; the others are appended to the quarantine with the rule they
+        break. To be used before a merge of rows that come from outside, as :meth:`insert_checked` does."""
+        rows = gate.with_body(gate.tagged(batch, table, self.tables() | (committed or {})), table, source)
+        return self.stage_split(rows, f"gate-{table}", f"{table} row", run_id, as_of).select(batch.columns)
+
+    def insert_checked(self, batch: DataFrame, source: str, run_id: int, as_of) -> None:
+        """:meth:`insert_observations` behind the gate."""
+        self.insert_observations(self.gated(S.conform(batch, S.OBSERVATION), "observation", source, run_id, as_of))
+
     def clear_scratch(self) -> None:
         """Drop what :meth:`stage` wrote, at the end of a run."""
         while self._scratch:

@@ -21,6 +21,7 @@ from ..operators import audit, merge, normalize, quarantine
 from ..session import build_session
 from ..sinks import tables as sink
 from ..sources import files, registry
+from . import downloads
 from .archive import Archive
 
 log = logging.getLogger(__name__)
@@ -297,19 +298,29 @@ def migrate(source_root: str, archive: Archive, as_of: datetime) -> None:
         archive.insert_observations(archive.stage(normalize.staged_to_observation(staged, as_of), "migrate"))
 
 
-MODES = ("daily", "weekly", "provincial", "gw", "backfill", "firstcut", "migrate", "replay")
+def build_station_registry(spark, network: str, out: str, prefix: str = "08NM") -> DataFrame:
+    """Write the registry of a sub-basin's stations, from the network's station table, as one CSV for the other jobs."""
+    sink.write_csv(registry.build_registry(files.station_network(spark, network), prefix), out, single_file=True)
+    return files.station_registry(spark, out)
+
+
+MODES = ("daily", "weekly", "provincial", "gw", "backfill", "firstcut", "migrate", "replay", "registry", "downloads")
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("--mode", choices=MODES, default="daily")
-    p.add_argument("--archive", required=True)
+    p.add_argument("--archive", help="needed by all modes but registry")
     p.add_argument("--landing", help="landed pages or exports; for migrate the exported tables")
     p.add_argument("--registry", help="station or dataset registry CSV")
     p.add_argument("--flows", help="backfill: daily flows")
     p.add_argument("--levels", help="backfill: daily levels")
     p.add_argument("--stations", help="backfill: station metadata CSV")
     p.add_argument("--regulation", help="backfill: regulation CSV")
+    p.add_argument("--network", help="registry: station table of the network")
+    p.add_argument("--prefix", default="08NM", help="registry: sub-basin of the stations")
+    p.add_argument("--out", help="registry and downloads: where to write")
+    p.add_argument("--history-format", choices=("parquet", "csv"), default="parquet", help="backfill: format of the histories")
     p.add_argument("--repairs", help="replay: JSON lines of pulled_from, body, fixed")
     p.add_argument("--break-lock", action="store_true", help="remove the lock of a run that died")
     p.add_argument("--buckets", type=int, default=4, help="buckets of series in a month, for a new archive")
@@ -318,8 +329,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--as-of", type=datetime.fromisoformat, default=None)
     p.add_argument("--dry-run", action="store_true", help="gw: report, write nothing")
     a = p.parse_args(argv)
-    needed = {"backfill": ["flows", "levels"], "migrate": ["landing"], "replay": ["repairs"], "daily": ["landing"],
+    needed = {"backfill": ["flows", "levels"], "migrate": ["landing"], "replay": ["repairs"], "registry": ["network", "out"], "downloads": ["out"], "daily": ["landing"],
               "weekly": ["landing"]}.get(a.mode, ["landing", "registry"])
+    needed = needed if a.mode == "registry" else ["archive", *needed]
     missing = [f"--{n}" for n in needed if getattr(a, n) is None]
     if missing:
         p.error(f"--mode {a.mode} needs {', '.join(missing)}")
@@ -332,6 +344,9 @@ def main(argv: list[str] | None = None) -> None:
         for line in dry_run_lines(groundwater_dry_run(spark, a.landing, a.registry)):
             print(line)
         return
+    if a.mode == "registry":
+        build_station_registry(spark, a.network, a.out, a.prefix)
+        return
     archive = Archive(spark, a.archive, buckets=a.buckets)
     if a.break_lock:
         archive.unlock()
@@ -344,11 +359,13 @@ def main(argv: list[str] | None = None) -> None:
     elif a.mode == "gw":
         result = groundwater(archive, a.landing, a.registry, as_of, a.window or "Days30", a.raw_root)
     elif a.mode == "backfill":
-        flows, levels = (files.daily_history(spark, path) for path in (a.flows, a.levels))
+        flows, levels = (files.daily_history(spark, path, a.history_format) for path in (a.flows, a.levels))
         meta = None
         if a.stations and a.regulation:
             meta = files.station_metadata(files.station_table(spark, a.stations), files.regulation_table(spark, a.regulation))
         result = backfill(archive, flows, levels, as_of, meta)
+    elif a.mode == "downloads":
+        result = downloads.write(archive.tables(), a.out, f"{as_of:%Y-%m-%d %H:%M:%S}")
     elif a.mode == "replay":
         repairs = spark.read.schema("pulled_from string, body string, fixed string").json(a.repairs)
         result = replay(archive, repairs, as_of, a.registry)

@@ -55,6 +55,23 @@ AUDIT_DISCREPANCY = _struct(
     ("ours", _D), ("theirs", _D), ("action_taken", _S), ("detected_ts", _TS),
 )
 
+CANONICAL = _struct(
+    ("series_uid", _S), ("datetime_utc", _TS), ("value", _D), ("grade_code", _S), ("approval_level", _S),
+    ("authoritative_source", _S), ("last_reconciled_ts", _TS),
+)
+CORRECTION = _struct(
+    ("correction_id", _L), ("series_uid", _S), ("applied_from", _TS), ("applied_to", _TS), ("correction_type", _S),
+    ("description", _S), ("applied_by", _S), ("applied_ts", _TS),
+)
+RATING = _struct(
+    ("rating_uid", _S), ("station_uid", _S), ("rating_version", _S), ("effective_from", _TS), ("effective_to", _TS),
+    ("equation_params", _S), ("offset", _D), ("notes", _S),
+)
+MEASUREMENT = _struct(
+    ("measurement_uid", _S), ("station_uid", _S), ("datetime_utc", _TS), ("measured_q", _D), ("stage_h", _D), ("method", _S),
+    ("party", _S), ("quality", _S), ("rating_deviation_pct", _D),
+)
+
 QUARANTINE = _struct(
     ("run_id", _L), ("pulled_at", _TS), ("pulled_from", _S), ("kind", _S), ("reason", _S), ("body", _S), ("nth", _L),
     ("dataset", _S), ("status", _S), ("changed_ts", _TS),
@@ -115,6 +132,29 @@ NOT_NULL = {
     "audit_discrepancy": ["detected_ts"],
 }
 
+# Rules of the declared tables that no job fills, which hold at the gate (:mod:`.operators.gate`) with those above.
+DECLARED_KEYS = {
+    "observation_canonical": ["series_uid", "datetime_utc"], "correction_history": ["correction_id"],
+    "rating_curve": ["rating_uid"], "discharge_measurement": ["measurement_uid"],
+    "grade_code": ["grade_code"], "approval_level": ["approval_level"], "qualifier_code": ["qualifier_code"],
+}
+DECLARED_NOT_NULL = {
+    "observation_canonical": ["series_uid", "datetime_utc", "authoritative_source", "last_reconciled_ts"],
+    "correction_history": ["correction_id", "series_uid"], "rating_curve": ["rating_uid", "station_uid"],
+    "discharge_measurement": ["measurement_uid", "station_uid", "datetime_utc"],
+    "grade_code": ["grade_code", "authority"], "approval_level": ["approval_level", "rank"], "qualifier_code": ["qualifier_code", "authority"],
+}
+# Column, and the table it refers to by that table's key of one column.
+REFERENCES = {
+    "series": {"station_uid": "station"},
+    "observation": {"series_uid": "series", "grade_code": "grade_code", "approval_level": "approval_level"},
+    "audit_discrepancy": {"audit_id": "audit_log", "series_uid": "series"},
+    "observation_canonical": {"series_uid": "series", "grade_code": "grade_code", "approval_level": "approval_level"},
+    "correction_history": {"series_uid": "series"},
+    "rating_curve": {"station_uid": "station"},
+    "discharge_measurement": {"station_uid": "station"},
+}
+
 # Allowed members of the constrained columns (NULL always passes).
 DOMAINS = {
     "station": {

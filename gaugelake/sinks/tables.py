@@ -110,7 +110,9 @@ def land_raw(df: DataFrame, root: str, source: str, run_id: int, on: date, parti
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header. ``single_file`` is for report-sized results."""
+    """CSV with a header; times as text, whole to the microsecond. ``single_file`` is for report-sized results."""
+    df = df.select(*(F.col(f.name).cast("string").alias(f.name) if f.dataType.typeName().startswith("timestamp") else F.col(f.name)
+                     for f in df.schema.fields))
     (df.coalesce(1) if single_file else df).write.mode("errorifexists").option("header", True).csv(path)
 
 

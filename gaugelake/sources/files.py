@@ -175,6 +175,10 @@ def regulation_table(spark: SparkSession, path: str) -> DataFrame:
     return _typed(spark, path, S.STATION_REGULATION, ["STATION_NUMBER", "REGULATED"])
 
 
+def station_network(spark: SparkSession, path: str) -> DataFrame:
+    return _typed(spark, path, S.STATION_NETWORK, ["STATION_NUMBER", "STATION_NAME"])
+
+
 def station_registry(spark: SparkSession, path: str) -> DataFrame:
     return _typed(spark, path, S.STATION_REGISTRY, ["station_uid"])
 

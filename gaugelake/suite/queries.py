@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import columns as C
 from ..operators import audit, crosswalk, lineage, merge, normalize, quality, quarantine, rollup, search
-from ..plans import jobs, reports
+from ..plans import downloads, jobs, reports
 from ..plans.archive import Archive
 from ..session import workspace
 from ..sinks import tables as sink
@@ -247,11 +248,14 @@ def staged_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def registry_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    network = D.load(spark, sf_dir, "customer").select(
+    return registry.build_registry(_network(spark, sf_dir), prefix="MACH")
+
+
+def _network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.load(spark, sf_dir, "customer").select(
         F.concat("c_mktsegment", F.lit("-"), F.col("c_custkey").cast("string")).alias("STATION_NUMBER"),
         F.col("c_name").alias("STATION_NAME"), F.lit(49.5).alias("LATITUDE"),
         F.col("c_acctbal").alias("LONGITUDE"))
-    return registry.build_registry(network, prefix="MACH")
 
 
 @query
@@ -972,3 +976,78 @@ def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = quarantine.still_open(store.read("quarantine"))
     jobs.replay(store, held.select("pulled_from", "body", F.ltrim(F.col("body"), F.lit("?")).alias("fixed")), datetime(2001, 11, 6), reg)
     return _flat(store.read("observation")).select("series_uid", "datetime_utc", "value", "grade_code", "approval_level")
+
+
+def _download(name: str) -> Query:
+    """A download written as CSV and read back."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = D.archive(spark, sf_dir)
+        path = downloads.write(t, workspace(spark, "downloads"), BC, [name])[name]
+        return spark.read.schema(downloads.report(t, name, BC).schema).option("header", True).csv(path)
+    return run
+
+
+QUERIES |= {f"download_{name}": _download(name) for name in downloads.DOWNLOADS}
+
+
+@query
+def registry_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry job over a network table in CSV with its columns in another order."""
+    network, out = workspace(spark, "network"), workspace(spark, "registry-job")
+    rows = _network(spark, sf_dir)
+    rows.select(*reversed(rows.columns)).write.option("header", True).csv(network)
+    return jobs.build_station_registry(spark, network, out, "MACH")
+
+
+def _broken(rows: DataFrame, faults: dict[int, tuple[str, str | None]], by: str) -> DataFrame:
+    """Every twentieth row's column set to a bad value, by the remainder of a number; remainder 19 stands twice. ``none`` keeps
+    the old value behind it, so that keys stay unlike."""
+    for n, (column, value) in faults.items():
+        bad = F.concat(F.lit("none-"), F.col(column)) if value == "none" else F.lit(value)
+        rows = rows.withColumn(column, F.when(F.col(by) % 20 == n, bad).otherwise(F.col(column)))
+    return rows.unionByName(rows.filter(F.col(by) % 20 == 19))
+
+
+@query
+def write_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches for all declared tables in which each rule is broken, and the rows that pass."""
+    t = D.archive(spark, sf_dir)
+    committed = {"station": t["station"], "series": t["series"], "audit_log": t["audit_log"]}
+    supplier = D.load(spark, sf_dir, "supplier").withColumn("station_uid", C.bc_station_uid(F.col("s_suppkey").cast("string")))
+    number, at = F.col("s_suppkey"), C.instant("2000-01-01")
+    lines = D.bc_leg(spark, sf_dir)
+    obs = merge.last_of_batch(D.as_observations(lines, "ord_line", "ord_part", "ord_price"), S.OBSERVATION_KEY, D.ORDER, S.OBSERVATION.names)
+    series_uid = F.concat("station_uid", F.when(number % 4 == 0, "-GW").otherwise("-H"), F.lit("-instant-bc"))
+    orders = D.load(spark, sf_dir, "orders").withColumn("o", F.col("o_orderkey"))
+    batches = {
+        "observation": _broken(obs, {1: ("source", "noaa"), 2: ("ingest_ts", None), 3: ("grade_code", "999"), 4: ("series_uid", "none"), 5: ("approval_level", "final")}, "pull_run_id"),
+        "station": _broken(supplier.select("s_suppkey", F.concat(F.lit("N-"), number).alias("station_uid"), F.lit("new").alias("name"), F.lit("BC").alias("operator"),
+                                           F.lit("active").alias("status"), F.lit("natural").alias("regulation_status"), F.concat(F.lit("n"), number).alias("bc_aquarius_loc_id")),
+                           {1: ("operator", "USGS"), 2: ("status", "lost"), 3: ("regulation_status", "dammed"), 4: ("name", None), 5: ("bc_aquarius_loc_id", "1")}, "s_suppkey"),
+        "series": _broken(supplier.select("s_suppkey", F.concat(F.lit("N-"), number).alias("series_uid"), "station_uid", F.lit("Q").alias("parameter"), F.lit("m3/s").alias("units"),
+                                          F.lit("daily").alias("interval"), F.concat(F.lit("x"), number).alias("source_series_id")),
+                          {1: ("parameter", "SNOW"), 2: ("interval", "weekly"), 3: ("units", None), 4: ("station_uid", "none")}, "s_suppkey"),
+        "pull_run": _broken(orders.select("o", (F.col("o") + 10_000_000).alias("run_id"), F.lit("wsc").alias("source"), F.lit("ok").alias("status"), at.alias("started_ts")),
+                            {1: ("status", "lost"), 2: ("source", None)}, "o"),
+        "audit_log": _broken(orders.select("o", (F.col("o") + 10_000_000).alias("audit_id"), at.alias("run_ts")), {1: ("run_ts", None)}, "o"),
+        "audit_discrepancy": _broken(orders.select("o", F.expr(D._AUDIT_ID).alias("audit_id"), F.lit(None).cast("string").alias("series_uid"), at.alias("detected_ts")),
+                                     {1: ("audit_id", "-7"), 2: ("detected_ts", None), 3: ("series_uid", "no such series")}, "o").filter("o % 20 <> 19"),
+        "observation_canonical": _broken(supplier.select("s_suppkey", series_uid.alias("series_uid"), at.alias("datetime_utc"), F.lit("bc").alias("authoritative_source"),
+                                                         at.alias("last_reconciled_ts"), F.lit("31").alias("grade_code"), F.lit("working").alias("approval_level")),
+                                         {1: ("series_uid", "none"), 2: ("grade_code", "999"), 3: ("approval_level", "final"), 5: ("authoritative_source", None)}, "s_suppkey"),
+        "correction_history": _broken(supplier.select("s_suppkey", number.alias("correction_id"), series_uid.alias("series_uid")), {1: ("series_uid", "none"), 2: ("series_uid", None)}, "s_suppkey"),
+        "rating_curve": _broken(supplier.select("s_suppkey", F.concat(F.lit("R"), number).alias("rating_uid"), "station_uid"), {1: ("station_uid", "none"), 2: ("station_uid", None)}, "s_suppkey"),
+        "discharge_measurement": _broken(supplier.select("s_suppkey", F.concat(F.lit("M"), number).alias("measurement_uid"), "station_uid", at.alias("datetime_utc")),
+                                         {1: ("station_uid", "none"), 2: ("datetime_utc", None)}, "s_suppkey"),
+        "grade_code": _broken(supplier.select("s_suppkey", F.concat(F.lit("G"), number).alias("grade_code"), F.lit("wsc").alias("authority")), {1: ("authority", None)}, "s_suppkey"),
+    }
+    schemas = {"observation": S.OBSERVATION, "station": S.STATION, "series": S.SERIES, "pull_run": S.PULL_RUN, "audit_log": S.AUDIT_LOG,
+               "audit_discrepancy": S.AUDIT_DISCREPANCY, "observation_canonical": S.CANONICAL, "correction_history": S.CORRECTION,
+               "rating_curve": S.RATING, "discharge_measurement": S.MEASUREMENT}
+    store, out = _store(spark, sf_dir, "gate"), []
+    for table, batch in batches.items():
+        rows = S.conform(batch, schemas[table]) if table in schemas else batch.drop("s_suppkey")
+        good = store.gated(rows, table, "batch", 1, D.EVENTS_AS_OF, committed)
+        out.append(good.agg(F.count(F.lit(1)).alias("n")).select(F.lit(f"{table} row").alias("kind"), F.lit("passed").alias("reason"), "n"))
+    kept = store.read("quarantine").groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return reduce(DataFrame.unionByName, [kept, *out]).filter("n > 0")
