@@ -23,6 +23,22 @@ def by_series(obs: DataFrame, *keys) -> DataFrame:
         F.count_if(approval.isin("approved", "reviewed")).alias("n_qaqc"))
 
 
+def partials(obs: DataFrame, folder: list[str]) -> DataFrame:
+    """Readings counted per series, source, approval level and folder, to be stored beside them."""
+    return obs.groupBy("series_uid", "source", "approval_level", *folder).agg(
+        F.count(F.lit(1)).alias("n"), F.min("datetime_utc").alias("first_ts"), F.max("datetime_utc").alias("last_ts"))
+
+
+def merged_partials(kept: DataFrame, *keys) -> DataFrame:
+    """What :func:`by_series` gives, from stored partials. A key must be one value per partial: source, approval
+    level, month or year."""
+    approval, nothing = F.col("approval_level"), F.lit(0).cast("long")
+    return kept.groupBy("series_uid", *keys).agg(
+        F.sum("n").alias("n"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+        F.sum(F.when(approval == "approved", F.col("n")).otherwise(nothing)).alias("n_approved"),
+        F.sum(F.when(approval.isin("approved", "reviewed"), F.col("n")).otherwise(nothing)).alias("n_qaqc"))
+
+
 def days_with_gap_before(obs: DataFrame) -> DataFrame:
     """One row per series and day with readings; ``after_gap`` marks days whose first reading
     comes more than one day after the series' previous reading.

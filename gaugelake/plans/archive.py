@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import columns as C
-from ..operators import gate, merge, quarantine
+from ..operators import gate, merge, quarantine, rollup
 from ..sinks import tables as sink
 
 SCHEMAS = {
@@ -29,7 +29,8 @@ class Archive:
 
     Observations lie in folders by span (daily or instant), month and bucket of series, sorted by series and time
     inside. An upsert rewrites only the buckets its batch touches, a new daily history leaves instant readings alone, and
-    time filters skip whole months. ``buckets`` counts for a new archive and is stored with it: take one so that a bucket of
+    time filters skip whole months. Each write also stores its folders' readings counted per series (``partial``), which
+    come into effect with the rows and from which reports take their counts and spans. ``buckets`` counts for a new archive and is stored with it: take one so that a bucket of
     a month holds some hundred MB. Opening an archive changes nothing; jobs that write hold its lock.
     """
 
@@ -65,6 +66,7 @@ class Archive:
                 sink.delete(self.spark, folder)
             for name in VERSIONED:
                 sink.sweep(self.spark, self.path(name), min_age_seconds=self.leftover_seconds)
+            sink.sweep_beside(self.spark, self.path("observation"), self.path("partial"), self.leftover_seconds)
             yield
         finally:
             self.clear_scratch()
@@ -102,7 +104,26 @@ class Archive:
         return ledger.withColumn("_row", F.row_number().over(newest)).filter("_row = 1").drop("_row")
 
     def tables(self) -> dict[str, DataFrame]:
-        return {name: self.read(name) for name in SCHEMAS}
+        """All tables, and the ``partial`` counts of just the state that ``observation`` shows."""
+        _, parts = sink.manifest(self.spark, self.path("observation"))
+        return {name: self.read(name) for name in SCHEMAS if name != "observation"} | {
+            "observation": self._placed(parts).select(*S.OBSERVATION.names, "ym"), "partial": self.partials(parts)}
+
+    def partials(self, parts: dict[str, str] | None = None) -> DataFrame:
+        """Readings counted per series, source, approval level and folder, as stored by each write. Versions written
+        without them (by an older release, or a folder put in by hand) are counted from their readings."""
+        if parts is None:
+            _, parts = sink.manifest(self.spark, self.path("observation"))
+        stored = {folder.rsplit("/v=", 1)[1] for folder in sink.children(self.spark, self.path("partial"))}
+        kept = sink.read(self.spark, self.path("partial"), S.PARTIAL, {k: v for k, v in parts.items() if v in stored})
+        rest = {k: v for k, v in parts.items() if v not in stored}
+        counted = rollup.partials(self._placed(rest), self.PARTITION) if rest or kept is None else None
+        return counted if kept is None else kept if counted is None else kept.unionByName(counted)
+
+    def _store_partials(self, version: str) -> None:
+        """Count what a version holds, from its files: few columns, and aggregates that combine before the shuffle."""
+        rows = (self.spark.read.schema(self._placed_schema()).parquet(f"{self.path('observation')}/v={version}"))
+        rollup.partials(rows, self.PARTITION).write.mode("errorifexists").parquet(f"{self.path('partial')}/v={version}")
 
     def stage(self, df: DataFrame, purpose: str) -> DataFrame:
         """Rows written aside once, to be read several times in one run."""
@@ -150,11 +171,15 @@ class Archive:
 
     # --- observations ---------------------------------------------------
 
-    def _placed(self) -> DataFrame:
-        """Observations with their folder columns."""
-        schema = T.StructType([*S.OBSERVATION.fields, T.StructField("span", T.StringType()),
-                               T.StructField("ym", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
-        found = sink.read(self.spark, self.path("observation"), schema)
+    @staticmethod
+    def _placed_schema() -> T.StructType:
+        return T.StructType([*S.OBSERVATION.fields, T.StructField("span", T.StringType()),
+                             T.StructField("ym", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
+
+    def _placed(self, parts: dict[str, str] | None = None) -> DataFrame:
+        """Observations with their folder columns, of the newest state or the folder versions given."""
+        schema = self._placed_schema()
+        found = sink.read(self.spark, self.path("observation"), schema, parts)
         return self.spark.createDataFrame([], schema) if found is None else found
 
     def place(self, rows: DataFrame) -> DataFrame:
@@ -173,7 +198,8 @@ class Archive:
         return self._placed().filter(place.isin(folders)).select(S.OBSERVATION.names)
 
     def write_observations(self, rows: DataFrame, touched: str | None = None, emptied: list[str] = ()) -> int | None:
-        return sink.commit(self.place(rows), self.path("observation"), self.PARTITION, self.SORT, touched, emptied)
+        return sink.commit(self.place(rows), self.path("observation"), self.PARTITION, self.SORT, touched, emptied,
+                           beside=self._store_partials)
 
     def upsert_observations(self, incoming: DataFrame, update: list[str],
                             order_by: list[str] | None = None, on_dup: str = "last") -> int:

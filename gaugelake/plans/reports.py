@@ -1,5 +1,8 @@
 """The monitoring reports. Each takes the archive's tables (a dict of DataFrames) and, where the
-answer depends on the time of asking, an explicit ``as_of``; nothing reads the clock."""
+answer depends on the time of asking, an explicit ``as_of``; nothing reads the clock.
+
+Counts and spans per series come from the archive's stored ``partial`` counts where the tables have them; then these
+reports do not open the readings at all."""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators.rollup import by_series, days_with_gap_before
+from ..operators.rollup import by_series, days_with_gap_before, merged_partials
 from ..sources.files import since
 
 Tables = dict[str, DataFrame]
@@ -21,16 +24,31 @@ def _count(df: DataFrame):
     return df.agg(F.count(F.lit(1))).scalar()
 
 
+def _per_series(t: Tables, *keys, source: str | None = None) -> DataFrame:
+    """Count, span and approval counts per series and extra keys: from the stored partials, else from the readings."""
+    kept = t.get("partial")
+    rows = t["observation"] if kept is None else kept
+    if source:
+        rows = rows.filter(F.col("source") == source)
+    return by_series(rows, *keys) if kept is None else merged_partials(rows, *keys)
+
+
+def _whole(t: Tables) -> DataFrame:
+    """Rows with ``n`` readings and their newest time, to be added up."""
+    kept = t.get("partial")
+    return t["observation"].agg(F.count(F.lit(1)).alias("n"), F.max("datetime_utc").alias("last_ts")) if kept is None else kept
+
+
 # --- overview ---------------------------------------------------------------
 
 def kpi_overview(t: Tables, as_of) -> DataFrame:
-    obs, series, runs = t["observation"], t["series"], t["pull_run"]
-    return _one_row(obs).select(
-        _count(obs).alias("obs"),
+    obs, series, runs = _whole(t), t["series"], t["pull_run"]
+    return _one_row(series).select(
+        obs.agg(F.coalesce(F.sum("n"), F.lit(0).cast("long"))).scalar().alias("obs"),
         _count(t["station"]).alias("stations"),
         _count(series).alias("series"),
         series.agg(F.count_distinct("parameter")).scalar().alias("params"),
-        obs.agg(F.max("datetime_utc")).scalar().alias("latest"),
+        obs.agg(F.max("last_ts")).scalar().alias("latest"),
         runs.filter("status = 'ok'").agg(F.max("finished_ts")).scalar().alias("last_run"),
         _count(since(runs, "started_ts", as_of, 30, strict=True)).alias("runs_30d"),
         _count(t["audit_discrepancy"].filter("action_taken IS NULL")).alias("open_discrepancies"))
@@ -45,7 +63,7 @@ def obs_per_day(t: Tables, as_of, days: int = 60, by: str = "datetime_utc") -> D
 def coverage(t: Tables, keys: tuple[str, ...] = ("parameter", "interval", "source")) -> DataFrame:
     """Readings, series and span. Readings are counted per series first, so the join and the
     distinct count of series work on one row per series and source."""
-    per_series = by_series(t["observation"], *[k for k in keys if k == "source"])
+    per_series = _per_series(t, *[k for k in keys if k == "source"])
     return (per_series.join(t["series"].select("series_uid", "parameter", "interval"), "series_uid")
             .groupBy(*keys)
             .agg(F.sum("n").alias("obs"), F.count(F.lit(1)).alias("series"),
@@ -59,7 +77,7 @@ def coverage_interval(t: Tables) -> DataFrame:
 
 
 def coverage_firstcut(t: Tables) -> DataFrame:
-    per_series = by_series(t["observation"])
+    per_series = _per_series(t)
     return (per_series.join(t["series"].select("series_uid", "parameter"), "series_uid")
             .groupBy("parameter")
             .agg(F.sum("n").alias("obs"), F.count(F.lit(1)).alias("series"),
@@ -81,7 +99,7 @@ def coverage_timeline(t: Tables) -> DataFrame:
 
 
 def freshness_by_source(t: Tables, as_of) -> DataFrame:
-    latest = t["observation"].groupBy("series_uid", "source").agg(F.max("datetime_utc").alias("latest"))
+    latest = _per_series(t, "source").select("series_uid", "source", F.col("last_ts").alias("latest"))
     return (latest.join(t["series"].select("series_uid", "parameter"), "series_uid")
             .groupBy(C.source_label(F.col("parameter"), F.col("source")).alias("source"))
             .agg(F.max("latest").alias("latest"))
@@ -92,14 +110,14 @@ def freshness_by_source(t: Tables, as_of) -> DataFrame:
 
 def daily_record_span(t: Tables) -> DataFrame:
     daily = t["series"].filter("interval = 'daily'").select("series_uid")
-    return (by_series(t["observation"]).join(daily, "series_uid", "left_semi")
+    return (_per_series(t).join(daily, "series_uid", "left_semi")
             .agg(F.to_date(F.min("first_ts")).alias("first_obs"),
                  F.to_date(F.max("last_ts")).alias("last_obs")))
 
 
 def station_summary(t: Tables) -> DataFrame:
     """All stations; those without series or readings show 0 and no latest time."""
-    per_series = by_series(t["observation"]).select("series_uid", "n", "last_ts")
+    per_series = _per_series(t).select("series_uid", "n", "last_ts")
     per_station = (t["series"].select("series_uid", "station_uid").join(per_series, "series_uid")
                    .groupBy("station_uid").agg(F.sum("n").alias("obs"), F.max("last_ts").alias("latest")))
     return (t["station"].join(per_station, "station_uid", "left")
@@ -145,7 +163,7 @@ def _bc(t: Tables) -> DataFrame:
 
 
 def network_audit(t: Tables, as_of) -> DataFrame:
-    return (_network(t, by_series(_bc(t)), True)
+    return (_network(t, _per_series(t, source="bc"), True)
             .groupBy(F.col("bc_aquarius_loc_id").alias("moe_id"), "name")
             .agg(F.count(F.lit(1)).alias("series"),
                  # The set is bounded by the parameter domain.
@@ -181,7 +199,7 @@ def network_totals(t: Tables, as_of) -> DataFrame:
 
 
 def approval_by_station(t: Tables) -> DataFrame:
-    per_series = by_series(_bc(t), F.coalesce("approval_level", F.lit("unspecified")).alias("approval"))
+    per_series = _per_series(t, F.coalesce("approval_level", F.lit("unspecified")).alias("approval"), source="bc")
     counts = _network(t, per_series, True).groupBy("name", "approval").agg(F.sum("n").alias("n"))
     # At most one row per approval level and name here.
     total = F.sum("n").over(Window.partitionBy("name"))
@@ -218,7 +236,9 @@ def network_year_long(t: Tables) -> DataFrame:
 
 
 def station_year_heatmap(t: Tables) -> DataFrame:
-    per_series = by_series(_bc(t), F.year("datetime_utc").alias("yr"))
+    # A partial lies in one month.
+    at = "datetime_utc" if t.get("partial") is None else "first_ts"
+    per_series = _per_series(t, F.year(at).alias("yr"), source="bc")
     counts = _network(t, per_series, False).groupBy("name", "yr").agg(F.sum("n").alias("points"))
     return counts.withColumn("name_total", F.sum("points").over(Window.partitionBy("name")))
 
@@ -228,7 +248,7 @@ def station_year_heatmap(t: Tables) -> DataFrame:
 def gw_wells(t: Tables, as_of) -> DataFrame:
     wells = t["station"].filter("station_type = 'groundwater_well'").select(
         "station_uid", "bc_aquarius_loc_id", "name", "lat", "lon")
-    return (by_series(t["observation"])
+    return (_per_series(t)
             .join(t["series"].select("series_uid", "station_uid"), "series_uid")
             .join(wells, "station_uid")
             .groupBy(F.col("bc_aquarius_loc_id").alias("well"), "name", "lat", "lon")
@@ -277,7 +297,7 @@ def daily_means(t: Tables) -> DataFrame:
 
 def longest_records(t: Tables, k: int = 8) -> DataFrame:
     daily = t["series"].filter("interval = 'daily'").select("series_uid")
-    return (by_series(t["observation"]).join(daily, "series_uid", "left_semi")
+    return (_per_series(t).join(daily, "series_uid", "left_semi")
             .select("series_uid", F.to_date("first_ts").alias("from_date"), F.to_date("last_ts").alias("to_date"))
             .orderBy("from_date", "series_uid").limit(k))
 

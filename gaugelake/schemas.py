@@ -40,6 +40,12 @@ OBSERVATION = _struct(
     ("ice_flag", _B), ("source", _S), ("pull_run_id", _L), ("ingest_ts", _TS),
 )
 
+# Readings counted per series, source and approval level inside one folder of the archive.
+PARTIAL = _struct(
+    ("series_uid", _S), ("source", _S), ("approval_level", _S), ("span", _S), ("ym", T.IntegerType()), ("bucket", T.IntegerType()),
+    ("n", _L), ("first_ts", _TS), ("last_ts", _TS),
+)
+
 PULL_RUN = _struct(
     ("run_id", _L), ("source", _S), ("started_ts", _TS), ("finished_ts", _TS),
     ("rows_in", _L), ("status", _S), ("error", _S),

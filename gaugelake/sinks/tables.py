@@ -11,6 +11,7 @@ import json
 import logging
 import time
 import uuid
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -151,13 +152,15 @@ def manifest(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
     return int(found[-1].rsplit("/", 1)[1]), json.loads(content(spark, found[-1]))
 
 
-def read(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    """The table as its newest manifest has it, or None where there is none. ``schema`` holds the partition column too.
+def read(spark: SparkSession, path: str, schema, parts: dict[str, str] | None = None) -> DataFrame | None:
+    """The table as its newest manifest has it, or as ``parts`` says; None where it holds nothing. ``schema`` holds the
+    partition column too.
 
     Whole versions are listed, and a filter on the folder columns, which prunes before any file is opened, leaves the
     partitions of each that the manifest names.
     """
-    _, parts = manifest(spark, path)
+    if parts is None:
+        _, parts = manifest(spark, path)
     if not parts:
         return None
     live: dict[str, list[str]] = {}
@@ -173,7 +176,7 @@ def read(spark: SparkSession, path: str, schema) -> DataFrame | None:
 
 
 def commit(df: DataFrame, path: str, partition_by: list[str] | None = None, sort_by: list[str] | None = None,
-           touched: str | None = None, emptied: list[str] = ()) -> int | None:
+           touched: str | None = None, emptied: list[str] = (), beside: Callable[[str], None] | None = None) -> int | None:
     """Replace the table at ``path``, or only its partitions that ``df`` holds and those in ``emptied``.
 
     The rows are written whole as a new version before the manifest names it. So ``df`` may read the table it
@@ -184,6 +187,9 @@ def commit(df: DataFrame, path: str, partition_by: list[str] | None = None, sort
     by its measured size; unlike range partitioning it does not compute the rows twice to sample
     them. Rows are sorted inside each file, for compression and row-group statistics.
 
+    ``beside`` is called with the new version once its rows are written and before the manifest names it: what it stores
+    under that version comes into effect with the rows.
+
     Returns the number of rows where the boolean column ``touched`` (not stored) is true.
     """
     spark = df.sparkSession
@@ -204,6 +210,8 @@ def commit(df: DataFrame, path: str, partition_by: list[str] | None = None, sort
     writer.parquet(f"{path}/v={version}")
     new = dict.fromkeys(partitions(spark, f"{path}/v={version}", len(partition_by)) if partition_by else [WHOLE], version)
     kept = {k: v for k, v in parts.items() if k not in emptied}
+    if beside:
+        beside(version)
     if not create(spark, f"{path}/_manifest/{number + 1:012d}", json.dumps(kept | new)):
         delete(spark, f"{path}/v={version}")
         raise RuntimeError(f"another writer has changed {path}")
@@ -230,3 +238,11 @@ def sweep(spark: SparkSession, path: str, manifests: int = 2, min_age_seconds: f
                     delete(spark, f"{folder}/{part}")
     for m in old:
         delete(spark, m)
+
+
+def sweep_beside(spark: SparkSession, path: str, beside: str, min_age_seconds: float = 0.0) -> None:
+    """Delete what was stored ``beside`` versions of the table at ``path`` that are gone; to be called after :func:`sweep`."""
+    present = {folder.rsplit("/", 1)[1] for folder in children(spark, path)}
+    for folder in older(spark, beside, min_age_seconds):
+        if folder.rsplit("/", 1)[1] not in present:
+            delete(spark, folder)
