@@ -44,7 +44,10 @@ def of_kinds(*kinds: str) -> F.Column:
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(documents(ship(spark), sf_dir))
     return found.select("doc_id", *(F.size(of_kinds(kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE),
-                        F.sha2(span_list(of_kinds(*pii.BASE)), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
+                        F.sha2(span_list(of_kinds(*pii.BASE)), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"),
+                        *(F.size(of_kinds(kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS if kind not in pii.BASE),
+                        F.size("spans").cast("long").alias("n_spans"),
+                        F.array_join(F.transform("spans", lambda s: s["score"].cast("decimal(3,2)").cast("string")), ",").alias("scores"))
 
 
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
