@@ -101,6 +101,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op13_bit_sliced)}
 
 SQL: dict[str, str] = {
+    "op2_phrase_automata": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+        spans AS (SELECT doc_id, pos, list(word) OVER next AS code, count(*) OVER next AS n FROM words
+                  WINDOW next AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+        firsts AS (SELECT code, min(doc_id) AS least FROM spans WHERE n = 50 GROUP BY code),
+        starts AS (SELECT doc_id, pos FROM spans JOIN firsts USING (code) WHERE doc_id > least),
+        marked AS (SELECT words.doc_id, word, words.pos,
+                          coalesce(max(starts.pos) OVER (PARTITION BY words.doc_id ORDER BY words.pos) >= words.pos - 49, false) AS gone
+                   FROM words LEFT JOIN starts USING (doc_id, pos))
+        SELECT doc_id, count(pos) AS n_words, count(pos) FILTER (gone) AS n_removed,
+               sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+        FROM d LEFT JOIN marked USING (doc_id) GROUP BY doc_id""",
     "op9_dual_tree": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
                    FROM embeddings

@@ -3,7 +3,7 @@
 Of the k-token grams in each window of W tokens, the one with the least code (the first on a tie) is the
 window's anchor. Equal windows have equal anchors at equal distance, so a window can only recur where its
 anchor does. Anchors are some 2 / (W - k + 2) of the positions; only segments around anchors that recur
-are cut out and compared.
+are cut out and compared. Copies of a text are one text from the first join on: only the one with the least id has anchors.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from gaugelake.llm.common import batch_of, grams, keep, slices, tidy
 
 CHUNK = 1 << 22  # windows looked at together; the low 24 bits of a key hold the position
 LOW = np.uint64((1 << 24) - 1)
-HOT_ANCHOR = 20_000  # more occurrences than this are compared window by window, spread over all tasks
+HOT_ANCHOR = 20_000  # the windows of anchors with more occurrences meet by a shuffle of their codes, not in one task's block
 BLOCK_ROWS = 20_000
 
 ANCHORS = pa.schema([("k", pa.int64()), ("t", pa.int64()), ("h", pa.int64()), ("lo", pa.int32()), ("size", pa.int32()),
@@ -45,16 +45,39 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(right[:n - w + 1], left[w - 1:n])
 
 
+def least_runs(keys: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of keys with the position in their low bits: the position of the least of each ``reach`` consecutive ones, the first
+    start that has it, and the number of starts in a row that have it."""
+    place = (sliding_min(keys, reach) & LOW).astype(np.int64)
+    first = np.r_[0, np.flatnonzero(place[1:] != place[:-1]) + 1]
+    return place[first], first, np.diff(np.r_[first, len(place)])
+
+
 def anchor_runs(codes: np.ndarray, window: int, k: int) -> tuple[np.ndarray, ...]:
     """Anchor code, first window start, number of consecutive windows, and anchor place after that start."""
     out = [[], [], [], []]
     for start in range(0, len(codes) - window + 1, CHUNK):
         gram = grams(codes[start:start + CHUNK + window - 1], k)
-        keys = (gram & ~LOW) | np.arange(len(gram), dtype=np.uint64)
-        place = (sliding_min(keys, window - k + 1) & LOW).astype(np.int64)
-        first = np.r_[0, np.flatnonzero(place[1:] != place[:-1]) + 1]
-        size = np.diff(np.r_[first, len(place)])
-        for column, values in zip(out, (gram[place[first]].view(np.int64), first + start, size, place[first] - first)):
+        place, first, size = least_runs((gram & ~LOW) | np.arange(len(gram), dtype=np.uint64), window - k + 1)
+        for column, values in zip(out, (gram[place].view(np.int64), first + start, size, place - first)):
+            column.append(values)
+    return tuple(np.concatenate(c) if c else np.empty(0, np.int64) for c in out)
+
+
+def located_runs(at: np.ndarray, h: np.ndarray, n: int, window: int, k: int) -> tuple[np.ndarray, ...]:
+    """``anchor_runs`` of a text of ``n`` tokens of whose grams only those with code ``h`` at the places ``at`` (rising) are
+    known: each window goes to the known gram of least code in it, windows without any are left out. Where a window's anchor
+    is known it is that gram, since no gram of the window has a lesser code."""
+    out = [[], [], [], []]
+    for start in range(0, n - window + 1, CHUNK):
+        keys = np.full(min(CHUNK, n - window + 1 - start) + window - k, np.iinfo(np.uint64).max, np.uint64)
+        here = slice(*np.searchsorted(at, (start, start + len(keys))))
+        own = at[here] - start
+        keys[own] = (h[here].view(np.uint64) & ~LOW) | own.astype(np.uint64)
+        place, first, size = (c.copy() for c in least_runs(keys, window - k + 1))
+        known = place != int(LOW)
+        place, first, size = place[known], first[known], size[known]
+        for column, values in zip(out, (h[here][np.searchsorted(own, place)], first + start, size, place - first)):
             column.append(values)
     return tuple(np.concatenate(c) if c else np.empty(0, np.int64) for c in out)
 
@@ -112,18 +135,38 @@ def window_keys(tokens: Tokens, piece, size: int) -> tuple[np.ndarray, np.ndarra
             grams(codes, tokens.window, 0xD1342543DE82EF95)[:size].view(np.int64))
 
 
-def segments(base: DataFrame, tokens: Tokens, within: bool, hot: int) -> DataFrame:
-    """One row per recurring anchor of each distinct text (its copy with the least id): the tokens of all its windows.
+def recurrent(base: DataFrame, tokens: Tokens, within: bool, purpose: str) -> tuple[DataFrame, DataFrame]:
+    """All anchors of the distinct texts (each by its copy with the least id), and those of them that recur, with ``n``, the
+    anchor's number of occurrences, and ``least``, the least id that has it.
 
-    An anchor recurs if two distinct texts have it or, with ``within``, one text has it twice. Anchors with more
-    than ``hot`` occurrences give one row per window instead, with the window's codes and no data.
+    An anchor recurs if two distinct texts have it or, with ``within``, one text has it twice.
     """
-    found = anchors(base, tokens)
+    firsts = base.groupBy("t").agg(F.min("k").alias("k"))
+    found = keep(anchors(base, tokens).join(firsts, ["k", "t"]).dropDuplicates(["k", "t", "lo"]), f"{purpose}-anchors")
     again = F.min("t") != F.max("t")
     repeated = found.groupBy("h").agg(
-        (again | F.max("twice") if within else again).alias("again"), F.count("*").alias("n")).where("again").drop("again")
-    firsts = base.groupBy("t").agg(F.min("k").alias("k"))
-    wanted = (found.drop("twice").join(repeated, "h").join(firsts, ["k", "t"]).groupBy("k", "t")
+        (again | F.max("twice") if within else again).alias("again"), F.count("*").alias("n"), F.min("k").alias("least"))
+    return found, found.drop("twice").join(repeated.where("again").drop("again"), "h")
+
+
+def cut(rows: list[list], tokens: Tokens, hot: int, k: int, t: int, split, own: Iterator[tuple]) -> None:
+    """Append the segments around the anchors ``own`` (h, lo, size, off, n) of a text to the columns ``rows``: the tokens of
+    all windows of each, or, for an anchor with more than ``hot`` occurrences, one row per window with its codes."""
+    for h, lo, size, off, n in own:
+        piece = split[lo:lo + size + tokens.window - 1]
+        if n > hot:
+            for i, (w1, w2) in enumerate(zip(*window_keys(tokens, piece, size))):
+                for row, value in zip(rows, (k, t, h, lo + i, 1, 0, None, w1, w2)):
+                    row.append(value)
+        else:
+            for row, value in zip(rows, (k, t, h, lo, size, off, tokens.cut(piece), None, None)):
+                row.append(value)
+
+
+def segments(base: DataFrame, tokens: Tokens, hot: int, purpose: str) -> DataFrame:
+    """One row per recurring anchor of each distinct text: the tokens of all its windows, or a row per window where hot.
+    Here also anchors that recur in one text count."""
+    wanted = (recurrent(base, tokens, True, purpose)[1].groupBy("k", "t")
               .agg(F.collect_list(F.struct("h", "lo", "size", "off", "n")).alias("a")))
 
     @tidy
@@ -132,17 +175,7 @@ def segments(base: DataFrame, tokens: Tokens, within: bool, hot: int) -> DataFra
             for part in slices(batch):
                 rows = [[] for _ in SEGMENTS]
                 for k, t, text, own in zip(*(part.column(c).to_pylist() for c in ("k", "t", "text", "a"))):
-                    split = tokens.split(text)
-                    for a in own:
-                        lo, size = a["lo"], a["size"]
-                        piece = split[lo:lo + size + tokens.window - 1]
-                        if a["n"] > hot:
-                            for i, (w1, w2) in enumerate(zip(*window_keys(tokens, piece, size))):
-                                for row, value in zip(rows, (k, t, a["h"], lo + i, 1, 0, None, w1, w2)):
-                                    row.append(value)
-                        else:
-                            for row, value in zip(rows, (k, t, a["h"], lo, size, a["off"], tokens.cut(piece), None, None)):
-                                row.append(value)
+                    cut(rows, tokens, hot, k, t, tokens.split(text), (tuple(a.values()) for a in own))
                 yield batch_of(SEGMENTS, *rows)
 
     # repeated rows of one text are one here
@@ -204,10 +237,10 @@ def marks(base: DataFrame, removed: DataFrame) -> DataFrame:
             .agg(F.min("first").alias("first"), F.collect_list("r").alias("r")))
 
 
-def written(docs: DataFrame, tokens: Tokens, within: bool, hot: int, resolve, hot_windows, purpose: str,
+def written(docs: DataFrame, cut_out: Callable[[DataFrame], DataFrame], resolve, hot_windows, purpose: str,
             carry: bool = False) -> DataFrame:
     """``docs`` keyed, with the marks of each; segments and marks are written aside in between."""
     base = keyed(docs)
-    parts = keep(segments(base, tokens, within, hot), f"{purpose}-segments")
+    parts = keep(cut_out(base), f"{purpose}-segments")
     found = keep(marks(base, ranges(parts, resolve, hot_windows)), f"{purpose}-ranges")
     return keyed(docs, carry).join(found, ["k", "t"], "left").drop("t")

@@ -110,8 +110,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     several rows have goes whole if it is long enough. Null and empty texts have no bytes; kept bytes may end
     inside a character.
     """
-    joined = recurring.written(docs, byte_tokens(window, anchor), True, hot, resolver(window, anchor),
-                               hot_windows(window), "repeats")
+    joined = recurring.written(docs, lambda base: recurring.segments(base, byte_tokens(window, anchor), hot, "repeats"),
+                               resolver(window, anchor), hot_windows(window), "repeats")
     least = -(1 << 63)
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:

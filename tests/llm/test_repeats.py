@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from gaugelake.llm import recurring, substring_dedup, suffix_dedup
+from gaugelake.llm.common import grams
 from helpers import corpus, frame
 
 
@@ -85,6 +86,50 @@ def test_anchor_of_equal_windows_is_the_same():
                 assert seen.setdefault(window, (code, place - i)) == (code, place - i)
 
 
+@pytest.mark.parametrize("chunk", [recurring.CHUNK, 64])
+def test_windows_of_known_grams_go_to_their_anchor(monkeypatch, chunk):
+    monkeypatch.setattr(recurring, "CHUNK", chunk)
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0, 30, 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    gram = grams(codes, 5).view(np.int64)
+
+    def owners(runs):
+        return {start + i: (h, place + start) for h, start, n, place in zip(*(r.tolist() for r in runs)) for i in range(n)}
+
+    every = owners(recurring.anchor_runs(codes, 12, 5))
+    anchor_codes = sorted({h for h, _ in every.values()})
+    known = set(anchor_codes[::2]) | set(rng.choice(gram, 40).tolist())
+    at = np.array([i for i, h in enumerate(gram.tolist()) if h in known])
+    got = owners(recurring.located_runs(at, gram[at], 400, 12, 5))
+    assert all(got[start] == own for start, own in every.items() if own[0] in known)
+    assert all(any(start <= i <= start + 7 for i in at) == (start in got) for start in range(389))
+    assert not owners(recurring.located_runs(at[:0], gram[:0], 400, 12, 5))
+
+
+def test_phrases_are_found_at_their_words():
+    rng = np.random.default_rng(9)
+    for distinct in (3, 40, 2000):  # spelt in one, two and three symbols
+        words = [b"w%d" % i for i in rng.integers(0, distinct, 600)]
+        machine = substring_dedup.Phrases(2)
+        some = {b" ".join(words[i:i + 2]) for i in range(0, 500, 7)}
+        for phrase in sorted(some):
+            machine.add(phrase, hash(phrase), 3)
+            machine.add(phrase, hash(phrase), 3)
+        text = words[::-1] + [b"unseen"] + words
+        at, codes, often = machine.occurrences(text)
+        want = [(i, hash(b" ".join(text[i:i + 2]))) for i in range(len(text) - 1) if b" ".join(text[i:i + 2]) in some]
+        assert list(zip(at.tolist(), codes.tolist())) == want and set(often) == {3}
+    assert not len(substring_dedup.Phrases(2).occurrences([b"a", b"b"])[0])
+
+
+def test_passages_over_many_shards(spark, monkeypatch):
+    for name in ("SHARD_PHRASES", "SHARD_ANCHORS", "SHARD_TEXTS"):
+        monkeypatch.setattr(substring_dedup, name, 3)
+    texts = corpus(n=90) + [corpus()[0]] * 60
+    got = substring_dedup.remove_passages(frame(spark, texts), 8, 3).collect()
+    assert sorted(map(tuple, got)) == passages_by_hand(list(enumerate(texts)), 8)
+
+
 def test_long_texts_go_in_chunks(monkeypatch):
     codes = np.random.default_rng(1).integers(0, 9, 500, dtype=np.uint64)
     whole = recurring.anchor_runs(codes, 10, 4)
