@@ -83,12 +83,14 @@ def phrases_of(base: DataFrame, wanted: DataFrame, phrase: int) -> DataFrame:
         rows = [[] for _ in PHRASES]
         for text, places in zip(part.column("text").to_pylist(), part.column("a").to_pylist()):
             words = words_of(text)
-            for h, at, n in {(p["h"], p["at"], p["n"]) for p in places}:
+            for h, (at, n) in {p["h"]: (p["at"], p["n"]) for p in places}.items():
                 for row, value in zip(rows, (h, n, b" ".join(words[at:at + phrase]))):
                     row.append(value)
         return batch_of(PHRASES, *rows)
 
-    return own.join(base, ["k", "t"]).select("text", "a").mapInArrow(per_slice(run), "h long, n long, body binary")
+    # one row each, also where several texts have the least id, or a text has a phrase many times
+    return (own.join(base, ["k", "t"]).select("text", "a").mapInArrow(per_slice(run), "h long, n long, body binary")
+            .groupBy("h").agg(F.max("n").alias("n"), F.min("body").alias("body")))
 
 
 def located(base: DataFrame, tokens: recurring.Tokens, hot: int, purpose: str) -> DataFrame:
@@ -97,7 +99,7 @@ def located(base: DataFrame, tokens: recurring.Tokens, hot: int, purpose: str) -
     Phrases that recur are read from the first text that has them and sent to the shards whose texts may hold them. Each shard compiles
     its phrases into one automaton and streams its whole texts through it; places come from the matches alone. The number of
     shards grows with phrases, texts and anchors, so that an automaton and its texts stay small. Phrases come first in a
-    shard's rows, then texts one by one; a hot phrase is sent once for each text that has it and compiled once a shard.
+    shard's rows, then texts one by one; a hot phrase is sent and compiled once a shard.
     """
     found, wanted = recurring.recurrent(base, tokens, False, purpose)
     wanted = keep(wanted, f"{purpose}-wanted")
@@ -106,7 +108,7 @@ def located(base: DataFrame, tokens: recurring.Tokens, hot: int, purpose: str) -
     nothing = F.lit(None).cast("long")
     firsts = found.select("k", "t").distinct().select(
         shard, F.lit(0).alias("step"), "k", "t", nothing.alias("h"), nothing.alias("n"), F.lit(None).cast("binary").alias("body"))
-    routed = wanted.select("h", shard).join(phrases_of(base, wanted, tokens.k), "h").select(
+    routed = wanted.select("h", shard).distinct().join(phrases_of(base, wanted, tokens.k), "h").select(
         "shard", F.lit(1).alias("step"), nothing.alias("k"), nothing.alias("t"), "h", "n", "body")
     texts = base.where(F.length("text") >= 2 * tokens.window - 1).select(  # shorter ones have fewer words than a window
         shard, F.lit(2).alias("step"), "k", "t", nothing.alias("h"), nothing.alias("n"), F.col("text").cast("binary").alias("body"))

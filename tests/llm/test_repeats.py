@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import numpy as np
@@ -5,7 +6,7 @@ import pytest
 
 from gaugelake.llm import recurring, substring_dedup, suffix_dedup
 from gaugelake.llm.common import grams
-from helpers import corpus, frame
+from helpers import corpus, frame, prose
 
 
 def passages_by_hand(rows, window):
@@ -130,6 +131,17 @@ def test_passages_over_many_shards(spark, monkeypatch):
     assert sorted(map(tuple, got)) == passages_by_hand(list(enumerate(texts)), 8)
 
 
+def test_a_phrase_is_sent_to_a_shard_once(spark):
+    line = "the same few words of one line again and again "
+    docs = frame(spark, [line * 300, line * 280 + "end", line * 50 + "other end", prose(random.Random(1), 40)], [None, None, 3, 4])
+    base = recurring.keyed(docs)
+    wanted = recurring.recurrent(base, substring_dedup.word_tokens(8, 3), False, "test")[1]
+    phrases = substring_dedup.phrases_of(base, wanted, 3).collect()
+    assert len(phrases) == len({p.h for p in phrases}) == wanted.select("h").distinct().count() > 0
+    got = {(r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove_passages(docs, 8, 3).collect()}
+    assert got == {(None, 3000, 0), (None, 2801, 0), (3, 502, 500), (4, 40, 0)}
+
+
 def test_long_texts_go_in_chunks(monkeypatch):
     codes = np.random.default_rng(1).integers(0, 9, 500, dtype=np.uint64)
     whole = recurring.anchor_runs(codes, 10, 4)
