@@ -49,6 +49,19 @@ def test_nearest_points_without_rows(spark):
     assert search.nearest_points(points.select(F.lit("a").alias("station_uid"), "lat", "lon"), points.limit(0)).collect() == []
 
 
+def test_intervals_of_many_months_are_not_sent_through_the_driver(spark):
+    """A few intervals, small as a table, are many rows once laid out by month: the sides are merged."""
+    obs = spark.range(10).select(F.lit("a").alias("series_uid"), F.expr("timestamp_ntz'2000-01-01' + make_interval(0, id * 12)").alias("datetime_utc"),
+                                 F.lit(1.0).alias("value"))
+    c = spark.createDataFrame([("c1", "a", "drift"), ("c2", "a", "datum")], "correction_id string, series_uid string, correction_type string").selectExpr(
+        "*", "timestamp_ntz'2001-06-01' AS applied_from", "IF(correction_id = 'c1', timestamp_ntz'2004-01-01', NULL) AS applied_to")
+    out = lineage.with_corrections(obs, c)
+    assert sorted((r.datetime_utc.year, r.correction_id) for r in out.collect()) == sorted(
+        [(y, "c1") for y in (2002, 2003, 2004)] + [(y, "c2") for y in range(2002, 2010)])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def grams(name):
     out = set()
     for word in "".join(c if c.isalnum() else " " for c in name.lower()).split():
