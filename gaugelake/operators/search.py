@@ -6,7 +6,9 @@ The reference declares the indexes for these look-ups and runs none of them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
@@ -46,67 +48,71 @@ def nearest(station: DataFrame, points: list[tuple[str, float, float]]) -> DataF
     return best.select("point_id", "best.station_uid", F.round("best.km", 6).alias("distance_km"))
 
 
-# Cells round the globe at each level of the search, coarser by four; at the last one all is one cell.
-CELLS = [4 ** n for n in range(7, -1, -1)]
+# Stations a leaf cell of the search may hold before it is split further, and the finest split (some metres).
+LEAF, FINEST = 32, 10
+
 
+def _unit(lat: Column, lon: Column) -> dict[str, Column]:
+    """A place on the unit sphere. The straight way through the sphere grows with the great circle and knows neither poles nor
+    a date line."""
+    lat, lon = F.radians(lat), F.radians(lon)
+    return {"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)}
 
-def _cells(lat: Column, lon: Column, around: int) -> tuple[Column, Column]:
-    """Row and column of the square cell that holds a place; columns wrap round the globe."""
-    size = 360.0 / around
-    return F.floor((lat + 90) / size), F.floor((lon + 180) / size) % around
 
+def _cube(level: int) -> Column:
+    """Number of the cube cell that holds (x, y, z), 4 ** level cells along each axis; a place that is no number has its own."""
+    n = 4 ** level
+    cx, cy, cz = (F.least(F.floor((F.col(c) + 1) / 2 * n), F.lit(n - 1)) for c in "xyz")
+    return (F.when(F.isnan("x"), -1).otherwise(cx) * n + cy) * n + cz
 
-def _covered_km(lat: Column, lon: Column, around: int) -> Column:
-    """A distance within which every place lies in the 3 x 3 cells about a point. The way to a parallel is along the
-    meridian; the way to a meridian at longitude d away is asin(cos(lat) sin(d)), from 90 degrees on over the pole."""
-    size = 360.0 / around
-    row = F.floor((lat + 90) / size)
-    south, north = lat - ((row - 1) * size - 90), (row + 2) * size - 90 - lat
-    far = F.lit(1e9)
-    to_south = F.when((row - 1) * size <= 0, far).otherwise(F.radians(south))
-    to_north = F.when((row + 2) * size >= 180, far).otherwise(F.radians(north))
-    if around <= 3:
-        sides = far
-    else:
-        into = (lon + 180) - F.floor((lon + 180) / size) * size
-        narrow = F.least(F.lit(90.0), into + size, 2 * size - into)
-        sides = F.asin(F.least(F.lit(1.0), F.cos(F.radians(lat)) * F.sin(F.radians(narrow))))
-    return F.lit(geo.EARTH_RADIUS_KM) * F.least(to_south, to_north, sides) * (1 - 1e-9)
+
+def _cube_levels(places: DataFrame) -> list[DataFrame]:
+    """Cells that hold places, level by level until all are small: each with its parent, its bounds and one of its places."""
+    levels = []
+    for level in range(1, FINEST + 1):
+        bounds = [f(c).alias(f"{name}_{c}") for c in "xyz" for name, f in (("lo", F.min), ("hi", F.max))]
+        cells = keep(places.groupBy(_cube(level - 1).alias("parent"), _cube(level).alias("child"))
+                     .agg(*bounds, F.min(F.struct(*"xyz")).alias("one"), F.count(F.lit(1)).alias("n")), "cells")
+        levels.append(cells.drop("n"))
+        if cells.filter(F.col("n") > LEAF).isEmpty():
+            break
+    return levels
 
 
 def nearest_points(station: DataFrame, points: DataFrame) -> DataFrame:
     """For each row of ``points(point_id, lat, lon)`` the closest station; equal distances go to the lower uid.
 
-    Stations and points meet in map cells: each open point looks into the 3 x 3 cells about it, at first fine ones and in
-    each further round four times coarser ones, and is done once its best station is nearer than the edge of what it
-    has looked at. So dense places are settled among few candidates. Points without a place are left out; without
-    stations there are no rows. Repeated points have a row each; a point_id names one place.
+    A descent through cells that are split by four along each axis: at each level a point keeps the cells that may hold its
+    closest station, those that begin no farther off than the nearest place known from the cells seen so far. Only the
+    stations of the smallest cells left are compared by distance. A point far from all stations keeps few cells too. Points
+    without a place are left out; without stations there are no rows. A point_id names one place.
     """
-    located = station.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("station_uid", "lat", "lon")
-    open_points = keep(points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("point_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon")), "points")
-    located, done = keep(located, "located"), []
-    for around in CELLS:
-        lat, lon = F.col("p_lat"), F.col("p_lon")
-        row, column = _cells(lat, lon, around)
-        cells = F.array_distinct(F.array(*(F.struct((row + i).alias("cell_row"), F.pmod(column + j, F.lit(around)).alias("cell_column"))
-                                           for i in (-1, 0, 1) for j in (-1, 0, 1))))
-        asked = open_points.select("point_id", "p_lat", "p_lon", F.inline(cells))
-        s_row, s_column = _cells(F.col("lat"), F.col("lon"), around)
-        held = located.withColumns({"cell_row": s_row, "cell_column": s_column})
-        km = geo.haversine_km(lat, lon, F.col("lat"), F.col("lon"))
-        best = (asked.join(held, ["cell_row", "cell_column"]).groupBy("point_id", "p_lat", "p_lon")
-                .agg(F.min(F.struct(km.alias("km"), "station_uid")).alias("best")))
-        best = keep(best.filter((F.col("best.km") < _covered_km(lat, lon, around)) | F.lit(around == 1)), "nearest")
-        done.append(best)
-        if around == 1:
-            break
-        open_points = keep(open_points.join(best, ["point_id", "p_lat", "p_lon"], "left_anti"), "points")
-        if open_points.isEmpty():
-            break
-    found = done[0]
-    for more in done[1:]:
-        found = found.unionByName(more)
-    return found.select("point_id", "best.station_uid", F.round("best.km", 6).alias("distance_km"))
+    located = station.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    places = keep(located.groupBy("lat", "lon").agg(F.min("station_uid").alias("station_uid")).withColumns(_unit(F.col("lat"), F.col("lon"))), "places")
+    levels = _cube_levels(places)
+    who = ["point_id", "p_lat", "p_lon"]
+    asked = points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("point_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
+    at = {f"p_{c}": place for c, place in _unit(F.col("p_lat"), F.col("p_lon")).items()}
+    roots = F.array(F.lit(0).cast("long"), F.lit(-1).cast("long"))  # the second one holds places that are no number
+    left = asked.distinct().withColumns({**at, "cell": F.explode(roots), "near": F.lit(3.0)})
+
+    def apart(axis: Callable[[str], Column]) -> Column:
+        return F.sqrt(sum((axis(c) * axis(c) for c in "yz"), axis("x") * axis("x")))
+
+    for cells in levels:
+        met = left.join(cells, F.col("cell") == F.col("parent")).select(
+            *who, *at, F.col("child").alias("cell"), "near",
+            apart(lambda c: F.greatest(F.col(f"lo_{c}") - F.col(f"p_{c}"), F.col(f"p_{c}") - F.col(f"hi_{c}"), F.lit(0.0))).alias("begins"),
+            apart(lambda c: F.col(f"one.{c}") - F.col(f"p_{c}")).alias("some"))
+        # Far more than what rounding does to either distance.
+        may = (F.col("begins") <= F.col("near") * (1 + 1e-12) + 1e-12) | (F.isnan("begins") & (F.col("near") == 3.0))
+        left = (met.filter(may).withColumn("near", F.min(F.least("near", "some")).over(Window.partitionBy(*who)))
+                .filter(may).drop("begins", "some"))
+    held = places.select("station_uid", "lat", "lon", _cube(len(levels)).alias("held_in"))
+    km = geo.haversine_km(F.col("p_lat"), F.col("p_lon"), F.col("lat"), F.col("lon"))
+    best = (left.join(held, F.col("cell") == F.col("held_in")).groupBy(*who)
+            .agg(F.min(F.struct(km.alias("km"), "station_uid")).alias("best")))
+    return best.select("point_id", "best.station_uid", F.round("best.km", 6).alias("distance_km"))
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: float = 0.3) -> DataFrame:

@@ -42,6 +42,36 @@ def test_nearest_points_round_the_globe(spark, seed):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_far_points_do_not_meet_every_station(spark):
+    """Points far from a dense region: the stations compared with a point stay few, whatever their number."""
+    rng = random.Random(5)
+    stations = [(f"S{i}", rng.uniform(49, 50), rng.uniform(-120, -119)) for i in range(3000)]
+    points = [(i, rng.uniform(-80, 30), rng.uniform(-60, 60)) for i in range(60)]
+    got = search.nearest_points(spark.createDataFrame(stations, "station_uid string, lat double, lon double"),
+                                spark.createDataFrame(points, "point_id long, lat double, lon double"))
+    near = {r.point_id: r.station_uid for r in got.collect()}
+    assert near == {i: min(stations, key=lambda s: km(p, s[1:]))[0] for i, *p in points}
+    met = []
+
+    def visit(plan):
+        if "Join" in plan.nodeName() and "numOutputRows" in (m := dict_of(plan.metrics())):
+            met.append(m["numOutputRows"].value())
+        for child in list_of(plan.children()):
+            visit(child)
+        for inner in ("executedPlan", "plan"):
+            if plan.nodeName() == ("AdaptiveSparkPlan" if inner == "executedPlan" else "") or (inner == "plan" and "QueryStage" in plan.getClass().getSimpleName()):
+                visit(getattr(plan, inner)())
+
+    def list_of(seq):
+        return [seq.apply(i) for i in range(seq.size())]
+
+    def dict_of(scala_map):
+        return {pair._1(): pair._2() for pair in list_of(scala_map.toSeq())}
+
+    visit(got._jdf.queryExecution().executedPlan())
+    assert met and max(met) < 60 * 3000 / 20
+
+
 def test_nearest_points_without_rows(spark):
     stations = spark.createDataFrame([], "station_uid string, lat double, lon double")
     points = spark.createDataFrame([(1, 1.0, 1.0)], "point_id long, lat double, lon double")
