@@ -92,3 +92,17 @@ def test_results_do_not_depend_on_the_session_zone(spark, con, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert canonical(got) == canonical(con.execute(sql()[name]).df())
+
+
+def test_series_ids_are_made_once_a_series(spark, tmp_path):
+    """The same ids as from the staged readings, unknown and missing values too, from a few distinct rows."""
+    spark.createDataFrame([(s, n) for s in (1, 4, None) for n in (1, 2, 1, 3)], "l_suppkey long, l_linenumber int").selectExpr(
+        "*", "timestamp_ntz'2000-01-01' AS l_shipdate", "1.0D AS l_quantity", "'A' AS l_returnflag", "'F' AS l_linestatus", "1L AS l_orderkey",
+        "1L AS l_partkey", "1.0D AS l_extendedprice").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(u, t) for u in (7, 8, None) for t in ("view", "click", "view", "odd", "other", None)], "user_id long, event_type string").selectExpr(
+        "*", "timestamp_ntz'2024-01-01' AS ts", "1.0D AS value", "'{}' AS props", "1L AS event_id").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(7,), (7,), (9,), (None,)], "o_custkey long").selectExpr(
+        "*", "timestamp_ntz'2000-01-01' AS o_orderdate", "1.0D AS o_totalprice", "1L AS o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    found = D.series_rows(spark, str(tmp_path))
+    assert sorted(map(repr, D.series(found).collect())) == sorted(map(repr, D.series(D.staged(spark, str(tmp_path))).collect()))
+    assert found.count() < D.staged(spark, str(tmp_path)).count()
