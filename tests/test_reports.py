@@ -160,3 +160,12 @@ def test_days_after_gap_equal_a_plain_lag(spark):
             .select("series_uid", F.to_date("datetime_utc").alias("day")).distinct())
     got = rollup.days_with_gap_before(obs).filter("after_gap").select("series_uid", "day")
     assert rows(got) == rows(want) and len(rows(got)) > 20
+
+
+def test_reading_gaps_carry_one_reading_a_month(obs):
+    """Nothing moves per day: two months with readings of every day carry one reading between them."""
+    days = [f"2024-{month:02}-{day:02}" for month in (1, 2) for day in range(1, 29)]
+    gaps = rollup.reading_gaps(obs(*({"series_uid": "a", "datetime_utc": day} for day in days)))
+    plan = gaps._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_trunc(month" in plan and "date_trunc(day" not in plan
+    assert sorted(r.gap_seconds for r in gaps.collect() if r.gap_seconds) == [86400] * 54 + [4 * 86400]
