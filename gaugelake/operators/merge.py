@@ -63,15 +63,15 @@ def last_of_batch(incoming: DataFrame, keys: list[str], order_by: list[str], col
 
 def _one_per_key(df: DataFrame, keys: list[str], order_by: list[str] | None, rest: list[str], last: bool,
                  unique: bool = False) -> DataFrame:
-    """The first or last row per key in a total order. Rows are dealt by key before they are ranked: a task sorts one
-    shuffled partition, never a whole input split, whose rows would not fit its memory as inputs grow."""
+    """The first or last row per key in a total order: the one with none before it. Unlike a rank limited to 1, which the
+    planner also takes before the shuffle, this sorts shuffled partitions only, never whole input splits, whose rows do
+    not fit a task's memory as inputs grow."""
     order = [F.col(c).desc_nulls_last() if last else F.col(c).asc_nulls_first() for c in [*(order_by or []), *rest]]
     window = Window.partitionBy(*keys)
-    df = df.repartition(*keys)
     if unique:
         df = df.withColumn("_n", F.count(F.lit(1)).over(window)).filter(
             F.when(F.col("_n") > 1, F.raise_error(F.lit("one key occurs twice in the batch")).cast("boolean")).otherwise(True))
-    return (df.withColumn("_row", F.row_number().over(window.orderBy(*order))).filter("_row = 1")
+    return (df.withColumn("_before", F.lag(F.lit(True)).over(window.orderBy(*order))).filter("_before IS NULL")
             .select(*keys, *rest))
 
 
