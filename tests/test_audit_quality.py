@@ -81,3 +81,12 @@ def test_constraints(make, obs):
         ("observation.source", "usgs", 1), ("series.interval", "weekly", 1), ("series.parameter", "X", 1),
         ("station.status", "gone", 1)]
     assert {r[0]: r[1] for r in rows(quality.null_counts(tables)) if r[1]} == {"station.name": 1}
+
+
+def test_duplicate_keys_are_counted_over_more_tasks_as_rows_grow(obs, monkeypatch):
+    monkeypatch.setattr(quality, "ROWS_A_TASK", 10)
+    many = obs(*({"series_uid": f"s{i % 24}", "datetime_utc": "2024-01-01"} for i in range(25)), {"series_uid": None}, {"series_uid": None})
+    found = quality.duplicate_keys(many.withColumn("source", F.lit("bc")), "observation", ["series_uid", "datetime_utc", "source"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and ", 3), REPARTITION_BY_NUM" in plan
+    assert {r.key: r.n for r in found.collect()} == {"s0|2024-01-01 00:00:00|bc": 2, "||bc": 2}
