@@ -39,6 +39,9 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
+        names = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -48,7 +51,7 @@ class WordIds:
 
     @staticmethod
     def simple(core: str) -> bool:
-        return core.isalpha() and len(core) <= LONG and max(core) <= LAST_SIMPLE
+        return core.isalpha() and len(core) <= LONG and (core.isascii() or max(core) <= LAST_SIMPLE)
 
     @staticmethod
     def split(text: str) -> list[str]:
@@ -57,6 +60,24 @@ class WordIds:
             return [w for w in BLANKS.split(text) if w]
         return text.split()
 
+    def by_offsets(self, units: list[str]) -> list[bytes]:
+        """Ids of letter units, told apart by where their tokens start."""
+        found = self.tokenizer.encode("\n".join(units), add_special_tokens=False)
+        starts = np.cumsum([0, *(len(u) + 1 for u in units)])
+        owner = np.searchsorted(starts, np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids)), "right")
+        return self.parted(found.ids, np.bincount(owner, minlength=len(units) + 1)[1:len(units) + 1])
+
+    def by_word_ends(self, units: list[str]) -> list[bytes]:
+        """Ids of ASCII letter units: each is one word to the tokenizer, and only a word's last token is marked as its end.
+        So no offsets are needed, which cost a third of the segmenting."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(units)], add_special_tokens=False)[0].ids, "<u4")
+        return self.parted(ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
+
+    @staticmethod
+    def parted(ids, counts: np.ndarray) -> list[bytes]:
+        data, at = np.array(ids, "<u4").tobytes(), (4 * np.cumsum([0, *counts])).tolist()
+        return [data[i:j] for i, j in zip(at, at[1:])]
+
     def learn(self, words: list[str], now: set[str]) -> None:
         """Add ids of ``words``. A full table keeps the words of the texts at hand (``now``): the frequent ones stay."""
         if len(self.words) + len(words) > self.WORDS:
@@ -68,20 +89,16 @@ class WordIds:
             if len(self.units) + len(fresh) > self.UNITS:
                 self.units.clear()
                 fresh = list(filter(self.simple, set(lower)))
-            found = self.tokenizer.encode("\n".join(fresh), add_special_tokens=False)
-            starts = np.cumsum([0, *(len(c) + 1 for c in fresh)])
-            owner = np.searchsorted(starts, np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids)), "right")
-            data = np.array(found.ids, "<u4").tobytes()
-            at = (4 * np.cumsum([0, *np.bincount(owner, minlength=len(fresh) + 1)[1:len(fresh) + 1]])).tolist()
-            self.units.update(zip(fresh, [data[i:j] for i, j in zip(at, at[1:])]))
-        units, tails, known = self.units, self.tails, self.words
-        for word, core, low in zip(words, cores, lower):
-            ids = units.get(low)
+            for units, segmented in ((list(filter(str.isascii, fresh)), self.by_word_ends),
+                                     ([u for u in fresh if not u.isascii()], self.by_offsets)):
+                if units:
+                    self.units.update(zip(units, segmented(units)))
+        tails, known, found = self.tails, self.words, list(map(self.units.get, lower))
+        known.update(zip(words, found))
+        for word, core, ids in zip(words, cores, found):
             if ids is None:
                 known[word] = self.whole(word)
-            elif len(core) == len(word):
-                known[word] = ids
-            else:
+            elif len(core) != len(word):
                 tail = word[len(core):]
                 if tail not in tails:
                     if len(tails) > 10_000 or len(tail) > LONG:

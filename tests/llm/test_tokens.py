@@ -151,3 +151,12 @@ def test_training_files(spark, tmp_path):
     part = training_order.read_slots(spark, folder, 5, 9).collect()  # resumes anywhere
     assert {r.slot: r.ids for r in part} == {s: read[s] for s in range(5, 9)}
     assert training_order.in_training_order(frame(spark, []).limit(0), WORD, folder + "0").count() == 0
+
+
+def test_units_are_parted_by_word_ends_without_offsets():
+    table = vocab.WordIds(WORD)
+    units = ["a", "the", "supercalifragilistic", "xqzj", "s", "t", "ll", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa"]
+    assert table.by_word_ends(units) == [table.whole(u) for u in units] == table.by_offsets(units)
+    words = [*units, "The", "xqzj,", "é", "é!", "क़", "İb", "'s"]
+    table.learn(words, set(words))
+    assert [table.words[w] for w in words] == [table.whole(w) for w in words]
