@@ -2,7 +2,7 @@
 
 Only the batch is reduced to one row per key. The target is joined to it in place: while the batch
 is small the planner broadcasts it and the target is neither shuffled nor sorted; beyond that the
-join is a sort-merge with skew splitting.
+join is a sort-merge with skew splitting, or one full join where the caller knows the batch to be large.
 """
 
 from __future__ import annotations
@@ -20,17 +20,23 @@ WELL_UPDATES = [*STATION_UPDATES, "station_type"]
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], update: list[str],
            order_by: list[str] | None = None, on_dup: str = "last",
-           touched: str | None = None) -> DataFrame:
+           touched: str | None = None, large: bool = False) -> DataFrame:
     """New keys are inserted whole; known keys take only the ``update`` columns.
 
     Several incoming rows of one key: ``on_dup='last'`` takes the greatest by ``order_by`` and
     then by the row's own columns (a total order), ``'error'`` fails the job. ``touched`` names
-    an extra boolean column marking inserted and updated rows.
+    an extra boolean column marking inserted and updated rows. ``large`` says that the batch is too big to be broadcast:
+    known and new keys then come from one full join, so either side moves once.
     """
     rest = [c for c in target.columns if c not in keys]
     batch = _one_per_key(incoming, keys, order_by, rest, last=True, unique=on_dup == "error")
     new = batch.select(*keys, F.struct(*rest).alias("_new"))
     hit = F.col("_new").isNotNull()
+    if large:
+        held = F.col("_old").isNotNull()
+        values = {c: F.when(hit if c in update else ~held, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")) for c in rest}
+        both = target.select(*keys, F.struct(*rest).alias("_old")).join(new, keys, "full")
+        return both.select(*(values[c].alias(c) if c in values else F.col(c) for c in target.columns), *([hit.alias(touched)] if touched else []))
     columns = [F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
                for c in target.columns]
     kept = target.join(new, keys, "left").select(*columns, *([hit.alias(touched)] if touched else []))

@@ -21,6 +21,7 @@ SCHEMAS = {
     "station": S.STATION, "series": S.SERIES, "observation": S.OBSERVATION, "pull_run": S.PULL_RUN,
     "audit_log": S.AUDIT_LOG, "audit_discrepancy": S.AUDIT_DISCREPANCY, "quarantine": S.QUARANTINE,
 }
+LARGE_BATCH = 1_000_000  # rows of a batch that no planner would broadcast
 VERSIONED = ("station", "series", "observation")
 
 
@@ -189,8 +190,10 @@ class Archive:
 
     def folders_of(self, placed: DataFrame) -> list[str]:
         """Folders that placed rows lie in: at most spans times months of the calendar times buckets."""
-        return sorted("/".join(f"{c}={r[c]}" for c in self.PARTITION)
-                      for r in placed.select(self.PARTITION).distinct().collect())
+        return self._named(placed.select(self.PARTITION).distinct().collect())
+
+    def _named(self, places: list) -> list[str]:
+        return sorted("/".join(f"{c}={r[c]}" for c in self.PARTITION) for r in places)
 
     def _in_folders(self, folders: list[str]) -> DataFrame:
         """What the archive holds in these folders; other folders are not opened."""
@@ -207,10 +210,11 @@ class Archive:
 
         ``incoming`` is read twice (folders, merge); pass staged rows.
         """
-        folders = self.folders_of(self.place(incoming))
-        if not folders:
+        places = self.place(incoming).groupBy(self.PARTITION).agg(F.count(F.lit(1)).alias("n")).collect()  # as folders_of
+        if not places:
             return 0
-        merged = merge.upsert(self._in_folders(folders), incoming, S.OBSERVATION_KEY, update, order_by, on_dup, touched="touched")
+        merged = merge.upsert(self._in_folders(self._named(places)), incoming, S.OBSERVATION_KEY, update, order_by, on_dup,
+                              touched="touched", large=sum(r["n"] for r in places) >= LARGE_BATCH)
         return self.write_observations(merged, "touched")
 
     def insert_observations(self, incoming: DataFrame) -> None:

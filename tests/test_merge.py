@@ -132,3 +132,28 @@ def test_rows_are_ranked_after_they_are_dealt_by_key(obs):
         assert "Exchange hashpartitioning" in plan and "Sort [" not in plan.split("Exchange hashpartitioning", 1)[1]
         assert plan.count("Exchange") == 1
         assert rows(out, "value") == [(8.0,)]
+
+
+def test_a_large_batch_is_merged_by_one_join(obs, monkeypatch):
+    old = obs({"series_uid": "a", "datetime_utc": T, "value": 1.0, "pull_run_id": 1}, {"series_uid": "a", "datetime_utc": T, "value": 2.0, "pull_run_id": 2},
+              {"series_uid": None, "datetime_utc": T}, {"series_uid": "c", "datetime_utc": T, "grade_code": "31"})
+    new = obs({"series_uid": "a", "datetime_utc": T, "value": None, "grade_code": "11", "pull_run_id": 8}, {"series_uid": None, "datetime_utc": T, "value": 7.0},
+              {"series_uid": "b", "datetime_utc": T, "grade_code": "21"}, {"series_uid": "b", "datetime_utc": T, "grade_code": "22"})
+    monkeypatch.setattr(merge, "_absent", None)  # new keys come from the same join
+    got = merge.upsert_bc(old, new, touched="touched", large=True)
+    monkeypatch.undo()
+    want = merge.upsert_bc(old, new, touched="touched")
+    assert got.columns == want.columns and rows(got) == rows(want) and got.count() == 6
+    with pytest.raises(Exception, match="twice in the batch"):
+        merge.upsert_bc(old, new, on_dup="error", large=True).collect()
+
+
+def test_an_archive_knows_a_large_batch(spark, obs, tmp_path, monkeypatch):
+    from gaugelake.plans import archive
+    store = archive.Archive(spark, str(tmp_path / "archive"), buckets=2)
+    monkeypatch.setattr(archive, "LARGE_BATCH", 2)
+    monkeypatch.setattr(merge, "_absent", None)
+    days = [{"series_uid": "a", "datetime_utc": f"2024-0{m}-01", "value": float(m)} for m in (1, 2, 3)]
+    assert store.upsert_observations(obs(*days), merge.BC_UPDATES) == 3
+    assert store.upsert_observations(obs(*({**d, "value": 9.0} for d in days[1:])), merge.BC_UPDATES) == 2
+    assert rows(store.read("observation"), "value") == [(1.0,), (9.0,), (9.0,)]
