@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as C
+from ..sources import files
 
 # Kinds of bodies and how they are read again.
 PAGE, READING, LINE = "page", "reading", "export line"
@@ -34,6 +35,20 @@ def tag_readings(pull: DataFrame) -> DataFrame:
     return pull.withColumn("reason", reason).withColumn("body", F.when(F.col("reason").isNotNull(), F.to_json(F.struct(*fields))))
 
 
+def tag_pull(pages: DataFrame, quarantine_column: str = "_corrupt") -> DataFrame:
+    """Pages as :func:`tag_pages` and their readings as :func:`tag_readings` tell them apart, in one pass: ``kind`` says which
+    of both a row is, and a bad page is a row without a reading."""
+    page = F.col("page_reason").isNotNull()
+    tagged = tag_pages(pages, quarantine_column).withColumnsRenamed({"reason": "page_reason", "body": "page_body"})
+    order = [c for c in files.CARRIED if c in pages.columns]
+    # Of a page without features nothing is left, as explode() has it; explode_outer() keeps the pages whose list is null.
+    rows = tagged.filter(page | (F.size("features") > 0)).select(*order, "page_reason", "page_body", F.explode_outer("features").alias("feature"))
+    rows = tag_readings(rows.select("page_reason", "page_body", *order, *files.feature_fields()))
+    return rows.withColumns({
+        "kind": F.when(page, PAGE).otherwise(READING), "reason": F.when(page, F.col("page_reason")).otherwise(F.col("reason")),
+        "body": F.when(page, F.col("page_body")).otherwise(F.col("body"))}).drop("page_reason", "page_body")
+
+
 def tag_lines(lines: DataFrame) -> DataFrame:
     """Export lines (with ``complete``) with ``reason`` and ``body``. A line without a value is no loss and stays good."""
     fields = F.from_csv("line", "ts string", {"nullValue": "NA", "mode": "PERMISSIVE"})

@@ -132,15 +132,17 @@ class Archive:
         self._scratch.append(path)
         return staged
 
-    def stage_split(self, tagged: DataFrame, purpose: str, kind: str, run_id: int, as_of) -> DataFrame:
-        """The good rows of a tagged table, staged; the bad ones are appended to the quarantine."""
+    def stage_split(self, tagged: DataFrame, purpose: str, kind: str | tuple[str, ...], run_id: int, as_of) -> DataFrame:
+        """The good rows of a tagged table, staged; the bad ones are appended to the quarantine. Of several kinds, each row
+        says its own in the column ``kind``."""
         path = self.path(f"_stage/{purpose}-{uuid.uuid4().hex}")
         self._scratch.append(path)
         good, bad = quarantine.split(tagged, path)
         if not bad.isEmpty():
-            rows = quarantine.quarantined(bad, kind, run_id, as_of)
-            self.append("quarantine", quarantine.unknown(rows, self.read("quarantine")))
-        return good
+            for one in (kind,) if isinstance(kind, str) else kind:
+                own = bad if isinstance(kind, str) else bad.filter(F.col("kind") == one)
+                self.append("quarantine", quarantine.unknown(quarantine.quarantined(own, one, run_id, as_of), self.read("quarantine")))
+        return good if isinstance(kind, str) else good.drop("kind")
 
     def gated(self, batch: DataFrame, table: str, source: str, run_id: int, as_of, committed: dict[str, DataFrame] | None = None) -> DataFrame:
         """Rows of a batch that keep the table's rules, staged; the others are appended to the quarantine with the rule they

@@ -53,14 +53,14 @@ def _now() -> datetime:
 
 def _pull_wsc(archive: Archive, landing: str, as_of: datetime, days: int, source: str,
               run_id: int, raw_root: str | None, multiline: bool) -> int:
-    pages = archive.stage_split(quarantine.tag_pages(files.geojson_pages(archive.spark, landing, multiline)),
-                                "pages", quarantine.PAGE, run_id, as_of)
     # As with a failed fetch, the run goes on with what could be read.
-    pull = archive.stage_split(quarantine.tag_readings(files.wide_pull(pages)), "readings", quarantine.READING, run_id, as_of)
+    pull = archive.stage_split(quarantine.tag_pull(files.geojson_pages(archive.spark, landing, multiline)), "readings",
+                               (quarantine.PAGE, quarantine.READING), run_id, as_of)
     _report_quarantine(archive, source, run_id)
     pull = pull.filter(C.parse_wsc_time(F.col("DATETIME")) >= C.days_before(as_of, days))
-    pull = archive.stage(_registered(archive, pull), "pull")
+    pull = _registered(archive, pull)
     if raw_root:
+        pull = archive.stage(pull, "pull")
         sink.land_raw(pull.drop(*files.PULL_ORDER), raw_root, source, run_id, as_of.date())
     return _take_wsc(archive, pull, run_id, as_of)
 
@@ -71,8 +71,9 @@ def _registered(archive: Archive, pull: DataFrame) -> DataFrame:
 
 
 def _take_wsc(archive: Archive, pull: DataFrame, run_id: int, as_of: datetime) -> int:
-    long = normalize.reshape_long(pull).filter(F.col("datetime_utc").isNotNull())
-    archive.add_series(normalize.series_discovery(long, "instant"))
+    """Readings are parsed and told apart by quantity once, then read three times: for their series, folders and merge."""
+    long = archive.stage(normalize.reshape_long(pull).filter(F.col("datetime_utc").isNotNull()), "long")
+    archive.add_series(archive.stage(normalize.series_discovery(long, "instant"), "series"))
     return archive.upsert_observations(normalize.wsc_observations(long, run_id, as_of), merge.WSC_UPDATES, files.PULL_ORDER)
 
 

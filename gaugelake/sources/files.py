@@ -43,15 +43,16 @@ def geojson_pages(spark: SparkSession, path: str, multiline: bool = True,
 
 def wide_pull(pages: DataFrame) -> DataFrame:
     """Pages to one row per feature; a property that is null or absent is NULL."""
-    p = "feature.properties."
     order = [c for c in CARRIED if c in pages.columns]
-    return (pages.select(F.explode("features").alias("feature"), *order)
-            .select(*order, F.col(p + "STATION_NUMBER").alias("STATION_NUMBER"),
-                    F.col(p + "DATETIME").alias("DATETIME"),
-                    F.col(p + "LEVEL").alias("LEVEL"),
-                    F.col(p + "DISCHARGE").alias("DISCHARGE"),
-                    F.col(p + "LEVEL_SYMBOL_EN").alias("LEVEL_SYM"),
-                    F.col(p + "DISCHARGE_SYMBOL_EN").alias("DISCHARGE_SYM")))
+    return pages.select(F.explode("features").alias("feature"), *order).select(*order, *feature_fields())
+
+
+def feature_fields() -> list[Column]:
+    """The wide columns of a ``feature``."""
+    p = "feature.properties."
+    return [F.col(p + "STATION_NUMBER").alias("STATION_NUMBER"), F.col(p + "DATETIME").alias("DATETIME"),
+            F.col(p + "LEVEL").alias("LEVEL"), F.col(p + "DISCHARGE").alias("DISCHARGE"),
+            F.col(p + "LEVEL_SYMBOL_EN").alias("LEVEL_SYM"), F.col(p + "DISCHARGE_SYMBOL_EN").alias("DISCHARGE_SYM")]
 
 
 def unreadable_pages(pages: DataFrame, quarantine_column: str = "_corrupt") -> DataFrame:

@@ -192,29 +192,52 @@ def audit_discrepancy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.conform(rows, S.AUDIT_DISCREPANCY)
 
 
-_archives: dict[tuple[str, str], tuple[str, dict[str, DataFrame]]] = {}
+_roots: dict[tuple[str, str], tuple[str, dict[str, DataFrame]]] = {}
+_archives: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The archive's tables but its observations, for queries that read no reading of it. Written once per application, and
+    the archive, where it is asked for too, is built around them."""
+    return _dimensions(spark, sf_dir)[1]
+
+
+def _dimensions(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _roots or not sink.exists(spark, f"{_roots[key][0]}/station"):
+        root = workspace(spark, "archive")
+        _roots[key] = (root, build_dimensions(spark, sf_dir, root))
+    return _roots[key]
 
 
 def archive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The archive built from ``sf_dir``: written once per application, then scanned by reports."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _archives or not sink.exists(spark, f"{_archives[key][0]}/observation"):
-        root = workspace(spark, "archive")
-        _archives[key] = (root, build(spark, sf_dir, root))
-    return _archives[key][1]
+    root, tables = _dimensions(spark, sf_dir)
+    if key not in _archives or not sink.exists(spark, f"{root}/observation"):
+        _archives[key] = {"observation": build_observations(spark, sf_dir, root), **tables}
+    return _archives[key]
 
 
 def build(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, DataFrame]:
-    store = Archive(spark, root or workspace(spark, "archive"), buckets=1)  # a month here is a few thousand rows
-    rows = staged(spark, sf_dir)
+    root = root or workspace(spark, "archive")
+    return {"observation": build_observations(spark, sf_dir, root), **build_dimensions(spark, sf_dir, root)}
+
+
+def build_observations(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    store = Archive(spark, root, buckets=1)  # a month here is a few thousand rows
     columns = [f.name for f in S.OBSERVATION.fields]
-    unique = merge.last_of_batch(as_observations(rows, "ord_line", "ord_part", "ord_price"),
+    unique = merge.last_of_batch(as_observations(staged(spark, sf_dir), "ord_line", "ord_part", "ord_price"),
                                  S.OBSERVATION_KEY, ORDER, columns)
     store.write_observations(unique)
+    return store.read("observation")
+
+
+def build_dimensions(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]:
+    store = Archive(spark, root, buckets=1)
     store.write_dimension("series", series(series_rows(spark, sf_dir)))
     store.write_dimension("station", station(spark, sf_dir))
-    tables = {name: store.read(name) for name in ("observation", "series", "station")}
-    return tables | {
+    return {name: store.read(name) for name in ("series", "station")} | {
         "pull_run": pull_run(spark, sf_dir), "audit_log": audit_log(spark, sf_dir),
         "audit_discrepancy": audit_discrepancy(spark, sf_dir),
     }

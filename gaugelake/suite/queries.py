@@ -550,7 +550,7 @@ def migrate_export_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _store(spark: SparkSession, sf_dir: str, name: str, *tables: str) -> Archive:
     """A new archive holding copies of the given tables."""
-    t = D.archive(spark, sf_dir)
+    t = D.archive(spark, sf_dir) if "observation" in tables else D.dimensions(spark, sf_dir)
     store = Archive(spark, workspace(spark, name), buckets=2)
     for table in tables:
         if table == "observation":
@@ -1066,7 +1066,7 @@ def _broken(rows: DataFrame, faults: dict[int, tuple[str, str | None]], by: str)
 @query
 def write_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches for all declared tables in which each rule is broken, and the rows that pass."""
-    t = D.archive(spark, sf_dir)
+    t = D.dimensions(spark, sf_dir)
     committed = {"station": t["station"], "series": t["series"], "audit_log": t["audit_log"]}
     supplier = D.load(spark, sf_dir, "supplier").withColumn("station_uid", C.bc_station_uid(F.col("s_suppkey").cast("string")))
     number, at = F.col("s_suppkey"), C.instant("2000-01-01")

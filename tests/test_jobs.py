@@ -53,6 +53,43 @@ def test_daily_is_idempotent_and_takes_revisions(archive, tmp_path):
     assert archive._scratch == []
 
 
+def test_a_pull_is_parsed_once(archive, tmp_path, monkeypatch):
+    landing = tmp_path / "landing"
+    pages(landing, ("1", "2024-01-31T00:00:00Z", 1.0, 2.0, "E"), (None, "2024-01-31T00:00:00Z", 1.0, None, None))
+    pages(landing)
+    (landing / "broken.json").write_text("{")
+    (landing / "null.json").write_text('{"features": [null]}')
+    (landing / "none.json").write_text('{"features": null}')
+    taken, staged, upsert, split = [], [], Archive.upsert_observations, Archive.stage_split
+    monkeypatch.setattr(Archive, "upsert_observations", lambda self, rows, *a: (taken.append(rows), upsert(self, rows, *a))[1])
+    monkeypatch.setattr(Archive, "stage_split", lambda self, rows, *a: (staged.append(rows), split(self, rows, *a))[1])
+    assert jobs.daily(archive, str(landing), AS_OF) == 1
+    assert rows(archive.read("observation"), "series_uid", "value") == [("WSC-1-H-instant", 1.0), ("WSC-1-Q-instant", 2.0)]
+    assert rows(archive.read("quarantine"), "kind", "reason", "nth") == [
+        ("page", "no features", 0), ("page", "unreadable page", 0), ("reading", "no station", 0), ("reading", "no station", 0)]
+    plan = taken[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(staged) == 1 and "FileScan parquet" in plan and "regexp_extract" not in plan
+
+
+def test_daily_and_gate_queries_leave_the_readings_of_the_archive_unbuilt(spark, tmp_path, monkeypatch):
+    from gaugelake.suite import driver_tables, queries
+    made = {"nation": "SELECT 1 n_nationkey, 'N' n_name", "customer": "SELECT 7 c_custkey, 'C' c_name",
+            "supplier": "SELECT 3 s_suppkey, 'S' s_name, 1 s_nationkey, 1.0D s_acctbal",
+            "events": "SELECT 1L event_id, 7 user_id, 'view' event_type, timestamp_ntz'2024-01-20 00:00:00' ts, 1.0D value, '{}' props",
+            "orders": "SELECT 1L o_orderkey, 7 o_custkey, 'F' o_orderstatus, 1.0D o_totalprice, timestamp_ntz'2001-01-01 00:00:00' o_orderdate, '1' o_orderpriority",
+            "lineitem": "SELECT 1L l_orderkey, 1L l_partkey, 3 l_suppkey, 1 l_linenumber, 2.0D l_quantity, 1.0D l_extendedprice, 'A' l_returnflag, 'F' l_linestatus, "
+                        "timestamp_ntz'2001-01-01 00:00:00' l_shipdate"}
+    for name, text in made.items():
+        spark.sql(text).write.parquet(str(tmp_path / f"{name}.parquet"))
+    build = driver_tables.build_observations
+    monkeypatch.setattr(driver_tables, "build_observations", lambda *a: pytest.fail("readings built"))
+    assert rows(queries.daily_job(spark, str(tmp_path)), "series_uid", "value") == [("WSC-7-H-instant", 0.0)]
+    assert sorted(r.status for r in queries.run_ledger(spark, str(tmp_path)).collect()) == ["error", "ok", "ok", "running"]
+    assert {r.kind for r in queries.write_gate(spark, str(tmp_path)).collect()} >= {"observation row", "pull_run row"}
+    monkeypatch.setattr(driver_tables, "build_observations", build)
+    assert driver_tables.archive(spark, str(tmp_path))["observation"].count() == 3
+
+
 def test_empty_pull(archive, tmp_path):
     pages(tmp_path / "landing")
     jobs.daily(archive, str(tmp_path / "landing"), AS_OF)
