@@ -146,7 +146,9 @@ class Archive:
 
     def gated(self, batch: DataFrame, table: str, source: str, run_id: int, as_of, committed: dict[str, DataFrame] | None = None) -> DataFrame:
         """Rows of a batch that keep the table's rules, staged; the others are appended to the quarantine with the rule they
-        break. To be used before a merge of rows that come from outside, as :meth:`insert_checked` does."""
+        break. To be used before a merge of rows that come from outside, as :meth:`insert_checked` does. The batch is staged
+        first, since every rule that looks beyond a row reads it again."""
+        batch = self.stage(batch, f"batch-{table}")
         rows = gate.with_body(gate.tagged(batch, table, self.tables() | (committed or {})), table, source)
         return self.stage_split(rows, f"gate-{table}", f"{table} row", run_id, as_of).select(batch.columns)
 

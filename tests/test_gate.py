@@ -68,6 +68,19 @@ def test_checked_insert_keeps_what_it_refuses(spark, obs, make, tmp_path):
     assert '"grade_code":"?"' in kept.filter("reason = 'reference grade_code'").first().body
 
 
+def test_the_rules_read_a_staged_batch(spark, obs, make, tmp_path, monkeypatch):
+    archive = Archive(spark, str(tmp_path / "archive"))
+    archive.write_dimension("series", make(S.SERIES, {"series_uid": "a", "station_uid": "t"}))
+    batch = obs({"series_uid": "a", "datetime_utc": "2024-01-01"}, {"series_uid": "a", "datetime_utc": "2024-01-01"}, {"series_uid": "b", "datetime_utc": "2024-01-01"})
+    seen, tagged = [], gate.tagged
+    monkeypatch.setattr(gate, "tagged", lambda batch, *rest: (seen.append(batch), tagged(batch, *rest))[1])
+    good = archive.gated(batch.dropDuplicates(), "observation", "load.csv", 1, AS_OF)
+    assert rows(good, "series_uid") == [("a",)]
+    assert rows(archive.read("quarantine"), "reason") == [("reference series_uid",)]
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Exchange" not in plan
+
+
 def test_downloads_and_registry_from_the_command_line(spark, obs, make, tmp_path, monkeypatch):
     archive = Archive(spark, str(tmp_path / "archive"))
     archive.write_dimension("series", make(S.SERIES, {"series_uid": "a", "station_uid": "t", "parameter": "Q", "units": "m3/s", "interval": "daily"}))
