@@ -68,6 +68,52 @@ def test_large_export_is_read_in_splits(spark, tmp_path):
     assert out.agg(F.count("*"), F.sum("value")).first() == (20000, sum(range(20000)))
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_small_exports_are_read_once_and_lines_meet_no_heads(spark, tmp_path):
+    full = "Timestamp,Value,Grade,Approval,Qualifier"
+    export(tmp_path, "A.Working@1.csv", full, ["2024-01-01 00:00:00,1.5,31,1200,"])
+    (tmp_path / "B.Working@2.csv").write_bytes(b"\xef\xbb\xbfm\r\nm\rm\nm\nm\na,b,c,d\r\n2024-01-01 00:00:00,2,,,\r\n\n")
+    (tmp_path / "C.Working@3.csv").write_bytes(b"\xef\xbb\xbftorn\n\noff")
+    lines = files.tagged_lines(spark, str(tmp_path))
+    assert "Join" not in plan_of(lines) and "Window" not in plan_of(lines)
+    got = [("A.Working@1", "2024-01-01 00:00:00,1.5,31,1200,", True), ("B.Working@2", "", True), ("B.Working@2", "2024-01-01 00:00:00,2,,,", True),
+           ("C.Working@3", "", False), ("C.Working@3", "off", False), ("C.Working@3", "torn", False)]
+    assert rows(lines, "dataset", "line", "complete") == got
+
+
+def test_large_and_packed_exports_are_read_in_splits(spark, tmp_path, monkeypatch):
+    import gzip
+    full = "Timestamp,Value,Grade,Approval,Qualifier"
+    export(tmp_path, "A.Working@1.csv", full, ["2024-01-01 00:00:00,1.5,31,1200,"])
+    export(tmp_path, "B.Working@2.csv", full, [f"2024-01-01 00:00:{i:02d},1,,," for i in range(30)])
+    with gzip.open(tmp_path / "C.Working@3.csv.gz", "wt") as packed:
+        packed.write("\n".join([*HEAD, full, "2024-01-01 00:00:00,7,,,"]) + "\n")
+    monkeypatch.setattr(files, "_WHOLE_BYTES", 300)
+    lines = files.tagged_lines(spark, str(tmp_path))
+    assert sorted(r[0] for r in lines.groupBy("dataset").count().collect()) == ["A.Working@1", "B.Working@2", "C.Working@3.csv.gz"]
+    assert lines.count() == 32 and lines.filter("complete").count() == 32
+    heads = files._export_heads(spark.sql("SELECT string(id % 2) pulled_from, id line_id, string(id) line, id - id block_start FROM range(9)"))
+    assert "WindowGroupLimit" in heads._jdf.queryExecution().executedPlan().toString()  # six lines a file move, not the text
+
+
+def test_a_landing_is_listed_by_few_tasks(spark):
+    before = spark.conf.get(files._LISTING)
+    with files._listed_by_few_tasks(spark):
+        assert int(spark.conf.get(files._LISTING)) == 8 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(files._LISTING) == before
+
+
+def test_plain_lines_are_cut_as_the_csv_parser_cuts_them(spark):
+    lines = ["2024-01-01 00:00:00,1,31,1200,E", "a", "", ",,,,", "NA,NA,x,,", " a , b,c,d,e,f,g", "a\\,b", '"a,b",c', 'a"b,c', '"a""b",,NA', "a\nb,c", "a\rb", "\x00a,b"]
+    text = spark.createDataFrame([("d", line, True) for line in lines], "dataset string, line string, complete boolean")
+    plain = F.from_csv("line", "ts string, value string, grade string, approval string, qualifier string", {"nullValue": "NA"})
+    assert rows(files.export_rows(text)) == rows(text.select("dataset", F.inline(F.array(plain))))
+    assert files.export_rows(text.filter(files.plain_line(F.col("line")))).count() == 7
+
+
 def test_registries(spark, tmp_path):
     (tmp_path / "s.csv").write_text(
         "station_uid,wsc_id,bc_aquarius_loc_id,ona_id,name,operator,status,lat,lon,basin,telemetry_type,goes_dcp_id\n"
