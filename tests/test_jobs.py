@@ -437,3 +437,48 @@ def test_a_hot_month_is_written_by_many_tasks(spark, obs, tmp_path):
     files = list((tmp_path / "hot/observation").glob("v=*/span=instant/ym=202401/bucket=*/*.parquet"))
     assert len(files) > 3
     assert Archive(session, str(tmp_path / "hot")).read("observation").count() == 60000
+
+
+def test_export_files_are_written_as_partitionby_names_them(spark, tmp_path):
+    from gaugelake.suite import queries
+    lines = spark.createDataFrame([("a:b/c%", 1, "x"), ("a:b/c%", 1, None), (None, 2, "é"), ("", 2, "w"), ("q@1", None, "l")], "dataset string, pull long, line string")
+    for folder in ("ours", "ours", "spark"):
+        ordered = lines.repartition(3, "dataset", "pull").sortWithinPartitions("dataset", "pull")
+        if folder == "ours":
+            queries._land(ordered, str(tmp_path / folder))
+        else:
+            ordered.write.partitionBy("dataset", "pull").text(str(tmp_path / folder))
+    found = {folder: sorted({str(p.parent.relative_to(tmp_path / folder)) for p in (tmp_path / folder).rglob("part-*.txt")}) for folder in ("ours", "spark")}
+    assert found["ours"] == found["spark"] and len(found["ours"]) == 3
+    text = spark.read.option("recursiveFileLookup", True).text(str(tmp_path / "ours"))
+    assert sorted(r[0] for r in text.collect()) == sorted(["", "l", "w", "x", "é"] * 2)  # a second landing adds files
+    assert not list((tmp_path / "ours").rglob(".*"))  # no checksums, nothing half written
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    import time
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {f.getName() for f in (lambda found: [found.apply(i) for i in range(found.size())])(manager.getAllFiles()) if f.getName().startswith("shuffle_")}
+    before = shuffles()
+    for write in (lambda df: sink.stage(df, str(tmp_path), "x"), lambda df: sink.write_csv(df, str(tmp_path / "csv")),
+                  lambda df: sink.commit(df, str(tmp_path / "table"), sort_by=["id"])):
+        write(spark.range(1000).repartition(3, "id"))
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before
+
+
+def test_bulk_exports_are_packed(spark, tmp_path):
+    sink.export_tables({"t": spark.sql("SELECT 1 a, timestamp_ntz'2024-01-01 00:00:00.25' b")}, str(tmp_path))
+    assert [p.suffix for p in (tmp_path / "t").glob("part-*")] == [".gz"]
+    assert rows(files.by_name(spark, str(tmp_path / "t"), ["a"])) == [("1", "2024-01-01 00:00:00.25")]
+
+
+def test_a_first_load_joins_nothing(spark, obs, tmp_path):
+    new = Archive(spark, str(tmp_path / "new"))
+    merged = merge.insert_ignore(new._in_folders(["span=instant/ym=202401/bucket=0"]), obs({"series_uid": "a", "datetime_utc": "2024-01-01"}), S.OBSERVATION_KEY)
+    assert "Join" not in merged._jdf.queryExecution().optimizedPlan().toString() and merged.count() == 1
